@@ -15,10 +15,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import new_run
+from ..config import RunFolder, new_run
 from ..functions.expressions import wall_clock
-from ..operators import gold
-from ..sources import testdata
+from ..operators import bronze, gold, silver
+from ..operators.quality import apply_expectations, expectation_report
+from ..sources import files, testdata
 from ..streaming.runner import run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +33,40 @@ def query(name: str):
     return register
 
 
+# Columns holding the processing time, left out of returned results.
+PROCESSING_TIME = ("ingestion_timestamp", "bronze_ingestion_timestamp",
+                   "silver_ingestion_timestamp", "alert_timestamp")
+
+
 def _stream_result(spark: SparkSession, name: str, df: DataFrame, *,
-                   drop: tuple[str, ...] = ()) -> DataFrame:
-    run = new_run(spark, name)
-    run_to_table(df, run.table(name), run.checkpoint(name), query_name=None)
-    return wall_clock(spark.read.parquet(run.table(name)).drop(*drop))
+                   run: RunFolder | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Run a stream to the end of its input and read back what it wrote."""
+    run = run or new_run(spark, name)
+    run_to_table(df, run.table(name), run.checkpoint(name))
+    out = spark.read.parquet(run.table(name))
+    return wall_clock(out.drop(*PROCESSING_TIME, *drop))
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testdata.read_table(spark, sf_dir, "events")
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver customers snapshot, as the gold queries read it."""
+    raw = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
+                             testdata.read_table(spark, sf_dir, "nation"))
+    return silver.silver_customers(bronze.bronze_customers(raw))
+
+
+def _stage_watchlist(spark: SparkSession, sf_dir: str, run: RunFolder) -> str:
+    """Write the watchlist records derived from ``events`` as JSON files."""
+    folder = run.staging("watchlist_drop")
+    testdata.watchlist_records(_events(spark, sf_dir)).write.json(folder)
+    return folder
+
+
+def _silver_watchlist_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return silver.silver_watchlist(bronze.bronze_watchlist(files.watchlist_stream(spark, folder)))
 
 
 # -- gold: counts per event-time window -------------------------------------
@@ -67,3 +97,154 @@ def sliding_count_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same sliding count on a batch frame: every window."""
     tx = testdata.transactions(testdata.read_table(spark, sf_dir, "events"))
     return wall_clock(gold.sliding_transaction_counts(tx))
+
+
+# -- bronze and silver transactions -----------------------------------------
+
+@query("bronze_transactions")
+def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-shaped stream landed with key and value as text."""
+    envelope = testdata.kafka_envelope(testdata.events_stream(spark, sf_dir))
+    return _stream_result(spark, "bronze_transactions", bronze.bronze_transactions(envelope))
+
+
+@query("silver_transactions")
+def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze stream parsed, flattened and checked by the expectations."""
+    envelope = testdata.kafka_envelope(testdata.events_stream(spark, sf_dir))
+    return _stream_result(spark, "silver_transactions",
+                          silver.silver_transactions(bronze.bronze_transactions(envelope)))
+
+
+@query("json_parse")
+def json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Permissive parse of message values, some of them malformed."""
+    envelope = testdata.kafka_envelope(_events(spark, sf_dir), malformed=True)
+    return wall_clock(silver.parse_transactions(bronze.bronze_transactions(envelope))
+                      .drop(*PROCESSING_TIME))
+
+
+# -- expectations --------------------------------------------------------------
+
+@query("expect_or_drop")
+def expect_or_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept by the drop expectations (missing ids removed)."""
+    dirty = testdata.dirty_transactions(_events(spark, sf_dir))
+    return wall_clock(apply_expectations(dirty, silver.TRANSACTION_EXPECTATIONS))
+
+
+@query("expect_warn")
+def expect_warn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A warn expectation keeps every row, failing or not."""
+    dirty = testdata.dirty_transactions(_events(spark, sf_dir))
+    warn_only = [e for e in silver.TRANSACTION_EXPECTATIONS if e.action == "warn"]
+    return wall_clock(apply_expectations(dirty, warn_only))
+
+
+@query("expectation_metrics")
+def expectation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failure count of every expectation over all input rows."""
+    dirty = testdata.dirty_transactions(_events(spark, sf_dir))
+    return expectation_report(dirty, silver.TRANSACTION_EXPECTATIONS)
+
+
+# -- customers -------------------------------------------------------------------
+
+@query("bronze_customers")
+def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed 22-column customer master."""
+    raw = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
+                             testdata.read_table(spark, sf_dir, "nation"))
+    return wall_clock(bronze.bronze_customers(raw).drop(*PROCESSING_TIME))
+
+
+@query("silver_customers")
+def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze customer table read as a stream, checked, open date parsed."""
+    run = new_run(spark, "silver_customers")
+    raw = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
+                             testdata.read_table(spark, sf_dir, "nation"))
+    bronze.bronze_customers(raw).write.parquet(run.table("bronze_customers"))
+    stream = files.table_stream(spark, run.table("bronze_customers"))
+    return _stream_result(spark, "silver_customers", silver.silver_customers(stream), run=run)
+
+
+# -- gold: stream-static join ----------------------------------------------------------
+
+@query("stream_static_join")
+def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction stream joined with the customer snapshot."""
+    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    joined = gold.with_customers(tx, _customers(spark, sf_dir), ["transaction_id"])
+    return _stream_result(spark, "stream_static_join", joined.select(
+        "transaction_id", "customer_id", "amount", "transaction_limit", "customer_email",
+        "customer_name"))
+
+
+@query("high_value_transactions")
+def high_value_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts for transactions above the customer's own limit."""
+    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    return _stream_result(spark, "high_value_transactions",
+                          gold.high_value_transactions(tx, _customers(spark, sf_dir)))
+
+
+# -- watchlist ---------------------------------------------------------------------------
+
+@query("bronze_watchlist")
+def bronze_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watchlist JSON files landed as they are (file path left out)."""
+    run = new_run(spark, "bronze_watchlist")
+    folder = _stage_watchlist(spark, sf_dir, run)
+    stream = bronze.bronze_watchlist(files.watchlist_stream(spark, folder))
+    return _stream_result(spark, "bronze_watchlist", stream, run=run, drop=("source_file",))
+
+
+@query("source_file_lineage")
+def source_file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze watchlist rows with the file each came from."""
+    run = new_run(spark, "source_file_lineage")
+    folder = _stage_watchlist(spark, sf_dir, run)
+    stream = bronze.bronze_watchlist(files.watchlist_stream(spark, folder))
+    return _stream_result(spark, "source_file_lineage", stream, run=run)
+
+
+@query("silver_watchlist")
+def silver_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upper-cased codes, ``effective_from`` parsed to a timestamp."""
+    run = new_run(spark, "silver_watchlist")
+    stream = _silver_watchlist_stream(spark, _stage_watchlist(spark, sf_dir, run))
+    return _stream_result(spark, "silver_watchlist", stream, run=run, drop=("source_file",))
+
+
+# -- gold: stream-stream join ----------------------------------------------------------------
+
+@query("stream_stream_join")
+def stream_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction stream matched with the watchlist stream by card number."""
+    run = new_run(spark, "stream_stream_join")
+    wl = _silver_watchlist_stream(spark, _stage_watchlist(spark, sf_dir, run))
+    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    matches = gold.watchlist_matches(tx, wl).select(
+        "transaction_id", "card_number", "transaction_timestamp", "watchlist_id",
+        "effective_from")
+    return _stream_result(spark, "stream_stream_join", matches, run=run)
+
+
+@query("fraud_transactions")
+def fraud_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watchlist matches of known customers, as fraud alerts."""
+    run = new_run(spark, "fraud_transactions")
+    wl = _silver_watchlist_stream(spark, _stage_watchlist(spark, sf_dir, run))
+    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    alerts = gold.fraud_transactions(tx, wl, _customers(spark, sf_dir))
+    return _stream_result(spark, "fraud_transactions", alerts, run=run)
+
+
+@query("alert_id")
+def alert_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fraud alert ids and customer names (batch)."""
+    events = _events(spark, sf_dir)
+    wl = silver.silver_watchlist(testdata.watchlist_records(events))
+    alerts = gold.fraud_transactions(testdata.transactions(events), wl, _customers(spark, sf_dir))
+    return alerts.select("transaction_id", "watchlist_id", "alert_id", "customer_name")

@@ -7,6 +7,10 @@ Column names are the same as the Spark results.
 
 from __future__ import annotations
 
+from ..schemas import TRANSACTION_PAYLOAD
+
+PAYLOAD = [f.name for f in TRANSACTION_PAYLOAD.fields]
+
 # Event-time boundary of a run over the whole table: Spark keeps the
 # maximum event time in milliseconds and the watermark is that minus the
 # 5-minute delay.  A window is emitted once its end is at or before it.
@@ -28,9 +32,189 @@ FROM events, range(5) AS r(i)
 GROUP BY 1, 2
 """
 
+
+def _tx_columns(customer_id: str = "CAST(user_id AS VARCHAR)", amount: str = "value") -> str:
+    return f"""
+        'T' || event_id AS transaction_id,
+        {customer_id} AS customer_id,
+        '4' || lpad(CAST(user_id AS VARCHAR), 15, '0') AS card_number,
+        'M' || k AS merchant_id,
+        'Merchant ' || k AS merchant_name,
+        CASE k % 4 WHEN 0 THEN 'grocery' WHEN 1 THEN 'electronics' WHEN 2 THEN 'travel'
+                   ELSE 'dining' END AS merchant_category,
+        {amount} AS amount,
+        'USD' AS currency,
+        event_type AS transaction_type,
+        CASE WHEN k % 2 = 0 THEN 'online' ELSE 'pos' END AS payment_channel,
+        'DEV' || user_id AS device_id,
+        'City ' || (user_id % 12) AS city,
+        CASE WHEN k >= 90 THEN 'GB' ELSE 'US' END AS country,
+        ts AS transaction_timestamp,
+        k >= 90 AS is_international,
+        CASE WHEN event_type = 'error' THEN 'declined' ELSE 'approved' END AS status,
+        event_id, ts"""
+
+
+EVENTS_K = "(SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"
+
+TX = f"tx AS (SELECT {_tx_columns()} FROM {EVENTS_K})"
+DIRTY_TX = f"""dtx AS (SELECT {_tx_columns(
+    "CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END",
+    "CASE WHEN event_id % 11 = 0 THEN -value ELSE value END")} FROM {EVENTS_K})"""
+
+BRONZE_CUSTOMERS_COLUMNS = """
+        CAST(c_custkey AS VARCHAR) AS customer_id,
+        split_part(c_name, '#', 1) AS first_name,
+        split_part(c_name, '#', 2) AS last_name,
+        CASE c_custkey % 3 WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' ELSE 'Other' END AS gender,
+        CAST(18 + c_custkey % 58 AS INTEGER) AS age,
+        'City ' || (c_custkey % 12) AS city,
+        'State ' || n_regionkey AS state,
+        n_name AS country,
+        CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 12 AS DECIMAL(18,2)) AS annual_income,
+        c_mktsegment AS customer_segment,
+        CASE WHEN c_custkey % 101 = 100 THEN '2020-02-30'
+             ELSE strftime(DATE '2015-01-01' + CAST(c_custkey % 3650 AS INTEGER), '%Y-%m-%d')
+        END AS account_open_date,
+        CAST(c_custkey % 100 AS INTEGER) AS risk_score,
+        CAST((c_custkey % 50) * 100 AS DECIMAL(18,2)) AS preferred_spending_min,
+        CAST((c_custkey % 50) * 100 + 5000 AS DECIMAL(18,2)) AS preferred_spending_max,
+        'City ' || (c_custkey % 12) AS preferred_city,
+        n_name AS preferred_country,
+        'DEV' || c_custkey AS trusted_device_id,
+        '4' || lpad(CAST(c_custkey AS VARCHAR), 15, '0') AS card_number,
+        CASE c_custkey % 4 WHEN 0 THEN 'Visa' WHEN 1 THEN 'Mastercard' WHEN 2 THEN 'Amex'
+                           ELSE 'RuPay' END AS card_type,
+        lower(replace(c_name, '#', '.') || '@example.com') AS email,
+        CAST(c_acctbal AS DECIMAL(18,2)) AS transaction_limit,
+        TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c_custkey) AS update_timestamp"""
+
+BRONZE_CUST = f"""bcust AS (SELECT {BRONZE_CUSTOMERS_COLUMNS}
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
+CUST = f"""{BRONZE_CUST},
+cust AS (SELECT * REPLACE (CAST(try_strptime(account_open_date, '%Y-%m-%d') AS DATE)
+                           AS account_open_date)
+         FROM bcust WHERE customer_id IS NOT NULL)"""
+
+
+def _watchlist(raw: bool) -> str:
+    risk = "CASE WHEN value > 400 THEN 'high' WHEN value > 250 THEN 'medium' ELSE 'low' END"
+    action = "CASE WHEN value > 400 THEN 'block' WHEN value > 250 THEN 'review' ELSE 'monitor' END"
+    if not raw:
+        risk, action = f"upper({risk})", f"upper({action})"
+    effective = ("strftime(ts, '%d-%b-%Y %H:%M:%S')" if raw else "date_trunc('second', ts)")
+    return f"""
+        printf('WL%06d', event_id) AS watchlist_id,
+        '4' || lpad(CAST(user_id AS VARCHAR), 15, '0') AS entity_id,
+        'CARD' AS watch_type,
+        {risk} AS risk_level,
+        {action} AS action,
+        'R' || (event_id % 5) AS reason_code,
+        'large error event' AS reason_description,
+        {effective} AS effective_from,
+        'monitoring' AS reported_by,
+        'events' AS reported_source,
+        'City ' || (user_id % 12) AS city,
+        'US' AS country
+    FROM events WHERE event_type = 'error' AND value > 150"""
+
+
+WL_RAW = f"wlraw AS (SELECT {_watchlist(True)})"
+WL = f"wl AS (SELECT {_watchlist(False)})"
+
+LINEAGE = ("'transactions' AS kafka_topic, 0 AS kafka_partition, event_id AS kafka_offset, "
+           "ts AS kafka_timestamp")
+
+JSON_VALUE = "to_json({" + ", ".join(
+    f"'{c}': " + ("strftime(ts, '%Y-%m-%d %H:%M:%S.%f')" if c == "transaction_timestamp" else c)
+    for c in PAYLOAD) + "})::VARCHAR"
+
+# json_parse: every 13th value is not JSON (all fields NULL), the next one
+# has the amount as a quoted string (amount NULL).
+JSON_PARSE = f"""WITH {TX}
+SELECT {", ".join(
+    f"CASE WHEN event_id % 13 = 0 THEN NULL ELSE {c} END AS {c}" if c != "amount" else
+    "CASE WHEN event_id % 13 IN (0, 1) THEN NULL ELSE amount END AS amount" for c in PAYLOAD)},
+       {LINEAGE}
+FROM tx"""
+
+HIGH_VALUE_SELECT = """
+SELECT 'ALERT-' || t.transaction_id AS alert_id,
+       'HIGH_VALUE_TRANSACTION' AS alert_type,
+       t.transaction_id, t.customer_id,
+       c.email AS customer_email,
+       concat_ws(' ', c.first_name, c.last_name) AS customer_name,
+       t.amount AS transaction_amount, c.transaction_limit, t.currency, t.merchant_name,
+       t.merchant_category, t.transaction_type, t.payment_channel, t.city, t.country,
+       t.is_international, t.transaction_timestamp, t.status
+FROM tx t JOIN cust c ON t.customer_id = c.customer_id
+WHERE t.amount > CAST(c.transaction_limit AS DOUBLE)"""
+
+FRAUD_SELECT = """
+SELECT concat_ws('-', 'FRAUD', t.transaction_id, w.watchlist_id) AS alert_id,
+       'FRAUD_WATCHLIST_MATCH' AS alert_type,
+       t.transaction_id, t.customer_id,
+       c.email AS customer_email,
+       concat_ws(' ', c.first_name, c.last_name) AS customer_name,
+       t.card_number, t.amount, t.currency, t.merchant_id, t.merchant_name,
+       t.merchant_category, t.transaction_type, t.payment_channel, t.device_id,
+       t.city AS transaction_city, t.country AS transaction_country,
+       t.transaction_timestamp, t.is_international, t.status AS transaction_status,
+       w.watchlist_id, w.watch_type, w.risk_level, w.action, w.reason_code,
+       w.reason_description, w.effective_from AS watchlist_effective_from,
+       w.reported_by, w.reported_source, w.city AS watchlist_city,
+       w.country AS watchlist_country
+FROM tx t
+JOIN wl w ON t.card_number = w.entity_id
+JOIN cust c ON t.customer_id = c.customer_id"""
+
+EXPECTATIONS = [
+    ("valid_transaction_id", "drop", "transaction_id IS NOT NULL"),
+    ("valid_customer_id", "drop", "customer_id IS NOT NULL"),
+    ("valid_card_number", "drop", "card_number IS NOT NULL"),
+    ("valid_merchant_id", "drop", "merchant_id IS NOT NULL"),
+    ("valid_amount", "warn", "amount > 0"),
+]
+TX_OUT = ", ".join(PAYLOAD)
+
 ORACLE: dict[str, str] = {
     "tumbling_count": f"SELECT * FROM ({TUMBLING}) WHERE window_end <= {WATERMARK}",
     "sliding_count": f"SELECT * FROM ({SLIDING}) WHERE window_end <= {WATERMARK}",
     "tumbling_count_batch": TUMBLING,
     "sliding_count_batch": SLIDING,
+    "bronze_transactions": f"""WITH {TX}
+        SELECT CAST(transaction_id AS VARCHAR) AS key, {JSON_VALUE} AS value,
+               'transactions' AS topic, 0 AS "partition", event_id AS "offset",
+               ts AS "timestamp", 0 AS "timestampType"
+        FROM tx""",
+    "silver_transactions": f"WITH {TX} SELECT {TX_OUT}, {LINEAGE} FROM tx",
+    "json_parse": JSON_PARSE,
+    "expect_or_drop": f"""WITH {DIRTY_TX} SELECT {TX_OUT} FROM dtx
+        WHERE {" AND ".join(p for _, a, p in EXPECTATIONS if a == "drop")}""",
+    "expect_warn": f"WITH {DIRTY_TX} SELECT {TX_OUT} FROM dtx",
+    "expectation_metrics": f"WITH {DIRTY_TX} " + " UNION ALL ".join(
+        f"SELECT '{n}' AS expectation, '{a}' AS action, "
+        f"count(*) FILTER (WHERE NOT coalesce({p}, false))::BIGINT AS failed_rows, "
+        f"count(*)::BIGINT AS total_rows FROM dtx" for n, a, p in EXPECTATIONS),
+    "bronze_customers": f"WITH {BRONZE_CUST} SELECT * FROM bcust",
+    "silver_customers": f"WITH {CUST} SELECT * FROM cust",
+    "stream_static_join": f"""WITH {TX}, {CUST}
+        SELECT t.transaction_id, t.customer_id, t.amount, c.transaction_limit,
+               c.email AS customer_email,
+               concat_ws(' ', c.first_name, c.last_name) AS customer_name
+        FROM tx t JOIN cust c ON t.customer_id = c.customer_id""",
+    "high_value_transactions": f"WITH {TX}, {CUST} {HIGH_VALUE_SELECT}",
+    "alert_id": f"""WITH {TX}, {WL}, {CUST}
+        SELECT t.transaction_id, w.watchlist_id,
+               concat_ws('-', 'FRAUD', t.transaction_id, w.watchlist_id) AS alert_id,
+               concat_ws(' ', c.first_name, c.last_name) AS customer_name
+        FROM tx t JOIN wl w ON t.card_number = w.entity_id
+        JOIN cust c ON t.customer_id = c.customer_id""",
+    "bronze_watchlist": f"WITH {WL_RAW} SELECT * FROM wlraw",
+    "silver_watchlist": f"WITH {WL} SELECT * FROM wl",
+    "stream_stream_join": f"""WITH {TX}, {WL}
+        SELECT t.transaction_id, t.card_number, t.transaction_timestamp, w.watchlist_id,
+               w.effective_from
+        FROM tx t JOIN wl w ON t.card_number = w.entity_id""",
+    "fraud_transactions": f"WITH {TX}, {WL}, {CUST} {FRAUD_SELECT}",
 }
