@@ -70,29 +70,32 @@ def repeat_per_salt(df: DataFrame, buckets: int) -> DataFrame:
     return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
 
 
-def _condition(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> Column:
+def _condition(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
+               null_safe: bool = False) -> Column:
     cond = None
     for a, b in on:
-        c = left[a] == right[b]
+        c = left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b]
         cond = c if cond is None else cond & c
     return cond
 
 
 def salted_join(large: DataFrame, small: DataFrame, on: list[tuple[str, str]],
                 identity: list[str | Column], buckets: int = DEFAULT_SALT_BUCKETS,
-                how: str = "inner", extra: Column | None = None) -> DataFrame:
+                how: str = "inner", extra: Column | None = None,
+                null_safe: bool = False) -> DataFrame:
     """Shuffle join with the large side salted and the small side repeated.
 
     ``on`` pairs a column of ``large`` with one of ``small``; the two sides
     should not share other column names.  ``extra`` is a further condition
-    (e.g. a time range) by column name.  Works for streams on either side.
+    (e.g. a time range) by column name; ``null_safe`` matches NULL keys with
+    each other.  Works for streams on either side.
     """
     if buckets <= 1:
-        cond = _condition(large, small, on)
+        cond = _condition(large, small, on, null_safe)
         return large.join(small, cond if extra is None else cond & extra, how)
     salted_large = large.withColumn(SALT, salt_of(identity, buckets))
     repeated_small = repeat_per_salt(small, buckets).withColumnRenamed(SALT, "_small_salt")
-    cond = _condition(salted_large, repeated_small, on) & (
+    cond = _condition(salted_large, repeated_small, on, null_safe) & (
         salted_large[SALT] == repeated_small["_small_salt"])
     if extra is not None:
         cond = cond & extra
@@ -102,7 +105,8 @@ def salted_join(large: DataFrame, small: DataFrame, on: list[tuple[str, str]],
 def join_dimension(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
                    identity: list[str | Column], *,
                    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                   salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                   null_safe: bool = False) -> DataFrame:
     """Inner join of facts (batch or stream) with a static dimension.
 
     Broadcast when the dimension passes the size check, salted shuffle join
@@ -110,5 +114,5 @@ def join_dimension(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
     check and the broadcast both see only those.
     """
     if fits_broadcast(dim, broadcast_bytes):
-        return facts.join(F.broadcast(dim), _condition(facts, dim, on), "inner")
-    return salted_join(facts, dim, on, identity, salt_buckets)
+        return facts.join(F.broadcast(dim), _condition(facts, dim, on, null_safe), "inner")
+    return salted_join(facts, dim, on, identity, salt_buckets, null_safe=null_safe)

@@ -14,12 +14,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import RunFolder, new_run
 from ..functions.expressions import wall_clock
-from ..operators import bronze, gold, silver
+from ..operators import alerts, bronze, feed, gold, silver
 from ..operators.quality import apply_expectations, expectation_report
 from ..sources import files, testdata
+from ..streaming import pipeline
 from ..streaming.runner import run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,3 +250,88 @@ def alert_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     wl = silver.silver_watchlist(testdata.watchlist_records(events))
     alerts = gold.fraud_transactions(testdata.transactions(events), wl, _customers(spark, sf_dir))
     return alerts.select("transaction_id", "watchlist_id", "alert_id", "customer_name")
+
+
+# -- alerts --------------------------------------------------------------------------------
+
+def _batch_alerts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """High-value and fraud alerts computed on batch frames."""
+    events = _events(spark, sf_dir)
+    tx = testdata.transactions(events)
+    customers = _customers(spark, sf_dir)
+    wl = silver.silver_watchlist(testdata.watchlist_records(events))
+    return (gold.high_value_transactions(tx, customers),
+            gold.fraud_transactions(tx, wl, customers))
+
+
+@query("alert_message_high_value")
+def alert_message_high_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rendered message per high-value alert."""
+    high_value, _ = _batch_alerts(spark, sf_dir)
+    return alerts.high_value_messages(high_value)
+
+
+@query("alert_digest")
+def alert_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fraud alerts as per-customer digests of at most ~100 alerts each."""
+    _, fraud = _batch_alerts(spark, sf_dir)
+    return alerts.fraud_digests(fraud)
+
+
+def _pipeline_run(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Layout:
+    """The whole medallion pipeline once over the test tables."""
+    run = new_run(spark, name)
+    layout = pipeline.Layout(run.table("pipeline"))
+    customers = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
+                                   testdata.read_table(spark, sf_dir, "nation"))
+    pipeline.run_once(spark, layout,
+                      envelope=testdata.kafka_envelope(testdata.events_stream(spark, sf_dir)),
+                      watchlist_folder=_stage_watchlist(spark, sf_dir, run),
+                      customers=customers)
+    return layout
+
+
+@query("alert_outbox")
+def alert_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outbox after a full pipeline run: both flows, batch id left out."""
+    layout = _pipeline_run(spark, sf_dir, "alert_outbox")
+    return spark.read.parquet(layout.outbox).drop("batch_id")
+
+
+@query("outbox_batch_summary")
+def outbox_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and alerts per flow and batch after a pipeline run."""
+    layout = _pipeline_run(spark, sf_dir, "outbox_batch_summary")
+    return alerts.outbox_summary(spark.read.parquet(layout.outbox)).drop("batch_id")
+
+
+# -- watchlist feed ------------------------------------------------------------------------
+
+# Records with an event time before this are taken as already delivered.
+DELIVERED_BEFORE = "2024-01-16 00:00:00"
+
+
+def _stage_feed(spark: SparkSession, sf_dir: str, run) -> tuple[str, str]:
+    """Feed CSV of every watchlist record; drop folder with the first half."""
+    events = _events(spark, sf_dir)
+    csv_path, folder = run.staging("feed_csv"), run.staging("watchlist_drop")
+    testdata.watchlist_records(events).write.option("header", True).csv(csv_path)
+    testdata.watchlist_records(events.filter(F.col("ts") < F.lit(DELIVERED_BEFORE)
+                                             .cast("timestamp_ntz"))).write.json(folder)
+    return csv_path, folder
+
+
+@query("watchlist_high_water_mark")
+def watchlist_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Highest delivered watchlist id number, and its id."""
+    run = new_run(spark, "watchlist_high_water_mark")
+    _, folder = _stage_feed(spark, sf_dir, run)
+    return feed.high_water_mark(feed.delivered_records(spark, folder))
+
+
+@query("watchlist_new_records")
+def watchlist_new_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed records after the high-water mark, appended to the drop folder."""
+    run = new_run(spark, "watchlist_new_records")
+    csv_path, folder = _stage_feed(spark, sf_dir, run)
+    return feed.deliver(spark, csv_path, folder)

@@ -7,6 +7,7 @@ Column names are the same as the Spark results.
 
 from __future__ import annotations
 
+from ..operators import alerts as A
 from ..schemas import TRANSACTION_PAYLOAD
 
 PAYLOAD = [f.name for f in TRANSACTION_PAYLOAD.fields]
@@ -177,6 +178,86 @@ EXPECTATIONS = [
 ]
 TX_OUT = ", ".join(PAYLOAD)
 
+
+
+def _h(expr: str) -> str:
+    """HTML-escaped text, NULL as empty (as ``html_text``)."""
+    return ("coalesce(replace(replace(replace(replace(CAST(" + expr +
+            " AS VARCHAR), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '')")
+
+
+def _money(expr: str) -> str:
+    return f"format('{{:,.2f}}', {expr})"
+
+
+def _when(expr: str) -> str:
+    return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_HV_VALUES = [
+    _h("transaction_id"),
+    f"{_h('currency')} || ' ' || {_h(_money('transaction_amount'))}",
+    f"{_h('currency')} || ' ' || {_h(_money('transaction_limit'))}",
+    _h("merchant_name"), _h("merchant_category"), _h("transaction_type"),
+    _h("payment_channel"), f"{_h('city')} || ', ' || {_h('country')}",
+    "CASE WHEN is_international THEN 'Yes' ELSE 'No' END",
+    _h(_when("transaction_timestamp")), _h("status"),
+]
+HIGH_VALUE_MESSAGES = f"""
+SELECT customer_email AS recipient, customer_name AS recipient_name,
+       {_q(A.HIGH_VALUE_SUBJECT)} || coalesce(transaction_id, '') AS subject,
+       '<p>Dear ' || {_h('customer_name')} || ',</p><p>' || {_q(A.HIGH_VALUE_INTRO)}
+       || '</p><table>' || {" || ".join(
+           f"'<tr><td>{label}:</td><td>' || {value} || '</td></tr>'"
+           for label, value in zip(A.HIGH_VALUE_FIELDS, _HV_VALUES))}
+       || '</table><p>Alert ID: ' || {_h('alert_id')} || '</p>' AS body,
+       1::BIGINT AS alert_count
+FROM hv"""
+
+_FRAUD_CELLS = [
+    _h("transaction_id"), f"{_h(_money('amount'))} || ' ' || {_h('currency')}",
+    _h("merchant_name"), _h("transaction_type"),
+    f"{_h('transaction_city')} || ', ' || {_h('transaction_country')}",
+    _h(_when("transaction_timestamp")), _h("alert_type"), _h("risk_level"), _h("action"),
+    _h("reason_description"),
+]
+_HEADER = "".join(f"<th>{c}</th>" for c in A.FRAUD_COLUMNS)
+FRAUD_DIGESTS = f"""
+rows_ AS (
+    SELECT customer_email, customer_name, alert_id,
+           '<tr>' || {" || ".join(f"'<td>' || {c} || '</td>'" for c in _FRAUD_CELLS)} || '</tr>'
+           AS row_html
+    FROM fa),
+sized AS (
+    SELECT *, CAST(ceil(count(*) OVER (PARTITION BY customer_email, customer_name)
+                        / {float(A.DIGEST_PAGE_SIZE)}) AS BIGINT) AS pages
+    FROM rows_),
+paged AS (
+    SELECT *, ('0x' || substr(md5(alert_id), 1, 8))::BIGINT % pages AS page FROM sized),
+digests AS (
+    SELECT customer_email AS recipient, customer_name AS recipient_name,
+           {_q(A.FRAUD_SUBJECT)} || count(*) || {_q(A.FRAUD_SUBJECT_END)} AS subject,
+           '<p>Dear ' || {_h('customer_name')} || ',</p>'
+           || CASE WHEN pages > 1 THEN '<p>Part ' || (page + 1) || ' of ' || pages || '</p>'
+                   ELSE '' END
+           || '<p>' || {_q(A.FRAUD_INTRO)} || '</p><table><thead><tr>{_HEADER}</tr></thead><tbody>'
+           || string_agg(row_html, '' ORDER BY alert_id) || '</tbody></table>' AS body,
+           count(*)::BIGINT AS alert_count
+    FROM paged GROUP BY customer_email, customer_name, page, pages)"""
+
+ALERT_CTES = f"{TX}, {WL}, {CUST}, hv AS ({HIGH_VALUE_SELECT}), fa AS ({FRAUD_SELECT})"
+OUTBOX = f"""WITH {ALERT_CTES}, hvm AS ({HIGH_VALUE_MESSAGES}), {FRAUD_DIGESTS}
+SELECT '{A.HIGH_VALUE_FLOW}' AS flow, * FROM hvm
+UNION ALL
+SELECT '{A.FRAUD_FLOW}' AS flow, * FROM digests"""
+
+DELIVERED = "(SELECT max(event_id) FROM events WHERE event_type = 'error' AND value > 150 " \
+            "AND ts < TIMESTAMP '2024-01-16 00:00:00')"
+
 ORACLE: dict[str, str] = {
     "tumbling_count": f"SELECT * FROM ({TUMBLING}) WHERE window_end <= {WATERMARK}",
     "sliding_count": f"SELECT * FROM ({SLIDING}) WHERE window_end <= {WATERMARK}",
@@ -217,4 +298,13 @@ ORACLE: dict[str, str] = {
                w.effective_from
         FROM tx t JOIN wl w ON t.card_number = w.entity_id""",
     "fraud_transactions": f"WITH {TX}, {WL}, {CUST} {FRAUD_SELECT}",
+    "alert_message_high_value": f"WITH {ALERT_CTES} {HIGH_VALUE_MESSAGES}",
+    "alert_digest": f"WITH {ALERT_CTES}, {FRAUD_DIGESTS} SELECT * FROM digests",
+    "alert_outbox": OUTBOX,
+    "outbox_batch_summary": f"""SELECT flow, count(*)::BIGINT AS messages,
+        sum(alert_count)::BIGINT AS alerts FROM ({OUTBOX}) GROUP BY flow""",
+    "watchlist_high_water_mark": f"""SELECT {DELIVERED} AS max_id_num,
+        printf('WL%06d', {DELIVERED}) AS latest_watchlist_id""",
+    "watchlist_new_records": f"""WITH {WL_RAW} SELECT * FROM wlraw
+        WHERE CAST(substr(watchlist_id, 3) AS BIGINT) > {DELIVERED}""",
 }
