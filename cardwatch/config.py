@@ -25,21 +25,35 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Windowed counts and the watchlist match keep state per partition;
-    # the partition count is fixed by the first run of a checkpoint.
+}
+
+# Streaming settings for a cluster.  The windowed counts and, above all,
+# the watchlist match keep state that grows with the data (the match keeps
+# every transaction for ever, as the original does).  RocksDB keeps it off
+# the JVM heap and checkpoints only the changes of each micro-batch.  The
+# provider, and the number of state partitions (``spark.sql.shuffle.
+# partitions`` when a checkpoint is first created), are fixed for the life
+# of a checkpoint, so set them before the first run.  Local test sessions
+# keep the default in-memory provider: their state is a few MB.
+CLUSTER_STREAMING = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
 }
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "cardwatch") -> SparkSession:
-    """A local session for tests and the bench (not used on a cluster)."""
+                  app_name: str = "cardwatch", rocksdb: bool = False) -> SparkSession:
+    """A local session for tests and the bench (not used on a cluster).
+
+    ``rocksdb`` switches on the cluster state-store settings.
+    """
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
-    for key, value in LOCAL_DEFAULTS.items():
+    settings = {**LOCAL_DEFAULTS, **(CLUSTER_STREAMING if rocksdb else {})}
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -109,10 +109,12 @@ def watchlist_matches(tx: DataFrame, watchlist: DataFrame, *,
 
     Both sides carry a watermark.  By default there is no time condition,
     as in the original: an entry matches earlier and later transactions
-    alike, and the join keeps its state for ever.  ``max_match_age`` (e.g.
-    ``"30 days"``) adds ``effective_from <= transaction_timestamp <=
-    effective_from + age``, which lets Spark evict state; it changes the
-    result and is opt-in.
+    alike, and the join keeps its state for ever; with no time condition
+    Spark has no state watermark either, so it drops no late rows (a
+    back-dated entry still matches).  ``max_match_age`` (e.g. ``"30
+    days"``) adds ``effective_from <= transaction_timestamp <=
+    effective_from + age``, which lets Spark evict state and drop rows that
+    arrive after the watermark; it changes the result and is opt-in.
 
     The transaction side is salted by a hash of ``transaction_id`` and the
     watchlist side repeated per salt, so one busy card is spread over

@@ -49,6 +49,12 @@ def _stream_result(spark: SparkSession, name: str, df: DataFrame, *,
     return wall_clock(out.drop(*PROCESSING_TIME, *drop))
 
 
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a stream spread over all cores, like a partitioned topic."""
+    return testdata.events_stream(spark, sf_dir,
+                                  partitions=spark.sparkContext.defaultParallelism)
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.read_table(spark, sf_dir, "events")
 
@@ -76,14 +82,14 @@ def _silver_watchlist_stream(spark: SparkSession, folder: str) -> DataFrame:
 @query("tumbling_count")
 def tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-minute counts of a transaction stream; closed windows only."""
-    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    tx = testdata.transactions(_events_stream(spark, sf_dir))
     return _stream_result(spark, "tumbling_count", gold.transaction_counts(tx))
 
 
 @query("sliding_count")
 def sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-minute windows every minute over a transaction stream; closed only."""
-    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    tx = testdata.transactions(_events_stream(spark, sf_dir))
     return _stream_result(spark, "sliding_count", gold.sliding_transaction_counts(tx))
 
 
@@ -106,14 +112,14 @@ def sliding_count_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bronze_transactions")
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped stream landed with key and value as text."""
-    envelope = testdata.kafka_envelope(testdata.events_stream(spark, sf_dir))
+    envelope = testdata.kafka_envelope(_events_stream(spark, sf_dir))
     return _stream_result(spark, "bronze_transactions", bronze.bronze_transactions(envelope))
 
 
 @query("silver_transactions")
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze stream parsed, flattened and checked by the expectations."""
-    envelope = testdata.kafka_envelope(testdata.events_stream(spark, sf_dir))
+    envelope = testdata.kafka_envelope(_events_stream(spark, sf_dir))
     return _stream_result(spark, "silver_transactions",
                           silver.silver_transactions(bronze.bronze_transactions(envelope)))
 
@@ -176,7 +182,7 @@ def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_static_join")
 def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transaction stream joined with the customer snapshot."""
-    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    tx = testdata.transactions(_events_stream(spark, sf_dir))
     joined = gold.with_customers(tx, _customers(spark, sf_dir), ["transaction_id"])
     return _stream_result(spark, "stream_static_join", joined.select(
         "transaction_id", "customer_id", "amount", "transaction_limit", "customer_email",
@@ -186,7 +192,7 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("high_value_transactions")
 def high_value_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts for transactions above the customer's own limit."""
-    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    tx = testdata.transactions(_events_stream(spark, sf_dir))
     return _stream_result(spark, "high_value_transactions",
                           gold.high_value_transactions(tx, _customers(spark, sf_dir)))
 
@@ -226,7 +232,7 @@ def stream_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transaction stream matched with the watchlist stream by card number."""
     run = new_run(spark, "stream_stream_join")
     wl = _silver_watchlist_stream(spark, _stage_watchlist(spark, sf_dir, run))
-    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    tx = testdata.transactions(_events_stream(spark, sf_dir))
     matches = gold.watchlist_matches(tx, wl).select(
         "transaction_id", "card_number", "transaction_timestamp", "watchlist_id",
         "effective_from")
@@ -238,7 +244,7 @@ def fraud_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watchlist matches of known customers, as fraud alerts."""
     run = new_run(spark, "fraud_transactions")
     wl = _silver_watchlist_stream(spark, _stage_watchlist(spark, sf_dir, run))
-    tx = testdata.transactions(testdata.events_stream(spark, sf_dir))
+    tx = testdata.transactions(_events_stream(spark, sf_dir))
     alerts = gold.fraud_transactions(tx, wl, _customers(spark, sf_dir))
     return _stream_result(spark, "fraud_transactions", alerts, run=run)
 
@@ -285,7 +291,7 @@ def _pipeline_run(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Layou
     customers = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
                                    testdata.read_table(spark, sf_dir, "nation"))
     pipeline.run_once(spark, layout,
-                      envelope=testdata.kafka_envelope(testdata.events_stream(spark, sf_dir)),
+                      envelope=testdata.kafka_envelope(_events_stream(spark, sf_dir)),
                       watchlist_folder=_stage_watchlist(spark, sf_dir, run),
                       customers=customers)
     return layout

@@ -15,6 +15,7 @@ from ..schemas import KAFKA_ENVELOPE
 def kafka_options(bootstrap_servers: str, topic: str, *, api_key: str | None = None,
                   api_secret: str | None = None, starting_offsets: str = "earliest",
                   max_offsets_per_trigger: int | None = None,
+                  min_partitions: int | None = None,
                   login_module: str = "org.apache.kafka.common.security.plain.PlainLoginModule",
                   ) -> dict[str, str]:
     """Reader options for a topic, SASL_SSL/PLAIN when credentials are given.
@@ -39,6 +40,9 @@ def kafka_options(bootstrap_servers: str, topic: str, *, api_key: str | None = N
         })
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        # split large topic partitions so a micro-batch uses every core
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
@@ -47,10 +51,15 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def replay_envelope(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None
-                    ) -> DataFrame:
-    """Kafka-shaped rows replayed from parquet files (tests, backfills)."""
+def replay_envelope(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None,
+                    partitions: int | None = None) -> DataFrame:
+    """Kafka-shaped rows replayed from parquet files (tests, backfills).
+
+    ``partitions`` plays the role of the Kafka source's ``minPartitions``:
+    a micro-batch read from few files is spread over that many tasks.
+    """
     reader = spark.readStream.schema(KAFKA_ENVELOPE)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    stream = reader.parquet(path)
+    return stream.repartition(partitions) if partitions else stream

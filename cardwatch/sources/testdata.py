@@ -29,14 +29,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str, *, max_files_per_trigger: int | None = None
-                  ) -> DataFrame:
-    """The ``events`` table of a scale-factor folder, read as a file stream."""
+def events_stream(spark: SparkSession, sf_dir: str, *, max_files_per_trigger: int | None = None,
+                  partitions: int | None = None) -> DataFrame:
+    """The ``events`` table of a scale-factor folder, read as a file stream.
+
+    ``partitions`` spreads each micro-batch over that many tasks, as the
+    partitions of a Kafka topic would (a file with one row group is
+    otherwise read by a single task).
+    """
     reader = (spark.readStream.schema(EVENTS)
               .option("pathGlobFilter", "events.parquet"))
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    stream = reader.parquet(sf_dir)
+    return stream.repartition(partitions) if partitions else stream
 
 
 def card_number(user_id: Column) -> Column:

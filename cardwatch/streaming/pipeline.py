@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from ..operators import alerts, bronze, gold, silver
 from ..operators.dedup import latest_per_key
 from ..sources.files import table_snapshot, table_stream, watchlist_stream
-from .runner import run_foreach_batch, run_to_table
+from pyspark.sql.streaming import StreamingQuery
+
+from .runner import finish, start_foreach_batch, start_to_table
 
 
 @dataclass(frozen=True)
@@ -45,15 +47,20 @@ class Layout:
         return self.table("alerts", "outbox")
 
 
-def _run(df: DataFrame, layout: Layout, layer: str, name: str, **options) -> list:
-    return run_to_table(df, layout.table(layer, name), layout.checkpoint(layer, name),
-                        query_name=f"{layer}_{name}", **options)
+def _start(df: DataFrame, layout: Layout, layer: str, name: str) -> StreamingQuery:
+    return start_to_table(df, layout.table(layer, name), layout.checkpoint(layer, name),
+                          query_name=f"{layer}_{name}")
 
 
 def _stream(spark: SparkSession, layout: Layout, layer: str, name: str) -> DataFrame:
     return table_stream(spark, layout.table(layer, name))
 
 
+def await_all(queries: dict[str, StreamingQuery]) -> dict[str, list]:
+    """Wait for queries started together; their progress reports by name."""
+    return {name: finish(q) for name, q in queries.items()}
+
+
 def record_quality(spark: SparkSession, layout: Layout, table: str, progress: list,
                    observation: str) -> None:
     """Append one row per expectation and micro-batch to ``quality/expectations``."""
@@ -71,30 +78,28 @@ def record_quality(spark: SparkSession, layout: Layout, table: str, progress: li
          .write.mode("append").parquet(layout.table("quality", "expectations")))
 
 
-def land_transactions(spark: SparkSession, layout: Layout, envelope: DataFrame) -> list:
+def land_transactions(spark: SparkSession, layout: Layout, envelope: DataFrame) -> StreamingQuery:
     """Kafka (or replayed) envelope stream → bronze.transactions."""
-    return _run(bronze.bronze_transactions(envelope), layout, "bronze", "transactions")
+    return _start(bronze.bronze_transactions(envelope), layout, "bronze", "transactions")
 
 
-def refine_transactions(spark: SparkSession, layout: Layout) -> list:
-    """bronze.transactions → silver.transactions, expectation counts recorded."""
-    progress = _run(silver.silver_transactions(_stream(spark, layout, "bronze", "transactions"),
-                                               observation="silver_transactions"),
-                    layout, "silver", "transactions")
-    record_quality(spark, layout, "silver.transactions", progress, "silver_transactions")
-    return progress
+def refine_transactions(spark: SparkSession, layout: Layout) -> StreamingQuery:
+    """bronze.transactions → silver.transactions; counts observed per batch."""
+    return _start(silver.silver_transactions(_stream(spark, layout, "bronze", "transactions"),
+                                             observation="silver_transactions"),
+                  layout, "silver", "transactions")
 
 
-def land_watchlist(spark: SparkSession, layout: Layout, drop_folder: str) -> list:
+def land_watchlist(spark: SparkSession, layout: Layout, drop_folder: str) -> StreamingQuery:
     """JSON drop folder → bronze.fraud_watchlist (with the source file)."""
-    return _run(bronze.bronze_watchlist(watchlist_stream(spark, drop_folder)), layout,
-                "bronze", "fraud_watchlist")
+    return _start(bronze.bronze_watchlist(watchlist_stream(spark, drop_folder)), layout,
+                  "bronze", "fraud_watchlist")
 
 
-def refine_watchlist(spark: SparkSession, layout: Layout) -> list:
+def refine_watchlist(spark: SparkSession, layout: Layout) -> StreamingQuery:
     """bronze.fraud_watchlist → silver.fraud_watchlist."""
-    return _run(silver.silver_watchlist(_stream(spark, layout, "bronze", "fraud_watchlist")),
-                layout, "silver", "fraud_watchlist")
+    return _start(silver.silver_watchlist(_stream(spark, layout, "bronze", "fraud_watchlist")),
+                  layout, "silver", "fraud_watchlist")
 
 
 def land_customers(spark: SparkSession, layout: Layout, customers: DataFrame) -> None:
@@ -103,13 +108,11 @@ def land_customers(spark: SparkSession, layout: Layout, customers: DataFrame) ->
         layout.table("bronze", "customers"))
 
 
-def refine_customers(spark: SparkSession, layout: Layout) -> list:
+def refine_customers(spark: SparkSession, layout: Layout) -> StreamingQuery:
     """bronze.customers (as a stream) → silver.customers."""
-    progress = _run(silver.silver_customers(_stream(spark, layout, "bronze", "customers"),
-                                            observation="silver_customers"),
-                    layout, "silver", "customers")
-    record_quality(spark, layout, "silver.customers", progress, "silver_customers")
-    return progress
+    return _start(silver.silver_customers(_stream(spark, layout, "bronze", "customers"),
+                                          observation="silver_customers"),
+                  layout, "silver", "customers")
 
 
 def customer_snapshot(spark: SparkSession, layout: Layout, *, latest_only: bool = False
@@ -120,54 +123,65 @@ def customer_snapshot(spark: SparkSession, layout: Layout, *, latest_only: bool
 
 
 def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool = False,
-               max_match_age: str | None = None) -> dict[str, list]:
-    """The four gold tables from silver.  The customer snapshot is read at start."""
+               max_match_age: str | None = None) -> dict[str, StreamingQuery]:
+    """Start the four gold queries.  The customer snapshot is read at start."""
     customers = customer_snapshot(spark, layout, latest_only=latest_customers)
-    tx = lambda: _stream(spark, layout, "silver", "transactions")  # noqa: E731 - one per query
+
+    def tx() -> DataFrame:
+        return _stream(spark, layout, "silver", "transactions")
+
     watchlist = _stream(spark, layout, "silver", "fraud_watchlist")
     return {
-        "high_value_transactions": _run(gold.high_value_transactions(tx(), customers),
-                                        layout, "gold", "high_value_transactions"),
-        "fraud_transactions": _run(gold.fraud_transactions(tx(), watchlist, customers,
-                                                           max_match_age=max_match_age),
-                                   layout, "gold", "fraud_transactions"),
-        "transactions_count_by_minute": _run(gold.transaction_counts(tx()), layout, "gold",
-                                             "transactions_count_by_minute"),
-        "transactions_count_by_minute_sliding_window": _run(
+        "high_value_transactions": _start(gold.high_value_transactions(tx(), customers),
+                                          layout, "gold", "high_value_transactions"),
+        "fraud_transactions": _start(gold.fraud_transactions(tx(), watchlist, customers,
+                                                             max_match_age=max_match_age),
+                                     layout, "gold", "fraud_transactions"),
+        "transactions_count_by_minute": _start(gold.transaction_counts(tx()), layout, "gold",
+                                               "transactions_count_by_minute"),
+        "transactions_count_by_minute_sliding_window": _start(
             gold.sliding_transaction_counts(tx()), layout, "gold",
             "transactions_count_by_minute_sliding_window"),
     }
 
 
-def route_alerts(spark: SparkSession, layout: Layout) -> dict[str, list]:
-    """Both alert flows into the one outbox table, one streaming query each."""
+def route_alerts(spark: SparkSession, layout: Layout) -> dict[str, StreamingQuery]:
+    """Start both alert flows into the one outbox table, one query each."""
+    flows = {alerts.HIGH_VALUE_FLOW: ("high_value_transactions", alerts.high_value_messages),
+             alerts.FRAUD_FLOW: ("fraud_transactions", alerts.fraud_digests)}
     return {
-        alerts.HIGH_VALUE_FLOW: run_foreach_batch(
-            _stream(spark, layout, "gold", "high_value_transactions"),
-            alerts.outbox_sink(layout.outbox, alerts.HIGH_VALUE_FLOW,
-                               alerts.high_value_messages),
-            layout.checkpoint("alerts", alerts.HIGH_VALUE_FLOW)),
-        alerts.FRAUD_FLOW: run_foreach_batch(
-            _stream(spark, layout, "gold", "fraud_transactions"),
-            alerts.outbox_sink(layout.outbox, alerts.FRAUD_FLOW, alerts.fraud_digests),
-            layout.checkpoint("alerts", alerts.FRAUD_FLOW)),
+        flow: start_foreach_batch(_stream(spark, layout, "gold", table),
+                                  alerts.outbox_sink(layout.outbox, flow, render),
+                                  layout.checkpoint("alerts", flow), query_name=f"alerts_{flow}")
+        for flow, (table, render) in flows.items()
     }
 
 
 def run_once(spark: SparkSession, layout: Layout, *, envelope: DataFrame, watchlist_folder: str,
-             customers: DataFrame | None = None, **gold_options) -> dict[str, object]:
-    """Every step once, availableNow, in dependency order."""
+             customers: DataFrame | None = None, **gold_options) -> dict[str, list]:
+    """Every step once, availableNow, layer by layer.
+
+    Steps of one layer do not depend on each other and run side by side;
+    a layer starts when the one it reads has finished.
+    """
     if customers is not None:
         land_customers(spark, layout, customers)
-    progress: dict[str, object] = {
+    progress = await_all({
         "bronze.transactions": land_transactions(spark, layout, envelope),
         "bronze.fraud_watchlist": land_watchlist(spark, layout, watchlist_folder),
         "silver.customers": refine_customers(spark, layout),
+    })
+    progress.update(await_all({
         "silver.transactions": refine_transactions(spark, layout),
         "silver.fraud_watchlist": refine_watchlist(spark, layout),
-    }
-    progress.update({f"gold.{k}": v for k, v in build_gold(spark, layout, **gold_options).items()})
-    progress.update({f"alerts.{k}": v for k, v in route_alerts(spark, layout).items()})
+    }))
+    record_quality(spark, layout, "silver.customers", progress["silver.customers"],
+                   "silver_customers")
+    record_quality(spark, layout, "silver.transactions", progress["silver.transactions"],
+                   "silver_transactions")
+    progress.update(await_all({f"gold.{k}": q
+                               for k, q in build_gold(spark, layout, **gold_options).items()}))
+    progress.update(await_all({f"alerts.{k}": q for k, q in route_alerts(spark, layout).items()}))
     return progress
 
 

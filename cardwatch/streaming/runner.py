@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
-def _finish(query: StreamingQuery) -> list:
+def finish(query: StreamingQuery) -> list:
+    """Wait for an availableNow query; raise its error; return its progress."""
     query.awaitTermination()
     return list(query.recentProgress)
 
@@ -48,12 +49,12 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, **options) -> list:
 
     Returns the progress reports of the run's micro-batches.
     """
-    return _finish(start_to_table(df, path, checkpoint, **options))
+    return finish(start_to_table(df, path, checkpoint, **options))
 
 
-def run_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
-                      checkpoint: str, *, query_name: str | None = None) -> list:
-    """Hand every micro-batch to ``handler(batch_df, batch_id)``; availableNow.
+def start_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
+                        checkpoint: str, *, query_name: str | None = None) -> StreamingQuery:
+    """Start handing every micro-batch to ``handler(batch_df, batch_id)``.
 
     A handler that raises stops the query; restarting from the checkpoint
     gives the handler the same batch id with the same rows, so handlers
@@ -63,7 +64,13 @@ def run_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
               .trigger(availableNow=True))
     if query_name:
         writer = writer.queryName(query_name)
-    return _finish(writer.start())
+    return writer.start()
+
+
+def run_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
+                      checkpoint: str, *, query_name: str | None = None) -> list:
+    """``start_foreach_batch`` and wait for the available input to be done."""
+    return finish(start_foreach_batch(df, handler, checkpoint, query_name=query_name))
 
 
 def rows_dropped_by_watermark(progress: list) -> int:
