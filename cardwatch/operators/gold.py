@@ -131,14 +131,39 @@ def watchlist_matches(tx: DataFrame, watchlist: DataFrame, *,
                        extra=extra).drop("entity_id")
 
 
+def watchlist_matches_snapshot(tx: DataFrame, watchlist: DataFrame, *,
+                               broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                               salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Transactions matched against the watchlist table as it is now.
+
+    A stateless alternative to ``watchlist_matches``: the watchlist is a
+    static snapshot (size-checked broadcast, else salted join), so nothing
+    is kept in state and a back-dated entry is never lost to a watermark.
+    The price: an entry matches only transactions processed after it was
+    loaded, not earlier ones.
+    """
+    return join_dimension(tx, watchlist_side(watchlist), [("card_number", "entity_id")],
+                          ["transaction_id"], broadcast_bytes=broadcast_bytes,
+                          salt_buckets=salt_buckets).drop("entity_id")
+
+
 def fraud_transactions(tx: DataFrame, watchlist: DataFrame, customers: DataFrame, *,
                        watermark_delay: str = WATERMARK_DELAY,
                        max_match_age: str | None = None,
                        salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                       broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """One alert per (transaction, matching watchlist entry) of a known customer."""
-    matches = watchlist_matches(tx, watchlist, watermark_delay=watermark_delay,
-                                max_match_age=max_match_age, salt_buckets=salt_buckets)
+                       broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                       watchlist_snapshot: bool = False) -> DataFrame:
+    """One alert per (transaction, matching watchlist entry) of a known customer.
+
+    ``watchlist_snapshot`` takes ``watchlist`` as a static table and matches
+    with ``watchlist_matches_snapshot`` instead of the stream-stream join.
+    """
+    if watchlist_snapshot:
+        matches = watchlist_matches_snapshot(tx, watchlist, broadcast_bytes=broadcast_bytes,
+                                             salt_buckets=salt_buckets)
+    else:
+        matches = watchlist_matches(tx, watchlist, watermark_delay=watermark_delay,
+                                    max_match_age=max_match_age, salt_buckets=salt_buckets)
     joined = with_customers(matches, customers, ["transaction_id", "watchlist_id"],
                             broadcast_bytes=broadcast_bytes, salt_buckets=salt_buckets)
     return joined.select(

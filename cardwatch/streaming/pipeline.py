@@ -123,20 +123,27 @@ def customer_snapshot(spark: SparkSession, layout: Layout, *, latest_only: bool
 
 
 def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool = False,
-               max_match_age: str | None = None) -> dict[str, StreamingQuery]:
-    """Start the four gold queries.  The customer snapshot is read at start."""
+               max_match_age: str | None = None, watchlist_snapshot: bool = False
+               ) -> dict[str, StreamingQuery]:
+    """Start the four gold queries.  Static snapshots are read at start.
+
+    ``watchlist_snapshot`` matches against silver.fraud_watchlist as a
+    snapshot (no join state) instead of as a stream; see
+    ``gold.watchlist_matches_snapshot`` for what that changes.
+    """
     customers = customer_snapshot(spark, layout, latest_only=latest_customers)
 
     def tx() -> DataFrame:
         return _stream(spark, layout, "silver", "transactions")
 
-    watchlist = _stream(spark, layout, "silver", "fraud_watchlist")
+    watchlist = (table_snapshot(spark, layout.table("silver", "fraud_watchlist"))
+                 if watchlist_snapshot else _stream(spark, layout, "silver", "fraud_watchlist"))
     return {
         "high_value_transactions": _start(gold.high_value_transactions(tx(), customers),
                                           layout, "gold", "high_value_transactions"),
-        "fraud_transactions": _start(gold.fraud_transactions(tx(), watchlist, customers,
-                                                             max_match_age=max_match_age),
-                                     layout, "gold", "fraud_transactions"),
+        "fraud_transactions": _start(gold.fraud_transactions(
+            tx(), watchlist, customers, max_match_age=max_match_age,
+            watchlist_snapshot=watchlist_snapshot), layout, "gold", "fraud_transactions"),
         "transactions_count_by_minute": _start(gold.transaction_counts(tx()), layout, "gold",
                                                "transactions_count_by_minute"),
         "transactions_count_by_minute_sliding_window": _start(

@@ -100,3 +100,19 @@ def test_fraud_match_semantics(spark):
     assert got == [("FRAUD-t1-WL1", "WC", "X"), ("FRAUD-t1-WL2", "WC", "X")]
     bounded = gold.fraud_transactions(t, w, c, max_match_age="400 days")
     assert [r.alert_id for r in bounded.collect()] == ["FRAUD-t1-WL2"]
+
+
+def test_snapshot_match_equals_stream_match_on_a_complete_watchlist(spark, sf_dir):
+    from cardwatch.operators import silver
+    from cardwatch.plans.catalog import _customers
+    from cardwatch.sources import testdata
+    events = testdata.read_table(spark, sf_dir, "events")
+    t = testdata.transactions(events)
+    w = silver.silver_watchlist(testdata.watchlist_records(events))
+    c = _customers(spark, sf_dir)
+    cols = ["alert_id", "customer_email", "watchlist_effective_from"]
+    joined = gold.fraud_transactions(t, w, c).select(cols)
+    snap = gold.fraud_transactions(t, w, c, watchlist_snapshot=True).select(cols)
+    assert sorted(joined.collect()) == sorted(snap.collect())
+    plan = snap._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan          # small watchlist: broadcast, no salting
