@@ -29,7 +29,7 @@ SLIDING = """
 SELECT date_trunc('minute', ts) - to_minutes(i) AS window_start,
        date_trunc('minute', ts) - to_minutes(i) + INTERVAL 5 MINUTE AS window_end,
        count(*)::BIGINT AS transactions_count
-FROM events, range(5) AS r(i)
+FROM (SELECT ts, unnest(range(5)) AS i FROM events)
 GROUP BY 1, 2
 """
 

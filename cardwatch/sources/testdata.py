@@ -162,7 +162,9 @@ def customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
         F.lower(F.concat(F.regexp_replace(F.col("c_name"), "#", "."), F.lit("@example.com")))
          .alias("email"),
         acctbal.alias("transaction_limit"),
-        F.timestamp_seconds(F.lit(1704067200) + key).alias("update_timestamp"),
+        # wall-clock time, so the value does not depend on the session zone
+        F.timestamp_add("SECOND", key, F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+         .alias("update_timestamp"),
     )
 
 
