@@ -252,36 +252,35 @@ def fraud_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("alert_id")
 def alert_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fraud alert ids and customer names (batch)."""
-    events = _events(spark, sf_dir)
-    wl = silver.silver_watchlist(testdata.watchlist_records(events))
-    alerts = gold.fraud_transactions(testdata.transactions(events), wl, _customers(spark, sf_dir))
-    return alerts.select("transaction_id", "watchlist_id", "alert_id", "customer_name")
+    return _batch_fraud(spark, sf_dir).select("transaction_id", "watchlist_id", "alert_id",
+                                              "customer_name")
 
 
 # -- alerts --------------------------------------------------------------------------------
 
-def _batch_alerts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """High-value and fraud alerts computed on batch frames."""
+def _batch_high_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High-value alerts computed on batch frames."""
+    tx = testdata.transactions(_events(spark, sf_dir))
+    return gold.high_value_transactions(tx, _customers(spark, sf_dir))
+
+
+def _batch_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fraud alerts computed on batch frames."""
     events = _events(spark, sf_dir)
-    tx = testdata.transactions(events)
-    customers = _customers(spark, sf_dir)
     wl = silver.silver_watchlist(testdata.watchlist_records(events))
-    return (gold.high_value_transactions(tx, customers),
-            gold.fraud_transactions(tx, wl, customers))
+    return gold.fraud_transactions(testdata.transactions(events), wl, _customers(spark, sf_dir))
 
 
 @query("alert_message_high_value")
 def alert_message_high_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rendered message per high-value alert."""
-    high_value, _ = _batch_alerts(spark, sf_dir)
-    return alerts.high_value_messages(high_value)
+    return alerts.high_value_messages(_batch_high_value(spark, sf_dir))
 
 
 @query("alert_digest")
 def alert_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fraud alerts as per-customer digests of at most ~100 alerts each."""
-    _, fraud = _batch_alerts(spark, sf_dir)
-    return alerts.fraud_digests(fraud)
+    return alerts.fraud_digests(_batch_fraud(spark, sf_dir))
 
 
 def _pipeline_run(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Layout:

@@ -63,7 +63,11 @@ def await_all(queries: dict[str, StreamingQuery]) -> dict[str, list]:
 
 def record_quality(spark: SparkSession, layout: Layout, table: str, progress: list,
                    observation: str) -> None:
-    """Append one row per expectation and micro-batch to ``quality/expectations``."""
+    """One row per expectation and micro-batch in ``quality/expectations``.
+
+    Written per (table, batch) with dynamic partition overwrite, so
+    recording the same run twice leaves one copy.
+    """
     rows = []
     for p in progress:
         metrics = p.observedMetrics.get(observation)
@@ -75,7 +79,8 @@ def record_quality(spark: SparkSession, layout: Layout, table: str, progress: li
     if rows:
         (spark.createDataFrame(rows, "table string, batch_id long, expectation string, "
                                      "failed_rows long, total_rows long")
-         .write.mode("append").parquet(layout.table("quality", "expectations")))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("table", "batch_id").parquet(layout.table("quality", "expectations")))
 
 
 def land_transactions(spark: SparkSession, layout: Layout, envelope: DataFrame) -> StreamingQuery:
