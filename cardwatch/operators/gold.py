@@ -62,15 +62,18 @@ def customer_side(customers: DataFrame) -> DataFrame:
 
 def with_customers(facts: DataFrame, customers: DataFrame, identity: list[str], *,
                    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                   salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                   hot_customers: DataFrame | None = None) -> DataFrame:
     """Inner join of facts with their customer (unknown customers drop out).
 
-    Duplicate customer ids multiply rows; pass ``latest_per_key(customers)``
-    to guard against that.
+    ``hot_customers`` (a ``customer_id`` column, e.g. ``hot_keys`` of the
+    transaction history) lets a stream split off busy customers when the
+    customer table is too large to broadcast.  Duplicate customer ids
+    multiply rows; pass ``latest_per_key(customers)`` to guard against that.
     """
     return join_dimension(facts, customer_side(customers), [("customer_id", CUSTOMER_KEY)],
                           identity, broadcast_bytes=broadcast_bytes,
-                          salt_buckets=salt_buckets).drop(CUSTOMER_KEY)
+                          salt_buckets=salt_buckets, hot=hot_customers).drop(CUSTOMER_KEY)
 
 
 def high_value_transactions(tx: DataFrame, customers: DataFrame, **join_options) -> DataFrame:
@@ -152,7 +155,8 @@ def fraud_transactions(tx: DataFrame, watchlist: DataFrame, customers: DataFrame
                        max_match_age: str | None = None,
                        salt_buckets: int = DEFAULT_SALT_BUCKETS,
                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                       watchlist_snapshot: bool = False) -> DataFrame:
+                       watchlist_snapshot: bool = False,
+                       hot_customers: DataFrame | None = None) -> DataFrame:
     """One alert per (transaction, matching watchlist entry) of a known customer.
 
     ``watchlist_snapshot`` takes ``watchlist`` as a static table and matches
@@ -165,7 +169,8 @@ def fraud_transactions(tx: DataFrame, watchlist: DataFrame, customers: DataFrame
         matches = watchlist_matches(tx, watchlist, watermark_delay=watermark_delay,
                                     max_match_age=max_match_age, salt_buckets=salt_buckets)
     joined = with_customers(matches, customers, ["transaction_id", "watchlist_id"],
-                            broadcast_bytes=broadcast_bytes, salt_buckets=salt_buckets)
+                            broadcast_bytes=broadcast_bytes, salt_buckets=salt_buckets,
+                            hot_customers=hot_customers)
     return joined.select(
         alert_id("FRAUD", "transaction_id", "watchlist_id").alias("alert_id"),
         F.lit(WATCHLIST_MATCH).alias("alert_type"),

@@ -1,15 +1,20 @@
 """Equi-joins that stay fast when one key holds a large share of the rows.
 
-Two strategies, chosen by a size check rather than by hope:
+Strategies, chosen by size checks rather than by hope:
 
 * the other side is small (its row count times an upper bound of its row
   width fits the broadcast budget): broadcast it; every task joins its own
   rows locally, so a hot key costs nothing extra;
-* otherwise: a shuffle join on ``(key, salt)``.  Each large-side row gets a
+* otherwise split by hot keys: keys holding at least ``min_share`` of the
+  fact rows (at most ``1/min_share`` of them, a proven bound) are joined
+  by broadcasting just their dimension rows, the rest by an ordinary
+  shuffle join in which no key is large.  The dimension is shuffled once,
+  never repeated;
+* for a stateful stream-stream join, where the key layout is fixed by the
+  checkpoint, a shuffle join on ``(key, salt)``: each large-side row gets a
   salt from a hash of its own identity (deterministic, so a retried batch
-  sends every row to the same place), and the other side is repeated once
-  per salt value.  A key holding a third of all rows is spread over
-  ``salt_buckets`` tasks instead of one.
+  sends every row to the same place) and the other side is repeated once
+  per salt value.  A busy key is spread over ``salt_buckets`` tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +27,10 @@ from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, Decima
 
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 DEFAULT_SALT_BUCKETS = 8
+# A key is hot when it holds at least this share of the fact rows; there
+# can be at most 1 / DEFAULT_HOT_SHARE such keys.
+DEFAULT_HOT_SHARE = 0.001
+HOT = "_hot"
 # Upper bound assumed for a text column when sizing a broadcast.
 STRING_BYTES = 64
 SALT = "_salt"
@@ -102,17 +111,63 @@ def salted_join(large: DataFrame, small: DataFrame, on: list[tuple[str, str]],
     return salted_large.join(repeated_small, cond, how).drop(SALT, "_small_salt")
 
 
+def hot_keys(facts: DataFrame, keys: list[str], min_share: float = DEFAULT_HOT_SHARE
+             ) -> DataFrame:
+    """Key values holding at least ``min_share`` of the rows of a batch frame.
+
+    A partial aggregate per task, then a filter against the total row
+    count (a scalar subquery); at most ``1/min_share`` rows come out, so the
+    result may always be broadcast.  Lazy: nothing runs until it is used.
+    """
+    total = facts.agg(F.count(F.lit(1))).scalar()
+    return (facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+            .filter(F.col("_rows") >= total * F.lit(min_share)).select(*keys))
+
+
+def _split_by_hot_keys(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
+                       hot: DataFrame, identity: list[str | Column], broadcast_bytes: int,
+                       salt_buckets: int, null_safe: bool) -> DataFrame:
+    fact_keys = [a for a, _ in on]
+    flags = hot.select(*[F.col(a).alias(f"_hot_{a}") for a in fact_keys], F.lit(True).alias(HOT))
+    flag_on = [(a, f"_hot_{a}") for a in fact_keys]
+    flagged = facts.join(F.broadcast(flags), _condition(facts, flags, flag_on, True), "left") \
+        .drop(*[f"_hot_{a}" for a in fact_keys])
+    dim_on = [(b, f"_hot_{a}") for a, b in on]
+    hot_dim = dim.join(F.broadcast(flags), _condition(dim, flags, dim_on, True), "inner") \
+        .drop(HOT, *[f"_hot_{a}" for a in fact_keys])
+    hot_rows = flagged.filter(F.col(HOT).isNotNull()).drop(HOT)
+    cold_rows = flagged.filter(F.col(HOT).isNull()).drop(HOT)
+    if fits_broadcast(hot_dim, broadcast_bytes):
+        hot_part = hot_rows.join(F.broadcast(hot_dim), _condition(hot_rows, hot_dim, on, null_safe),
+                                 "inner")
+    else:
+        hot_part = salted_join(hot_rows, hot_dim, on, identity, salt_buckets, null_safe=null_safe)
+    cold_part = cold_rows.join(dim, _condition(cold_rows, dim, on, null_safe), "inner")
+    return hot_part.unionByName(cold_part)
+
+
 def join_dimension(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
                    identity: list[str | Column], *,
                    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                    salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                   null_safe: bool = False) -> DataFrame:
+                   null_safe: bool = False, hot: DataFrame | None = None,
+                   min_hot_share: float = DEFAULT_HOT_SHARE) -> DataFrame:
     """Inner join of facts (batch or stream) with a static dimension.
 
-    Broadcast when the dimension passes the size check, salted shuffle join
-    otherwise.  Project the dimension to the needed columns first: the size
-    check and the broadcast both see only those.
+    Broadcast when the dimension passes the size check.  Otherwise the
+    fact rows of hot keys are joined by broadcast and the rest by a shuffle
+    join.  ``hot`` lists the hot key values (columns named like the fact
+    keys); for a batch frame it is computed from the facts when not given,
+    for a stream it should come from history (``hot_keys`` of a snapshot).
+    A stream with no hot list gets the salted join.  Project the dimension
+    to the needed columns first: the size checks and broadcasts see only
+    those.
     """
     if fits_broadcast(dim, broadcast_bytes):
         return facts.join(F.broadcast(dim), _condition(facts, dim, on, null_safe), "inner")
-    return salted_join(facts, dim, on, identity, salt_buckets, null_safe=null_safe)
+    if hot is None and not facts.isStreaming:
+        hot = hot_keys(facts, [a for a, _ in on], min_hot_share)
+    if hot is None:
+        return salted_join(facts, dim, on, identity, salt_buckets, null_safe=null_safe)
+    return _split_by_hot_keys(facts, dim, on, hot, identity, broadcast_bytes, salt_buckets,
+                              null_safe)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators import alerts, bronze, gold, silver
 from ..operators.dedup import latest_per_key
+from ..operators.joins import hot_keys
 from ..sources.files import table_snapshot, table_stream, watchlist_stream
 from pyspark.sql.streaming import StreamingQuery
 
@@ -134,9 +135,13 @@ def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool =
 
     ``watchlist_snapshot`` matches against silver.fraud_watchlist as a
     snapshot (no join state) instead of as a stream; see
-    ``gold.watchlist_matches_snapshot`` for what that changes.
+    ``gold.watchlist_matches_snapshot`` for what that changes.  Busy
+    customers are found in the transaction history (lazily: only used when
+    the customer table is too large to broadcast).
     """
     customers = customer_snapshot(spark, layout, latest_only=latest_customers)
+    hot = hot_keys(table_snapshot(spark, layout.table("silver", "transactions")),
+                   ["customer_id"])
 
     def tx() -> DataFrame:
         return _stream(spark, layout, "silver", "transactions")
@@ -144,11 +149,13 @@ def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool =
     watchlist = (table_snapshot(spark, layout.table("silver", "fraud_watchlist"))
                  if watchlist_snapshot else _stream(spark, layout, "silver", "fraud_watchlist"))
     return {
-        "high_value_transactions": _start(gold.high_value_transactions(tx(), customers),
-                                          layout, "gold", "high_value_transactions"),
+        "high_value_transactions": _start(
+            gold.high_value_transactions(tx(), customers, hot_customers=hot),
+            layout, "gold", "high_value_transactions"),
         "fraud_transactions": _start(gold.fraud_transactions(
             tx(), watchlist, customers, max_match_age=max_match_age,
-            watchlist_snapshot=watchlist_snapshot), layout, "gold", "fraud_transactions"),
+            watchlist_snapshot=watchlist_snapshot, hot_customers=hot),
+            layout, "gold", "fraud_transactions"),
         "transactions_count_by_minute": _start(gold.transaction_counts(tx()), layout, "gold",
                                                "transactions_count_by_minute"),
         "transactions_count_by_minute_sliding_window": _start(

@@ -54,15 +54,56 @@ def test_salted_join_equals_broadcast_join(spark, sf_dir):
     from cardwatch.plans.catalog import _customers
     from cardwatch.sources import testdata
     t = testdata.transactions(testdata.read_table(spark, sf_dir, "events"))
-    c = _customers(spark, sf_dir)
+    c = gold.customer_side(_customers(spark, sf_dir))
+    on = [("customer_id", gold.CUSTOMER_KEY)]
     cols = ["transaction_id", "customer_email", "transaction_limit"]
-    via_broadcast = gold.high_value_transactions(t, c).select(cols)
-    via_salt = gold.high_value_transactions(t, c, broadcast_bytes=0, salt_buckets=5).select(cols)
-    assert sorted(via_broadcast.collect()) == sorted(via_salt.collect())
-    plan = via_salt._jdf.queryExecution().executedPlan().toString()
+    plain = t.join(c, t.customer_id == c[gold.CUSTOMER_KEY]).select(cols)
+    salted = joins.salted_join(t, c, on, ["transaction_id"], 5).select(cols)
+    assert sorted(plain.collect()) == sorted(salted.collect())
+    plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "Generate" in plan and "explode" in plan
 
 
+def skewed(spark):
+    """10,000 facts, a third of them on one key; 1,001 dimension rows."""
+    facts = spark.range(10_000).select(
+        F.col("id").cast("string").alias("fid"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+         .otherwise((F.col("id") % 1000).cast("string")).alias("k"))
+    dim = spark.range(1000).select(F.col("id").cast("string").alias("dk"),
+                                   (F.col("id") * 2).alias("v")) \
+        .unionByName(spark.range(1).select(F.lit("hot").alias("dk"), F.lit(-1).cast("long").alias("v")))
+    return facts, dim
+
+
+def test_hot_key_split_equals_plain_join(spark):
+    facts, dim = skewed(spark)
+    hot = joins.hot_keys(facts, ["k"], 0.01)
+    assert [r.k for r in hot.collect()] == ["hot"]
+    plain = facts.join(dim, facts.k == dim.dk).select("fid", "v")
+    split = joins.join_dimension(facts, dim, [("k", "dk")], ["fid"], broadcast_bytes=20_000,
+                                 min_hot_share=0.01).select("fid", "v")
+    assert sorted(plain.collect()) == sorted(split.collect())
+    logical = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in logical and "_salt" not in logical    # dimension never repeated
+
+
+def test_hot_key_split_for_streams_uses_history(spark, tmp_path):
+    facts, dim = skewed(spark)
+    facts.write.parquet(str(tmp_path / "facts"))
+    stream = spark.readStream.schema(facts.schema).parquet(str(tmp_path / "facts"))
+    hot = joins.hot_keys(spark.read.parquet(str(tmp_path / "facts")), ["k"], 0.01)
+    joined = joins.join_dimension(stream, dim, [("k", "dk")], ["fid"], broadcast_bytes=20_000,
+                                  hot=hot).select("fid", "v")
+    from cardwatch.config import new_run
+    from cardwatch.streaming.runner import run_to_table
+    run = new_run(spark, "test_hot_stream")
+    run_to_table(joined, run.table("j"), run.checkpoint("j"))
+    got = spark.read.parquet(run.table("j"))
+    assert got.count() == 10_000
+    assert got.filter(F.col("v") == -1).count() == 3334
+
+
 def test_size_check(spark):
     small = spark.range(10).select(F.col("id").cast("string").alias("k"))
     assert joins.fits_broadcast(small, 10_000)
