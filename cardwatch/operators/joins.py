@@ -5,11 +5,12 @@ Strategies, chosen by size checks rather than by hope:
 * the other side is small (its row count times an upper bound of its row
   width fits the broadcast budget): broadcast it; every task joins its own
   rows locally, so a hot key costs nothing extra;
-* otherwise split by hot keys: keys holding at least ``min_share`` of the
-  fact rows (at most ``1/min_share`` of them, a proven bound) are joined
-  by broadcasting just their dimension rows, the rest by an ordinary
-  shuffle join in which no key is large.  The dimension is shuffled once,
-  never repeated;
+* otherwise one shuffle join that salts only the hot keys: keys holding at
+  least ``min_share`` of the fact rows (at most ``1/min_share`` of them, a
+  proven bound) get a salt range sized so each shard is about one task's
+  share of the rows, and only their dimension rows are repeated per salt.
+  Cold keys keep salt 0 and their dimension rows appear once.  The facts
+  are read once;
 * for a stateful stream-stream join, where the key layout is fixed by the
   checkpoint, a shuffle join on ``(key, salt)``: each large-side row gets a
   salt from a hash of its own identity (deterministic, so a retried batch
@@ -30,7 +31,7 @@ DEFAULT_SALT_BUCKETS = 8
 # A key is hot when it holds at least this share of the fact rows; there
 # can be at most 1 / DEFAULT_HOT_SHARE such keys.
 DEFAULT_HOT_SHARE = 0.001
-HOT = "_hot"
+BUCKETS = "_buckets"
 # Upper bound assumed for a text column when sizing a broadcast.
 STRING_BYTES = 64
 SALT = "_salt"
@@ -111,39 +112,48 @@ def salted_join(large: DataFrame, small: DataFrame, on: list[tuple[str, str]],
     return salted_large.join(repeated_small, cond, how).drop(SALT, "_small_salt")
 
 
-def hot_keys(facts: DataFrame, keys: list[str], min_share: float = DEFAULT_HOT_SHARE
-             ) -> DataFrame:
+def hot_keys(facts: DataFrame, keys: list[str], min_share: float = DEFAULT_HOT_SHARE,
+             partitions: int | None = None) -> DataFrame:
     """Key values holding at least ``min_share`` of the rows of a batch frame.
 
-    A partial aggregate per task, then a filter against the total row
-    count (a scalar subquery); at most ``1/min_share`` rows come out, so the
+    Also gives each hot key ``_buckets``: how many tasks its rows need to be
+    about one task's share (``rows * partitions / total``, at least 2).  A
+    partial aggregate per task, then a filter against the total row count
+    (a scalar subquery); at most ``1/min_share`` rows come out, so the
     result may always be broadcast.  Lazy: nothing runs until it is used.
     """
+    if partitions is None:
+        partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = facts.agg(F.count(F.lit(1))).scalar()
+    buckets = F.greatest(F.lit(2), F.ceil(F.col("_rows") * F.lit(partitions) / total))
     return (facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") >= total * F.lit(min_share)).select(*keys))
+            .filter(F.col("_rows") >= total * F.lit(min_share))
+            .select(*keys, buckets.cast("int").alias(BUCKETS)))
 
 
-def _split_by_hot_keys(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
-                       hot: DataFrame, identity: list[str | Column], broadcast_bytes: int,
-                       salt_buckets: int, null_safe: bool) -> DataFrame:
+def _salt_hot_keys(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
+                   hot: DataFrame, identity: list[str | Column], null_safe: bool) -> DataFrame:
     fact_keys = [a for a, _ in on]
-    flags = hot.select(*[F.col(a).alias(f"_hot_{a}") for a in fact_keys], F.lit(True).alias(HOT))
-    flag_on = [(a, f"_hot_{a}") for a in fact_keys]
-    flagged = facts.join(F.broadcast(flags), _condition(facts, flags, flag_on, True), "left") \
-        .drop(*[f"_hot_{a}" for a in fact_keys])
-    dim_on = [(b, f"_hot_{a}") for a, b in on]
-    hot_dim = dim.join(F.broadcast(flags), _condition(dim, flags, dim_on, True), "inner") \
-        .drop(HOT, *[f"_hot_{a}" for a in fact_keys])
-    hot_rows = flagged.filter(F.col(HOT).isNotNull()).drop(HOT)
-    cold_rows = flagged.filter(F.col(HOT).isNull()).drop(HOT)
-    if fits_broadcast(hot_dim, broadcast_bytes):
-        hot_part = hot_rows.join(F.broadcast(hot_dim), _condition(hot_rows, hot_dim, on, null_safe),
-                                 "inner")
-    else:
-        hot_part = salted_join(hot_rows, hot_dim, on, identity, salt_buckets, null_safe=null_safe)
-    cold_part = cold_rows.join(dim, _condition(cold_rows, dim, on, null_safe), "inner")
-    return hot_part.unionByName(cold_part)
+    if BUCKETS not in hot.columns:
+        hot = hot.withColumn(BUCKETS, F.lit(DEFAULT_SALT_BUCKETS))
+    flags = F.broadcast(hot.select(*[F.col(a).alias(f"_hot_{a}") for a in fact_keys],
+                                   F.col(BUCKETS)))
+    hot_cols = [f"_hot_{a}" for a in fact_keys]
+    flagged_facts = facts.join(flags, _condition(facts, flags, [(a, f"_hot_{a}")
+                                                                for a in fact_keys], True), "left")
+    salted_facts = flagged_facts.withColumn(
+        SALT, F.coalesce(F.pmod(F.xxhash64(*[F.col(c) if isinstance(c, str) else c
+                                              for c in identity]), F.col(BUCKETS)).cast("int"),
+                         F.lit(0))).drop(BUCKETS, *hot_cols)
+    flagged_dim = dim.join(flags, _condition(dim, flags, [(b, f"_hot_{a}") for a, b in on], True),
+                           "left")
+    repeated_dim = flagged_dim.withColumn(
+        "_small_salt", F.explode(F.when(F.col(BUCKETS).isNotNull(),
+                                        F.sequence(F.lit(0), F.col(BUCKETS) - 1))
+                                 .otherwise(F.array(F.lit(0))))).drop(BUCKETS, *hot_cols)
+    cond = _condition(salted_facts, repeated_dim, on, null_safe) & (
+        salted_facts[SALT] == repeated_dim["_small_salt"])
+    return salted_facts.join(repeated_dim, cond, "inner").drop(SALT, "_small_salt")
 
 
 def join_dimension(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
@@ -154,14 +164,14 @@ def join_dimension(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
                    min_hot_share: float = DEFAULT_HOT_SHARE) -> DataFrame:
     """Inner join of facts (batch or stream) with a static dimension.
 
-    Broadcast when the dimension passes the size check.  Otherwise the
-    fact rows of hot keys are joined by broadcast and the rest by a shuffle
-    join.  ``hot`` lists the hot key values (columns named like the fact
-    keys); for a batch frame it is computed from the facts when not given,
-    for a stream it should come from history (``hot_keys`` of a snapshot).
-    A stream with no hot list gets the salted join.  Project the dimension
-    to the needed columns first: the size checks and broadcasts see only
-    those.
+    Broadcast when the dimension passes the size check.  Otherwise a single
+    shuffle join in which only hot keys are salted (see ``hot_keys``).
+    ``hot`` lists the hot key values (columns named like the fact keys,
+    optionally ``_buckets``); for a batch frame it is computed from the
+    facts when not given, for a stream it should come from history
+    (``hot_keys`` of a snapshot).  A stream with no hot list is salted
+    uniformly over ``salt_buckets``.  Project the dimension to the needed
+    columns first: the size check and the broadcast see only those.
     """
     if fits_broadcast(dim, broadcast_bytes):
         return facts.join(F.broadcast(dim), _condition(facts, dim, on, null_safe), "inner")
@@ -169,5 +179,4 @@ def join_dimension(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
         hot = hot_keys(facts, [a for a, _ in on], min_hot_share)
     if hot is None:
         return salted_join(facts, dim, on, identity, salt_buckets, null_safe=null_safe)
-    return _split_by_hot_keys(facts, dim, on, hot, identity, broadcast_bytes, salt_buckets,
-                              null_safe)
+    return _salt_hot_keys(facts, dim, on, hot, identity, null_safe)

@@ -70,22 +70,37 @@ def skewed(spark):
         F.col("id").cast("string").alias("fid"),
         F.when(F.col("id") % 3 == 0, F.lit("hot"))
          .otherwise((F.col("id") % 1000).cast("string")).alias("k"))
-    dim = spark.range(1000).select(F.col("id").cast("string").alias("dk"),
-                                   (F.col("id") * 2).alias("v")) \
-        .unionByName(spark.range(1).select(F.lit("hot").alias("dk"), F.lit(-1).cast("long").alias("v")))
+    dim = spark.range(1001).select(
+        F.when(F.col("id") == 1000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("dk"),
+        F.when(F.col("id") == 1000, F.lit(-1)).otherwise(F.col("id") * 2).alias("v"))
     return facts, dim
 
 
 def test_hot_key_split_equals_plain_join(spark):
     facts, dim = skewed(spark)
-    hot = joins.hot_keys(facts, ["k"], 0.01)
-    assert [r.k for r in hot.collect()] == ["hot"]
+    hot = joins.hot_keys(facts, ["k"], 0.01, partitions=8)
+    assert [(r.k, r._buckets) for r in hot.collect()] == [("hot", 3)]   # 3334 rows * 8 / 10000
     plain = facts.join(dim, facts.k == dim.dk).select("fid", "v")
     split = joins.join_dimension(facts, dim, [("k", "dk")], ["fid"], broadcast_bytes=20_000,
-                                 min_hot_share=0.01).select("fid", "v")
-    assert sorted(plain.collect()) == sorted(split.collect())
+                                 min_hot_share=0.01)
+    assert sorted(plain.collect()) == sorted(split.select("fid", "v").collect())
     logical = split._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in logical and "_salt" not in logical    # dimension never repeated
+    assert "Union" not in logical and "_salt" in logical      # one pass over the facts
+
+
+def test_only_hot_keys_are_repeated(spark):
+    facts, dim = skewed(spark)
+    hot = joins.hot_keys(facts, ["k"], 0.01, partitions=8)
+    flags = hot.select(F.col("k").alias("_hot_k"), "_buckets")
+    repeated = joins._salt_hot_keys(facts, dim, [("k", "dk")], hot, ["fid"], False)
+    salts = repeated.groupBy("k").agg(F.countDistinct(
+        joins.salt_of(["fid"], 1)).alias("n"))
+    assert flags.count() == 1 and salts.count() == 1001
+    # the hot key's facts are spread over 3 join keys, every other key over 1
+    per_task = facts.join(F.broadcast(flags), facts.k == flags._hot_k, "left").withColumn(
+        "s", F.coalesce(F.pmod(F.xxhash64("fid"), F.col("_buckets")), F.lit(0)))
+    shards = per_task.filter(F.col("k") == "hot").groupBy("s").count().collect()
+    assert len(shards) == 3 and max(r["count"] for r in shards) < 3334 * 0.5
 
 
 def test_hot_key_split_for_streams_uses_history(spark, tmp_path):
