@@ -32,12 +32,11 @@ DEFAULT_SALT_BUCKETS = 8
 # can be at most 1 / DEFAULT_HOT_SHARE such keys.
 DEFAULT_HOT_SHARE = 0.001
 BUCKETS = "_buckets"
-# Upper bound assumed for a text column when sizing a broadcast.
-STRING_BYTES = 64
 SALT = "_salt"
 
 
-def _type_bytes(t: DataType) -> int:
+def _fixed_bytes(t: DataType) -> int | None:
+    """Width of a fixed-size value; None for text, which is measured."""
     if isinstance(t, (BooleanType, ByteType)):
         return 1
     if isinstance(t, (ShortType, IntegerType, DateType, FloatType)):
@@ -46,27 +45,36 @@ def _type_bytes(t: DataType) -> int:
         return 8
     if isinstance(t, DecimalType):
         return 16
-    if isinstance(t, StringType):
-        return STRING_BYTES
-    if isinstance(t, StructType):
-        return sum(_type_bytes(f.dataType) for f in t.fields)
-    return 2 * STRING_BYTES
+    return None
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Assumed width of one row (8 bytes of overhead plus each column)."""
-    return 8 + sum(_type_bytes(f.dataType) for f in df.schema.fields)
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: 8 of overhead, fixed widths, actual text lengths.
+
+    Values of other types (structs, arrays) are measured by their JSON text.
+    """
+    size = F.lit(8 + sum(_fixed_bytes(f.dataType) or 0 for f in df.schema.fields))
+    for f in df.schema.fields:
+        if _fixed_bytes(f.dataType) is None:
+            c = F.col(f"`{f.name}`")
+            text = c if isinstance(f.dataType, StringType) else F.to_json(F.struct(c))
+            size = size + F.coalesce(F.octet_length(text), F.lit(0))
+    return size
 
 
 def fits_broadcast(df: DataFrame, budget_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` is small enough to broadcast.
+    """Whether ``df`` is small enough to broadcast, by measuring it.
 
-    Counts at most one row past the bound, so the check stays cheap on a
-    dimension far larger than the budget.  Project the frame to the join
-    columns first.
+    One job over at most ``max_rows + 1`` rows (``max_rows`` = budget over
+    the smallest possible row), summing the actual bytes of each row, so
+    the check is a proven bound and stays cheap on a dimension far larger
+    than the budget.  Project the frame to the join columns first.
     """
-    max_rows = budget_bytes // row_bytes(df)
-    return df.limit(max_rows + 1).count() <= max_rows
+    min_row = 8 + sum(_fixed_bytes(f.dataType) or 0 for f in df.schema.fields)
+    max_rows = budget_bytes // min_row
+    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"),
+                                          F.sum(_row_bytes(df)).alias("bytes")).first()
+    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= budget_bytes
 
 
 def salt_of(identity: list[str | Column], buckets: int) -> Column:

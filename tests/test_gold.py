@@ -81,7 +81,7 @@ def test_hot_key_split_equals_plain_join(spark):
     hot = joins.hot_keys(facts, ["k"], 0.01, partitions=8)
     assert [(r.k, r._buckets) for r in hot.collect()] == [("hot", 3)]   # 3334 rows * 8 / 10000
     plain = facts.join(dim, facts.k == dim.dk).select("fid", "v")
-    split = joins.join_dimension(facts, dim, [("k", "dk")], ["fid"], broadcast_bytes=20_000,
+    split = joins.join_dimension(facts, dim, [("k", "dk")], ["fid"], broadcast_bytes=4_000,
                                  min_hot_share=0.01)
     assert sorted(plain.collect()) == sorted(split.select("fid", "v").collect())
     logical = split._jdf.queryExecution().optimizedPlan().toString()
@@ -108,7 +108,7 @@ def test_hot_key_split_for_streams_uses_history(spark, tmp_path):
     facts.write.parquet(str(tmp_path / "facts"))
     stream = spark.readStream.schema(facts.schema).parquet(str(tmp_path / "facts"))
     hot = joins.hot_keys(spark.read.parquet(str(tmp_path / "facts")), ["k"], 0.01)
-    joined = joins.join_dimension(stream, dim, [("k", "dk")], ["fid"], broadcast_bytes=20_000,
+    joined = joins.join_dimension(stream, dim, [("k", "dk")], ["fid"], broadcast_bytes=4_000,
                                   hot=hot).select("fid", "v")
     from cardwatch.config import new_run
     from cardwatch.streaming.runner import run_to_table
@@ -119,10 +119,13 @@ def test_hot_key_split_for_streams_uses_history(spark, tmp_path):
     assert got.filter(F.col("v") == -1).count() == 3334
 
 
-def test_size_check(spark):
-    small = spark.range(10).select(F.col("id").cast("string").alias("k"))
-    assert joins.fits_broadcast(small, 10_000)
-    assert not joins.fits_broadcast(small, 100)
+def test_size_check_measures_text(spark):
+    small = spark.range(10).select(F.col("id").cast("string").alias("k"))   # 10 * (8 + 1)
+    assert joins.fits_broadcast(small, 90) and not joins.fits_broadcast(small, 89)
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("k"))
+    assert not joins.fits_broadcast(wide, 5_000)          # long text is counted as it is
+    many = spark.range(100_000).select(F.col("id").alias("k"))
+    assert not joins.fits_broadcast(many, 16 * 1000)      # stops after 1,001 rows
 
 
 def test_hot_key_is_spread_over_salts(spark):

@@ -32,7 +32,7 @@ def test_small_customer_side_is_broadcast(spark, sf_dir):
 
 def test_large_customer_side_is_not_broadcast_whole(spark, sf_dir):
     tx = testdata.transactions(testdata.read_table(spark, sf_dir, "events"))
-    df = gold.high_value_transactions(tx, _customers(spark, sf_dir), broadcast_bytes=20_000)
+    df = gold.high_value_transactions(tx, _customers(spark, sf_dir), broadcast_bytes=4_000)
     plan = df._jdf.queryExecution().analyzed().toString()
     # one shuffle join; only busy customers are salted (the hot list is broadcast)
     assert "_salt" in plan and "Union" not in plan
