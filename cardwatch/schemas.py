@@ -43,6 +43,12 @@ WATCHLIST_RECORD = StructType(_strings(
     "reason_code", "reason_description", "effective_from", "reported_by",
     "reported_source", "city", "country"))
 
+# Bronze watchlist: the records plus the file each came from and when.
+BRONZE_WATCHLIST = StructType(WATCHLIST_RECORD.fields + [
+    StructField("source_file", StringType()),
+    StructField("ingestion_timestamp", TimestampType()),
+])
+
 # Customer master (bronze): account_open_date is still text here.
 CUSTOMER = StructType([
     *_strings("customer_id", "first_name", "last_name", "gender"),

@@ -23,11 +23,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import alerts, bronze, gold, silver
 from ..operators.dedup import latest_per_key
 from ..operators.joins import hot_keys
-from ..sources.files import table_snapshot, table_stream, watchlist_stream
+from ..schemas import BRONZE_WATCHLIST, CUSTOMER, KAFKA_ENVELOPE
+from ..sources.files import table_stream, watchlist_stream
 from pyspark.sql.streaming import StreamingQuery
 
 from .runner import finish, start_foreach_batch, start_to_table
@@ -53,8 +55,48 @@ def _start(df: DataFrame, layout: Layout, layer: str, name: str) -> StreamingQue
                           query_name=f"{layer}_{name}")
 
 
+def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+def table_schema(spark: SparkSession, layer: str, name: str) -> StructType:
+    """Schema of a pipeline table, from the step that writes it.
+
+    Each step is applied to empty frames of its inputs' schemas, starting
+    from the declared source schemas, so a step can start while the table
+    it reads is still empty (nothing is inferred from files).
+    """
+    def of(lay: str, nm: str) -> DataFrame:
+        return _empty(spark, table_schema(spark, lay, nm))
+
+    if (layer, name) == ("bronze", "transactions"):
+        df = bronze.bronze_transactions(_empty(spark, KAFKA_ENVELOPE))
+    elif (layer, name) == ("bronze", "fraud_watchlist"):
+        return BRONZE_WATCHLIST
+    elif (layer, name) == ("bronze", "customers"):
+        df = bronze.bronze_customers(_empty(spark, CUSTOMER))
+    elif (layer, name) == ("silver", "transactions"):
+        df = silver.silver_transactions(of("bronze", "transactions"))
+    elif (layer, name) == ("silver", "fraud_watchlist"):
+        df = silver.silver_watchlist(of("bronze", "fraud_watchlist"))
+    elif (layer, name) == ("silver", "customers"):
+        df = silver.silver_customers(of("bronze", "customers"))
+    elif (layer, name) == ("gold", "high_value_transactions"):
+        df = gold.high_value_transactions(of("silver", "transactions"), of("silver", "customers"))
+    elif (layer, name) == ("gold", "fraud_transactions"):
+        df = gold.fraud_transactions(of("silver", "transactions"), of("silver", "fraud_watchlist"),
+                                     of("silver", "customers"))
+    else:
+        raise KeyError(f"no table {layer}.{name}")
+    return df.schema
+
+
 def _stream(spark: SparkSession, layout: Layout, layer: str, name: str) -> DataFrame:
-    return table_stream(spark, layout.table(layer, name))
+    return table_stream(spark, layout.table(layer, name), table_schema(spark, layer, name))
+
+
+def _snapshot(spark: SparkSession, layout: Layout, layer: str, name: str) -> DataFrame:
+    return spark.read.schema(table_schema(spark, layer, name)).parquet(layout.table(layer, name))
 
 
 def await_all(queries: dict[str, StreamingQuery]) -> dict[str, list]:
@@ -124,7 +166,7 @@ def refine_customers(spark: SparkSession, layout: Layout) -> StreamingQuery:
 def customer_snapshot(spark: SparkSession, layout: Layout, *, latest_only: bool = False
                       ) -> DataFrame:
     """silver.customers as it is now; optionally the latest row per id."""
-    snapshot = table_snapshot(spark, layout.table("silver", "customers"))
+    snapshot = _snapshot(spark, layout, "silver", "customers")
     return latest_per_key(snapshot, "customer_id", "update_timestamp") if latest_only else snapshot
 
 
@@ -140,13 +182,12 @@ def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool =
     the customer table is too large to broadcast).
     """
     customers = customer_snapshot(spark, layout, latest_only=latest_customers)
-    hot = hot_keys(table_snapshot(spark, layout.table("silver", "transactions")),
-                   ["customer_id"])
+    hot = hot_keys(_snapshot(spark, layout, "silver", "transactions"), ["customer_id"])
 
     def tx() -> DataFrame:
         return _stream(spark, layout, "silver", "transactions")
 
-    watchlist = (table_snapshot(spark, layout.table("silver", "fraud_watchlist"))
+    watchlist = (_snapshot(spark, layout, "silver", "fraud_watchlist")
                  if watchlist_snapshot else _stream(spark, layout, "silver", "fraud_watchlist"))
     return {
         "high_value_transactions": _start(

@@ -19,16 +19,23 @@ def test_pipeline_is_incremental(spark, sf_dir):
     customers = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
                                    testdata.read_table(spark, sf_dir, "nation"))
 
-    def deliver(part):
+    def deliver(part, watchlist=True):
         testdata.kafka_envelope(part).write.mode("append").parquet(envelope_dir)
-        testdata.watchlist_records(part).write.mode("append").json(drop_dir)
+        records = testdata.watchlist_records(part)
+        (records if watchlist else records.limit(0)).write.mode("append").json(drop_dir)
 
-    deliver(events.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz")))
+    # first run: no watchlist entry has arrived yet (empty drop folder)
+    deliver(events.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz")), watchlist=False)
     first = pipeline.run_once(spark, layout, envelope=kafka.replay_envelope(
         spark, envelope_dir, partitions=4), watchlist_folder=drop_dir, customers=customers)
     outbox_1 = spark.read.parquet(layout.outbox).count()
+    assert spark.read.parquet(layout.table("gold", "fraud_transactions")).count() == 0
 
+    # second run: the rest of the transactions and every watchlist entry; entries
+    # match transactions of the first run, kept in the join state
     deliver(events.filter(F.col("ts") >= F.lit(CUTOFF).cast("timestamp_ntz")))
+    testdata.watchlist_records(events.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))) \
+        .write.mode("append").json(drop_dir)
     pipeline.run_once(spark, layout, envelope=kafka.replay_envelope(
         spark, envelope_dir, partitions=4), watchlist_folder=drop_dir)
 
