@@ -37,7 +37,15 @@ from .runner import finish, start_foreach_batch, start_to_table
 
 @dataclass(frozen=True)
 class Layout:
+    """Where the tables live, and how their queries are triggered.
+
+    ``processing_time`` None runs each query over the available input and
+    stops (availableNow, for scheduled runs); a value such as ``"1 minute"``
+    keeps the queries running on that trigger.
+    """
+
     root: str
+    processing_time: str | None = None
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -52,7 +60,9 @@ class Layout:
 
 def _start(df: DataFrame, layout: Layout, layer: str, name: str) -> StreamingQuery:
     return start_to_table(df, layout.table(layer, name), layout.checkpoint(layer, name),
-                          query_name=f"{layer}_{name}")
+                          query_name=f"{layer}_{name}",
+                          available_now=layout.processing_time is None,
+                          processing_time=layout.processing_time)
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -212,7 +222,8 @@ def route_alerts(spark: SparkSession, layout: Layout) -> dict[str, StreamingQuer
     return {
         flow: start_foreach_batch(_stream(spark, layout, "gold", table),
                                   alerts.outbox_sink(layout.outbox, flow, render),
-                                  layout.checkpoint("alerts", flow), query_name=f"alerts_{flow}")
+                                  layout.checkpoint("alerts", flow), query_name=f"alerts_{flow}",
+                                  processing_time=layout.processing_time)
         for flow, (table, render) in flows.items()
     }
 
@@ -245,6 +256,30 @@ def run_once(spark: SparkSession, layout: Layout, *, envelope: DataFrame, watchl
     return progress
 
 
+def start_all(spark: SparkSession, layout: Layout, *, envelope: DataFrame,
+              watchlist_folder: str, **gold_options) -> dict[str, StreamingQuery]:
+    """Start every step at once on ``layout.processing_time`` (continuous).
+
+    Each step reads its upstream table as it grows.  The customer snapshot
+    is read when the gold queries start, so customers are refined first
+    (availableNow); restart the gold queries to pick up customer changes,
+    or prefer scheduled ``run_once`` calls, which re-read it every run.
+    """
+    if layout.processing_time is None:
+        raise ValueError("start_all needs layout.processing_time; use run_once for availableNow")
+    finish(refine_customers(spark, Layout(layout.root)))
+    queries = {
+        "bronze.transactions": land_transactions(spark, layout, envelope),
+        "bronze.fraud_watchlist": land_watchlist(spark, layout, watchlist_folder),
+        "silver.customers": refine_customers(spark, layout),
+        "silver.transactions": refine_transactions(spark, layout),
+        "silver.fraud_watchlist": refine_watchlist(spark, layout),
+    }
+    queries.update({f"gold.{k}": q for k, q in build_gold(spark, layout, **gold_options).items()})
+    queries.update({f"alerts.{k}": q for k, q in route_alerts(spark, layout).items()})
+    return queries
+
+
 def quality_totals(spark: SparkSession, layout: Layout) -> DataFrame:
     """Failed and input rows per table and expectation over all batches."""
     return (spark.read.parquet(layout.table("quality", "expectations"))

@@ -53,15 +53,18 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, **options) -> list:
 
 
 def start_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
-                        checkpoint: str, *, query_name: str | None = None) -> StreamingQuery:
+                        checkpoint: str, *, query_name: str | None = None,
+                        processing_time: str | None = None) -> StreamingQuery:
     """Start handing every micro-batch to ``handler(batch_df, batch_id)``.
 
-    A handler that raises stops the query; restarting from the checkpoint
-    gives the handler the same batch id with the same rows, so handlers
-    must make their writes replace what an earlier attempt wrote.
+    availableNow unless a ``processing_time`` trigger is given.  A handler
+    that raises stops the query; restarting from the checkpoint gives the
+    handler the same batch id with the same rows, so handlers must make
+    their writes replace what an earlier attempt wrote.
     """
-    writer = (df.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
-              .trigger(availableNow=True))
+    writer = df.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
+    writer = (writer.trigger(processingTime=processing_time) if processing_time
+              else writer.trigger(availableNow=True))
     if query_name:
         writer = writer.queryName(query_name)
     return writer.start()

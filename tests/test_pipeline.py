@@ -61,3 +61,29 @@ def test_pipeline_is_incremental(spark, sf_dir):
     assert totals[("silver.transactions", "valid_amount")] == events.count()
     assert totals[("silver.customers", "valid_customer_id")] == customers.count()
     assert first["silver.transactions"][0].numInputRows > 0
+
+
+def test_pipeline_runs_continuously(spark, sf_dir):
+    """All steps started at once on a processing-time trigger."""
+    events = testdata.read_table(spark, sf_dir, "events")
+    run = new_run(spark, "test_continuous")
+    layout = pipeline.Layout(run.table("pipeline"), processing_time="1 second")
+    envelope_dir, drop_dir = run.staging("envelope"), run.staging("watchlist_drop")
+    testdata.kafka_envelope(events).write.parquet(envelope_dir)
+    testdata.watchlist_records(events).write.json(drop_dir)
+    pipeline.land_customers(spark, layout, testdata.customers(
+        testdata.read_table(spark, sf_dir, "customer"), testdata.read_table(spark, sf_dir, "nation")))
+    queries = pipeline.start_all(spark, layout, envelope=kafka.replay_envelope(spark, envelope_dir),
+                                 watchlist_folder=drop_dir)
+    try:
+        for q in queries.values():          # in dependency order
+            q.processAllAvailable()
+    finally:
+        for q in queries.values():
+            q.stop()
+    tx = testdata.transactions(events)
+    c = _customers(spark, sf_dir)
+    hv = spark.read.parquet(layout.table("gold", "high_value_transactions"))
+    assert hv.count() == gold.high_value_transactions(tx, c).count() > 0
+    outbox = spark.read.parquet(layout.outbox)
+    assert outbox.filter(F.col("flow") == "high_value").count() == hv.count()
