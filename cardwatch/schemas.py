@@ -1,6 +1,6 @@
 """Declared schemas of every table the pipeline reads or writes."""
 
-from pyspark.sql.types import (BinaryType, BooleanType, DateType, DecimalType,
+from pyspark.sql.types import (BinaryType, BooleanType, DecimalType,
                                DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampNTZType,
                                TimestampType)
@@ -66,8 +66,6 @@ CUSTOMER = StructType([
     StructField("update_timestamp", TimestampType()),
 ])
 
-SILVER_CUSTOMER_OPEN_DATE = DateType()
-
 # One row per rendered notification.
 OUTBOX = StructType([
     StructField("flow", StringType()),

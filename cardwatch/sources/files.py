@@ -45,6 +45,7 @@ def table_stream(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def table_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def table_snapshot(spark: SparkSession, path: str, schema: StructType | None = None
+                   ) -> DataFrame:
     """A parquet table folder as it is now (re-read on every call)."""
-    return spark.read.parquet(path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)

@@ -29,7 +29,7 @@ from ..operators import alerts, bronze, gold, silver
 from ..operators.dedup import latest_per_key
 from ..operators.joins import hot_keys
 from ..schemas import BRONZE_WATCHLIST, CUSTOMER, KAFKA_ENVELOPE
-from ..sources.files import table_stream, watchlist_stream
+from ..sources.files import table_snapshot, table_stream, watchlist_stream
 from pyspark.sql.streaming import StreamingQuery
 
 from .runner import finish, start_foreach_batch, start_to_table
@@ -106,7 +106,7 @@ def _stream(spark: SparkSession, layout: Layout, layer: str, name: str) -> DataF
 
 
 def _snapshot(spark: SparkSession, layout: Layout, layer: str, name: str) -> DataFrame:
-    return spark.read.schema(table_schema(spark, layer, name)).parquet(layout.table(layer, name))
+    return table_snapshot(spark, layout.table(layer, name), table_schema(spark, layer, name))
 
 
 def await_all(queries: dict[str, StreamingQuery]) -> dict[str, list]:

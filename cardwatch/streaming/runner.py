@@ -83,10 +83,3 @@ def rows_dropped_by_watermark(progress: list) -> int:
         for op in p.stateOperators:
             total += op.numRowsDroppedByWatermark
     return total
-
-
-def state_rows(progress: list) -> int:
-    """State rows held after the last micro-batch of a run."""
-    if not progress:
-        return 0
-    return sum(op.numRowsTotal for op in progress[-1].stateOperators)
