@@ -26,6 +26,9 @@ from ..streaming.runner import run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# Progress reports of the streaming queries of the latest run of each key
+# (for the bench: batches, input rows, state size).
+PROGRESS: dict[str, list] = {}
 
 
 def query(name: str):
@@ -44,7 +47,7 @@ def _stream_result(spark: SparkSession, name: str, df: DataFrame, *,
                    run: RunFolder | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """Run a stream to the end of its input and read back what it wrote."""
     run = run or new_run(spark, name)
-    run_to_table(df, run.table(name), run.checkpoint(name))
+    PROGRESS[name] = run_to_table(df, run.table(name), run.checkpoint(name))
     out = spark.read.parquet(run.table(name))
     return wall_clock(out.drop(*PROCESSING_TIME, *drop))
 
@@ -289,10 +292,11 @@ def _pipeline_run(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Layou
     layout = pipeline.Layout(run.table("pipeline"))
     customers = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
                                    testdata.read_table(spark, sf_dir, "nation"))
-    pipeline.run_once(spark, layout,
-                      envelope=testdata.kafka_envelope(_events_stream(spark, sf_dir)),
-                      watchlist_folder=_stage_watchlist(spark, sf_dir, run),
-                      customers=customers)
+    progress = pipeline.run_once(spark, layout,
+                                 envelope=testdata.kafka_envelope(_events_stream(spark, sf_dir)),
+                                 watchlist_folder=_stage_watchlist(spark, sf_dir, run),
+                                 customers=customers)
+    PROGRESS[name] = [p for step in progress.values() for p in step]
     return layout
 
 

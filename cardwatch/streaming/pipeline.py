@@ -69,13 +69,23 @@ def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table_schema(spark: SparkSession, layer: str, name: str) -> StructType:
     """Schema of a pipeline table, from the step that writes it.
 
     Each step is applied to empty frames of its inputs' schemas, starting
     from the declared source schemas, so a step can start while the table
-    it reads is still empty (nothing is inferred from files).
+    it reads is still empty (nothing is inferred from files).  Derived once
+    per process.
     """
+    if (layer, name) not in _SCHEMAS:
+        _SCHEMAS[(layer, name)] = _derive_schema(spark, layer, name)
+    return _SCHEMAS[(layer, name)]
+
+
+def _derive_schema(spark: SparkSession, layer: str, name: str) -> StructType:
     def of(lay: str, nm: str) -> DataFrame:
         return _empty(spark, table_schema(spark, lay, nm))
 
