@@ -74,6 +74,15 @@ OUTBOX = StructType([
     StructField("alert_count", LongType()),
 ])
 
+# Expectation failures per table and micro-batch (partitioned by the last two).
+QUALITY = StructType([
+    StructField("expectation", StringType()),
+    StructField("failed_rows", LongType()),
+    StructField("total_rows", LongType()),
+    StructField("table", StringType()),
+    StructField("batch_id", LongType()),
+])
+
 # Input test tables of the driver (used by the adapter only).
 EVENTS = StructType([
     StructField("event_id", LongType()),

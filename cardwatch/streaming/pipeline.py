@@ -28,7 +28,7 @@ from pyspark.sql.types import StructType
 from ..operators import alerts, bronze, gold, silver
 from ..operators.dedup import latest_per_key
 from ..operators.joins import hot_keys
-from ..schemas import BRONZE_WATCHLIST, CUSTOMER, KAFKA_ENVELOPE
+from ..schemas import BRONZE_WATCHLIST, CUSTOMER, KAFKA_ENVELOPE, OUTBOX, QUALITY
 from ..sources.files import table_snapshot, table_stream, watchlist_stream
 from pyspark.sql.streaming import StreamingQuery
 
@@ -69,6 +69,26 @@ def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+# Partition columns of the partitioned tables.
+PARTITIONS = {("alerts", "outbox"): ["flow", "batch_id"],
+              ("quality", "expectations"): ["table", "batch_id"]}
+# What each table holds (kept as the table comment in the catalog).
+TABLE_COMMENTS = {
+    ("bronze", "transactions"): "Card transactions as received from the message queue",
+    ("bronze", "fraud_watchlist"): "Watchlist records as delivered, with the file of each",
+    ("bronze", "customers"): "Customer master loads as received",
+    ("silver", "transactions"): "Parsed transactions that passed the expectations",
+    ("silver", "fraud_watchlist"): "Watchlist entries with normalised codes and parsed times",
+    ("silver", "customers"): "Customers with a known id and a parsed open date",
+    ("gold", "high_value_transactions"): "Transactions above the customer's own limit",
+    ("gold", "fraud_transactions"): "Transactions on watch-listed cards of known customers",
+    ("gold", "transactions_count_by_minute"): "Transactions per event-time minute",
+    ("gold", "transactions_count_by_minute_sliding_window"):
+        "Transactions per five-minute event-time window, one window per minute",
+    ("alerts", "outbox"): "Rendered notifications, one row per message",
+    ("quality", "expectations"): "Expectation failures per table and micro-batch",
+}
+
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
@@ -106,6 +126,14 @@ def _derive_schema(spark: SparkSession, layer: str, name: str) -> StructType:
     elif (layer, name) == ("gold", "fraud_transactions"):
         df = gold.fraud_transactions(of("silver", "transactions"), of("silver", "fraud_watchlist"),
                                      of("silver", "customers"))
+    elif (layer, name) == ("gold", "transactions_count_by_minute"):
+        df = gold.transaction_counts(of("silver", "transactions"))
+    elif (layer, name) == ("gold", "transactions_count_by_minute_sliding_window"):
+        df = gold.sliding_transaction_counts(of("silver", "transactions"))
+    elif (layer, name) == ("alerts", "outbox"):
+        return OUTBOX
+    elif (layer, name) == ("quality", "expectations"):
+        return QUALITY
     else:
         raise KeyError(f"no table {layer}.{name}")
     return df.schema
@@ -290,6 +318,33 @@ def start_all(spark: SparkSession, layout: Layout, *, envelope: DataFrame,
     return queries
 
 
+def register_tables(spark: SparkSession, layout: Layout, prefix: str = "") -> list[str]:
+    """Name every table in the session catalog: database = layer.
+
+    Tables are external (their folders are the layout's), so dropping or
+    re-registering one never touches data; each carries its comment.  After
+    this, ``spark.table("silver.transactions")`` and
+    ``spark.readStream.table("spark_catalog.silver.transactions")`` work.
+    ``prefix`` is put before every database name.
+    """
+    names = []
+    for (layer, name), comment in TABLE_COMMENTS.items():
+        database, table = f"{prefix}{layer}", f"{prefix}{layer}.{name}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        schema = table_schema(spark, layer, name)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = PARTITIONS.get((layer, name))
+        partitioned = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        escaped = comment.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet {partitioned} "
+                  f"LOCATION '{layout.table(layer, name)}' COMMENT '{escaped}'")
+        if parts:
+            spark.sql(f"ALTER TABLE `{database}`.`{name}` RECOVER PARTITIONS")
+        names.append(table)
+    return names
+
+
 def quality_totals(spark: SparkSession, layout: Layout) -> DataFrame:
     """Failed and input rows per table and expectation over all batches."""
     return (spark.read.parquet(layout.table("quality", "expectations"))

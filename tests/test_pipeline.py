@@ -87,3 +87,18 @@ def test_pipeline_runs_continuously(spark, sf_dir):
     assert hv.count() == gold.high_value_transactions(tx, c).count() > 0
     outbox = spark.read.parquet(layout.outbox)
     assert outbox.filter(F.col("flow") == "high_value").count() == hv.count()
+
+
+def test_tables_are_registered_by_name(spark, sf_dir):
+    from cardwatch.plans.catalog import _pipeline_run
+    layout = _pipeline_run(spark, sf_dir, "test_register")
+    names = pipeline.register_tables(spark, layout, prefix="reg_")
+    assert "reg_silver.transactions" in names and len(names) == len(pipeline.TABLE_COMMENTS)
+    assert spark.table("reg_silver.transactions").count() == \
+        spark.read.parquet(layout.table("silver", "transactions")).count()
+    comment = spark.sql("DESCRIBE TABLE EXTENDED reg_gold.fraud_transactions") \
+        .filter("col_name = 'Comment'").first().data_type
+    assert comment == pipeline.TABLE_COMMENTS[("gold", "fraud_transactions")]
+    assert spark.readStream.table("spark_catalog.reg_gold.high_value_transactions").isStreaming
+    flows = {r.flow for r in spark.table("reg_alerts.outbox").select("flow").distinct().collect()}
+    assert flows == {"high_value", "fraud"}
