@@ -68,10 +68,16 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="cardwatch-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
+            pass
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 

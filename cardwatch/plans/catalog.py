@@ -53,9 +53,10 @@ def _stream_result(spark: SparkSession, name: str, df: DataFrame, *,
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream spread over all cores, like a partitioned topic."""
-    return testdata.events_stream(spark, sf_dir,
-                                  partitions=spark.sparkContext.defaultParallelism)
+    """``events`` as a stream spread over the session's shuffle partitions,
+    like a partitioned topic."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return testdata.events_stream(spark, sf_dir, partitions=partitions)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
