@@ -175,3 +175,28 @@ def test_snapshot_match_equals_stream_match_on_a_complete_watchlist(spark, sf_di
     assert sorted(joined.collect()) == sorted(snap.collect())
     plan = snap._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" not in plan          # small watchlist: broadcast, no salting
+
+
+def test_customer_edge_rows(spark):
+    from decimal import Decimal
+    from cardwatch.operators import alerts, bronze, silver
+    from cardwatch.schemas import CUSTOMER
+    base = {f.name: None for f in CUSTOMER.fields}
+    rows = [
+        {**base, "customer_id": "C1", "first_name": "A<&>", "last_name": "B", "email": "a@x",
+         "account_open_date": "2021-02-29", "transaction_limit": Decimal("10.00")},
+        {**base, "customer_id": "C2", "first_name": "N", "email": "n@x",
+         "account_open_date": "2021-03-01", "transaction_limit": None},
+        {**base, "customer_id": None, "first_name": "X", "transaction_limit": Decimal("1.00")},
+    ]
+    raw = spark.createDataFrame([tuple(r[f.name] for f in CUSTOMER.fields) for r in rows], CUSTOMER)
+    cust = silver.silver_customers(bronze.bronze_customers(raw))
+    got = {r.customer_id: r for r in cust.collect()}
+    assert set(got) == {"C1", "C2"}                          # NULL id dropped
+    assert got["C1"].account_open_date is None               # not a calendar date
+    assert str(got["C2"].account_open_date) == "2021-03-01"
+    t = tx(spark, [("t1", "C1", "1", 50.0), ("t2", "C2", "1", 1e12)])
+    hv = gold.high_value_transactions(t, cust)
+    assert [r.transaction_id for r in hv.collect()] == ["t1"]   # NULL limit: no alert
+    body = alerts.high_value_messages(hv).first().body
+    assert "Dear A&lt;&amp;&gt; B," in body and "USD 50.00" in body and "USD 10.00" in body
