@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import alert_id, full_name
-from .joins import DEFAULT_BROADCAST_BYTES, DEFAULT_SALT_BUCKETS, join_dimension, salted_join
+from .joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_SALT_BUCKETS, hot_key_salted_join,
+                    join_dimension, salted_join)
 
 # Event-time settings and alert type names.
 WATERMARK_DELAY = "5 minutes"
@@ -107,7 +108,8 @@ def watchlist_side(watchlist: DataFrame) -> DataFrame:
 def watchlist_matches(tx: DataFrame, watchlist: DataFrame, *,
                       watermark_delay: str = WATERMARK_DELAY,
                       max_match_age: str | None = None,
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                      hot_cards: DataFrame | None = None) -> DataFrame:
     """Transactions on a watch-listed card: ``card_number = entity_id``.
 
     Both sides carry a watermark.  By default there is no time condition,
@@ -121,7 +123,10 @@ def watchlist_matches(tx: DataFrame, watchlist: DataFrame, *,
 
     The transaction side is salted by a hash of ``transaction_id`` and the
     watchlist side repeated per salt, so one busy card is spread over
-    ``salt_buckets`` state partitions.
+    ``salt_buckets`` state partitions.  With ``hot_cards`` (``card_number``
+    and ``_buckets``, see ``joins.hot_keys``) only those cards are salted,
+    each over as many partitions as its share needs.  Either way the salt
+    layout is part of the join state: keep it fixed for a checkpoint.
     """
     t = tx.withWatermark("transaction_timestamp", watermark_delay)
     w = watchlist_side(watchlist).withWatermark("effective_from", watermark_delay)
@@ -130,8 +135,11 @@ def watchlist_matches(tx: DataFrame, watchlist: DataFrame, *,
         extra = ((F.col("transaction_timestamp") >= F.col("effective_from")) &
                  (F.col("transaction_timestamp") <=
                   F.col("effective_from") + F.expr(f"INTERVAL {max_match_age}")))
-    return salted_join(t, w, [("card_number", "entity_id")], ["transaction_id"], salt_buckets,
-                       extra=extra).drop("entity_id")
+    on = [("card_number", "entity_id")]
+    if hot_cards is not None:
+        return hot_key_salted_join(t, w, on, hot_cards, ["transaction_id"],
+                                   extra=extra).drop("entity_id")
+    return salted_join(t, w, on, ["transaction_id"], salt_buckets, extra=extra).drop("entity_id")
 
 
 def watchlist_matches_snapshot(tx: DataFrame, watchlist: DataFrame, *,
@@ -156,7 +164,8 @@ def fraud_transactions(tx: DataFrame, watchlist: DataFrame, customers: DataFrame
                        salt_buckets: int = DEFAULT_SALT_BUCKETS,
                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                        watchlist_snapshot: bool = False,
-                       hot_customers: DataFrame | None = None) -> DataFrame:
+                       hot_customers: DataFrame | None = None,
+                       hot_cards: DataFrame | None = None) -> DataFrame:
     """One alert per (transaction, matching watchlist entry) of a known customer.
 
     ``watchlist_snapshot`` takes ``watchlist`` as a static table and matches
@@ -167,7 +176,8 @@ def fraud_transactions(tx: DataFrame, watchlist: DataFrame, customers: DataFrame
                                              salt_buckets=salt_buckets)
     else:
         matches = watchlist_matches(tx, watchlist, watermark_delay=watermark_delay,
-                                    max_match_age=max_match_age, salt_buckets=salt_buckets)
+                                    max_match_age=max_match_age, salt_buckets=salt_buckets,
+                                    hot_cards=hot_cards)
     joined = with_customers(matches, customers, ["transaction_id", "watchlist_id"],
                             broadcast_bytes=broadcast_bytes, salt_buckets=salt_buckets,
                             hot_customers=hot_customers)

@@ -139,8 +139,16 @@ def hot_keys(facts: DataFrame, keys: list[str], min_share: float = DEFAULT_HOT_S
             .select(*keys, buckets.cast("int").alias(BUCKETS)))
 
 
-def _salt_hot_keys(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
-                   hot: DataFrame, identity: list[str | Column], null_safe: bool) -> DataFrame:
+def hot_key_salted_join(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
+                        hot: DataFrame, identity: list[str | Column], null_safe: bool = False,
+                        extra: Column | None = None) -> DataFrame:
+    """Inner join on ``(key, salt)`` where only hot keys have more than one salt.
+
+    ``hot`` lists hot key values (named like the fact keys) with their
+    ``_buckets``; it is broadcast to both sides (stream-static left joins
+    when a side is a stream).  Works for a stream-stream join too, as long
+    as ``hot`` stays the same for the life of the checkpoint.
+    """
     fact_keys = [a for a, _ in on]
     if BUCKETS not in hot.columns:
         hot = hot.withColumn(BUCKETS, F.lit(DEFAULT_SALT_BUCKETS))
@@ -161,6 +169,8 @@ def _salt_hot_keys(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
                                  .otherwise(F.array(F.lit(0))))).drop(BUCKETS, *hot_cols)
     cond = _condition(salted_facts, repeated_dim, on, null_safe) & (
         salted_facts[SALT] == repeated_dim["_small_salt"])
+    if extra is not None:
+        cond = cond & extra
     return salted_facts.join(repeated_dim, cond, "inner").drop(SALT, "_small_salt")
 
 
@@ -187,4 +197,4 @@ def join_dimension(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
         hot = hot_keys(facts, [a for a, _ in on], min_hot_share)
     if hot is None:
         return salted_join(facts, dim, on, identity, salt_buckets, null_safe=null_safe)
-    return _salt_hot_keys(facts, dim, on, hot, identity, null_safe)
+    return hot_key_salted_join(facts, dim, on, hot, identity, null_safe)

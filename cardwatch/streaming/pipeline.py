@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -218,6 +219,23 @@ def customer_snapshot(spark: SparkSession, layout: Layout, *, latest_only: bool
     return latest_per_key(snapshot, "customer_id", "update_timestamp") if latest_only else snapshot
 
 
+def frozen_hot_cards(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Busy cards of the watchlist match, fixed when its checkpoint is new.
+
+    The salt layout is part of the join state, so the list is computed
+    once, from the transaction history at the first run, written next to
+    the checkpoint, and read back by every later run.  Cards that become
+    busy later keep a single salt (correct, only less spread).
+    """
+    path = f"{layout.checkpoint('gold', 'fraud_transactions')}.hot_cards"
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        hot_keys(_snapshot(spark, layout, "silver", "transactions"), ["card_number"]) \
+            .write.parquet(path)
+        return spark.read.parquet(path)
+
+
 def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool = False,
                max_match_age: str | None = None, watchlist_snapshot: bool = False
                ) -> dict[str, StreamingQuery]:
@@ -243,7 +261,8 @@ def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool =
             layout, "gold", "high_value_transactions"),
         "fraud_transactions": _start(gold.fraud_transactions(
             tx(), watchlist, customers, max_match_age=max_match_age,
-            watchlist_snapshot=watchlist_snapshot, hot_customers=hot),
+            watchlist_snapshot=watchlist_snapshot, hot_customers=hot,
+            hot_cards=None if watchlist_snapshot else frozen_hot_cards(spark, layout)),
             layout, "gold", "fraud_transactions"),
         "transactions_count_by_minute": _start(gold.transaction_counts(tx()), layout, "gold",
                                                "transactions_count_by_minute"),

@@ -92,7 +92,7 @@ def test_only_hot_keys_are_repeated(spark):
     facts, dim = skewed(spark)
     hot = joins.hot_keys(facts, ["k"], 0.01, partitions=8)
     flags = hot.select(F.col("k").alias("_hot_k"), "_buckets")
-    repeated = joins._salt_hot_keys(facts, dim, [("k", "dk")], hot, ["fid"], False)
+    repeated = joins.hot_key_salted_join(facts, dim, [("k", "dk")], hot, ["fid"])
     salts = repeated.groupBy("k").agg(F.countDistinct(
         joins.salt_of(["fid"], 1)).alias("n"))
     assert flags.count() == 1 and salts.count() == 1001
