@@ -18,7 +18,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from ..config import shared_root
+from ..config import CLUSTER_STREAMING, shared_root
 from ..schemas import CUSTOMER
 from ..sources.kafka import kafka_options, read_kafka
 from . import pipeline
@@ -38,12 +38,17 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--max-match-age", help="opt-in time bound of the watchlist match")
     p.add_argument("--latest-customers", action="store_true",
                    help="join only the latest row per customer id")
+    p.add_argument("--state-store", choices=["rocksdb", "default"], default="rocksdb",
+                   help="state store for new checkpoints (an existing one keeps its own)")
     return p.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("cardwatch").getOrCreate()
+    if args.state_store == "rocksdb":
+        for key, value in CLUSTER_STREAMING.items():
+            spark.conf.set(key, value)
     credentials = {}
     if args.credentials_file:
         with open(args.credentials_file) as f:
