@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DecimalType,
                                DoubleType, FloatType, IntegerType, LongType, ShortType,
-                               StringType, StructType, TimestampNTZType, TimestampType)
+                               StringType, TimestampNTZType, TimestampType)
 
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 DEFAULT_SALT_BUCKETS = 8

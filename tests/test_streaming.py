@@ -2,7 +2,6 @@
 
 import json
 import os
-from datetime import datetime
 
 import pytest
 from pyspark.errors import StreamingQueryException
