@@ -18,3 +18,13 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SMOKE_DIR
+
+
+def explain_text(df, mode="extended") -> str:
+    """What ``df.explain(mode)`` prints (parsed, analyzed, optimized, physical)."""
+    import contextlib
+    import io
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()

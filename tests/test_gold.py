@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.operators import gold, joins
 from cardwatch.operators.dedup import latest_per_key
+from tests.conftest import explain_text
 
 TX_SCHEMA = ("transaction_id string, customer_id string, card_number string, "
              "merchant_id string, merchant_name string, merchant_category string, "
@@ -60,7 +61,7 @@ def test_salted_join_equals_broadcast_join(spark, sf_dir):
     plain = t.join(c, t.customer_id == c[gold.CUSTOMER_KEY]).select(cols)
     salted = joins.salted_join(t, c, on, ["transaction_id"], 5).select(cols)
     assert sorted(plain.collect()) == sorted(salted.collect())
-    plan = salted._jdf.queryExecution().executedPlan().toString()
+    plan = explain_text(salted, "formatted")
     assert "Generate" in plan and "explode" in plan
 
 
@@ -84,7 +85,7 @@ def test_hot_key_split_equals_plain_join(spark):
     split = joins.join_dimension(facts, dim, [("k", "dk")], ["fid"], broadcast_bytes=4_000,
                                  min_hot_share=0.01)
     assert sorted(plain.collect()) == sorted(split.select("fid", "v").collect())
-    logical = split._jdf.queryExecution().optimizedPlan().toString()
+    logical = explain_text(split, "extended").split("== Optimized Logical Plan ==")[1]
     assert "Union" not in logical and "_salt" in logical      # one pass over the facts
 
 
@@ -173,7 +174,7 @@ def test_snapshot_match_equals_stream_match_on_a_complete_watchlist(spark, sf_di
     joined = gold.fraud_transactions(t, w, c).select(cols)
     snap = gold.fraud_transactions(t, w, c, watchlist_snapshot=True).select(cols)
     assert sorted(joined.collect()) == sorted(snap.collect())
-    plan = snap._jdf.queryExecution().optimizedPlan().toString()
+    plan = explain_text(snap, "extended").split("== Optimized Logical Plan ==")[1]
     assert "_salt" not in plan          # small watchlist: broadcast, no salting
 
 
