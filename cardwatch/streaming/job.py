@@ -1,6 +1,6 @@
 """Run the pipeline as a job.
 
-    spark-submit --py-files cardwatch.zip -m cardwatch.streaming.job \\
+    python -m cardwatch.streaming.job \\
         --root s3a://bucket/cardwatch --bootstrap-servers host:9092 --topic transactions \\
         --credentials-file /secure/kafka.json --watchlist-folder s3a://bucket/watchlist \\
         [--customers-parquet s3a://bucket/customers_load] [--processing-time "1 minute"]
