@@ -38,6 +38,10 @@ def query(name: str):
     return register
 
 
+# Event time splitting the test data into an older and a newer half (the
+# watchlist feed takes the older half as already delivered).
+DELIVERED_BEFORE = "2024-01-16 00:00:00"
+
 # Columns holding the processing time, left out of returned results.
 PROCESSING_TIME = ("ingestion_timestamp", "bronze_ingestion_timestamp",
                    "silver_ingestion_timestamp", "alert_timestamp")
@@ -97,6 +101,29 @@ def sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_result(spark, "sliding_count", gold.sliding_transaction_counts(tx))
 
 
+@query("late_rows_dropped")
+def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-minute counts when the older half of the data arrives late.
+
+    The newer half of ``events`` is delivered and counted first; then the
+    older half arrives and the same query (same checkpoint) runs again.
+    Every older row is behind the watermark by then and is dropped, so the
+    emitted windows are those of the newer half.
+    """
+    run = new_run(spark, "late_rows_dropped")
+    folder, table = run.staging("transactions"), run.table("late_rows_dropped")
+    events = _events(spark, sf_dir)
+    cutoff = F.lit(DELIVERED_BEFORE).cast("timestamp_ntz")
+    progress = []
+    for part in (events.filter(F.col("ts") >= cutoff), events.filter(F.col("ts") < cutoff)):
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(part.schema).parquet(folder)
+        progress += run_to_table(gold.transaction_counts(testdata.transactions(stream)), table,
+                                 run.checkpoint("late_rows_dropped"))
+    PROGRESS["late_rows_dropped"] = progress
+    return wall_clock(spark.read.parquet(table))
+
+
 @query("tumbling_count_batch")
 def tumbling_count_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per-minute count on a batch frame: every window."""
@@ -317,10 +344,6 @@ def outbox_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- watchlist feed ------------------------------------------------------------------------
 
-# Records with an event time before this are taken as already delivered.
-DELIVERED_BEFORE = "2024-01-16 00:00:00"
-
-
 def _stage_feed(spark: SparkSession, sf_dir: str, run) -> tuple[str, str]:
     """Feed CSV of every watchlist record; drop folder with the first half."""
     events = _events(spark, sf_dir)

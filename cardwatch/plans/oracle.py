@@ -262,6 +262,8 @@ ORACLE: dict[str, str] = {
     "tumbling_count": f"SELECT * FROM ({TUMBLING}) WHERE window_end <= {WATERMARK}",
     "sliding_count": f"SELECT * FROM ({SLIDING}) WHERE window_end <= {WATERMARK}",
     "tumbling_count_batch": TUMBLING,
+    "late_rows_dropped": f"""SELECT * FROM ({TUMBLING.replace("FROM events", "FROM events "
+        "WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'")}) WHERE window_end <= {WATERMARK}""",
     "sliding_count_batch": SLIDING,
     "bronze_transactions": f"""WITH {TX}
         SELECT CAST(transaction_id AS VARCHAR) AS key, {JSON_VALUE} AS value,

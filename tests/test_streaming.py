@@ -2,6 +2,7 @@
 
 import json
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -143,3 +144,13 @@ def test_counts_batch_and_stream_agree_on_closed_windows(spark, sf_dir):
     # each row is counted in five windows
     total = batch.agg(F.sum("transactions_count")).first()[0]
     assert total == 5 * testdata.read_table(spark, sf_dir, "events").count()
+
+
+def test_registered_late_query_drops_the_older_half(spark, sf_dir):
+    from cardwatch.plans import catalog
+    windows = catalog.QUERIES["late_rows_dropped"](spark, sf_dir)
+    events = testdata.read_table(spark, sf_dir, "events")
+    older = events.filter(F.col("ts") < F.lit(catalog.DELIVERED_BEFORE).cast("timestamp_ntz"))
+    assert runner.rows_dropped_by_watermark(catalog.PROGRESS["late_rows_dropped"]) == older.count()
+    assert windows.agg(F.min("window_start")).first()[0] >= \
+        datetime.fromisoformat(catalog.DELIVERED_BEFORE)
