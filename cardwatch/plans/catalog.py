@@ -47,20 +47,33 @@ PROCESSING_TIME = ("ingestion_timestamp", "bronze_ingestion_timestamp",
                    "silver_ingestion_timestamp", "alert_timestamp")
 
 
+def _cores(spark: SparkSession) -> int:
+    """Cores of the session: the partitions of the test-table streams.
+
+    The test tables are small, so their streaming queries keep one state
+    partition per core rather than the session's shuffle partitions (a
+    cluster job sizes those for its own state).
+    """
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _stream_result(spark: SparkSession, name: str, df: DataFrame, *,
                    run: RunFolder | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """Run a stream to the end of its input and read back what it wrote."""
     run = run or new_run(spark, name)
-    PROGRESS[name] = run_to_table(df, run.table(name), run.checkpoint(name))
+    PROGRESS[name] = run_to_table(df, run.table(name), run.checkpoint(name),
+                                  partitions=_cores(spark))
     out = spark.read.parquet(run.table(name))
     return wall_clock(out.drop(*PROCESSING_TIME, *drop))
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream spread over the session's shuffle partitions,
-    like a partitioned topic."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return testdata.events_stream(spark, sf_dir, partitions=partitions)
+    """``events`` as a stream spread over the session's cores, like a
+    partitioned topic."""
+    return testdata.events_stream(spark, sf_dir, partitions=_cores(spark))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +132,7 @@ def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
         part.write.mode("append").parquet(folder)
         stream = spark.readStream.schema(part.schema).parquet(folder)
         progress += run_to_table(gold.transaction_counts(testdata.transactions(stream)), table,
-                                 run.checkpoint("late_rows_dropped"))
+                                 run.checkpoint("late_rows_dropped"), partitions=_cores(spark))
     PROGRESS["late_rows_dropped"] = progress
     return wall_clock(spark.read.parquet(table))
 
@@ -317,7 +330,7 @@ def alert_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pipeline_run(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Layout:
     """The whole medallion pipeline once over the test tables."""
     run = new_run(spark, name)
-    layout = pipeline.Layout(run.table("pipeline"))
+    layout = pipeline.Layout(run.table("pipeline"), partitions=_cores(spark))
     customers = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
                                    testdata.read_table(spark, sf_dir, "nation"))
     progress = pipeline.run_once(spark, layout,

@@ -46,6 +46,9 @@ class Layout:
 
     root: str
     processing_time: str | None = None
+    # Shuffle/state partitions of queries started on a new checkpoint;
+    # None takes the session's spark.sql.shuffle.partitions.
+    partitions: int | None = None
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -62,7 +65,8 @@ def _start(df: DataFrame, layout: Layout, layer: str, name: str) -> StreamingQue
     return start_to_table(df, layout.table(layer, name), layout.checkpoint(layer, name),
                           query_name=f"{layer}_{name}",
                           available_now=layout.processing_time is None,
-                          processing_time=layout.processing_time)
+                          processing_time=layout.processing_time,
+                          partitions=layout.partitions)
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -279,7 +283,8 @@ def route_alerts(spark: SparkSession, layout: Layout) -> dict[str, StreamingQuer
         flow: start_foreach_batch(_stream(spark, layout, "gold", table),
                                   alerts.outbox_sink(layout.outbox, flow, render),
                                   layout.checkpoint("alerts", flow), query_name=f"alerts_{flow}",
-                                  processing_time=layout.processing_time)
+                                  processing_time=layout.processing_time,
+                                  partitions=layout.partitions)
         for flow, (table, render) in flows.items()
     }
 
@@ -323,7 +328,7 @@ def start_all(spark: SparkSession, layout: Layout, *, envelope: DataFrame,
     """
     if layout.processing_time is None:
         raise ValueError("start_all needs layout.processing_time; use run_once for availableNow")
-    finish(refine_customers(spark, Layout(layout.root)))
+    finish(refine_customers(spark, Layout(layout.root, partitions=layout.partitions)))
     queries = {
         "bronze.transactions": land_transactions(spark, layout, envelope),
         "bronze.fraud_watchlist": land_watchlist(spark, layout, watchlist_folder),

@@ -9,11 +9,34 @@ output exactly once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Start queries inside this block with ``partitions`` state partitions.
+
+    A streaming query takes its shuffle (and so state-store) partition count
+    from the session when it starts and keeps it in its checkpoint for
+    good; the session setting is restored afterwards.  ``None`` leaves the
+    session as it is.
+    """
+    if partitions is None:
+        yield
+        return
+    previous = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, previous)
+
 
 def finish(query: StreamingQuery) -> list:
     """Wait for an availableNow query; raise its error; return its progress."""
@@ -23,13 +46,14 @@ def finish(query: StreamingQuery) -> list:
 
 def start_to_table(df: DataFrame, path: str, checkpoint: str, *,
                    partition_by: list[str] | None = None, query_name: str | None = None,
-                   available_now: bool = True, processing_time: str | None = None
-                   ) -> StreamingQuery:
+                   available_now: bool = True, processing_time: str | None = None,
+                   partitions: int | None = None) -> StreamingQuery:
     """Start appending a stream to a parquet table folder.
 
     ``available_now`` processes what is there (in as many micro-batches as
     the source's rate limits ask for) and stops; otherwise the query runs
-    on a ``processing_time`` trigger until stopped.
+    on a ``processing_time`` trigger until stopped.  ``partitions`` sets the
+    query's shuffle/state partitions (default: the session's).
     """
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint))
@@ -41,7 +65,8 @@ def start_to_table(df: DataFrame, path: str, checkpoint: str, *,
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start(path)
+    with state_partitions(df.sparkSession, partitions):
+        return writer.start(path)
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, **options) -> list:
@@ -54,7 +79,8 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, **options) -> list:
 
 def start_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
                         checkpoint: str, *, query_name: str | None = None,
-                        processing_time: str | None = None) -> StreamingQuery:
+                        processing_time: str | None = None,
+                        partitions: int | None = None) -> StreamingQuery:
     """Start handing every micro-batch to ``handler(batch_df, batch_id)``.
 
     availableNow unless a ``processing_time`` trigger is given.  A handler
@@ -67,7 +93,8 @@ def start_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None]
               else writer.trigger(availableNow=True))
     if query_name:
         writer = writer.queryName(query_name)
-    return writer.start()
+    with state_partitions(df.sparkSession, partitions):
+        return writer.start()
 
 
 def run_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
