@@ -70,6 +70,8 @@ def fits_broadcast(df: DataFrame, budget_bytes: int = DEFAULT_BROADCAST_BYTES) -
     the check is a proven bound and stays cheap on a dimension far larger
     than the budget.  Project the frame to the join columns first.
     """
+    if budget_bytes <= 0:
+        return False
     min_row = 8 + sum(_fixed_bytes(f.dataType) or 0 for f in df.schema.fields)
     max_rows = budget_bytes // min_row
     measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"),
