@@ -356,7 +356,8 @@ def register_tables(spark: SparkSession, layout: Layout, prefix: str = "") -> li
     names = []
     for (layer, name), comment in TABLE_COMMENTS.items():
         database, table = f"{prefix}{layer}", f"{prefix}{layer}.{name}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` "
+                  f"LOCATION '{layout.root}/{layer}'")
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
         schema = table_schema(spark, layer, name)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
