@@ -56,7 +56,7 @@ def _tx_columns(customer_id: str = "CAST(user_id AS VARCHAR)", amount: str = "va
         event_id, ts"""
 
 
-EVENTS_K = "(SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"
+EVENTS_K = "(SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"
 
 TX = f"tx AS (SELECT {_tx_columns()} FROM {EVENTS_K})"
 DIRTY_TX = f"""dtx AS (SELECT {_tx_columns(

@@ -51,7 +51,7 @@ def card_number(user_id: Column) -> Column:
 
 
 def _props_k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.get_json_object("props", "$.k").try_cast("int")
 
 
 def _transaction_columns() -> dict[str, Column]:
