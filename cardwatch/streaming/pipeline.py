@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from ..operators import alerts, bronze, gold, silver
@@ -181,6 +181,37 @@ def record_quality(spark: SparkSession, layout: Layout, table: str, progress: li
          .partitionBy("table", "batch_id").parquet(layout.table("quality", "expectations")))
 
 
+class QualityRecorder(StreamingQueryListener):
+    """Records the expectation counts of running queries, batch by batch.
+
+    For queries started on a processing-time trigger, whose progress is
+    never collected at the end of a run.  ``watch(query, table,
+    observation)`` adds a query (by id, so same-named queries elsewhere are
+    not affected).
+    """
+
+    def __init__(self, spark: SparkSession, layout: Layout):
+        self.spark, self.layout = spark, layout
+        self.queries: dict[str, tuple[str, str]] = {}
+
+    def watch(self, query: StreamingQuery, table: str, observation: str) -> None:
+        self.queries[str(query.id)] = (table, observation)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        spec = self.queries.get(str(event.progress.id))
+        if spec is not None:
+            record_quality(self.spark, self.layout, spec[0], [event.progress], spec[1])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def land_transactions(spark: SparkSession, layout: Layout, envelope: DataFrame) -> StreamingQuery:
     """Kafka (or replayed) envelope stream → bronze.transactions."""
     return _start(bronze.bronze_transactions(envelope), layout, "bronze", "transactions")
@@ -331,14 +362,20 @@ def start_all(spark: SparkSession, layout: Layout, *, envelope: DataFrame,
     """
     if layout.processing_time is None:
         raise ValueError("start_all needs layout.processing_time; use run_once for availableNow")
-    finish(refine_customers(spark, Layout(layout.root, partitions=layout.partitions)))
+    first = finish(refine_customers(spark, Layout(layout.root, partitions=layout.partitions)))
+    record_quality(spark, layout, "silver.customers", first, "silver_customers")
+    recorder = QualityRecorder(spark, layout)
+    spark.streams.addListener(recorder)
     queries = {
         "bronze.transactions": land_transactions(spark, layout, envelope),
         "bronze.fraud_watchlist": land_watchlist(spark, layout, watchlist_folder),
-        "silver.customers": refine_customers(spark, layout),
-        "silver.transactions": refine_transactions(spark, layout),
-        "silver.fraud_watchlist": refine_watchlist(spark, layout),
     }
+    # watched as soon as started: a progress report follows a whole micro-batch
+    queries["silver.customers"] = refine_customers(spark, layout)
+    recorder.watch(queries["silver.customers"], "silver.customers", "silver_customers")
+    queries["silver.transactions"] = refine_transactions(spark, layout)
+    recorder.watch(queries["silver.transactions"], "silver.transactions", "silver_transactions")
+    queries["silver.fraud_watchlist"] = refine_watchlist(spark, layout)
     queries.update({f"gold.{k}": q for k, q in build_gold(spark, layout, **gold_options).items()})
     queries.update({f"alerts.{k}": q for k, q in route_alerts(spark, layout).items()})
     return queries

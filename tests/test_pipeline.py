@@ -87,6 +87,15 @@ def test_pipeline_runs_continuously(spark, sf_dir):
     assert hv.count() == gold.high_value_transactions(tx, c).count() > 0
     outbox = spark.read.parquet(layout.outbox)
     assert outbox.filter(F.col("flow") == "high_value").count() == hv.count()
+    # expectation counts were recorded while the queries ran (listener)
+    import time
+    for _ in range(30):
+        totals = {(r.table, r.expectation): r.total_rows
+                  for r in pipeline.quality_totals(spark, layout).collect()}
+        if totals.get(("silver.transactions", "valid_amount")) == events.count():
+            break
+        time.sleep(1)
+    assert totals[("silver.transactions", "valid_amount")] == events.count()
 
 
 def test_tables_are_registered_by_name(spark, sf_dir):
