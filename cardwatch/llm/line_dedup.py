@@ -86,8 +86,7 @@ covered AS (
 SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines,
        coalesce(len(removed), 0)::BIGINT AS n_removed,
        CASE WHEN removed IS NULL THEN text ELSE array_to_string(
-         list_transform(list_filter(range(len(lines)), i -> NOT list_contains(removed, i)),
-                        i -> lines[i + 1]), chr(10)) END AS text
+         [lines[i + 1] FOR i IN range(len(lines)) IF NOT list_contains(removed, i)], chr(10)) END AS text
 FROM docs LEFT JOIN covered USING (key)
 """
 ORACLE = ORACLE_TEMPLATE.format(documents="documents")

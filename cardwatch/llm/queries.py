@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_dedup, sharding
+from . import line_dedup, mixing, sharding
 
 QUERIES = {f.__name__: f for f in (
     sharding.op4_extendible_sharding,
+    mixing.op5_mixing,
     line_dedup.op8_line_dedup,
 )}
 ORACLE = {
