@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, sharding
+from . import decontaminate, line_dedup, mixing, ngram_join, sharding
 
 QUERIES = {f.__name__: f for f in (
+    ngram_join.op1_ngram_jaccard_join,
     sharding.op4_extendible_sharding,
     mixing.op5_mixing,
     line_dedup.op8_line_dedup,
+    decontaminate.op9_benchmark_decontamination,
 )}
 ORACLE = {
     "op4_extendible_sharding": sharding.ORACLE,

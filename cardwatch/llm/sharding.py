@@ -91,6 +91,7 @@ def assign(sized: DataFrame, limit: int = LIMIT_BYTES, name: str = "shards") ->
     """
     if limit < 1:
         raise ValueError("a shard needs a limit of one byte at least")
+    sized = written(sized, f"{name}-sizes")          # one pass over the texts
     total = sized.agg(F.sum("bytes")).first()[0] or 0
     above, bits = -1, min(HASH_BITS, SPARE_BITS + math.ceil(math.log2(max(1.0, total / limit))))
     rows, parts = sized, []
