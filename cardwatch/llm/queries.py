@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, mixing, ngram_join, sharding
+from . import (decontaminate, line_dedup, mixing, ngram_join, personal_data, secrets,
+               sharding)
 
 QUERIES = {f.__name__: f for f in (
     ngram_join.op1_ngram_jaccard_join,
     sharding.op4_extendible_sharding,
     mixing.op5_mixing,
+    secrets.op7_secret_scan,
     line_dedup.op8_line_dedup,
     decontaminate.op9_benchmark_decontamination,
+    personal_data.op10_personal_data,
 )}
 ORACLE = {
     "op4_extendible_sharding": sharding.ORACLE,
