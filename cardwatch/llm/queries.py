@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, line_dedup, mixing, ngram_join, personal_data, secrets,
-               sharding)
+from . import (decontaminate, line_dedup, mixing, ngram_join, personal_data, quality,
+               secrets, sharding)
 
 QUERIES = {f.__name__: f for f in (
     ngram_join.op1_ngram_jaccard_join,
+    quality.op2_quality_rules,
     sharding.op4_extendible_sharding,
     mixing.op5_mixing,
     secrets.op7_secret_scan,
