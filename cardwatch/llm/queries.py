@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, line_dedup, mixing, ngram_join, personal_data, quality,
+from . import (class_lm, decontaminate, line_dedup, mixing, ngram_join, personal_data, quality,
                secrets, sharding)
 
 QUERIES = {f.__name__: f for f in (
@@ -10,6 +10,7 @@ QUERIES = {f.__name__: f for f in (
     quality.op2_quality_rules,
     sharding.op4_extendible_sharding,
     mixing.op5_mixing,
+    class_lm.op6_class_lm_scoring,
     secrets.op7_secret_scan,
     line_dedup.op8_line_dedup,
     decontaminate.op9_benchmark_decontamination,
