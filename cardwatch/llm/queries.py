@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import (class_lm, decontaminate, line_dedup, mixing, ngram_join, personal_data, quality,
+from . import (class_lm, decontaminate, language_id, line_dedup, mixing, ngram_join, personal_data, quality,
                secrets, sharding)
 
 QUERIES = {f.__name__: f for f in (
     ngram_join.op1_ngram_jaccard_join,
     quality.op2_quality_rules,
+    language_id.op3_language_id,
     sharding.op4_extendible_sharding,
     mixing.op5_mixing,
     class_lm.op6_class_lm_scoring,
