@@ -7,8 +7,8 @@ at three times its source's size and the excess is shared again by weight
 
 A source's documents fall into blocks by hash.  Every block is taken
 ``floor(target / size)`` times, and of a permutation of the blocks as
-many once more as come nearest to the rest of the target; one further
-block closes the remaining gap where that brings the sum nearer.
+many once more as fit the rest of the target; a few of the next blocks
+close the remaining gap.
 
 The takings ("draws") are then dealt to output shards.  Their counts per
 source form the root of a binary tree over the shards.  A node sends to
@@ -37,7 +37,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read, row_key, word_count, written
+from .common import read, row_key, unused, word_count, written
 
 # The weights of the sources in turn, and the cap on repeats.
 WEIGHTS = (5, 2, 1)
@@ -45,10 +45,13 @@ MAX_REPEATS = 3
 
 SEED = 20240117
 # Words of an output shard, and blocks per source: as many as BLOCK_WORDS
-# gives, but LEAST_BLOCKS at least where there are so many documents.
+# gives, but LEAST_BLOCKS at least (most of them empty in a small source,
+# whose documents then are blocks of their own).
 SHARD_WORDS = 1_000_000
 BLOCK_WORDS = 1_000_000
 LEAST_BLOCKS = 1024
+# Blocks looked at to close the gap between the words taken and the target.
+CLOSING = 64
 # Hash ranges for ranks in two steps.
 RANGES = 1024
 
@@ -108,8 +111,8 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def block_table(rows: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with ``idx``, ``block`` and their source's figures; and the blocks with ``copies``."""
-    blocks_of = F.least(F.col("n_docs"), F.greatest(
-        F.lit(LEAST_BLOCKS), F.ceil(F.col("source_size") / F.lit(BLOCK_WORDS)))).cast("long")
+    blocks_of = F.greatest(F.lit(LEAST_BLOCKS),
+                           F.ceil(F.col("source_size") / F.lit(BLOCK_WORDS))).cast("long")
     named = sources.withColumn("n_blocks", blocks_of).withColumnRenamed("source", "_source")
     placed = (rows.join(named, F.col("source").eqNullSafe(F.col("_source")))
               .withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "key"), F.col("n_blocks"))))
@@ -122,17 +125,26 @@ def block_table(rows: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFra
               .withColumn("rest", F.col("target") - F.col("full") * F.col("source_size")))
     ranked = _ranked(blocks, "idx", F.xxhash64(F.lit(SEED + 1), "idx", "block"), ["block"], "words")
     once = ranked.withColumn("more", (F.col("before") + F.col("words") <= F.col("rest")).cast("int"))
-    # The rank order may skip past the rest only once: later blocks stay out.
+    # Ranks below the first block that does not fit are in.  Of the blocks
+    # around it that may be taken once more, the largest that still fit
+    # follow, then the one that brings the sum nearest, if any does.
     gaps = once.groupBy("idx").agg(
-        (F.first("rest") - F.sum(F.col("words") * F.col("more"))).alias("gap"))
-    left = once.filter("more = 0").join(gaps, "idx")
-    closing = (left.withColumn("off", F.abs(F.col("gap") - F.col("words")))
-               .filter(F.col("off") < F.col("gap"))
-               .groupBy("idx").agg(F.min(F.struct("off", "rank")).alias("best"))
-               .select("idx", F.col("best.rank").alias("_closing")))
-    copies = F.least(F.lit(MAX_REPEATS), F.col("full") + F.greatest(
-        F.col("more"), F.coalesce((F.col("rank") == F.col("_closing")).cast("int"), F.lit(0))))
-    return placed, (once.join(closing, "idx", "left").withColumn("copies", copies)
+        (F.first("rest") - F.sum(F.col("words") * F.col("more"))).alias("gap"),
+        F.sum("more").alias("taken"))
+    near = (once.filter(F.col("full") + F.col("more") < MAX_REPEATS).join(gaps, "idx")
+            .filter(F.abs(F.col("rank") - F.col("taken")) <= CLOSING)
+            .groupBy("idx").agg(F.first("gap").alias("gap"), F.sort_array(
+                F.collect_list(F.struct("words", "rank")), asc=False).alias("next")))
+    fitting = F.expr("""aggregate(next, named_struct('g', gap, 'p', cast(array() as array<bigint>)), (a, x) ->
+        if(x.words <= a.g, named_struct('g', a.g - x.words, 'p', concat(a.p, array(x.rank))), a))""")
+    nearest = F.expr("""aggregate(next, named_struct('off', f.g, 'p', cast(array() as array<bigint>)), (a, x) ->
+        if(abs(f.g - x.words) < a.off and not array_contains(f.p, x.rank),
+           named_struct('off', abs(f.g - x.words), 'p', array(x.rank)), a)).p""")
+    closing = (near.withColumn("f", fitting).withColumn("n", nearest)
+               .select("idx", F.explode(F.concat("f.p", "n")).alias("rank"), F.lit(1).alias("closes")))
+    copies = F.least(F.lit(MAX_REPEATS),
+                     F.col("full") + F.col("more") + F.coalesce("closes", F.lit(0)))
+    return placed, (once.join(closing, ["idx", "rank"], "left").withColumn("copies", copies)
                     .select("idx", "block", "words", "copies"))
 
 
@@ -213,7 +225,7 @@ def mix(rows: DataFrame, name: str = "mix") -> DataFrame:
     """
     rows = written(rows, f"{name}-sizes")
     sources = written(targets(rows.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))), f"{name}-sources")
+        F.sum("size").alias("source_size"))), f"{name}-sources")
     placed, blocks = block_table(rows, sources)
     blocks = written(blocks, f"{name}-blocks")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
@@ -243,13 +255,13 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   source: str = "source") -> DataFrame:
     """The rows of the mix: ``docs``' columns, a row per copy, shard by shard in hash order."""
     mixed = mix(sized(docs, doc_id, text, source))
-    copies = (mixed.groupBy("key").agg(F.first("shards").alias("__shards"))
-              .filter(F.size("__shards") > 0).withColumnRenamed("key", "__key"))
-    out = (docs.withColumn("__key", row_key(doc_id, text)).join(copies, "__key")
-           .select("*", F.posexplode("__shards").alias("__copy", "__shard")))
-    order = F.xxhash64(F.lit(SEED + 3), "__shard", "__key", "__copy")
-    return (out.repartition("__shard").sortWithinPartitions("__shard", order)
-            .drop("__key", "__shards", "__copy", "__shard"))
+    key, shards, copy, shard = (unused(docs, x) for x in ("__key", "__shards", "__copy", "__shard"))
+    copies = (mixed.groupBy("key").agg(F.first("shards").alias(shards))
+              .filter(F.size(shards) > 0).withColumnRenamed("key", key))
+    out = (docs.withColumn(key, row_key(doc_id, text)).join(copies, key)
+           .select("*", F.posexplode(shards).alias(copy, shard)))
+    order = F.xxhash64(F.lit(SEED + 3), shard, key, copy)
+    return out.repartition(shard).sortWithinPartitions(shard, order).drop(key, shards, copy, shard)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
