@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,30 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
                           F.coalesce(F.md5(F.col(text)), F.lit("null"))))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+# Characters of text that a task works on at a time.
+CHARS = 2_000_000
+
+
+def slices(texts: Sequence[str | None], limit: int = CHARS) -> Iterator[tuple[int, int]]:
+    """(start, end) of runs of texts of about ``limit`` characters (one text may be longer)."""
+    a, n = 0, 0
+    for i, t in enumerate(texts):
+        if i > a and n + len(t or "") > limit:
+            yield a, i
+            a, n = i, 0
+        n += len(t or "")
+    if a < len(texts):
+        yield a, len(texts)
+
+
 def word_count(text: str | Column = "text") -> Column:
     """Words of a text; 0 where it is null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

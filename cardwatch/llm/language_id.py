@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, row_key, written
+from .common import read, row_key, slices, unused, written
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -49,8 +49,7 @@ SEGMENT = 64
 PIECE = 16
 FIT_STEPS = 150
 L2 = 0.01
-# Characters, and words, worked on at a time.
-CHARS = 2_000_000
+# Words worked on at a time.
 WORDS = 600_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -105,17 +104,6 @@ def words_and_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[t
     return text, size, [ngrams, affixes, lexicon]
 
 
-def slices(texts: list[str], limit: int = CHARS) -> Iterator[tuple[int, int]]:
-    a, n = 0, 0
-    for i, t in enumerate(texts):
-        if i > a and n + len(t) > limit:
-            yield a, i
-            a, n = i, 0
-        n += len(t)
-    if a < len(texts):
-        yield a, len(texts)
-
-
 def counter(langs: list[str]):
     """Counts ``(cell, n)``; a cell is a feature and a language."""
     index = {lang: i for i, lang in enumerate(langs)}
@@ -368,11 +356,12 @@ def keep_identified(docs: DataFrame, least_score: float, doc_id: str = "doc_id",
                     lang: str = "lang") -> DataFrame:
     """``docs`` without texts of no language, or whose language is less sure than ``least_score``."""
     model = train(docs, doc_id, text, lang)
-    keyed = docs.withColumn("__key", row_key(doc_id, text))
-    known = written(identify(keyed, model, "__key", text)
-                    .filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least_score))
-                    .select("key").distinct(), "languages-rejected").withColumnRenamed("key", "__key")
-    return keyed.join(known, "__key", "left_anti").drop("__key")
+    key = unused(docs, "__key")
+    keyed = docs.withColumn(key, row_key(doc_id, text))
+    rejected = written(identify(keyed, model, key, text)
+                       .filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least_score))
+                       .select("key").distinct(), "languages-rejected").withColumnRenamed("key", key)
+    return keyed.join(rejected, key, "left_anti").drop(key)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, row_key
+from .common import read, row_key, unused
 
 WINDOW = 3
 
@@ -45,20 +45,18 @@ def covered_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the text cleaned, and ``n_lines`` and ``n_removed`` (replaced if present)."""
-    covered = covered_lines(docs, doc_id, text).select(F.col("key").alias("__key"),
-                                                       F.col("covered").alias("__covered"))
-    joined = docs.withColumn("__key", row_key(doc_id, text)).join(covered, "__key", "left")
-    lines = F.split(F.col(text), "\n", -1)
+    key, gone, lines = (unused(docs, x) for x in ("__key", "__covered", "__lines"))
+    covered = covered_lines(docs, doc_id, text).select(F.col("key").alias(key),
+                                                       F.col("covered").alias(gone))
+    joined = (docs.withColumn(key, row_key(doc_id, text)).join(covered, key, "left")
+              .withColumn(lines, F.split(F.col(text), "\n", -1)))
     kept = F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__covered")),
-        lambda i: F.element_at(F.col("__lines"), i + 1)), "\n")
-    return (joined.withColumn("__lines", lines)
-            .withColumn("n_lines", F.coalesce(F.when(F.col(text).isNotNull(), F.size("__lines")),
-                                              F.lit(0)).cast("long"))
-            .withColumn("n_removed", F.coalesce(F.size("__covered"), F.lit(0)).cast("long"))
-            .withColumn("n_removed", F.greatest(F.col("n_removed"), F.lit(0)).cast("long"))
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)),
+        lambda i: F.element_at(F.col(lines), i + 1)), "\n")
+    count = lambda c: F.when(F.col(c).isNotNull(), F.size(c)).otherwise(0).cast("long")
+    return (joined.withColumn("n_lines", count(lines)).withColumn("n_removed", count(gone))
             .withColumn(text, F.when(F.col("n_removed") > 0, kept).otherwise(F.col(text)))
-            .drop("__key", "__covered", "__lines"))
+            .drop(key, gone, lines))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

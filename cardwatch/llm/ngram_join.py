@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, row_key, written
+from .common import read, row_key, unused, written
 from .components import components
 
 SHINGLE = 5
@@ -277,13 +277,14 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
 
     Rows with a null text all stay, but repeated ones once.
     """
+    key = unused(docs, "__key")
     keepers = (classes(docs, doc_id, text, threshold, recall)
-               .select(F.col("class_key").alias("__key")).distinct())
+               .select(F.col("class_key").alias(key)).distinct())
     nulls = docs.filter(F.col(text).isNull()).select(
-        F.unhex(row_key(doc_id, text)).alias("__key")).distinct()
+        F.unhex(row_key(doc_id, text)).alias(key)).distinct()
     keep = written(keepers.unionByName(nulls), "ngram-kept")
-    return (docs.withColumn("__key", F.unhex(row_key(doc_id, text))).join(keep, "__key")
-            .dropDuplicates(["__key"]).drop("__key"))
+    return (docs.withColumn(key, F.unhex(row_key(doc_id, text))).join(keep, key)
+            .dropDuplicates([key]).drop(key))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

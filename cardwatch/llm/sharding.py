@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, row_key, written
+from .common import read, row_key, unused, written
 
 HASH_BITS = 60
 # Bytes of text a shard may hold.
@@ -116,10 +116,11 @@ def shard_documents(docs: DataFrame, limit: int = LIMIT_BYTES, doc_id: str = "do
                     text: str = "text") -> DataFrame:
     """``docs`` with the column ``shard``, rows of a shard side by side."""
     sized = docs.select(hash_bits(doc_id, text).alias("h"), text_bytes(text).alias("bytes"))
-    shards = (assign(sized, limit).groupBy("h").agg(F.first("shard").alias("__shard"))
-              .withColumnRenamed("h", "__h"))
-    out = (docs.withColumn("__h", hash_bits(doc_id, text)).join(shards, "__h")
-           .withColumn("shard", F.col("__shard")).drop("__h", "__shard"))
+    h, name = unused(docs, "__h"), unused(docs, "__shard")
+    shards = (assign(sized, limit).groupBy("h").agg(F.first("shard").alias(name))
+              .withColumnRenamed("h", h))
+    out = (docs.withColumn(h, hash_bits(doc_id, text)).join(shards, h)
+           .withColumn("shard", F.col(name)).drop(h, name))
     return out.repartition("shard").sortWithinPartitions("shard", doc_id)
 
 
