@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, row_key, written
+from .common import read, row_key, slices, unused, written
 
 # Words of a passage, and from one passage to the next.
 PASSAGE = 64
@@ -204,55 +204,66 @@ class Index:
 SCHEMA = "key string, item_id long, score double, question_share double, answer_share double"
 
 
+COLUMNS = ["key", "item_id", "score", "question_share", "answer_share"]
+
+
+def retrieve(texts: list[str | None], index: Index, least: float) -> dict[int, dict[int, float]]:
+    """For each text, the pieces that one of its passages retrieves, with the best score."""
+    get, n_terms = index.terms.get, len(index.terms)
+    # Distinct (passage, term) pairs; passages are numbered through.
+    pairs, firsts, owner, passages = [], [], [], 0
+    for d, text in enumerate(texts):
+        words = words_of(text)
+        if not words or not n_terms:
+            continue
+        ids = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        n = max(1, -(-(len(ids) - (PASSAGE - STRIDE)) // STRIDE))
+        at = np.flatnonzero(ids >= 0)
+        for back in range(-(-PASSAGE // STRIDE)):
+            p = at // STRIDE - back
+            ok = (p >= 0) & (p < n) & (at - p * STRIDE < PASSAGE)
+            pairs.append((passages + p[ok]) * n_terms + ids[at[ok]])
+        firsts.append(passages)
+        owner.append(d)
+        passages += n
+    hits: dict[int, dict[int, float]] = {}
+    if not pairs:
+        return hits
+    pair = np.unique(np.concatenate(pairs))
+    passage, term = pair // n_terms, pair % n_terms
+    for p in np.flatnonzero(index.may_reach(term, passage, passages, least)):
+        a, b = np.searchsorted(passage, [p, p + 1])
+        for piece, score in index.search(term[a:b].tolist(), least):
+            best = hits.setdefault(owner[int(np.searchsorted(firsts, p, side="right")) - 1], {})
+            best[piece] = max(best.get(piece, 0.0), score)
+    return hits
+
+
+def search_texts(keys, texts, index: Index, least: float, question: float, answer: float) -> list[tuple]:
+    """Verified pairs of some texts, in the order of ``COLUMNS``."""
+    out = []
+    for d, retrieved in retrieve(texts, index, least).items():
+        tokens = words_of(texts[d])
+        found = {n: ngrams(tokens, n) if n <= len(tokens) else set() for n in range(1, NGRAM + 1)}
+        best_of: dict[tuple, tuple] = {}              # an item's best piece
+        for k, score in retrieved.items():
+            item, parts = index.items[k]
+            best_of[item] = (max(score, best_of.get(item, (0.0,))[0]), parts)
+        for (item, _), (score, (q, a)) in sorted(best_of.items(), key=lambda x: x[0][1]):
+            shares = share_found(q, found), share_found(a, found)
+            if shares[0] >= question and shares[1] >= answer:
+                out.append((keys[d], item, score, *shares))
+    return out
+
+
 def searcher(index: Index, least: float, question: float, answer: float):
     def search_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = index.terms.get
         for frame in frames:
-            out = []
-            keys = frame["key"].to_numpy()
-            texts = frame["text"].to_numpy()
-            # Distinct (passage, term) pairs of the batch; passages are numbered through.
-            pairs, owner, first = [], [], 0
-            for d, text in enumerate(texts):
-                ids = np.fromiter((get(w, -1) for w in words_of(text)), dtype=np.int64)
-                if not len(ids):
-                    continue
-                n = max(1, -(-(len(ids) - (PASSAGE - STRIDE)) // STRIDE))
-                at = np.flatnonzero(ids >= 0)
-                last = at // STRIDE
-                for back in range(-(-PASSAGE // STRIDE)):
-                    p = last - back
-                    ok = (p >= 0) & (p < n) & (at - p * STRIDE < PASSAGE)
-                    pairs.append((first + p[ok]) * len(index.terms) + ids[at[ok]])
-                owner.append((first, n, d))
-                first += n
-            if not owner or not index.terms:
-                continue
-            pair = np.unique(np.concatenate(pairs))
-            passage, term = pair // len(index.terms), pair % len(index.terms)
-            hits: dict[int, dict[int, float]] = {}
-            firsts = np.array([f for f, _, _ in owner])
-            for p in np.flatnonzero(index.may_reach(term, passage, first, least)):
-                a, b = np.searchsorted(passage, [p, p + 1])
-                for item, score in index.search(term[a:b].tolist(), least):
-                    d = owner[int(np.searchsorted(firsts, p, side="right")) - 1][2]
-                    best = hits.setdefault(d, {})
-                    best[item] = max(best.get(item, 0.0), score)
-            for d, retrieved in hits.items():
-                tokens = words_of(texts[d])
-                found = {n: ngrams(tokens, n) if n <= len(tokens) else set()
-                         for n in range(1, NGRAM + 1)}
-                best_of: dict[tuple, tuple] = {}      # an item's best piece
-                for k, score in retrieved.items():
-                    item, parts = index.items[k]
-                    best_of[item] = (max(score, best_of.get(item, (0.0,))[0]), parts)
-                for (item, _), (score, (q, a)) in sorted(best_of.items(), key=lambda x: x[0][1]):
-                    qs, as_ = share_found(q, found), share_found(a, found)
-                    if qs >= question and as_ >= answer:
-                        out.append((keys[d], item, score, qs, as_))
-            if out:
-                yield pd.DataFrame(out, columns=["key", "item_id", "score", "question_share",
-                                                 "answer_share"]).astype({"item_id": "Int64"})
+            keys, texts = frame["key"].to_numpy(), frame["text"].to_numpy()
+            for a, b in slices(texts):
+                out = search_texts(keys[a:b], texts[a:b], index, least, question, answer)
+                if out:
+                    yield pd.DataFrame(out, columns=COLUMNS).astype({"item_id": "Int64"})
     return search_batches
 
 
@@ -280,10 +291,10 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
                       text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a test item."""
+    key = unused(docs, "__key")
     found = written(contaminated(docs, items, doc_id, text).select("key").distinct(),
-                    "contaminated").withColumnRenamed("key", "__key")
-    return (docs.withColumn("__key", row_key(doc_id, text)).join(found, "__key", "left_anti")
-            .drop("__key"))
+                    "contaminated").withColumnRenamed("key", key)
+    return docs.withColumn(key, row_key(doc_id, text)).join(found, key, "left_anti").drop(key)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
