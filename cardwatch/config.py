@@ -4,8 +4,8 @@ Everything the library writes (streaming tables, checkpoints, outbox,
 staged feed files) goes below the folder the cluster names in
 ``spark.checkpoint.dir``.  That folder is shared storage on a real
 cluster, so a query restarted on another machine finds its checkpoint.
-Only when the setting is absent (unit tests, a laptop) do we create a
-folder of our own and register it.
+Only a session with a local master (unit tests, a laptop) gets a folder of
+its own when the setting is absent.
 """
 
 from __future__ import annotations
@@ -60,11 +60,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+# The folder of this process's local sessions, once made.
+_LOCAL_ROOT: list[str] = []
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Falls back to the RDD checkpoint folder, and only when neither is set
-    creates a temporary folder and registers it (test sessions only).
+    Falls back to the RDD checkpoint folder.  When neither is set, a session
+    with a local master gets one temporary folder per process; any other
+    session is an error, as a machine-local folder would lose data.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -73,12 +78,12 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
             root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="cardwatch-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
-            pass
-        spark.conf.set("spark.checkpoint.dir", root)
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        if not _LOCAL_ROOT:
+            _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="cardwatch-"))
+        root = _LOCAL_ROOT[0]
     return root.rstrip("/")
 
 

@@ -19,10 +19,8 @@ def bronze_transactions(envelope: DataFrame) -> DataFrame:
 
 
 def bronze_watchlist(records: DataFrame) -> DataFrame:
-    """Watchlist records with the file each came from and the ingestion time."""
-    return (records
-            .withColumn("source_file", F.col("_metadata.file_path"))
-            .withColumn("ingestion_timestamp", F.current_timestamp()))
+    """Watchlist records (with the file each came from) and the ingestion time."""
+    return records.withColumn("ingestion_timestamp", F.current_timestamp())
 
 
 def bronze_customers(customers: DataFrame) -> DataFrame:

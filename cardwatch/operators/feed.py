@@ -4,8 +4,9 @@ Delivered records are the JSON files already in the drop folder.  The
 highest numeric watchlist id among them is the high-water mark; a feed
 record is new when its id number is above it (ids compare as numbers, so
 ``WL000010`` follows ``WL000009`` and ``WL9`` alike).  With nothing
-delivered yet, every record is new.  A feed record whose id has no
-``WL<digits>`` form cannot be placed and goes to the rejects instead.
+delivered yet, every record is new, whatever its id.  Afterwards a feed
+record whose id has no ``WL<digits>`` form cannot be placed before or after
+the mark and goes to the rejects instead.
 """
 
 from __future__ import annotations
@@ -40,26 +41,30 @@ def high_water_mark(delivered: DataFrame) -> DataFrame:
 
 
 def new_records(feed: DataFrame, max_id_num: int | None) -> DataFrame:
-    """Feed records whose id number is above the mark (all numbered ones if None)."""
-    num = watchlist_number("watchlist_id")
-    keep = num.isNotNull()
-    if max_id_num is not None:
-        keep = keep & (num > F.lit(max_id_num))
-    return feed.filter(keep)
+    """Feed records whose id number is above the mark (all records if None)."""
+    if max_id_num is None:
+        return feed
+    return feed.filter(watchlist_number("watchlist_id") > F.lit(max_id_num))
 
 
-def rejected_records(feed: DataFrame) -> DataFrame:
-    """Feed records whose id has no ``WL<digits>`` form."""
-    return feed.filter(watchlist_number("watchlist_id").isNull())
+def rejected_records(feed: DataFrame, max_id_num: int | None) -> DataFrame:
+    """Feed records that the mark cannot place: ids without a ``WL<digits>`` form."""
+    placed = F.lit(max_id_num is None) | watchlist_number("watchlist_id").isNotNull()
+    return feed.filter(~placed)
 
 
-def deliver(spark: SparkSession, feed_csv: str, folder: str) -> DataFrame:
+def deliver(spark: SparkSession, feed_csv: str, folder: str, rejects: str | None = None
+            ) -> DataFrame:
     """Append the new feed records to the drop folder as JSON; return them.
 
     The mark is read once (a single number on the driver) before writing,
-    so the returned frame stays the same after the new files exist.
+    so the returned frame stays the same after the new files exist.  The
+    rejects of this feed replace those in the folder ``rejects``.
     """
     mark = high_water_mark(delivered_records(spark, folder)).first()["max_id_num"]
-    fresh = new_records(read_watchlist_csv(spark, feed_csv), mark)
+    feed = read_watchlist_csv(spark, feed_csv)
+    if rejects is not None:
+        rejected_records(feed, mark).write.mode("overwrite").json(rejects)
+    fresh = new_records(feed, mark)
     fresh.write.mode("append").json(folder)
     return fresh

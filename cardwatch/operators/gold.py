@@ -109,6 +109,7 @@ def watchlist_matches(tx: DataFrame, watchlist: DataFrame, *,
                       watermark_delay: str = WATERMARK_DELAY,
                       max_match_age: str | None = None,
                       salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                      broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                       hot_cards: DataFrame | None = None) -> DataFrame:
     """Transactions on a watch-listed card: ``card_number = entity_id``.
 
@@ -127,7 +128,13 @@ def watchlist_matches(tx: DataFrame, watchlist: DataFrame, *,
     and ``_buckets``, see ``joins.hot_keys``) only those cards are salted,
     each over as many partitions as its share needs.  Either way the salt
     layout is part of the join state: keep it fixed for a checkpoint.
+
+    Two batch frames keep no state and are joined as with any dimension:
+    the watchlist is broadcast if it fits, else only busy cards are salted.
     """
+    if not tx.isStreaming and not watchlist.isStreaming and not max_match_age:
+        return watchlist_matches_snapshot(tx, watchlist, broadcast_bytes=broadcast_bytes,
+                                          salt_buckets=salt_buckets)
     t = tx.withWatermark("transaction_timestamp", watermark_delay)
     w = watchlist_side(watchlist).withWatermark("effective_from", watermark_delay)
     extra: Column | None = None
@@ -177,7 +184,7 @@ def fraud_transactions(tx: DataFrame, watchlist: DataFrame, customers: DataFrame
     else:
         matches = watchlist_matches(tx, watchlist, watermark_delay=watermark_delay,
                                     max_match_age=max_match_age, salt_buckets=salt_buckets,
-                                    hot_cards=hot_cards)
+                                    broadcast_bytes=broadcast_bytes, hot_cards=hot_cards)
     joined = with_customers(matches, customers, ["transaction_id", "watchlist_id"],
                             broadcast_bytes=broadcast_bytes, salt_buckets=salt_buckets,
                             hot_customers=hot_customers)

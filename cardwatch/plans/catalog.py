@@ -245,7 +245,7 @@ def high_value_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bronze_watchlist")
 def bronze_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Watchlist JSON files landed as they are (file path left out)."""
+    """Watchlist files landed as they are (file path left out)."""
     run = new_run(spark, "bronze_watchlist")
     folder = _stage_watchlist(spark, sf_dir, run)
     stream = bronze.bronze_watchlist(files.watchlist_stream(spark, folder))
@@ -254,11 +254,40 @@ def bronze_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("source_file_lineage")
 def source_file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze watchlist rows with the file each came from."""
+    """Bronze watchlist rows, and what the file each came from is like.
+
+    The path itself differs from run to run, so the result says whether the
+    file lies in the drop folder and is named like a delivered part.
+    """
     run = new_run(spark, "source_file_lineage")
     folder = _stage_watchlist(spark, sf_dir, run)
     stream = bronze.bronze_watchlist(files.watchlist_stream(spark, folder))
-    return _stream_result(spark, "source_file_lineage", stream, run=run)
+    out = _stream_result(spark, "source_file_lineage", stream, run=run)
+    inside = folder.removeprefix("file://").lstrip("/") + "/"
+    return (out.withColumn("in_drop_folder", F.col("source_file").contains(inside))
+            .withColumn("is_part_file", F.regexp_like("source_file", F.lit(r"/part-[^/]*\.json$")))
+            .drop("source_file"))
+
+
+@query("watchlist_rescued")
+def watchlist_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze watchlist from files with undeclared fields and lines that are no JSON.
+
+    Every third record has two more fields, every fifth is cut off in the
+    middle; the files are named like nothing in particular.
+    """
+    run = new_run(spark, "watchlist_rescued")
+    folder = run.staging("watchlist_drop")
+    records = testdata.watchlist_records(_events(spark, sf_dir))
+    number = F.substring("watchlist_id", 3, 20).cast("long")
+    plain = F.to_json(F.struct(*records.columns))
+    more = F.to_json(F.struct(*records.columns, F.lit("eu").alias("region"),
+                              number.alias("batch")))
+    line = (F.when(number % 5 == 0, F.substring(plain, 1, 30))
+            .when(number % 3 == 0, more).otherwise(plain))
+    records.select(line.alias("value")).write.text(folder)
+    stream = bronze.bronze_watchlist(files.watchlist_stream(spark, folder))
+    return _stream_result(spark, "watchlist_rescued", stream, run=run, drop=("source_file",))
 
 
 @query("silver_watchlist")
@@ -317,16 +346,23 @@ def _batch_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("alert_message_high_value")
 def alert_message_high_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rendered message per high-value alert."""
-    return alerts.high_value_messages(_batch_high_value(spark, sf_dir))
+    """One rendered message per high-value alert (alert time: the transaction's)."""
+    return alerts.high_value_messages(_batch_high_value(spark, sf_dir).withColumn(
+        "alert_timestamp", F.col("transaction_timestamp")))
 
 
 @query("alert_digest")
 def alert_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fraud alerts as per-customer digests of at most ~100 alerts each."""
+    """Fraud alerts as one digest per customer."""
     return alerts.fraud_digests(_batch_fraud(spark, sf_dir))
 
 
+@query("alert_digest_lines")
+def alert_digest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table line of every fraud alert, with its digest's recipient."""
+    return alerts.fraud_digest_lines(_batch_fraud(spark, sf_dir))
+
+
 def _pipeline_run(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Layout:
     """The whole medallion pipeline once over the test tables."""
     run = new_run(spark, name)
@@ -343,9 +379,17 @@ def _pipeline_run(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Layou
 
 @query("alert_outbox")
 def alert_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outbox after a full pipeline run: both flows, batch id left out."""
+    """Outbox after a full pipeline run: both flows, without batch ids and alert times."""
     layout = _pipeline_run(spark, sf_dir, "alert_outbox")
-    return spark.read.parquet(layout.outbox).drop("batch_id")
+    timeless = F.regexp_replace("body", "<br>Alert Time: [^<]*", "")
+    return spark.read.parquet(layout.outbox).drop("batch_id").withColumn("body", timeless)
+
+
+@query("alert_outbox_lines")
+def alert_outbox_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest lines after a full pipeline run, batch id left out."""
+    layout = _pipeline_run(spark, sf_dir, "alert_outbox_lines")
+    return spark.read.parquet(layout.outbox_lines).drop("batch_id")
 
 
 @query("outbox_batch_summary")
@@ -358,10 +402,29 @@ def outbox_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- watchlist feed ------------------------------------------------------------------------
 
 def _stage_feed(spark: SparkSession, sf_dir: str, run) -> tuple[str, str]:
-    """Feed CSV of every watchlist record; drop folder with the first half."""
+    """Feed CSV of every watchlist record; drop folder with the first half.
+
+    The CSV's columns are in another order than the record's and one is
+    undeclared; descriptions hold quotes, commas and line breaks; every
+    ninth id has no number.  It is written as lines of text, not by a CSV
+    writer.
+    """
     events = _events(spark, sf_dir)
     csv_path, folder = run.staging("feed_csv"), run.staging("watchlist_drop")
-    testdata.watchlist_records(events).write.option("header", True).csv(csv_path)
+    records = testdata.watchlist_records(events)
+    number = F.substring("watchlist_id", 3, 20).cast("long")
+    values = {c: F.col(c) for c in records.columns}
+    values["watchlist_id"] = F.when(number % 9 == 0, F.concat(F.lit("X"), "watchlist_id")) \
+        .otherwise(F.col("watchlist_id"))
+    values["reason_description"] = F.concat(F.lit('"said ""hi"", twice\nby '), "reported_by",
+                                            F.lit('"'))
+    order = [*reversed(records.columns), "note"]
+    values["note"] = F.lit('""')
+    line = F.concat_ws(",", *[values[c] for c in order])
+    # One file, header first: the header is row 0 of a sorted partition.
+    header = spark.range(1).select(F.lit(-1).cast("long").alias("at"), F.lit(",".join(order)).alias("value"))
+    (header.unionByName(records.select(number.alias("at"), line.alias("value")))
+     .coalesce(1).sortWithinPartitions("at").select("value").write.text(csv_path))
     testdata.watchlist_records(events.filter(F.col("ts") < F.lit(DELIVERED_BEFORE)
                                              .cast("timestamp_ntz"))).write.json(folder)
     return csv_path, folder
@@ -381,3 +444,12 @@ def watchlist_new_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = new_run(spark, "watchlist_new_records")
     csv_path, folder = _stage_feed(spark, sf_dir, run)
     return feed.deliver(spark, csv_path, folder)
+
+
+@query("watchlist_rejects")
+def watchlist_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed records that the high-water mark cannot place, as written to the rejects."""
+    run = new_run(spark, "watchlist_rejects")
+    csv_path, folder = _stage_feed(spark, sf_dir, run)
+    delivered = feed.deliver(spark, csv_path, folder, run.staging("rejects"))
+    return spark.read.schema(delivered.schema).json(run.staging("rejects"))

@@ -12,6 +12,8 @@ def _strings(*names: str) -> list[StructField]:
     return [StructField(n, StringType()) for n in names]
 
 
+# Names, types and order of the fields below are those of the
+# wire formats and of the customer master.
 # Fields of the JSON document a card transaction arrives as (message value).
 TRANSACTION_PAYLOAD = StructType([
     *_strings("transaction_id", "customer_id", "card_number", "merchant_id",
@@ -43,8 +45,13 @@ WATCHLIST_RECORD = StructType(_strings(
     "reason_code", "reason_description", "effective_from", "reported_by",
     "reported_source", "city", "country"))
 
-# Bronze watchlist: the records plus the file each came from and when.
+# Where fields that the record does not declare, and lines that are no JSON
+# object, are kept as text.
+RESCUED = "rescued_data"
+
+# Bronze watchlist: the records, what was rescued, the file each came from and when.
 BRONZE_WATCHLIST = StructType(WATCHLIST_RECORD.fields + [
+    StructField(RESCUED, StringType()),
     StructField("source_file", StringType()),
     StructField("ingestion_timestamp", TimestampType()),
 ])
@@ -74,6 +81,14 @@ OUTBOX = StructType([
     StructField("alert_count", LongType()),
 ])
 
+# One row per line of a digest (its message is the outbox row of the same
+# flow, batch and recipient).
+OUTBOX_LINES = StructType([
+    StructField("flow", StringType()),
+    StructField("batch_id", LongType()),
+    *_strings("recipient", "recipient_name", "alert_id", "row_html"),
+])
+
 # Expectation failures per table and micro-batch (partitioned by the last two).
 QUALITY = StructType([
     StructField("expectation", StringType()),

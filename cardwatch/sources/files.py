@@ -3,35 +3,68 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import WATCHLIST_RECORD
+from ..schemas import RESCUED, WATCHLIST_RECORD
+
+
+def watchlist_lines(lines: DataFrame) -> DataFrame:
+    """Watchlist records from lines of JSON, one record per line.
+
+    Fields that the record does not declare go to ``rescued_data`` as a
+    JSON object of texts; a line that is no JSON object goes there whole,
+    with every field NULL.  Blank lines are skipped.
+    """
+    known = F.array(*[F.lit(f.name) for f in WATCHLIST_RECORD.fields])
+    record = F.from_json("value", WATCHLIST_RECORD)
+    every = F.from_json("value", "map<string,string>")
+    unknown = F.map_filter(every, lambda k, _: ~F.array_contains(known, k))
+    is_object = F.get_json_object("value", "$").isNotNull() & F.ltrim("value").startswith("{")
+    rescued = (F.when(~is_object, F.col("value"))
+               .when(F.size(unknown) > 0, F.to_json(unknown)))
+    return (lines.filter(F.trim("value") != "")
+            .withColumn("_record", record).withColumn(RESCUED, rescued)
+            .select(*[F.col(f"_record.{f.name}").alias(f.name) for f in WATCHLIST_RECORD.fields],
+                    RESCUED, "source_file"))
 
 
 def watchlist_stream(spark: SparkSession, folder: str, *, max_files_per_trigger: int | None = None
                      ) -> DataFrame:
-    """New JSON files in the watchlist drop folder, as a stream.
+    """New files in the watchlist drop folder, as a stream of records.
 
-    The schema is declared (file streams do not infer); ``entity_id`` stays
-    text because it is compared with card numbers.  Only ``*.json`` files
-    are picked up, whole files, one record per line.
+    Every file of the folder is read, whatever its name.  The record's
+    fields are declared (``entity_id`` stays text because it is compared
+    with card numbers); see ``watchlist_lines`` for all else.
     """
-    reader = (spark.readStream.schema(WATCHLIST_RECORD)
-              .option("pathGlobFilter", "*.json"))
+    reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(folder)
+    return watchlist_lines(reader.text(folder).select(
+        "value", F.col("_metadata.file_path").alias("source_file")))
 
 
 def read_watchlist_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every delivered watchlist JSON file, as a batch frame."""
-    return (spark.read.schema(WATCHLIST_RECORD).option("pathGlobFilter", "*.json")
-            .option("recursiveFileLookup", "true").json(folder))
+    """Every delivered watchlist record, as a batch frame."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(folder).select(
+        "value", F.col("_metadata.file_path").alias("source_file"))
+    return watchlist_lines(lines).select(*WATCHLIST_RECORD.fieldNames())
 
 
 def read_watchlist_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The watchlist feed CSV with a header; all columns as text."""
-    return spark.read.option("header", True).schema(WATCHLIST_RECORD).csv(path)
+    """The watchlist feed CSV; all columns as text, found by name in the header.
+
+    Quotes are doubled inside quoted values, which may hold line breaks.  A
+    declared column that is missing is an error; columns that the record
+    does not declare follow the declared ones.
+    """
+    feed = (spark.read.option("header", True).option("multiLine", True)
+            .option("quote", '"').option("escape", '"').csv(path))
+    declared = WATCHLIST_RECORD.fieldNames()
+    missing = [c for c in declared if c not in feed.columns]
+    if missing:
+        raise ValueError(f"the watchlist feed {path} lacks the columns {missing}")
+    return feed.select(*declared, *[f"`{c}`" for c in feed.columns if c not in declared])
 
 
 def table_stream(spark: SparkSession, path: str, schema: StructType | None = None,

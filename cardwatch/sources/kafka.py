@@ -15,7 +15,7 @@ from ..schemas import KAFKA_ENVELOPE
 def kafka_options(bootstrap_servers: str, topic: str, *, api_key: str | None = None,
                   api_secret: str | None = None, starting_offsets: str = "earliest",
                   max_offsets_per_trigger: int | None = None,
-                  min_partitions: int | None = None,
+                  min_partitions: int | None = None, fail_on_data_loss: bool = True,
                   login_module: str = "org.apache.kafka.common.security.plain.PlainLoginModule",
                   ) -> dict[str, str]:
     """Reader options for a topic, SASL_SSL/PLAIN when credentials are given.
@@ -23,13 +23,14 @@ def kafka_options(bootstrap_servers: str, topic: str, *, api_key: str | None = N
     Credentials are passed in by the caller (from whatever secret store the
     platform has); nothing here looks them up.  ``max_offsets_per_trigger``
     bounds a micro-batch so one backlog cannot make a batch unbounded.
+    Offsets that the topic no longer has stop the query, unless
+    ``fail_on_data_loss`` is false: then they are skipped without notice.
     """
     options = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        # A topic whose old segments were deleted must not stop the query.
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if api_key is not None:
         options.update({

@@ -36,8 +36,14 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--customers-parquet", help="a customer master load to append first")
     p.add_argument("--processing-time", help='e.g. "1 minute"; omit for one availableNow run')
     p.add_argument("--max-match-age", help="opt-in time bound of the watchlist match")
-    p.add_argument("--latest-customers", action="store_true",
-                   help="join only the latest row per customer id")
+    p.add_argument("--all-customer-rows", action="store_true",
+                   help="join every row of a customer id, not only the latest")
+    p.add_argument("--max-files-per-trigger", type=int,
+                   help="files of an input table a micro-batch takes at most")
+    p.add_argument("--match-salts", type=int, default=pipeline.Layout.match_salts,
+                   help="state partitions per card of the match (fixed for a checkpoint)")
+    p.add_argument("--allow-data-loss", action="store_true",
+                   help="go on when the topic no longer has the next offsets")
     p.add_argument("--state-store", choices=["rocksdb", "default"], default="rocksdb",
                    help="state store for new checkpoints (an existing one keeps its own)")
     return p.parse_args(argv)
@@ -57,14 +63,17 @@ def main(argv: list[str] | None = None) -> None:
                             api_key=credentials.get("api_key"),
                             api_secret=credentials.get("api_secret"),
                             max_offsets_per_trigger=args.max_offsets_per_trigger,
-                            min_partitions=args.min_partitions)
+                            min_partitions=args.min_partitions,
+                            fail_on_data_loss=not args.allow_data_loss)
     layout = pipeline.Layout(args.root or f"{shared_root(spark)}/cardwatch/pipeline",
-                             processing_time=args.processing_time)
+                             processing_time=args.processing_time,
+                             max_files_per_trigger=args.max_files_per_trigger,
+                             match_salts=args.match_salts)
     if args.customers_parquet:
         customers = spark.read.schema(CUSTOMER).parquet(args.customers_parquet)
         pipeline.land_customers(spark, layout, customers)
     gold_options = {"max_match_age": args.max_match_age,
-                    "latest_customers": args.latest_customers}
+                    "latest_customers": not args.all_customer_rows}
     envelope = read_kafka(spark, options)
     if args.processing_time:
         pipeline.start_all(spark, layout, envelope=envelope,

@@ -7,7 +7,8 @@ another shared store)::
     silver/transactions   silver/fraud_watchlist   silver/customers
     gold/high_value_transactions   gold/fraud_transactions
     gold/transactions_count_by_minute   gold/transactions_count_by_minute_sliding_window
-    alerts/outbox          quality/expectations
+    alerts/outbox   alerts/outbox_lines   quality/expectations
+    _loads/customers/<fingerprint>   (customer loads already landed)
     _checkpoints/<layer>/<table>
 
 Each step reads its input table as a stream (the customer snapshot as a
@@ -19,7 +20,7 @@ input.  Nothing here schedules: the order is the order of the calls.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,9 @@ from pyspark.sql.types import StructType
 
 from ..operators import alerts, bronze, gold, silver
 from ..operators.dedup import latest_per_key
-from ..operators.joins import hot_keys
-from ..schemas import BRONZE_WATCHLIST, CUSTOMER, KAFKA_ENVELOPE, OUTBOX, QUALITY
+from ..operators.joins import DEFAULT_SALT_BUCKETS
+from ..schemas import (BRONZE_WATCHLIST, CUSTOMER, KAFKA_ENVELOPE, OUTBOX, OUTBOX_LINES,
+                       QUALITY)
 from ..sources.files import table_snapshot, table_stream, watchlist_stream
 from .runner import finish, start_foreach_batch, start_to_table
 
@@ -49,6 +51,12 @@ class Layout:
     # Shuffle/state partitions of queries started on a new checkpoint;
     # None takes the session's spark.sql.shuffle.partitions.
     partitions: int | None = None
+    # Files of an input table a micro-batch takes at most; None: all there are.
+    max_files_per_trigger: int | None = None
+    # State partitions that one card of the watchlist match is spread over.
+    # Every watchlist entry is kept once per salt, so size it to the share of
+    # the busiest card; it is part of the join state, fixed for a checkpoint.
+    match_salts: int = DEFAULT_SALT_BUCKETS
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -60,6 +68,10 @@ class Layout:
     def outbox(self) -> str:
         return self.table("alerts", "outbox")
 
+    @property
+    def outbox_lines(self) -> str:
+        return self.table("alerts", "outbox_lines")
+
 
 def _start(df: DataFrame, layout: Layout, layer: str, name: str) -> StreamingQuery:
     return start_to_table(df, layout.table(layer, name), layout.checkpoint(layer, name),
@@ -75,6 +87,7 @@ def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
 
 # Partition columns of the partitioned tables.
 PARTITIONS = {("alerts", "outbox"): ["flow", "batch_id"],
+              ("alerts", "outbox_lines"): ["flow", "batch_id"],
               ("quality", "expectations"): ["table", "batch_id"]}
 # What each table holds (kept as the table comment in the catalog).
 TABLE_COMMENTS = {
@@ -90,6 +103,7 @@ TABLE_COMMENTS = {
     ("gold", "transactions_count_by_minute_sliding_window"):
         "Transactions per five-minute event-time window, one window per minute",
     ("alerts", "outbox"): "Rendered notifications, one row per message",
+    ("alerts", "outbox_lines"): "Table lines of the digests, one row per alert",
     ("quality", "expectations"): "Expectation failures per table and micro-batch",
 }
 
@@ -139,6 +153,8 @@ def _derive_schema(spark: SparkSession, layer: str, name: str) -> StructType:
         df = gold.sliding_transaction_counts(of("silver", "transactions"))
     elif (layer, name) == ("alerts", "outbox"):
         return OUTBOX
+    elif (layer, name) == ("alerts", "outbox_lines"):
+        return OUTBOX_LINES
     elif (layer, name) == ("quality", "expectations"):
         return QUALITY
     else:
@@ -146,17 +162,30 @@ def _derive_schema(spark: SparkSession, layer: str, name: str) -> StructType:
     return df.schema
 
 
+def _ensure(spark: SparkSession, layout: Layout, layer: str, name: str) -> None:
+    """Make a table's folder, empty, if nothing has written it yet.
+
+    A folder that a file sink has written is left alone, and readers of such
+    a folder go by the sink's own log.
+    """
+    _empty(spark, table_schema(spark, layer, name)).write.mode("ignore").parquet(
+        layout.table(layer, name))
+
+
 def _stream(spark: SparkSession, layout: Layout, layer: str, name: str) -> DataFrame:
-    return table_stream(spark, layout.table(layer, name), table_schema(spark, layer, name))
+    _ensure(spark, layout, layer, name)
+    return table_stream(spark, layout.table(layer, name), table_schema(spark, layer, name),
+                        max_files_per_trigger=layout.max_files_per_trigger)
 
 
 def _snapshot(spark: SparkSession, layout: Layout, layer: str, name: str) -> DataFrame:
+    _ensure(spark, layout, layer, name)
     return table_snapshot(spark, layout.table(layer, name), table_schema(spark, layer, name))
 
 
-def await_all(queries: dict[str, StreamingQuery]) -> dict[str, list]:
+def await_all(spark: SparkSession, queries: dict[str, StreamingQuery]) -> dict[str, list]:
     """Wait for queries started together; their progress reports by name."""
-    return {name: finish(q) for name, q in queries.items()}
+    return {name: finish(q, spark) for name, q in queries.items()}
 
 
 def record_quality(spark: SparkSession, layout: Layout, table: str, progress: list,
@@ -226,8 +255,9 @@ def refine_transactions(spark: SparkSession, layout: Layout) -> StreamingQuery:
 
 def land_watchlist(spark: SparkSession, layout: Layout, drop_folder: str) -> StreamingQuery:
     """JSON drop folder → bronze.fraud_watchlist (with the source file)."""
-    return _start(bronze.bronze_watchlist(watchlist_stream(spark, drop_folder)), layout,
-                  "bronze", "fraud_watchlist")
+    stream = watchlist_stream(spark, drop_folder,
+                              max_files_per_trigger=layout.max_files_per_trigger)
+    return _start(bronze.bronze_watchlist(stream), layout, "bronze", "fraud_watchlist")
 
 
 def refine_watchlist(spark: SparkSession, layout: Layout) -> StreamingQuery:
@@ -237,9 +267,24 @@ def refine_watchlist(spark: SparkSession, layout: Layout) -> StreamingQuery:
 
 
 def land_customers(spark: SparkSession, layout: Layout, customers: DataFrame) -> None:
-    """Append a load of the customer master to bronze.customers (batch)."""
+    """Append a load of the customer master to bronze.customers (batch), once.
+
+    A load is known by a fingerprint of its rows; landing the same rows
+    again does nothing.  The fingerprint is noted after the append, so a
+    crash in between can land a load twice: ``latest_customers`` (on by
+    default) keeps that, too, from doubling alerts.
+    """
+    rows = F.xxhash64(*customers.columns).cast("decimal(38,0)")
+    total = customers.agg(F.count(F.lit(1)).alias("n"), F.sum(rows).alias("h")).first()
+    note = f"{layout.root}/_loads/customers/{total['n']}_{total['h'] or 0}"
+    try:
+        if not spark.read.schema("landed timestamp").parquet(note).isEmpty():
+            return
+    except AnalysisException:                 # no such load yet
+        pass
     bronze.bronze_customers(customers).write.mode("append").parquet(
         layout.table("bronze", "customers"))
+    spark.range(1).select(F.current_timestamp().alias("landed")).write.mode("overwrite").parquet(note)
 
 
 def refine_customers(spark: SparkSession, layout: Layout) -> StreamingQuery:
@@ -249,43 +294,34 @@ def refine_customers(spark: SparkSession, layout: Layout) -> StreamingQuery:
                   layout, "silver", "customers")
 
 
-def customer_snapshot(spark: SparkSession, layout: Layout, *, latest_only: bool = False
+def customer_snapshot(spark: SparkSession, layout: Layout, *, latest_only: bool = True
                       ) -> DataFrame:
-    """silver.customers as it is now; optionally the latest row per id."""
+    """silver.customers as it is now: the latest row per id, or all rows."""
     snapshot = _snapshot(spark, layout, "silver", "customers")
     return latest_per_key(snapshot, "customer_id", "update_timestamp") if latest_only else snapshot
 
 
-def frozen_hot_cards(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Busy cards of the watchlist match, fixed when its checkpoint is new.
-
-    The salt layout is part of the join state, so the list is computed
-    once, from the transaction history at the first run, written next to
-    the checkpoint, and read back by every later run.  Cards that become
-    busy later keep a single salt (correct, only less spread).
-    """
-    path = f"{layout.checkpoint('gold', 'fraud_transactions')}.hot_cards"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        hot_keys(_snapshot(spark, layout, "silver", "transactions"), ["card_number"]) \
-            .write.parquet(path)
-        return spark.read.parquet(path)
-
-
-def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool = False,
-               max_match_age: str | None = None, watchlist_snapshot: bool = False
+def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool = True,
+               max_match_age: str | None = None, watchlist_snapshot: bool = False,
+               hot_customers: DataFrame | None = None, hot_cards: DataFrame | None = None
                ) -> dict[str, StreamingQuery]:
     """Start the four gold queries.  Static snapshots are read at start.
 
-    ``watchlist_snapshot`` matches against silver.fraud_watchlist as a
-    snapshot (no join state) instead of as a stream; see
-    ``gold.watchlist_matches_snapshot`` for what that changes.  Busy
-    customers are found in the transaction history (lazily: only used when
-    the customer table is too large to broadcast).
+    ``latest_customers`` false joins every row of a customer id, so a
+    customer landed twice doubles their alerts.  ``watchlist_snapshot``
+    matches against silver.fraud_watchlist as a snapshot (no join state)
+    instead of as a stream; see ``gold.watchlist_matches_snapshot`` for
+    what that changes.
+
+    No query reads history.  The match spreads every card over
+    ``layout.match_salts`` state partitions; a customer table too large to
+    broadcast is joined on salted keys.  An operator who knows the busy ids
+    can pass them (``joins.hot_keys`` of a table) to salt only those;
+    ``hot_cards`` has to stay the same for the life of the checkpoint.
     """
+    if hot_cards is not None and hot_cards.isEmpty():
+        raise ValueError("an empty list of busy cards would leave every card unsplit for good")
     customers = customer_snapshot(spark, layout, latest_only=latest_customers)
-    hot = hot_keys(_snapshot(spark, layout, "silver", "transactions"), ["customer_id"])
 
     def tx() -> DataFrame:
         return _stream(spark, layout, "silver", "transactions")
@@ -294,12 +330,12 @@ def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool =
                  if watchlist_snapshot else _stream(spark, layout, "silver", "fraud_watchlist"))
     return {
         "high_value_transactions": _start(
-            gold.high_value_transactions(tx(), customers, hot_customers=hot),
+            gold.high_value_transactions(tx(), customers, hot_customers=hot_customers),
             layout, "gold", "high_value_transactions"),
         "fraud_transactions": _start(gold.fraud_transactions(
             tx(), watchlist, customers, max_match_age=max_match_age,
-            watchlist_snapshot=watchlist_snapshot, hot_customers=hot,
-            hot_cards=None if watchlist_snapshot else frozen_hot_cards(spark, layout)),
+            watchlist_snapshot=watchlist_snapshot, salt_buckets=layout.match_salts,
+            hot_customers=hot_customers, hot_cards=hot_cards),
             layout, "gold", "fraud_transactions"),
         "transactions_count_by_minute": _start(gold.transaction_counts(tx()), layout, "gold",
                                                "transactions_count_by_minute"),
@@ -311,15 +347,19 @@ def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool =
 
 def route_alerts(spark: SparkSession, layout: Layout) -> dict[str, StreamingQuery]:
     """Start both alert flows into the one outbox table, one query each."""
-    flows = {alerts.HIGH_VALUE_FLOW: ("high_value_transactions", alerts.high_value_messages),
-             alerts.FRAUD_FLOW: ("fraud_transactions", alerts.fraud_digests)}
+    flows = {
+        alerts.HIGH_VALUE_FLOW: ("high_value_transactions", alerts.outbox_sink(
+            layout.outbox, alerts.HIGH_VALUE_FLOW, alerts.high_value_messages)),
+        alerts.FRAUD_FLOW: ("fraud_transactions", alerts.outbox_sink(
+            layout.outbox, alerts.FRAUD_FLOW, alerts.fraud_digests,
+            layout.outbox_lines, alerts.fraud_digest_lines)),
+    }
     return {
-        flow: start_foreach_batch(_stream(spark, layout, "gold", table),
-                                  alerts.outbox_sink(layout.outbox, flow, render),
+        flow: start_foreach_batch(_stream(spark, layout, "gold", table), sink,
                                   layout.checkpoint("alerts", flow), query_name=f"alerts_{flow}",
                                   processing_time=layout.processing_time,
                                   partitions=layout.partitions)
-        for flow, (table, render) in flows.items()
+        for flow, (table, sink) in flows.items()
     }
 
 
@@ -332,12 +372,12 @@ def run_once(spark: SparkSession, layout: Layout, *, envelope: DataFrame, watchl
     """
     if customers is not None:
         land_customers(spark, layout, customers)
-    progress = await_all({
+    progress = await_all(spark, {
         "bronze.transactions": land_transactions(spark, layout, envelope),
         "bronze.fraud_watchlist": land_watchlist(spark, layout, watchlist_folder),
         "silver.customers": refine_customers(spark, layout),
     })
-    progress.update(await_all({
+    progress.update(await_all(spark, {
         "silver.transactions": refine_transactions(spark, layout),
         "silver.fraud_watchlist": refine_watchlist(spark, layout),
     }))
@@ -345,9 +385,9 @@ def run_once(spark: SparkSession, layout: Layout, *, envelope: DataFrame, watchl
                    "silver_customers")
     record_quality(spark, layout, "silver.transactions", progress["silver.transactions"],
                    "silver_transactions")
-    progress.update(await_all({f"gold.{k}": q
+    progress.update(await_all(spark, {f"gold.{k}": q
                                for k, q in build_gold(spark, layout, **gold_options).items()}))
-    progress.update(await_all({f"alerts.{k}": q for k, q in route_alerts(spark, layout).items()}))
+    progress.update(await_all(spark, {f"alerts.{k}": q for k, q in route_alerts(spark, layout).items()}))
     return progress
 
 
@@ -362,7 +402,7 @@ def start_all(spark: SparkSession, layout: Layout, *, envelope: DataFrame,
     """
     if layout.processing_time is None:
         raise ValueError("start_all needs layout.processing_time; use run_once for availableNow")
-    first = finish(refine_customers(spark, Layout(layout.root, partitions=layout.partitions)))
+    first = finish(refine_customers(spark, replace(layout, processing_time=None)), spark)
     record_quality(spark, layout, "silver.customers", first, "silver_customers")
     recorder = QualityRecorder(spark, layout)
     spark.streams.addListener(recorder)

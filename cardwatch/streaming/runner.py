@@ -9,11 +9,12 @@ output exactly once.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
@@ -38,10 +39,57 @@ def state_partitions(spark: SparkSession, partitions: int | None) -> Iterator[No
         spark.conf.set(SHUFFLE_PARTITIONS, previous)
 
 
-def finish(query: StreamingQuery) -> list:
-    """Wait for an availableNow query; raise its error; return its progress."""
+class ProgressLog(StreamingQueryListener):
+    """Every progress report of the queries of a session.
+
+    A query itself keeps only its latest reports (100 by default), too few
+    for the counts of a run with many micro-batches.
+    """
+
+    def __init__(self) -> None:
+        self.reports: dict[str, list] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self.changed:
+            self.reports.setdefault(str(event.progress.runId), []).append(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def take(self, run_id: str, timeout: float = 60) -> list:
+        """The reports of a run that has ended, once the listener knows of its end."""
+        with self.changed:
+            if not self.changed.wait_for(lambda: run_id in self.ended, timeout):
+                raise TimeoutError(f"no end event of the streaming run {run_id}")
+            self.ended.discard(run_id)
+            return self.reports.pop(run_id, [])
+
+
+_LOGS: dict[int, ProgressLog] = {}
+
+
+def progress_log(spark: SparkSession) -> ProgressLog:
+    """The session's log, listening from the first call on."""
+    if id(spark) not in _LOGS:
+        _LOGS[id(spark)] = ProgressLog()
+        spark.streams.addListener(_LOGS[id(spark)])
+    return _LOGS[id(spark)]
+
+
+def finish(query: StreamingQuery, spark: SparkSession) -> list:
+    """Wait for an availableNow query; raise its error; return all its progress reports."""
     query.awaitTermination()
-    return list(query.recentProgress)
+    return progress_log(spark).take(str(query.runId))
 
 
 def start_to_table(df: DataFrame, path: str, checkpoint: str, *,
@@ -65,6 +113,7 @@ def start_to_table(df: DataFrame, path: str, checkpoint: str, *,
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
+    progress_log(df.sparkSession)
     with state_partitions(df.sparkSession, partitions):
         return writer.start(path)
 
@@ -74,7 +123,7 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, **options) -> list:
 
     Returns the progress reports of the run's micro-batches.
     """
-    return finish(start_to_table(df, path, checkpoint, **options))
+    return finish(start_to_table(df, path, checkpoint, **options), df.sparkSession)
 
 
 def start_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
@@ -93,16 +142,11 @@ def start_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None]
               else writer.trigger(availableNow=True))
     if query_name:
         writer = writer.queryName(query_name)
+    progress_log(df.sparkSession)
     with state_partitions(df.sparkSession, partitions):
         return writer.start()
 
 
-def run_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
-                      checkpoint: str, *, query_name: str | None = None) -> list:
-    """``start_foreach_batch`` and wait for the available input to be done."""
-    return finish(start_foreach_batch(df, handler, checkpoint, query_name=query_name))
-
-
 def rows_dropped_by_watermark(progress: list) -> int:
     """Late rows the stateful operators of a run dropped."""
     total = 0

@@ -1,12 +1,15 @@
-"""Digest paging, message escaping, the watchlist feed."""
+"""Digests, message escaping, the watchlist feed."""
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardwatch.config import new_run
 from cardwatch.operators import alerts, feed
 from cardwatch.schemas import WATCHLIST_RECORD
+from cardwatch.sources.files import read_watchlist_csv
+from tests.conftest import explain_text
 
 ALERT_SCHEMA = ("alert_id string, alert_type string, customer_email string, customer_name string, "
                 "transaction_id string, amount double, currency string, merchant_name string, "
@@ -25,36 +28,30 @@ def fraud_alerts(spark, per_customer):
     return spark.createDataFrame(rows, ALERT_SCHEMA)
 
 
-def test_hot_customer_digest_is_split_into_pages(spark):
+def test_one_digest_per_customer_with_its_full_count(spark):
     df = fraud_alerts(spark, {"hot": 1000, "small": 3, "single": 1})
-    digests = alerts.fraud_digests(df, page_size=50).collect()
-    by_customer = {}
-    for d in digests:
-        by_customer.setdefault(d.recipient_name, []).append(d)
-    assert len(by_customer["small"]) == 1 and by_customer["small"][0].alert_count == 3
-    assert len(by_customer["single"]) == 1
-    hot = by_customer["hot"]
-    assert sum(d.alert_count for d in hot) == 1000          # every alert, exactly once
-    assert 10 <= len(hot) <= 20 and max(d.alert_count for d in hot) < 150
-    listed = sum(d.body.count("<tr><td>") for d in hot)
-    assert listed == 1000
-    assert all("Part " in d.body for d in hot) and "Part " not in by_customer["small"][0].body
-    assert by_customer["small"][0].subject.endswith("3 Detected")
-
-
-def test_digest_paging_with_salted_size_join(spark):
-    df = fraud_alerts(spark, {"hot": 300, "b": 2})
-    broadcast = sorted((d.recipient_name, d.alert_count, d.body)
-                       for d in alerts.fraud_digests(df, page_size=40).collect())
-    salted = sorted((d.recipient_name, d.alert_count, d.body)
-                    for d in alerts.fraud_digests(df, page_size=40, broadcast_bytes=0,
-                                                  salt_buckets=4).collect())
-    assert broadcast == salted
-
-
-def test_values_are_escaped_in_bodies(spark):
-    body = alerts.fraud_digests(fraud_alerts(spark, {"a<b>": 1})).first().body
-    assert "Shop &lt;&amp;&gt;" in body and "Dear a&lt;b&gt;," in body
+    digests = {d.recipient_name: d for d in alerts.fraud_digests(df).collect()}
+    assert {k: d.alert_count for k, d in digests.items()} == {"hot": 1000, "small": 3, "single": 1}
+    assert digests["hot"].subject.endswith("1000 Detected")
+    assert all(d.body.count(alerts.LINES_MARK) == 1 for d in digests.values())
+    lines = alerts.fraud_digest_lines(df).collect()
+    assert len({x.alert_id for x in lines}) == len(lines) == 1004
+    assert sum(x.recipient_name == "hot" for x in lines) == 1000
+
+
+def test_digest_plan_reads_its_input_once_and_collects_no_lists(spark):
+    for render in (alerts.fraud_digests, alerts.fraud_digest_lines):
+        plan = explain_text(render(fraud_alerts(spark, {"a": 2})), "simple")
+        assert plan.count("Scan") == 1 and "collect_list" not in plan
+
+
+def test_values_are_escaped_and_amounts_plain(spark):
+    df = fraud_alerts(spark, {"a<b>": 1}).withColumn("transaction_timestamp", F.lit(
+        "2024-01-01 10:00:00.25").cast("timestamp"))
+    assert "Dear a&lt;b&gt;," in alerts.fraud_digests(df).first().body
+    row = alerts.fraud_digest_lines(df).first().row_html
+    assert "Shop &lt;&amp;&gt;" in row and "<td>10.0 USD</td>" in row
+    assert "<td>2024-01-01 10:00:00.250000</td>" in row
 
 
 def test_null_recipient_is_its_own_group(spark):
@@ -78,8 +75,25 @@ def test_high_water_mark_is_numeric(spark):
 def test_new_records_and_rejects(spark):
     fed = records(spark, ["WL000001", "WL000010", "WL000011", "WL12", "oops"])
     assert [r.watchlist_id for r in feed.new_records(fed, 10).collect()] == ["WL000011", "WL12"]
-    assert feed.new_records(fed, None).count() == 4       # nothing delivered yet: all
-    assert [r.watchlist_id for r in feed.rejected_records(fed).collect()] == ["oops"]
+    assert feed.new_records(fed, None).count() == 5       # nothing delivered yet: all
+    assert [r.watchlist_id for r in feed.rejected_records(fed, 10).collect()] == ["oops"]
+    assert feed.rejected_records(fed, None).count() == 0
+
+
+def test_feed_columns_are_found_by_name(spark, tmp_path):
+    names = WATCHLIST_RECORD.fieldNames()
+    order = ["entity_id", *[c for c in names if c not in ("entity_id", "watchlist_id")], "extra",
+             "watchlist_id"]
+    value = {c: c for c in order} | {"watchlist_id": "WL7", "entity_id": "4000",
+                                     "reason_description": '"said ""hi"",\nagain"'}
+    path = tmp_path / "feed.csv"
+    path.write_text(",".join(order) + "\n" + ",".join(value[c] for c in order) + "\n")
+    row = read_watchlist_csv(spark, str(path)).collect()
+    assert len(row) == 1 and (row[0].watchlist_id, row[0].entity_id) == ("WL7", "4000")
+    assert row[0].reason_description == 'said "hi",\nagain' and row[0].extra == "extra"
+    path.write_text("entity_id,city\n4000,x\n")
+    with pytest.raises(ValueError, match="watchlist_id"):
+        read_watchlist_csv(spark, str(path))
 
 
 def test_deliver_resumes_after_mark(spark):

@@ -52,9 +52,8 @@ def test_every_alert_is_over_its_limit(spark, txs, limits):
 
 @seed(13)
 @SETTINGS
-@given(st.dictionaries(st.sampled_from(list("abcdefgh")), st.integers(1, 400), min_size=1),
-       st.integers(5, 60))
-def test_digests_list_every_alert_once(spark, per_customer, page_size):
+@given(st.dictionaries(st.sampled_from(list("abcdefgh")), st.integers(1, 400), min_size=1))
+def test_digests_count_every_alert_once(spark, per_customer):
     rows = [(f"A-{c}-{i:04d}", "FRAUD_WATCHLIST_MATCH", f"{c}@x", c, f"T{i}", 1.0, "USD", "m",
              "t", "x", "y", T0, "HIGH", "BLOCK", "r")
             for c, n in per_customer.items() for i in range(n)]
@@ -64,13 +63,10 @@ def test_digests_list_every_alert_once(spark, per_customer, page_size):
                                "transaction_city string, transaction_country string, "
                                "transaction_timestamp timestamp, risk_level string, "
                                "action string, reason_description string")
-    digests = alerts.fraud_digests(df, page_size=page_size).collect()
-    for c, n in per_customer.items():
-        mine = [d for d in digests if d.recipient_name == c]
-        assert sum(d.alert_count for d in mine) == n
-        assert sum(d.body.count("<tr><td>") for d in mine) == n
-        pages = -(-n // page_size)
-        assert len(mine) <= pages          # a page can come out empty, never over-split
+    digests = alerts.fraud_digests(df).collect()
+    assert {d.recipient_name: d.alert_count for d in digests} == per_customer
+    lines = alerts.fraud_digest_lines(df).groupBy("recipient_name").count().collect()
+    assert {x[0]: x[1] for x in lines} == per_customer
 
 
 @seed(17)

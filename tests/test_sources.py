@@ -1,7 +1,11 @@
 """Source adapters: Kafka options, replay, watchlist folder."""
 
+import pytest
+
+from cardwatch import config
 from cardwatch.schemas import KAFKA_ENVELOPE, WATCHLIST_RECORD
 from cardwatch.sources import files, kafka, testdata
+from cardwatch.sources.jdbc import hash_predicates
 from cardwatch.streaming.job import parse_args
 
 
@@ -24,18 +28,45 @@ def test_replay_has_kafka_columns(spark, sf_dir, tmp_path):
     assert stream.isStreaming and stream.schema == KAFKA_ENVELOPE
 
 
-def test_watchlist_stream_reads_only_json(spark, tmp_path):
+def test_kafka_stops_on_lost_data_unless_told_otherwise():
+    assert kafka.kafka_options("b:9092", "tx")["failOnDataLoss"] == "true"
+    assert kafka.kafka_options("b:9092", "tx", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+
+
+def test_watchlist_reads_every_file_and_rescues_the_rest(spark, tmp_path):
     folder = tmp_path / "drop"
     folder.mkdir()
-    (folder / "a.json").write_text('{"watchlist_id": "WL000001", "entity_id": "4000"}\n')
-    (folder / "notes.txt").write_text("not a record\n")
-    df = spark.read.schema(WATCHLIST_RECORD).option("pathGlobFilter", "*.json").json(str(folder))
-    assert [r.watchlist_id for r in df.collect()] == ["WL000001"]
-    assert files.watchlist_stream(spark, str(folder)).schema == WATCHLIST_RECORD
-    assert files.read_watchlist_files(spark, str(folder)).count() == 1
+    (folder / "a.json").write_text('{"watchlist_id": "WL000001", "entity_id": 4000, "new": [1]}\n\n')
+    (folder / "b.txt").write_text('{"watchlist_id": "WL000002", "entity_id": "4001"}\nbroken {\n[1]\n')
+    lines = spark.read.text(str(folder)).selectExpr("value", "_metadata.file_path as source_file")
+    got = {(r.watchlist_id, r.entity_id, r.rescued_data) for r in files.watchlist_lines(lines).collect()}
+    assert got == {("WL000001", "4000", '{"new":"[1]"}'), ("WL000002", "4001", None),
+                   (None, None, "broken {"), (None, None, "[1]")}
+    stream = files.watchlist_stream(spark, str(folder))
+    assert stream.isStreaming and stream.columns == [*WATCHLIST_RECORD.fieldNames(), "rescued_data",
+                                                     "source_file"]
+    assert files.read_watchlist_files(spark, str(folder)).filter("watchlist_id is not null").count() == 2
+
+
+def test_jdbc_predicates_split_by_hash():
+    assert hash_predicates("abs(hashtext(customer_id))", 2) == [
+        "mod(abs(hashtext(customer_id)), 2) = 0", "mod(abs(hashtext(customer_id)), 2) = 1"]
+
+
+def test_shared_root_without_a_setting(spark):
+    """A local session gets one folder per process; any other is an error."""
+    class Session:
+        sparkContext = None
+
+        def __init__(self, master):
+            self.conf = {"spark.master": master}
+    assert config.shared_root(Session("local[2]")) == config.shared_root(Session("local"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        config.shared_root(Session("local-cluster[2,1,1024]"))
 
 
 def test_job_arguments():
     args = parse_args(["--bootstrap-servers", "b:9092", "--topic", "tx",
                        "--watchlist-folder", "/w", "--processing-time", "1 minute"])
     assert args.processing_time == "1 minute" and args.root is None
+    assert not args.all_customer_rows and not args.allow_data_loss

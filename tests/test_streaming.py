@@ -121,8 +121,8 @@ def test_outbox_retry_replaces_its_own_batch(spark, sf_dir, tmp_path):
             raise RuntimeError("mail relay down")  # ... then the batch fails
 
     with pytest.raises(StreamingQueryException):
-        runner.run_foreach_batch(stream, failing_once, run.checkpoint("outbox"))
-    runner.run_foreach_batch(stream, failing_once, run.checkpoint("outbox"))
+        runner.finish(runner.start_foreach_batch(stream, failing_once, run.checkpoint("outbox")), spark)
+    runner.finish(runner.start_foreach_batch(stream, failing_once, run.checkpoint("outbox")), spark)
     out = spark.read.parquet(run.table("outbox"))
     expected = spark.read.parquet(path).count()
     assert out.count() == expected
