@@ -2,8 +2,8 @@
 
 Strategies, chosen by size checks rather than by hope:
 
-* the other side is small (its row count times an upper bound of its row
-  width fits the broadcast budget): broadcast it; every task joins its own
+* the other side is small (the measured bytes of its rows in memory fit the
+  broadcast budget): broadcast it; every task joins its own
   rows locally, so a hot key costs nothing extra;
 * otherwise one shuffle join that salts only the hot keys: keys holding at
   least ``min_share`` of the fact rows (at most ``1/min_share`` of them, a
@@ -22,10 +22,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DecimalType,
+from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DecimalType,
                                DoubleType, FloatType, IntegerType, LongType, ShortType,
                                StringType, TimestampNTZType, TimestampType)
 
+# Types whose values take a fixed number of bytes (a wide decimal: 16 besides its field).
+FIXED_WIDTH = (BooleanType, ByteType, ShortType, IntegerType, LongType, DateType, FloatType,
+               DoubleType, TimestampType, TimestampNTZType)
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 DEFAULT_SALT_BUCKETS = 8
 # A key is hot when it holds at least this share of the fact rows; there
@@ -35,48 +38,39 @@ BUCKETS = "_buckets"
 SALT = "_salt"
 
 
-def _fixed_bytes(t: DataType) -> int | None:
-    """Width of a fixed-size value; None for text, which is measured."""
-    if isinstance(t, (BooleanType, ByteType)):
-        return 1
-    if isinstance(t, (ShortType, IntegerType, DateType, FloatType)):
-        return 4
-    if isinstance(t, (LongType, DoubleType, TimestampType, TimestampNTZType)):
-        return 8
-    if isinstance(t, DecimalType):
-        return 16
-    return None
+# Bytes that a row costs in a broadcast hash table besides its fields: the
+# row's header and size, its entry in the table, which is at most half full.
+ROW_OVERHEAD = 64
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of one row: 8 of overhead, fixed widths, actual text lengths.
+    """Bytes of one row in memory: 8 per field, the null bits, texts in words of 8, overhead.
 
     Values of other types (structs, arrays) are measured by their JSON text.
     """
-    size = F.lit(8 + sum(_fixed_bytes(f.dataType) or 0 for f in df.schema.fields))
-    for f in df.schema.fields:
-        if _fixed_bytes(f.dataType) is None:
+    fields = df.schema.fields
+    size = F.lit(ROW_OVERHEAD + 8 * -(-len(fields) // 64) + 8 * len(fields))
+    for f in fields:
+        if not isinstance(f.dataType, FIXED_WIDTH):
             c = F.col(f"`{f.name}`")
-            text = c if isinstance(f.dataType, StringType) else F.to_json(F.struct(c))
-            size = size + F.coalesce(F.octet_length(text), F.lit(0))
+            if isinstance(f.dataType, DecimalType):
+                size = size + 16
+                continue
+            text = c if isinstance(f.dataType, (StringType, BinaryType)) else F.to_json(F.struct(c))
+            size = size + F.coalesce(F.octet_length(text), F.lit(0)) + 8
     return size
 
 
 def fits_broadcast(df: DataFrame, budget_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """Whether ``df`` is small enough to broadcast, by measuring it.
 
-    One job over at most ``max_rows + 1`` rows (``max_rows`` = budget over
-    the smallest possible row), summing the actual bytes of each row, so
-    the check is a proven bound and stays cheap on a dimension far larger
-    than the budget.  Project the frame to the join columns first.
+    One job that sums the bytes of the rows, partition by partition; only
+    the sum comes to the driver.  Project the frame to the join columns
+    first.
     """
     if budget_bytes <= 0:
         return False
-    min_row = 8 + sum(_fixed_bytes(f.dataType) or 0 for f in df.schema.fields)
-    max_rows = budget_bytes // min_row
-    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"),
-                                          F.sum(_row_bytes(df)).alias("bytes")).first()
-    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= budget_bytes
+    return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= budget_bytes
 
 
 def salt_of(identity: list[str | Column], buckets: int) -> Column:

@@ -121,12 +121,13 @@ def test_hot_key_split_for_streams_uses_history(spark, tmp_path):
 
 
 def test_size_check_measures_text(spark):
-    small = spark.range(10).select(F.col("id").cast("string").alias("k"))   # 10 * (8 + 1)
-    assert joins.fits_broadcast(small, 90) and not joins.fits_broadcast(small, 89)
+    small = spark.range(10).select(F.col("id").cast("string").alias("k"))
+    each = joins.ROW_OVERHEAD + 8 + 8 + 8 + 1     # null bits, field, text in words of 8
+    assert joins.fits_broadcast(small, 10 * each) and not joins.fits_broadcast(small, 10 * each - 1)
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("k"))
     assert not joins.fits_broadcast(wide, 5_000)          # long text is counted as it is
     many = spark.range(100_000).select(F.col("id").alias("k"))
-    assert not joins.fits_broadcast(many, 16 * 1000)      # stops after 1,001 rows
+    assert not joins.fits_broadcast(many, 16 * 1000)    
 
 
 def test_hot_key_is_spread_over_salts(spark):
