@@ -17,8 +17,8 @@ are reported if the trained classifier says so.
    probabilities, again on counted patterns, and scores each candidate as a
    column expression.
 
-The driver sees only the table of patterns (at most ``MAX_PATTERNS`` rows,
-a bound given by kinds, labelers and length classes).
+The driver sees only the table of patterns, whose size is bounded by the
+numbers of kinds, labelers and length classes.
 
 Edge cases: null and empty texts have no spans.  Rows that repeat id and
 text get the same spans; each counts in the fit.  Null ids are kept.
@@ -64,7 +64,6 @@ NOT_BEFORE = r"(?i)([$€£#§]|no\.|nr\.|vol\.|isbn|page|version|v|id|\x20x)[\x
 
 LABELERS = ("checksum", "gazetteer", "before", "not_before", "edges", "pieces")
 LENGTHS = 4
-MAX_PATTERNS = len(KINDS) * 3 ** len(LABELERS) * LENGTHS
 EM_ROUNDS = 50
 FIT_ROUNDS = 300
 # Candidates beyond the strict ones need this probability.
@@ -218,8 +217,9 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """``(doc_id, base, added)``: arrays of spans for every row."""
     scanned = written(scan(docs, doc_id, text), "personal-scanned")
     cast = votes(scanned)
+    # At most len(KINDS) * LENGTHS * 3 ** len(LABELERS) rows, whatever the corpus.
     counted = cast.groupBy("kind", "length", *LABELERS).count().orderBy(
-        "kind", "length", *LABELERS).limit(MAX_PATTERNS).collect()
+        "kind", "length", *LABELERS).collect()
     patterns = [(tuple(r[x] for x in LABELERS), r["count"]) for r in counted]
     _, _, prob = estimate(patterns)
     weights = fit([(r["kind"], v, r["length"], c, p) for r, (v, c), p in zip(counted, patterns, prob)])
