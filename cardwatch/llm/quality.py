@@ -148,14 +148,16 @@ def rate_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Base counts, ``score``, ``base_failed`` and ``kept`` for ``docs(doc_id, text)``."""
     ids = trusted_ids(labels).withColumn("trusted", F.lit(True))
     ids = F.broadcast(ids) if fits_broadcast(ids) else ids
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").withColumn(
-        "trusted", F.coalesce("trusted", F.lit(False)))
+    # Ids travel as text: pandas would turn whole numbers with nulls into floats.
+    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text",
+        F.coalesce("trusted", F.lit(False)).alias("trusted"))
     counts = marked.select("text", "trusted").mapInPandas(
         count_batches, "bucket long, trusted long, every long")
     ratio = log_ratio(counts.groupBy("bucket").agg(F.sum("trusted").alias("trusted"),
                                                    F.sum("every").alias("every")))
     scored = written(marked.mapInPandas(
-        scorer(ratio), "doc_id long, n_words long, word_chars long, n_symbols long, "
+        scorer(ratio), "doc_id string, n_words long, word_chars long, n_symbols long, "
         "n_dup_lines long, n_repeat_words long, score double, trusted boolean"), "quality-scores")
     # An exact-rank quantile over a bounded histogram of the scores, so reruns agree.
     step = 1e-4
@@ -172,7 +174,8 @@ def rate_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return (scored.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-            .withColumn("threshold", F.lit(threshold)).drop("trusted"))
+            .withColumn("threshold", F.lit(threshold)).drop("trusted")
+            .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

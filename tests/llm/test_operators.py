@@ -34,6 +34,7 @@ EDGE = [
     (8, prose(1, 59) + " extra", "en", "c", 1), (None, prose(2), "en", "c", 1),
     (9, "Ünï cödé ☃ 😀 word", "fr", "é", 18), (10, "x\ny\nz\n" * 4, "en", "é", 1),
     (11, "12 34 ..", "en", "a", 1), (12, prose(3), "en", None, 1),
+    ((1 << 62) + 1, prose(4), "en", "a", 1),
 ]
 
 
@@ -239,7 +240,7 @@ def test_one_of_each_class_stays(edge):
     out = ngram_join.drop_near_duplicates(clash)
     assert out.columns == clash.columns
     ids = sorted((r.doc_id for r in out.collect()), key=str)
-    assert ids == sorted([1, 2, 3, 4, 5, 6, None, 9, 10, 11, 12], key=str)
+    assert ids == sorted([1, 2, 3, 4, 5, 6, None, 9, 10, 11, 12, (1 << 62) + 1], key=str)
 
 
 def test_band_choice_meets_recall():

@@ -95,3 +95,19 @@ def test_stages_take_odd_tables(spark, sf_dir, rows):
 def test_run_is_the_stages_in_order(spark, sf_dir, stages):
     got = corpus_pipeline.run(spark, sf_dir)
     assert sorted(got.collect(), key=str) == sorted(stages[-1][1].collect(), key=str)
+
+
+def test_tasks_need_no_installed_package():
+    """What tasks run is pickled by value, so executors do not import the package."""
+    import pickletools
+
+    from pyspark import cloudpickle
+
+    from cardwatch.llm import class_lm, ngram_join, quality
+    for function in (class_lm.block_batches, ngram_join.signer(2, 3), ngram_join.verifier(0.8),
+                     quality.count_batches, language_id.counter(["en"]),
+                     decontaminate.searcher(decontaminate.Index([(1, "a b c")]), 0.5, 0.5, 0.5)):
+        names = [arg for op, arg, _ in pickletools.genops(cloudpickle.dumps(function))
+                 if op.name in ("GLOBAL", "SHORT_BINUNICODE", "BINUNICODE")]
+        strings = "\n".join(str(n) for n in names)
+        assert "subimport\ncardwatch" not in strings
