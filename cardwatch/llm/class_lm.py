@@ -1,6 +1,7 @@
 """Class-based n-gram scoring (Brown classes found by exchange clustering).
 
-Words have classes: the ``FREQUENT`` most frequent training words get one
+Words have classes: the ``FREQUENT`` most frequent training words (of those
+that make up a millionth of the tokens at least) get one
 of ``CLASSES`` by exchange clustering, every other word the class of its
 ending, and the end of a text its own.  The probability of a word after
 another is
@@ -45,6 +46,8 @@ from pyspark.sql import functions as F
 from .common import read, written
 
 FREQUENT = 1000
+# Words rarer than one in a million tokens are never frequent.
+LEAST_SHARE = 1e-6
 CLASSES = 64
 ENDINGS = 128
 PASSES = 4
@@ -79,7 +82,8 @@ def tokens_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return token, ((both * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64) % ENDINGS
 
 
-BLOCK_SCHEMA = ("block long, doc_id long, held_out boolean, ids binary, "
+# Ids travel as text: pandas would turn whole numbers with nulls into floats.
+BLOCK_SCHEMA = ("block long, doc_id string, held_out boolean, ids binary, "
                 "id int, token long, ending int, here long")
 
 
@@ -122,8 +126,6 @@ def _frame(n: int, **columns) -> pd.DataFrame:
         value = columns.get(name)
         if value is None:
             out[name] = pd.Series([None] * n, dtype="object")
-        elif name == "doc_id":
-            out[name] = pd.Series(value, dtype="Int64")
         else:
             out[name] = value
     return out
@@ -253,7 +255,8 @@ def scorer(frequent: np.ndarray, class_of: np.ndarray, after: np.ndarray, mass:
 def score_documents(docs: DataFrame) -> DataFrame:
     """Scores of ``docs(doc_id, text)``."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
-    rows = docs.select("doc_id", (fold == 0).alias("held_out"), "text")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), (fold == 0).alias("held_out"),
+                       "text")
     blocks = written(rows.mapInPandas(block_batches, BLOCK_SCHEMA), "lm-blocks")
     same = Window.partitionBy("token")
     counts = written(
@@ -263,7 +266,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     distinct = counts.filter("first and total > 0")
     sums = distinct.agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, kinds_all = sums["n"] or 0, sums["v"] or 0
-    top = (distinct.filter(F.col("token") != END).orderBy(F.col("total").desc(), "token")
+    # A million words at most have this share, so no more meet in one task.
+    top = (distinct.filter((F.col("token") != END) & (F.col("total") >= total * LEAST_SHARE))
+           .orderBy(F.col("total").desc(), "token")
            .limit(FREQUENT).select("token", "total").collect())
     frequent = np.array(sorted(r["token"] for r in top), dtype=np.int64)
     # Tokens and distinct tokens per ending, without the frequent words.
@@ -275,8 +280,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     pairs = np.zeros((n_states, n_states))
     counted = (rows.filter(~F.col("held_out")).select("text")
                .mapInPandas(pair_counter(frequent), "a long, b long, n long")
-               .groupBy("a", "b").agg(F.sum("n").alias("n")).toPandas())
-    pairs[counted["a"].to_numpy(dtype=np.int64), counted["b"].to_numpy(dtype=np.int64)] = counted["n"]
+               .groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow())
+    pairs[counted["a"].to_numpy(), counted["b"].to_numpy()] = counted["n"].to_numpy()
+    del counted
     frequency = pairs.sum(axis=0)
     class_of = exchange(pairs, frequency, len(frequent))
     k = int(class_of.max()) + 1
@@ -292,8 +298,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     score = scorer(frequent, class_of, after, mass, kinds, int(total), int(kinds_all))
     return (blocks.filter("ids is not null").select("block", "doc_id", "held_out", "ids").groupBy("block")
             .cogroup(counts.select("block", "id", "token", "ending", "total").groupBy("block"))
-            .applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, "
-                                  "train_tokens long, base_score double, score double"))
+            .applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, "
+                                  "train_tokens long, base_score double, score double")
+            .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
 
 
 def op6_class_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,9 +132,9 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 def log_ratio(counts: DataFrame) -> np.ndarray:
     """Log ratio per bucket from counts ``(bucket, trusted, every)``: at most ``BUCKETS`` rows."""
-    n = np.zeros((2, BUCKETS))
-    for r in counts.collect():
-        n[0, r["bucket"]], n[1, r["bucket"]] = r["trusted"], r["every"]
+    n, table = np.zeros((2, BUCKETS)), counts.toArrow()
+    for row, name in enumerate(("trusted", "every")):
+        n[row, table["bucket"].to_numpy()] = table[name].to_numpy()
     out = np.zeros(BUCKETS)
     if n[0].any():
         for half in (slice(0, 1 << BITS), slice(1 << BITS, BUCKETS)):   # a multinomial each
