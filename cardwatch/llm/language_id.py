@@ -15,7 +15,7 @@ their letters; that mean is the score.
 
 The counts cover all training documents.  The few weights of the field are
 fitted on the driver to a sample of at most ``SAMPLE_DOCS`` training
-documents, the first by a hash of their row key, and at most
+documents, the first by a hash of their row keys, and at most
 ``SEGMENT`` consecutive words of each; the segment's own counts are taken
 off first.  Segments are cut up and spliced, so that transitions are learnt
 from text that does switch.
@@ -320,15 +320,22 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(languages, weighted evidence table, field weights) from the rows outside the held-out fold."""
     rows = docs.filter((fold(doc_id) != HELD_OUT) & F.col(lang).isNotNull() & F.col(text).isNotNull()) \
         .select(row_key(doc_id, text).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    per_lang = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    langs = sorted(per_lang)
     if not langs:
         return [], np.zeros((OFFSETS[-1], 0)), {}
     cells = (rows.select("text", "lang").mapInPandas(counter(langs), "cell long, n long")
-             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
+             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
     counts = np.zeros(OFFSETS[-1] * len(langs), dtype=np.int64)
-    counts[cells["cell"].to_numpy(dtype=np.int64)] = cells["n"]
+    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    del cells
     counts = counts.reshape(-1, len(langs))
-    sample = rows.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_DOCS)
+    # A thin slice of the hashes first, so that few rows meet in one task; it
+    # holds four times the sample on average.
+    order = F.xxhash64("key")
+    share = min(1.0, 4 * SAMPLE_DOCS / sum(per_lang.values()))
+    sample = (rows.filter(order <= int((share - 0.5) * (1 << 64)) - 1 if share < 1 else F.lit(True))
+              .orderBy(order, "key").limit(SAMPLE_DOCS))
     cut = sample.mapInPandas(segments(langs, counts), "key string, lang int, evidence binary") \
         .toPandas().sort_values("key")
     evidence = [np.frombuffer(e, dtype="<f4").reshape(-1, FAMILIES, len(langs)) for e in cut["evidence"]]
