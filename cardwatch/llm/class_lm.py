@@ -1,10 +1,7 @@
 """Class-based n-gram scoring (Brown classes found by exchange clustering).
 
-Words have classes: the ``FREQUENT`` most frequent training words (of those
-that make up a millionth of the tokens at least) get one
-of ``CLASSES`` by exchange clustering, every other word the class of its
-ending, and the end of a text its own.  The probability of a word after
-another is
+Every word of the training documents has one of ``CLASSES`` classes, the
+end of a text one of its own.  The probability of a word after another is
 
     MIX * P(class | previous class) * P(word | class) + (1 - MIX) * P(word)
 
@@ -18,10 +15,22 @@ term alone.
 2. A window per token sums the counts over blocks, so every block row
    knows its token's count in the whole corpus.  A token has a row per
    block that holds it, not per occurrence.
-3. Pairs of neighbouring words are counted by state (frequent word, word
-   ending, end): a table whose size depends on parameters only.  Exchange
-   clustering runs on it.
-4. Blocks meet their tokens' counts again and are scored.
+3. A start: pairs of neighbouring words are counted by state (one of the
+   ``FREQUENT`` most frequent words, word ending, end), a table whose size
+   depends on parameters only, and the driver exchanges these states until
+   none moves.  Words start in the class of their state.
+4. Exchange over all words: blocks count their words' neighbours by class,
+   one row per word and block; the rows of a word meet, and the word takes
+   the class that raises the likelihood most, given the class-by-class
+   table and the moves of the same task.  A step moves the words of one
+   hashed batch.  If the likelihood falls because neighbours moved at
+   once, the step is taken back, and the next round has twice the batches.
+   It ends with a round that raises the likelihood by less than
+   ``LEAST_RISE`` nats per token, or two in turn if steps were taken back.
+5. Blocks meet their words' classes again and are scored.
+
+Only the class-by-class table is broadcast.  A word without training count
+keeps the class it starts in.
 
 Words are ASCII-lower-cased; the end is a token of its own.  Distinct
 tokens are told apart by 64-bit hashes.
@@ -34,29 +43,41 @@ repeat an id are scored, and counted, each.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read, written
 
 FREQUENT = 1000
-# Words rarer than one in a million tokens are never frequent.
+# Words rarer than one in a million tokens are not ranked for the start.
 LEAST_SHARE = 1e-6
 CLASSES = 64
 ENDINGS = 128
-PASSES = 4
+# Classes with the end's; what is counted per word: classes to its right
+# and to its left, and its own repeats.
+K = CLASSES + 1
+SLOTS = 2 * K + 1
+LEAST_RISE = 1e-3
+BATCHES = 1
 MIX = 0.9
 ALPHA = 0.1
 # Pseudo-counts of a class's transitions, spread by class frequency.
 BACKOFF = 2.0
 FOLDS = 10
 BLOCK_TOKENS = 3_000_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Neighbour counts worked on at a time.
+ENTRIES = 4_000
+# Neighbouring words worked on at a time.
+PIECE = 500_000
 
 END = xxhash.xxh3_64_intdigest(b"") - (1 << 63)
 
@@ -88,7 +109,7 @@ BLOCK_SCHEMA = ("block long, doc_id string, held_out boolean, ids binary, "
 
 
 def block_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of documents (``ids``: 32-bit numbers of tokens) and rows of distinct tokens."""
+    """Rows of documents (``ids``: 32-bit numbers of tokens, compressed) and rows of distinct tokens."""
     context = TaskContext.get()
     number = (context.partitionId() if context else 0) << 32
     docs, pending = [], 0
@@ -116,7 +137,7 @@ def _block(number: int, docs: list[tuple]) -> Iterator[pd.DataFrame]:
     yield _frame(len(token), block=number, id=np.arange(len(token), dtype=np.int32), token=token,
                  ending=endings.astype(np.int32), here=here)
     yield _frame(len(docs), block=number, doc_id=[d[0] for d in docs], held_out=[d[1] for d in docs],
-                 ids=[ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])])
+                 ids=[zlib.compress(ids[a:b].tobytes(), 1) for a, b in zip(cuts, cuts[1:])])
 
 
 def _frame(n: int, **columns) -> pd.DataFrame:
@@ -166,11 +187,12 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
 
 
 def exchange(pairs: np.ndarray, frequency: np.ndarray, n_words: int, classes: int = CLASSES,
-             passes: int = PASSES) -> np.ndarray:
+             passes: int | None = None) -> np.ndarray:
     """Class of each state; the first ``n_words`` states move, the others keep their own class.
 
     Moves each word in turn (by falling frequency) to the class that gives
-    the greatest likelihood of the class pairs, until nothing moves.
+    the greatest likelihood of the class pairs, until nothing moves or
+    ``passes`` are done.
     """
     n_states = len(pairs)
     classes = max(1, min(classes, n_words))
@@ -183,7 +205,8 @@ def exchange(pairs: np.ndarray, frequency: np.ndarray, n_words: int, classes: in
     table = member.T @ pairs @ member
     row, col = table.sum(axis=1), table.sum(axis=0)
     free = np.arange(classes)
-    for _ in range(passes):
+    least = 1e-9 * max(1.0, pairs.sum())      # above rounding
+    for _ in itertools.count() if passes is None else range(passes):
         moved = 0
         for w in order:
             a, own = of[w], pairs[w, w]
@@ -206,7 +229,7 @@ def exchange(pairs: np.ndarray, frequency: np.ndarray, n_words: int, classes: in
             gain -= _xlogx(row[free] + rs) - _xlogx(row[free])
             gain -= _xlogx(col[free] + cs) - _xlogx(col[free])
             b = int(np.argmax(gain))
-            if gain[b] <= gain[a] + 1e-9:
+            if gain[b] <= gain[a] + least:
                 b = int(a)
             moved += b != a
             of[w] = b
@@ -220,30 +243,243 @@ def exchange(pairs: np.ndarray, frequency: np.ndarray, n_words: int, classes: in
     return of
 
 
-def scorer(frequent: np.ndarray, class_of: np.ndarray, after: np.ndarray, mass: np.ndarray,
-           kinds: np.ndarray, total: int, distinct: int):
-    """Scores a block: its documents and its tokens' counts.
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of the class pairs, up to a part that no class changes."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(axis=0)).sum() - _xlogx(table.sum(axis=1)).sum())
+
+
+def best_classes(word: np.ndarray, slot: np.ndarray, n: np.ndarray, of: np.ndarray,
+                 table: np.ndarray) -> np.ndarray:
+    """Class of each word that gives the greatest likelihood if it moves alone.
+
+    ``word`` (rising), ``slot``, ``n``: counts of the words' neighbours.
+    ``of``: their classes now.  The last class of ``table`` is the end's.
+    """
+    k, every = len(table), np.arange(len(of))
+    free = k - 1
+    right, left, own = np.zeros((len(of), k)), np.zeros((len(of), k)), np.zeros(len(of))
+    side = slot // k
+    for at, counts in ((side == 0, right), (side == 1, left)):
+        counts[word[at], slot[at] % k] = n[at]
+    own[word[side == 2]] = n[side == 2]
+    gain = np.zeros((len(of), free))
+    for which, counts, other, across in ((0, right, left, table.T), (1, left, right, table)):
+        at = side == which
+        w, c, x = word[at], slot[at] % k, n[at].astype(np.float64)
+        # Pairs of each class with the neighbour's, without the word.
+        t = across[c, :free].astype(np.float64)
+        t[np.arange(len(w)), of[w]] -= x
+        hit = np.flatnonzero(c == of[w])
+        t[hit] -= other[w[hit], :free]
+        t[hit, of[w[hit]]] -= own[w[hit]]
+        if len(w):
+            starts = np.flatnonzero(np.diff(w, prepend=-1))
+            gain[w[starts]] += np.add.reduceat(_xlogx(t + x[:, None]) - _xlogx(t), starts, axis=0)
+        total = counts.sum(axis=1) + own
+        sums = np.tile(table.sum(axis=1 - which)[:free].astype(np.float64), (len(of), 1))
+        sums[every, of] -= total
+        gain -= _xlogx(sums + total[:, None]) - _xlogx(sums)
+    r, c = right[:, :free], left[:, :free]
+    diagonal = np.tile(np.diag(table)[:free].astype(np.float64), (len(of), 1))
+    diagonal[every, of] -= r[every, of] + c[every, of] + own
+    gain += _xlogx(diagonal + r + c + own[:, None]) - _xlogx(diagonal + r)
+    gain += _xlogx(diagonal) - _xlogx(diagonal + c)
+    best = gain.argmax(axis=1)
+    return np.where(gain[every, best] > gain[every, of] + 1e-9, best, of)
+
+
+# A block's documents, and a row with its tokens, their counts in the whole
+# corpus and whether this block is the first to hold them.
+PACKED_SCHEMA = ("block long, doc_id string, held_out boolean, ids binary, "
+                 "tokens binary, totals binary, firsts binary")
+CLASS_SCHEMA = "block long, id int, class int"
+
+
+def pack_tokens(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("id")
+    return pd.DataFrame([(rows["block"].iloc[0], rows["token"].to_numpy("<i8").tobytes(),
+                          zlib.compress(rows["total"].to_numpy("<i8").tobytes(), 1),
+                          zlib.compress(rows["first"].to_numpy("u1").tobytes(), 1))],
+                        columns=["block", "tokens", "totals", "firsts"])
+
+
+def _unpacked(packed: pd.DataFrame, classes: pd.DataFrame):
+    """Documents of a block, its tokens, counts and first marks, and its tokens' classes."""
+    lists = packed["ids"].isna()
+    one = packed[lists].iloc[0]
+    token = np.frombuffer(one["tokens"], dtype="<i8")
+    total, first = (np.frombuffer(zlib.decompress(one[c]), dtype=d)
+                    for c, d in (("totals", "<i8"), ("firsts", "u1")))
+    of = np.empty(len(token), dtype=np.int64)
+    of[classes["id"].to_numpy()] = classes["class"].to_numpy()
+    return packed[~lists], token, total, first, of
+
+
+def _learnt(docs: pd.DataFrame, token: np.ndarray) -> np.ndarray:
+    """Training tokens in a row, as numbers, after an end."""
+    end = np.flatnonzero(token == END).astype("<u4")
+    ids = docs["ids"][~docs["held_out"].astype(bool)]
+    return np.concatenate([end, *[np.frombuffer(zlib.decompress(i), dtype="<u4") for i in ids]])
+
+
+def class_pairs(packed: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+    """Counts ``(cell, n)`` of a block: pairs of classes, then distinct training words per class."""
+    docs, token, total, first, of = _unpacked(packed, classes)
+    c = of.astype(np.int16)[_learnt(docs, token)]
+    n = np.concatenate([np.bincount(c[:-1] * np.int16(K) + c[1:], minlength=K * K),
+                        np.bincount(of[(first > 0) & (total > 0)], minlength=K)])
+    at = np.flatnonzero(n)
+    return pd.DataFrame({"cell": at, "n": n[at]})
+
+
+def in_batch(token: np.ndarray, step: int, batches: int) -> np.ndarray:
+    """Whether a word moves in this step; ``batches`` steps in turn move every word once."""
+    h = (token.astype(np.uint64) ^ np.uint64(step // batches)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h >> np.uint64(40)) % np.uint64(batches)).astype(np.int64) == step % batches
+
+
+def neighbour_counter(step: int, batches: int):
+    """A row per token of a block; ``near`` packs the counts of its neighbours if it may move."""
+
+    def count(packed: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+        docs, token, _, _, of = _unpacked(packed, classes)
+        t = _learnt(docs, token)
+        moves = in_batch(token, step, batches) & (token != END)
+        keys = []
+        for i in range(0, len(t) - 1, PIECE):
+            a, b = t[i:i + PIECE][:len(t) - 1 - i].astype(np.int64), t[i + 1:i + 1 + PIECE].astype(np.int64)
+            same, m_a, m_b = a == b, moves[a], moves[b]
+            x, y, z = m_a & ~same, m_b & ~same, m_a & same
+            keys += [a[x] * SLOTS + of[b[x]], b[y] * SLOTS + K + of[a[y]], a[z] * SLOTS + 2 * K]
+        keys = np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)
+        keys.sort()                               # in place: blocks are large
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        u, n = keys[first], np.diff(first, append=len(keys))
+        del keys, first
+        cuts = np.searchsorted(u // SLOTS, np.arange(len(token) + 1)) * 4
+        near = ((n.astype("<u4") << 8) | (u % SLOTS).astype("<u4")).astype("<u4").tobytes()
+        return pd.DataFrame({
+            "block": packed["block"].iloc[0], "id": np.arange(len(token), dtype=np.int32),
+            "class": of.astype(np.int32), "token": token,
+            "near": [near[i:j] for i, j in zip(cuts, cuts[1:])]})
+    return count
+
+
+def mover(table: np.ndarray):
+    """New classes from rows in the order of their tokens."""
+    local = table.copy()
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        new_word = np.diff(rows["token"].to_numpy(), prepend=0) != 0
+        new_word[0] = True
+        word = np.cumsum(new_word) - 1
+        of = rows["class"].to_numpy(dtype=np.int64)[new_word]
+        near = np.frombuffer(b"".join(rows["near"]), dtype="<u4")
+        size = np.array([len(x) // 4 for x in rows["near"]])
+        key, back = np.unique(np.repeat(word, size) * SLOTS + (near & 255), return_inverse=True)
+        n = np.bincount(back, weights=near >> 8, minlength=len(key))
+        at, slot = key // SLOTS, key % SLOTS
+        movable, at = np.unique(at, return_inverse=True)
+        i = 0
+        while i < len(at):
+            # As many whole words as ENTRIES holds, one at least.
+            j = int(np.searchsorted(at, at[min(i + ENTRIES, len(at) - 1)])) if i + ENTRIES < len(at) else len(at)
+            if j <= i:
+                j = int(np.searchsorted(at, at[i], side="right"))
+            some, w, side = movable[at[i]:at[j - 1] + 1], at[i:j] - at[i], slot[i:j] // K
+            old = of[some]
+            of[some] = best_classes(w, slot[i:j], n[i:j], old, local)
+            # What the task's next words see of these moves.
+            for sign, now in ((-1, old), (1, of[some])):
+                for this, first, columns in ((0, now[w], slot[i:j] % K), (1, slot[i:j] % K, now[w]),
+                                             (2, now[w], now[w])):
+                    np.add.at(local, (first[side == this], columns[side == this]), sign * n[i:j][side == this])
+            i = j
+        return pd.DataFrame({"block": rows["block"].to_numpy(), "id": rows["id"].to_numpy(),
+                             "class": of[word].astype(np.int32)})
+
+    def move(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            rows = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            if not len(rows):
+                continue
+            token = rows["token"].to_numpy()
+            last = int(np.searchsorted(token, token[-1]))
+            held = rows.iloc[last:]
+            if last:
+                yield choose(rows.iloc[:last])
+        if held is not None:
+            yield choose(held)
+    return move
+
+
+def starter(frequent: np.ndarray, class_of: np.ndarray):
+    """Classes that tokens start in."""
+
+    def start(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            state = states_of(frame["token"].to_numpy(), frequent, frame["ending"].to_numpy(dtype=np.int64))
+            yield pd.DataFrame({"block": frame["block"], "id": frame["id"],
+                                "class": class_of[state].astype(np.int32)})
+    return start
+
+
+def cluster(packed: DataFrame, classes: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Classes ``(block, id, class)`` after the exchange, pairs of classes, words per class."""
+    grouped = packed.groupBy("block")
+
+    def measured(state: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        counted = (grouped.cogroup(state.groupBy("block")).applyInPandas(class_pairs, "cell long, n long")
+                   .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+        n = np.zeros(K * K + K)
+        n[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+        return n[:K * K].reshape(K, K), n[K * K:]
+
+    def stepped(state: DataFrame, table: np.ndarray, step: int, batches: int) -> DataFrame:
+        rows = grouped.cogroup(state.groupBy("block")).applyInPandas(
+            neighbour_counter(step, batches), f"{CLASS_SCHEMA}, token long, near binary")
+        return written(rows.repartition("token").sortWithinPartitions("token")
+                       .mapInPandas(mover(table), CLASS_SCHEMA), "lm-classes")
+
+    table, kinds = measured(classes)
+    batches, rounds, still = BATCHES, 0, 0
+    while table.any() and still < 2:
+        before, taken_back = likelihood(table), False
+        for turn in range(batches):
+            moved = stepped(classes, table, rounds * batches + turn, batches)
+            new_table, new_kinds = measured(moved)
+            if likelihood(new_table) >= likelihood(table):
+                classes, table, kinds = moved, new_table, new_kinds
+            else:
+                taken_back = True
+        rounds += 1
+        rises = likelihood(table) - before >= LEAST_RISE * table.sum()
+        still = 0 if rises else still + 1 if taken_back else 2
+        batches *= 2 if taken_back else 1
+    return classes, table, kinds
+
+
+def scorer(after: np.ndarray, mass: np.ndarray, kinds: np.ndarray, total: int, distinct: int):
+    """Scores a block: its documents and tokens, and its tokens' classes.
 
     ``after[i, j]``: probability of class j after i.  ``mass`` and
     ``kinds``: tokens and distinct tokens of a class in training.
     """
-    rare = len(frequent)
+    end = len(mass) - 1
 
-    def score(docs: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        counts = counts.sort_values("id")
-        c = counts["total"].to_numpy(dtype=np.float64)
+    def score(packed: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+        docs, _, counts, _, k = _unpacked(packed, classes)
+        c = counts.astype(np.float64)
         base = (c + ALPHA) / (total + ALPHA * (distinct + 1))
-        state = states_of(counts["token"].to_numpy(), frequent,
-                          counts["ending"].to_numpy(dtype=np.int64))
-        k = class_of[state]
-        emission = np.where(state >= rare, (c + ALPHA) / (mass[k] + ALPHA * (kinds[k] + 1)),
+        emission = np.where(k < end, (c + ALPHA) / (mass[k] + ALPHA * (kinds[k] + 1)),
                             c / np.maximum(1, mass[k]))
-        known, start, log_base = c > 0, class_of[-1], np.log10(base)
+        known, log_base = c > 0, np.log10(base)
         rows = []
         for ids in docs["ids"]:
-            t = np.frombuffer(ids, dtype="<u4")
+            t = np.frombuffer(zlib.decompress(ids), dtype="<u4")
             cls = k[t]
-            before = np.concatenate([[start], cls[:-1]])
+            before = np.concatenate([[end], cls[:-1]])
             p = MIX * after[before, cls] * emission[t] + (1 - MIX) * base[t]
             rows.append((len(t), int(known[t].sum()), total, log_base[t].sum(), np.log10(p).sum()))
         out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -252,8 +488,8 @@ def scorer(frequent: np.ndarray, class_of: np.ndarray, after: np.ndarray, mass:
     return score
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """Scores of ``docs(doc_id, text)``."""
+def learn(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray, np.ndarray, int, int]:
+    """Packed blocks, classes, pairs of classes, words per class, and training tokens and words."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), (fold == 0).alias("held_out"),
                        "text")
@@ -269,12 +505,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     # A million words at most have this share, so no more meet in one task.
     top = (distinct.filter((F.col("token") != END) & (F.col("total") >= total * LEAST_SHARE))
            .orderBy(F.col("total").desc(), "token")
-           .limit(FREQUENT).select("token", "total").collect())
+           .limit(FREQUENT).select("token").collect())
     frequent = np.array(sorted(r["token"] for r in top), dtype=np.int64)
-    # Tokens and distinct tokens per ending, without the frequent words.
-    head = distinct.sparkSession.createDataFrame([(r["token"],) for r in top], "token long")
-    endings = (distinct.filter(F.col("token") != END).join(F.broadcast(head), "token", "left_anti")
-               .groupBy("ending").agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v")).collect())
 
     n_states = len(frequent) + ENDINGS + 1
     pairs = np.zeros((n_states, n_states))
@@ -283,24 +515,40 @@ def score_documents(docs: DataFrame) -> DataFrame:
                .groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow())
     pairs[counted["a"].to_numpy(), counted["b"].to_numpy()] = counted["n"].to_numpy()
     del counted
-    frequency = pairs.sum(axis=0)
-    class_of = exchange(pairs, frequency, len(frequent))
-    k = int(class_of.max()) + 1
-    member = np.zeros((n_states, k))
-    member[np.arange(n_states), class_of] = 1
-    table = member.T @ pairs @ member
-    mass = member.T @ frequency
-    kinds = np.bincount(class_of, minlength=k).astype(np.float64)
-    for r in endings:
-        kinds[class_of[len(frequent) + r["ending"]]] = r["v"]
-    prior = (mass + 1) / (mass.sum() + k)
-    after = (table + BACKOFF * prior) / (table.sum(axis=1, keepdims=True) + BACKOFF)
-    score = scorer(frequent, class_of, after, mass, kinds, int(total), int(kinds_all))
-    return (blocks.filter("ids is not null").select("block", "doc_id", "held_out", "ids").groupBy("block")
-            .cogroup(counts.select("block", "id", "token", "ending", "total").groupBy("block"))
-            .applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, "
-                                  "train_tokens long, base_score double, score double")
-            .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
+    class_of = exchange(pairs, pairs.sum(axis=0), n_states - 1)
+    del pairs
+
+    tokens = (counts.select("block", "id", "token", "total", "first").groupBy("block")
+              .applyInPandas(pack_tokens, "block long, tokens binary, totals binary, firsts binary"))
+    # Dealt by block once; every step joins the classes to it.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = (blocks.filter("ids is not null").select("block", "doc_id", "held_out", "ids")
+              .unionByName(tokens, allowMissingColumns=True)
+              .repartition(parts, "block").persist(StorageLevel.DISK_ONLY))
+    start = written(counts.select("block", "id", "token", "ending")
+                    .mapInPandas(starter(frequent, class_of), CLASS_SCHEMA), "lm-classes")
+    return packed, *cluster(packed, start), int(total), int(kinds_all)
+
+
+def score_documents(docs: DataFrame) -> DataFrame:
+    """Scores of ``docs(doc_id, text)``."""
+    spark = docs.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    # Every step's shuffle files go when its table is written.
+    spark.conf.set(CLEANUP, "true")
+    try:
+        packed, classes, table, kinds, total, kinds_all = learn(docs)
+        mass = table.sum(axis=0)
+        prior = (mass + 1) / (mass.sum() + K)
+        after = (table + BACKOFF * prior) / (table.sum(axis=1, keepdims=True) + BACKOFF)
+        scored = written(packed.groupBy("block").cogroup(classes.groupBy("block"))
+                         .applyInPandas(scorer(after, mass, kinds, total, kinds_all),
+                                        "doc_id string, held_out boolean, n_tokens long, n_known long, "
+                                        "train_tokens long, base_score double, score double"), "lm-scores")
+        packed.unpersist()
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def op6_class_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

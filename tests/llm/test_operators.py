@@ -421,6 +421,44 @@ def test_exchange_never_lowers_the_likelihood():
     assert all(b >= a - 1e-9 for a, b in zip(steps, steps[1:])) and steps[-1] > steps[0]
 
 
+def test_best_class_is_the_one_of_greatest_likelihood():
+    rng = np.random.default_rng(4)
+    pairs, k = rng.poisson(0.7, (40, 40)).astype(float), 6
+    of = np.append(rng.integers(0, k - 1, 39), k - 1)       # the last state is the end
+    table_of = lambda o: np.eye(k)[o].T @ pairs @ np.eye(k)[o]
+    word, slot, n = [], [], []
+    for w in range(39):
+        others = np.arange(40) != w
+        near = [*np.bincount(of[others], pairs[w, others], k), *np.bincount(of[others], pairs[others, w], k),
+                pairs[w, w]]
+        for s, x in enumerate(near):
+            if x:
+                word, slot, n = [*word, w], [*slot, s], [*n, x]
+    got = class_lm.best_classes(np.array(word), np.array(slot), np.array(n), of[:39], table_of(of))
+    for w in range(39):
+        alone = [class_lm.likelihood(table_of(np.where(np.arange(40) == w, c, of))) for c in range(k - 1)]
+        assert alone[got[w]] >= max(alone) - 1e-6
+    assert (got != of[:39]).any()
+
+
+def test_rare_words_get_the_class_of_their_neighbours(spark):
+    """2,400 words of two kinds that alternate; endings and ranks say nothing about the kind."""
+    rng = np.random.default_rng(6)
+    names = rng.permutation([f"{a}{b}{c}" for a in "abcdefghijklmnop" for b in "qrstuvwxyz"
+                             for c in "abcdefghijklmno"])
+    kinds = names[:1200], names[1200:2400]
+    rows = [(i, " ".join(rng.choice(kinds[j % 2]) for j in range(100))) for i in range(400)]
+    packed, classes, table, _, _, _ = class_lm.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    tokens = {(r.block, i): t for r in packed.filter("tokens is not null").collect()
+              for i, t in enumerate(np.frombuffer(r.tokens, dtype="<i8"))}
+    of = {int(tokens[r.block, r.id]): r["class"] for r in classes.collect()}
+    a, b = (collections.Counter(of[int(class_lm.tokens_of(str(w))[0][0])] for w in kind
+                                if int(class_lm.tokens_of(str(w))[0][0]) in of) for kind in kinds)
+    mixed = sum(min(a[c], b[c]) for c in a | b)
+    assert mixed <= 0.05 * (sum(a.values()) + sum(b.values()))
+    assert table.shape == (class_lm.CLASSES + 1,) * 2 and max(of.values()) == class_lm.CLASSES
+
+
 # -- 7 and 10 spans ------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
