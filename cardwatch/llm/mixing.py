@@ -7,8 +7,9 @@ at three times its source's size and the excess is shared again by weight
 
 A source's documents fall into blocks by hash.  Every block is taken
 ``floor(target / size)`` times, and of a permutation of the blocks as
-many once more as fit the rest of the target; a few of the next blocks
-close the remaining gap.
+many once more as fit the rest of the target, blocks larger than the rest
+set aside.  What is left is filled the same way from all blocks that still
+fit, until none does; a last block follows if it brings the sum nearer.
 
 The takings ("draws") are then dealt to output shards.  Their counts per
 source form the root of a binary tree over the shards.  A node sends to
@@ -50,8 +51,6 @@ SEED = 20240117
 SHARD_WORDS = 1_000_000
 BLOCK_WORDS = 1_000_000
 LEAST_BLOCKS = 1024
-# Blocks looked at to close the gap between the words taken and the target.
-CLOSING = 64
 # Hash ranges for ranks in two steps.
 RANGES = 1024
 
@@ -123,31 +122,47 @@ def block_table(rows: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFra
         F.floor(F.col("target") / F.col("source_size"))).cast("int")
     blocks = (blocks.withColumn("full", full)
               .withColumn("rest", F.col("target") - F.col("full") * F.col("source_size")))
-    ranked = _ranked(blocks, "idx", F.xxhash64(F.lit(SEED + 1), "idx", "block"), ["block"], "words")
-    once = ranked.withColumn("more", (F.col("before") + F.col("words") <= F.col("rest")).cast("int"))
-    # Ranks below the first block that does not fit are in.  Of the blocks
-    # around it that may be taken once more, the largest that still fit
-    # follow, then the one that brings the sum nearest, if any does.
-    gaps = once.groupBy("idx").agg(
-        (F.first("rest") - F.sum(F.col("words") * F.col("more"))).alias("gap"),
-        F.sum("more").alias("taken"))
-    near = (once.filter(F.col("full") + F.col("more") < MAX_REPEATS).join(gaps, "idx")
-            .filter(F.abs(F.col("rank") - F.col("taken")) <= CLOSING)
-            .groupBy("idx").agg(F.first("gap").alias("gap"), F.sort_array(
-                F.collect_list(F.struct("words", "rank")), asc=False).alias("next")))
-    fitting = F.expr("""aggregate(next, named_struct('g', gap, 'p', cast(array() as array<bigint>)), (a, x) ->
-        if(x.words <= a.g, named_struct('g', a.g - x.words, 'p', concat(a.p, array(x.rank))), a))""")
-    nearest = F.expr("""aggregate(next, named_struct('off', f.g, 'p', cast(array() as array<bigint>)), (a, x) ->
-        if(abs(f.g - x.words) < a.off and not array_contains(f.p, x.rank),
-           named_struct('off', abs(f.g - x.words), 'p', array(x.rank)), a)).p""")
-    closing = (near.withColumn("f", fitting).withColumn("n", nearest)
-               .select("idx", F.explode(F.concat("f.p", "n")).alias("rank"), F.lit(1).alias("closes")))
-    copies = F.least(F.lit(MAX_REPEATS),
-                     F.col("full") + F.col("more") + F.coalesce("closes", F.lit(0)))
-    return placed, (once.join(closing, ["idx", "rank"], "left").withColumn("copies", copies)
+    filled = fill(blocks.withColumn("extra", F.lit(0)))
+    return placed, (filled.withColumn("copies", F.least(F.lit(MAX_REPEATS), F.col("full") + F.col("extra")))
                     .select("idx", "block", "words", "copies"))
 
 
+def fill(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with as many ``extra`` copies as bring each source's words nearest to ``rest``.
+
+    In every round the blocks larger than the gap are set aside, and the
+    others follow along the permutation as far as they fit; then the gap
+    is less than the first that did not, so few rounds do.  Blocks not yet
+    taken once more come first.
+    """
+    blocks, level, start = written(blocks, "mix-fill"), 0, True
+    while level < MAX_REPEATS:
+        fits = (_with_gap(blocks).filter((F.col("extra") <= level) & (F.col("words") <= F.col("gap"))
+                                         & (F.lit(start) | (F.col("words") > 0))))
+        more = written(_ranked(fits, "idx", F.xxhash64(F.lit(SEED + 1), "idx", "block"), ["block"], "words")
+                       .filter(F.col("before") + F.col("words") <= F.col("gap"))
+                       .select("idx", "block", F.lit(1).alias("more")), "mix-more")
+        start = False
+        if more.isEmpty():
+            level += 1
+        else:
+            blocks = _once_more(blocks, more)
+    nearest = (_with_gap(blocks).filter(F.col("words") < 2 * F.col("gap")).groupBy("idx")
+               .agg(F.min(F.struct("words", "block"))["block"].alias("block"), F.lit(1).alias("more")))
+    return _once_more(blocks, nearest)
+
+
+def _with_gap(blocks: DataFrame) -> DataFrame:
+    """Blocks that may be taken once more, with the words their source lacks."""
+    gaps = blocks.groupBy("idx").agg((F.first("rest") - F.sum(F.col("words") * F.col("extra"))).alias("gap"))
+    return blocks.filter(F.col("full") + F.col("extra") < MAX_REPEATS).join(gaps, "idx")
+
+
+def _once_more(blocks: DataFrame, more: DataFrame) -> DataFrame:
+    return written(blocks.join(more, ["idx", "block"], "left")
+                   .withColumn("extra", F.col("extra") + F.coalesce("more", F.lit(0))).drop("more"), "mix-fill")
+
+
 # A hypergeometric variate: of ``n`` balls drawn from ``m`` of which ``k`` are
 # marked, how many are.  ``u`` is uniform in (0, 1).  Weights are relative to
 # the mode; the sum runs over ten deviations to either side, beyond which

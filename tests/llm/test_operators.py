@@ -147,6 +147,19 @@ def test_mix_meets_targets(docs, edge, empty):
     assert mixing.mix(mixing.sized(empty)).count() == 0
 
 
+def test_mix_looks_past_a_block_that_does_not_fit(spark):
+    """One document holds half of a source's words, the target 0.3 of them."""
+    sources = [(str(i), 120_000, i, 36_000.0) for i in range(12)]
+    rows = [(str(i), 60_000 if j == 0 else 100, f"{i}-{j}") for i in range(12) for j in range(601)]
+    _, blocks = mixing.block_table(
+        spark.createDataFrame(rows, "source string, size long, key string"),
+        spark.createDataFrame(sources, "source string, source_size long, idx long, target double"))
+    taken = collections.Counter()
+    for r in blocks.collect():
+        taken[r.idx] += r.words * r.copies
+    assert all(abs(taken[i] - 36_000) <= 100 for i in range(12))
+
+
 def test_mixed_documents(docs, edge):
     clash = edge.withColumn("__shard", F.lit(1)).withColumn("size", F.lit("x"))
     out = mixing.mix_documents(clash)
