@@ -11,7 +11,11 @@ family, a bias per language and the transition scores between languages;
 forward-backward gives each word's posterior.
 
 A text's language has the greatest mean posterior, words weighted by
-their letters; that mean is the score.
+their letters; that mean is the score.  Posteriors only compare the learnt
+languages with each other, so the score is 0 for a text in none of them:
+one whose n-grams' mean log probability, as if all languages were one, is
+more than ``MARGIN`` below the ``LOW_SHARE`` quantile over all training
+documents.
 
 The counts cover all training documents.  The few weights of the field are
 fitted on the driver to a sample of at most ``SAMPLE_DOCS`` training
@@ -49,6 +53,10 @@ SEGMENT = 64
 PIECE = 16
 FIT_STEPS = 150
 L2 = 0.01
+# What separates a text in no learnt language: a quantile over training
+# documents of the mean log probability of n-grams, and nats below it.
+LOW_SHARE = 0.01
+MARGIN = 1.0
 # Words worked on at a time.
 WORDS = 600_000
 
@@ -139,6 +147,33 @@ def family_sums(values: list[np.ndarray], families: list[tuple], n_words: int) -
     return out
 
 
+def common_evidence(counts: np.ndarray) -> np.ndarray:
+    """Log probabilities of the hashed n-grams, all languages weighing the same."""
+    n = counts[OFFSETS[0]:OFFSETS[1]].astype(np.float64)
+    return np.log(((n + SMOOTHING) / (n.sum(axis=0) + SMOOTHING * (1 << FAMILY_BITS[0]))).mean(axis=1))
+
+
+def mean_evidence(common: np.ndarray, text: np.ndarray, ngrams: tuple, n_texts: int) -> np.ndarray:
+    """Mean of ``common`` over each text's n-grams; NaN for texts without letters."""
+    bucket, word = ngrams
+    n = np.bincount(text[word], minlength=n_texts)
+    total = np.bincount(text[word], weights=common[bucket], minlength=n_texts)
+    return np.where(n > 0, total / np.maximum(1, n), np.nan)
+
+
+def evidence_of_texts(common: np.ndarray):
+    """Mean evidence of every text that has letters."""
+
+    def evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            texts = frame["text"].tolist()
+            for a, b in slices(texts):
+                text, _, families = words_and_features(texts[a:b])
+                mean = mean_evidence(common, text, families[0], b - a)
+                yield pd.DataFrame({"evidence": mean[~np.isnan(mean)]})
+    return evidence
+
+
 def segments(langs: list[str], counts: np.ndarray):
     """One segment of each sampled document: its language and its evidence, own counts taken off."""
     index = {lang: i for i, lang in enumerate(langs)}
@@ -267,6 +302,7 @@ def labeler(langs: list[str], table: np.ndarray, p: dict[str, np.ndarray]):
 
     def label_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         best, score = np.full(len(texts), -1), np.zeros(len(texts))
+        foreign = np.zeros(len(texts), dtype=bool)
         pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> None:
@@ -290,6 +326,7 @@ def labeler(langs: list[str], table: np.ndarray, p: dict[str, np.ndarray]):
             text, size, families = words_and_features(texts[a:b])
             if not len(size):
                 continue
+            foreign[a:b] = mean_evidence(p["common"], text, families[0], b - a) < p["least"]
             emission = np.tile(p["bias"].astype(np.float32), (len(size), 1))
             for bucket, word in families:
                 for k in range(n_langs):
@@ -300,6 +337,7 @@ def labeler(langs: list[str], table: np.ndarray, p: dict[str, np.ndarray]):
                 flush()
                 held = 0
         flush()
+        score[foreign] = 0
         return best, score
 
     def label(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -343,6 +381,10 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     x, y = splice(np.array([k for k, _ in usable], dtype=np.int64), [e for _, e in usable]) \
         if usable else (np.empty((0, 0, 0, 0)), np.empty((0, 0), dtype=np.int64))
     p = fit(x, y, len(langs))
+    common = common_evidence(counts)
+    low = (rows.select("text").mapInPandas(evidence_of_texts(common), "evidence double")
+           .approxQuantile("evidence", [LOW_SHARE], 0.001))
+    p["common"], p["least"] = common, np.array(low[0] - MARGIN if low else -np.inf)
     table = np.concatenate([
         p["family"][f] * log_evidence(counts[OFFSETS[f]:OFFSETS[f + 1]].astype(np.float64),
                                       counts[OFFSETS[f]:OFFSETS[f + 1]].sum(axis=0), f)
@@ -361,7 +403,7 @@ def identify(docs: DataFrame, model: tuple, key: str = "key", text: str = "text"
 
 def keep_identified(docs: DataFrame, least_score: float, doc_id: str = "doc_id", text: str = "text",
                     lang: str = "lang") -> DataFrame:
-    """``docs`` without texts of no language, or whose language is less sure than ``least_score``."""
+    """``docs`` without texts of no learnt language, or whose language is less sure than ``least_score``."""
     model = train(docs, doc_id, text, lang)
     key = unused(docs, "__key")
     keyed = docs.withColumn(key, row_key(doc_id, text))

@@ -1,7 +1,9 @@
 """The corpus pipeline stage by stage against plain versions, and its edge cases."""
 
 import collections
+import itertools
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +46,23 @@ def test_language_stage_keeps_text_in_a_language(stages):
     assert {r.doc_id for r in after.collect()} == sure and sure <= texts
 
 
+def test_language_stage_rejects_what_is_in_no_language(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rng = np.random.default_rng(8)
+    noise = [" ".join("".join(rng.choice(list(letters), 6)) for _ in range(n))
+             for letters in ("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω") for n in (20, 200)]
+    clean = {r.lang: r.text for r in docs.filter("n_chars > 600 and lang is not null")
+             .orderBy("doc_id").collect()}
+    mixed = [" ".join(" ".join(clean[x].split()[:60]) for x in pair)
+             for pair in itertools.combinations(sorted(clean), 2)]
+    planted = spark.createDataFrame(
+        [(10_000_000 + i, t, None, "x", len(t)) for i, t in enumerate(noise + mixed)], SCHEMA)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(
+        spark, docs.unionByName(planted), sf_dir).collect()}
+    assert not kept & set(range(10_000_000, 10_000_000 + len(noise)))
+    assert kept >= set(range(10_000_000 + len(noise), 10_000_000 + len(noise + mixed)))
+
+
 def test_one_of_each_near_duplicate_class(stages):
     before, after = stages[1]
     linked = plain_links([(r.doc_id, r.text) for r in before.collect()])
