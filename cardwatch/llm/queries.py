@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (class_lm, decontaminate, language_id, line_dedup, mixing, ngram_join, personal_data, quality,
-               secrets, sharding)
+from . import (alignment, class_lm, decontaminate, language_id, line_dedup, mixing, ngram_join, personal_data,
+               quality, secrets, sharding, simhash, vector_codes)
 
 QUERIES = {f.__name__: f for f in (
     ngram_join.op1_ngram_jaccard_join,
@@ -16,8 +16,12 @@ QUERIES = {f.__name__: f for f in (
     line_dedup.op8_line_dedup,
     decontaminate.op9_benchmark_decontamination,
     personal_data.op10_personal_data,
+    vector_codes.op11_vector_codes,
+    simhash.op12_simhash_dedup,
+    alignment.op13_token_alignment,
 )}
 ORACLE = {
     "op4_extendible_sharding": sharding.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
 }
