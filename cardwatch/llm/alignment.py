@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import math
 import os
 import re
@@ -68,7 +69,12 @@ B_FILE = "piece_bpe_32k.model"
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 WORD_START = "▁"
 
+# A's pre-tokens, which its file names only by kind.
+A_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[A-Za-z])")
+# The faster encoder of A cannot match runs of white space that are much longer than this.
+_LONG_SPACE = re.compile(r"\s{500}")
 
 
 def tokenizer_path(name: str) -> str:
@@ -111,6 +117,7 @@ class Sides:
     def __init__(self, a_path: str, b_path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
@@ -124,12 +131,22 @@ class Sides:
                                else token.encode())
         self.b_bytes = [bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(WORD_START, " ").encode()
                         for i, piece in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
+        # The same vocabulary and merges in an encoder four times as fast.
+        with open(a_path, encoding="utf-8") as file:
+            merged = json.load(file)["model"]["vocab"]
+        self.a_fast = tiktoken.Encoding("a", pat_str=A_PATTERN, special_tokens={},
+                                        mergeable_ranks={self.a_bytes[i]: i for i in merged.values()})
         self.a_len = np.array([len(t) for t in self.a_bytes])
         self.b_len = np.array([len(t) for t in self.b_bytes])
         # A token of a digest text, with "," or what ends its side of the group.
         self.spelled = [f"{i}{end}" for i in range(len(self.a_bytes)) for end in ",|"]
         self.spelled += [f"{i}{end}" for i in range(len(self.b_bytes)) for end in ",;"]
 
+    def encode_a(self, text: str) -> list[int]:
+        if _LONG_SPACE.search(text):
+            return self.a.encode(text, add_special_tokens=False).ids
+        return self.a_fast.encode_ordinary(text)
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and B of each text; long texts piece by piece."""
         pieces, owner = [], []
@@ -145,9 +162,8 @@ class Sides:
         right: list[list[int]] = [[] for _ in texts]
         # Pieces behind a cut have lost their space, which both sides put in front anyway.
         for start, end in slices(pieces, CHARS):
-            found = self.a.encode_batch_fast([" " + p for p in pieces[start:end]], add_special_tokens=False)
-            for i, ids in zip(owner[start:end], found):
-                left[i] += ids.ids
+            for i, piece in zip(owner[start:end], pieces[start:end]):
+                left[i] += self.encode_a(" " + piece)
             for i, ids in zip(owner[start:end], self.b.encode(pieces[start:end], num_threads=1)):
                 right[i] += ids
         return left, right
@@ -361,7 +377,7 @@ def _contributions(runs: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
             sums.append(added_up(docs, links * best[at], links * counts[at]))
         sums = added_up(*(np.concatenate(c) for c in zip(*sums)))
         out.append([pack(*sums)])
-    return pd.DataFrame({"slice": list(runs["slice"]), "sums": pd.Series(out, dtype=object)})
+    return pd.DataFrame({"slice": runs["slice"].astype(object), "sums": pd.Series(out, index=runs.index, dtype=object)})
 
 
 def added_up(docs: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:

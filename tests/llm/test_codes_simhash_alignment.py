@@ -239,7 +239,7 @@ def plain_rows(sides, texts):
 ALIGNED = [(1, None), (2, ""), (3, " "), (4, "\n \t\n"), (5, "Plain words, naïve café ☃😀!"), (6, "a▁b"),
            (7, "<|endoftext|> and <s></s><unk> stay text"), (8, "Plain words, naïve café ☃😀!"),
            (8, "Plain words, naïve café ☃😀!"), (None, "  two  spaces it's 12345"), (9, "the the the the cat"),
-           (10, "ein Dachbodenfund überraschte"), (11, "b" * 700)]
+           (10, "ein Dachbodenfund überraschte"), (11, "b" * 700), (12, "x" + " " * 900 + "y")]
 
 
 @pytest.mark.parametrize("fan", [64, 1])
@@ -275,6 +275,15 @@ def test_long_texts_in_pieces_have_the_same_tokens(sides, monkeypatch):
     assert sides.encode([text, "short", text[:50]]) == whole
 
 
+def test_both_encoders_of_a_agree(sides):
+    """The fast encoder against the one that reads the whole file, in seven places of every 7th code point."""
+    points = [chr(c) for c in range(0, 0x30000, 7) if not 0xD800 <= c < 0xE000]
+    texts = [f" a{c}b 1{c}2 {c}{c}x{c} ,{c}.\n {c}{c} \t{c}" for c in points]
+    texts += [" " * 499 + "x", " " * 5000 + "x", "\n" * 1_000_000, "\u3000" * 3000, "a" * 50_000, ""]
+    slow = [e.ids for e in sides.a.encode_batch(texts, add_special_tokens=False)]
+    assert [sides.encode_a(t) for t in texts] == slow
+
+
 def test_merge_of_many_frames_adds_up(monkeypatch):
     monkeypatch.setattr(alignment, "FRAME", 3)
     rng = np.random.default_rng(3)
