@@ -88,3 +88,13 @@ def metrics_from_progress(progress: list, name: str = "expectations") -> dict[st
         for key, value in metrics.asDict().items() if hasattr(metrics, "asDict") else metrics.items():
             totals[key] = totals.get(key, 0) + int(value)
     return totals
+
+
+def observed_expectations(table, expectations: list[Expectation], source: str):
+    """A ``foreachBatch`` handler that commits a micro-batch's rows to a ledger together with its failure counts."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        counts = Observation()
+        rows = apply_expectations(batch, expectations, counts)
+        table.on(batch.sparkSession).append(rows, source, batch_id,
+                                            lambda: {name: int(n) for name, n in counts.get.items()})
+    return handle

@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from ..config import RunFolder, new_run
 from ..functions.expressions import wall_clock
-from ..operators import alerts, bronze, feed, gold, silver
-from ..operators.quality import apply_expectations, expectation_report
+from ..operators import alerts, bronze, current, delivery, feed, gold, silver
+from ..operators.quality import apply_expectations, expectation_report, observed_expectations
+from ..schemas import CUSTOMER
 from ..sources import files, testdata
-from ..streaming import pipeline
-from ..streaming.runner import run_to_table
+from ..streaming import delta, pipeline
+from ..streaming.ledger import Ledger
+from ..streaming.runner import finish, run_to_table, start_foreach_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +44,9 @@ def query(name: str):
 # watchlist feed takes the older half as already delivered).
 DELIVERED_BEFORE = "2024-01-16 00:00:00"
 
+# Hash buckets of the test tables (a cluster's tables have more).
+CARD_BUCKETS, CUSTOMER_BUCKETS = 4, 8
+
 # Columns holding the processing time, left out of returned results.
 PROCESSING_TIME = ("ingestion_timestamp", "bronze_ingestion_timestamp",
                    "silver_ingestion_timestamp", "alert_timestamp")
@@ -399,6 +404,175 @@ def outbox_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.outbox_summary(spark.read.parquet(layout.outbox)).drop("batch_id")
 
 
+# -- ledgers: tables with committed batches -------------------------------------------------
+
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumn("event_date", F.to_date("transaction_timestamp"))
+
+
+def _run_batches(spark: SparkSession, name: str, run: RunFolder, stream: DataFrame, handler) -> None:
+    """Hand a stream's micro-batches to a handler until its input is done."""
+    PROGRESS[name] = finish(start_foreach_batch(stream, handler, run.checkpoint(name),
+                                                partitions=_cores(spark)), spark)
+
+
+def _staged_events(spark: SparkSession, sf_dir: str, run: RunFolder, files_count: int = 6) -> DataFrame:
+    """``events`` dealt to files that a stream takes one at a time, as transactions."""
+    folder = run.staging("events")
+    events = _events(spark, sf_dir)
+    events.repartitionByRange(files_count, "ts").write.parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return testdata.transactions(stream)
+
+
+@query("compacted_transactions")
+def compacted_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions in event-date partitions after several batches, a crashed one and a compaction."""
+    run = new_run(spark, "compacted_transactions")
+    tx = _dated(_staged_events(spark, sf_dir, run))
+    table = Ledger(spark, run.table("transactions"), tx.schema, ("event_date",)).create()
+    _run_batches(spark, "compacted_transactions", run, tx, table.sink("transactions"))
+    # A writer that died between its rows and its commit.
+    table._write(_dated(testdata.transactions(_events(spark, sf_dir))), "a0", "never-committed")
+    table.compact()
+    return wall_clock(table.read().drop("event_date"))
+
+
+@query("watchlist_delta_matches")
+def watchlist_delta_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watchlist matches of three deliveries of either side, without join state.
+
+    Transactions arrive oldest first, entries newest first; one delivery is
+    replayed.
+    """
+    run = new_run(spark, "watchlist_delta_matches")
+    events = _events(spark, sf_dir)
+    tx = testdata.transactions(events)
+    entries = silver.silver_watchlist(testdata.watchlist_records(events))
+    third = [F.lit(d).cast("timestamp") for d in ("2024-01-11", "2024-01-21")]
+
+    def delivery_of(df: DataFrame, at: str, number: int) -> DataFrame:
+        return df.filter([F.col(at) < third[0], (F.col(at) >= third[0]) & (F.col(at) < third[1]),
+                          (F.col(at) >= third[1]) | F.col(at).isNull()][number])
+
+    transactions = delta.transaction_ledger(spark, run.table("transactions"), tx.schema)
+    watchlist = Ledger(spark, run.table("watchlist"), entries.schema).create()
+    columns = ["transaction_id", "card_number", "transaction_timestamp", "watchlist_id", "effective_from"]
+    shape = tx.join(gold.watchlist_side(entries), F.lit(True)).select(*columns).schema
+    matches = Ledger(spark, run.table("matches"), shape).create()
+
+    def step() -> None:
+        delta.match_step(transactions, watchlist, matches, buckets=CARD_BUCKETS, finish=lambda m: m.select(*columns))
+
+    for number in range(3):
+        transactions.append(delta.placed(delivery_of(tx, "transaction_timestamp", number), CARD_BUCKETS),
+                            "transactions", number)
+        watchlist.append(delivery_of(entries, "effective_from", 2 - number), "entries", number)
+        step()
+    transactions.append(delta.placed(delivery_of(tx, "transaction_timestamp", 0), CARD_BUCKETS), "transactions", 0)
+    step()
+    return wall_clock(matches.read())
+
+
+def _customer_loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """A load of all customers, one with moved and repeated ones, the first again, a late correction."""
+    first = testdata.customers(testdata.read_table(spark, sf_dir, "customer"),
+                               testdata.read_table(spark, sf_dir, "nation"))
+    number = F.col("customer_id").cast("long")
+    moved = (first.filter(number % 3 == 0).withColumn("city", F.lit("Moved"))
+             .withColumn("update_timestamp", F.col("update_timestamp") + F.expr("INTERVAL 1 DAY")))
+    second = moved.unionByName(first.filter(number % 3 == 1))
+    # As old as the first load: it changes whom the second load left as they were.
+    corrected = first.filter(number % 7 == 0).withColumn("customer_segment", F.lit("CORRECTED"))
+    return [first, second, first, corrected]
+
+
+def _current_customers(spark: SparkSession, sf_dir: str, root: str, loads: int) -> Ledger:
+    table = current.current_table(spark, root, CUSTOMER)
+    for number, load in enumerate(_customer_loads(spark, sf_dir)[:loads]):
+        current.merge_load(table, load, "customer_id", "update_timestamp", number, buckets=CUSTOMER_BUCKETS)
+    return table
+
+
+@query("customers_current")
+def customers_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current row of every customer after four loads with changed and repeated rows."""
+    run = new_run(spark, "customers_current")
+    return wall_clock(_current_customers(spark, sf_dir, run.table("customers"), 4).read().drop(current.BUCKET))
+
+
+@query("high_value_pruned_join")
+def high_value_pruned_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High-value alerts of a stream whose micro-batches fetch only their own customers."""
+    run = new_run(spark, "high_value_pruned_join")
+    table = _current_customers(spark, sf_dir, run.table("customers"), 1)
+    tx = _staged_events(spark, sf_dir, run, 3)
+    alerts_of = pipeline.pruned_high_value(table, CUSTOMER_BUCKETS)
+    out = Ledger(spark, run.table("alerts"), pipeline.table_schema(spark, "gold", "high_value_transactions")).create()
+    _run_batches(spark, "high_value_pruned_join", run, tx, out.sink("silver.transactions", alerts_of))
+    return wall_clock(out.read().drop(*PROCESSING_TIME))
+
+
+@query("expectations_committed")
+def expectations_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expectation counts that were committed with each micro-batch's rows, added up."""
+    run = new_run(spark, "expectations_committed")
+    folder = run.staging("events")
+    events = _events(spark, sf_dir)
+    events.repartitionByRange(4, "ts").write.parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    dirty = testdata.dirty_transactions(stream)
+    table = Ledger(spark, run.table("transactions"), dirty.schema).create()
+    _run_batches(spark, "expectations_committed", run, dirty,
+                 observed_expectations(table, silver.TRANSACTION_EXPECTATIONS, "transactions"))
+    totals = table.metrics().groupBy("metric").agg(F.sum("value").alias("value"))
+    rows = totals.filter(F.col("metric") == "rows").select(F.col("value").alias("total_rows"))
+    actions = spark.createDataFrame([(e.name, e.action) for e in silver.TRANSACTION_EXPECTATIONS],
+                                    "expectation string, action string")
+    return (totals.withColumnRenamed("metric", "expectation").join(F.broadcast(actions), "expectation")
+            .withColumn("total_rows", rows.scalar())
+            .select("expectation", "action", F.col("value").alias("failed_rows"), "total_rows"))
+
+
+def _indexed_outbox(spark: SparkSession, sf_dir: str, run: RunFolder) -> Ledger:
+    """Both flows' messages of the whole data, delivered and then replayed."""
+    outbox = delivery.outbox_ledger(spark, run.table("outbox"))
+    flows = {alerts.HIGH_VALUE_FLOW: (_batch_high_value, alerts.high_value_messages, None),
+             alerts.FRAUD_FLOW: (_batch_fraud, alerts.fraud_digests, alerts.fraud_digest_lines)}
+    for flow, (alerts_of, render, render_lines) in flows.items():
+        sink = delivery.indexed_sink(outbox, flow, render, render_lines)
+        for _ in range(2):
+            sink(alerts_of(spark, sf_dir), 0)
+    return outbox
+
+
+@query("alert_outbox_indexed")
+def alert_outbox_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of both flows from the outbox with a committed batch index, without batch ids and alert times."""
+    outbox = _indexed_outbox(spark, sf_dir, new_run(spark, "alert_outbox_indexed"))
+    timeless = F.regexp_replace("body", "<br>Alert Time: [^<]*", "")
+    return delivery.messages(outbox).drop("batch_id").withColumn("body", timeless)
+
+
+@query("delivery_tally")
+def delivery_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages delivered, failed and pending per flow; some acknowledgements come twice, some out of order.
+
+    The length of the recipient's address decides what the sender reports.
+    """
+    run = new_run(spark, "delivery_tally")
+    messages = delivery.messages(_indexed_outbox(spark, sf_dir, run))
+    log = delivery.acknowledgement_ledger(spark, run.table("acknowledgements"))
+    known = messages.select(delivery.message_id().alias("message_id"), F.length("recipient").alias("n"),
+                            F.current_timestamp().alias("acknowledged_at"))
+    kinds = {delivery.DELIVERED: known.filter(F.col("n") % 3 == 0), delivery.FAILED: known.filter(F.col("n") % 3 < 2)}
+    for number, status in enumerate((delivery.DELIVERED, delivery.FAILED, delivery.DELIVERED, delivery.FAILED)):
+        # A message that failed first, or was reported failed later, is delivered all the same.
+        log.append(kinds[status].select("message_id", F.lit(status).alias("status"), "acknowledged_at"),
+                   "sender", number)
+    return delivery.delivery_tally(messages, log.read()).drop("batch_id")
+
+
 # -- watchlist feed ------------------------------------------------------------------------
 
 def _stage_feed(spark: SparkSession, sf_dir: str, run) -> tuple[str, str]:

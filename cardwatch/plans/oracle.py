@@ -336,6 +336,19 @@ ORACLE: dict[str, str] = {
     "alert_outbox_lines": f"WITH {ALERT_CTES} SELECT 'fraud' AS flow, * FROM ({FRAUD_LINES})",
     "outbox_batch_summary": f"""SELECT flow, count(*)::BIGINT AS messages,
         sum(alert_count)::BIGINT AS alerts FROM ({OUTBOX}) GROUP BY flow""",
+    "compacted_transactions": f"WITH {TX} SELECT {TX_OUT} FROM tx",
+    "customers_current": f"""WITH {BRONZE_CUST} SELECT * REPLACE (
+            CASE WHEN customer_id::BIGINT % 3 = 0 THEN 'Moved' ELSE city END AS city,
+            CASE WHEN customer_id::BIGINT % 3 <> 0 AND customer_id::BIGINT % 7 = 0 THEN 'CORRECTED'
+                 ELSE customer_segment END AS customer_segment,
+            CASE WHEN customer_id::BIGINT % 3 = 0 THEN update_timestamp + INTERVAL 1 DAY
+                 ELSE update_timestamp END AS update_timestamp) FROM bcust""",
+    "alert_outbox_indexed": OUTBOX,
+    "delivery_tally": f"""SELECT flow, count(*)::BIGINT AS messages,
+        count(*) FILTER (WHERE length(recipient) % 3 = 0)::BIGINT AS delivered,
+        count(*) FILTER (WHERE length(recipient) % 3 = 1)::BIGINT AS failed,
+        count(*) FILTER (WHERE length(recipient) % 3 = 2)::BIGINT AS pending
+        FROM ({OUTBOX}) GROUP BY flow""",
     "watchlist_high_water_mark": f"""SELECT {DELIVERED} AS max_id_num,
         printf('WL%06d', {DELIVERED}) AS latest_watchlist_id""",
     "watchlist_new_records": f"""{FEED} SELECT {FEED_OUT}, NULL::VARCHAR AS note FROM wlraw
@@ -343,3 +356,7 @@ ORACLE: dict[str, str] = {
     "watchlist_rejects": f"""{FEED} SELECT {FEED_OUT}, NULL::VARCHAR AS note FROM wlraw
         WHERE {WL_NUMBER} % 9 = 0""",
 }
+# The same rows by another mechanism.
+ORACLE |= {"watchlist_delta_matches": ORACLE["stream_stream_join"],
+           "high_value_pruned_join": ORACLE["high_value_transactions"],
+           "expectations_committed": ORACLE["expectation_metrics"]}

@@ -29,11 +29,13 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from ..operators import alerts, bronze, gold, silver
+from ..operators.current import DEFAULT_BUCKETS, needed_rows
 from ..operators.dedup import latest_per_key
 from ..operators.joins import DEFAULT_SALT_BUCKETS
 from ..schemas import (BRONZE_WATCHLIST, CUSTOMER, KAFKA_ENVELOPE, OUTBOX, OUTBOX_LINES,
                        QUALITY)
 from ..sources.files import table_snapshot, table_stream, watchlist_stream
+from .ledger import Ledger
 from .runner import finish, start_foreach_batch, start_to_table
 
 
@@ -345,6 +347,22 @@ def build_gold(spark: SparkSession, layout: Layout, *, latest_customers: bool =
     }
 
 
+def pruned_high_value(customers: Ledger, buckets: int = DEFAULT_BUCKETS):
+    """High-value alerts of a batch frame joined with the current rows of its own customers only.
+
+    For customer tables too large to broadcast: the batch's keys choose the
+    buckets to scan (``current.needed_rows``), and what they select is small
+    enough to broadcast, or is joined with hot keys salted.
+    """
+    columns = ["customer_id", "email", "first_name", "last_name", "transaction_limit"]
+
+    def alerts_of(batch: DataFrame) -> DataFrame:
+        known = needed_rows(customers.on(batch.sparkSession), batch, "customer_id", "customer_id", columns,
+                            buckets=buckets)
+        return gold.high_value_transactions(batch, known)
+    return alerts_of
+
+
 def route_alerts(spark: SparkSession, layout: Layout) -> dict[str, StreamingQuery]:
     """Start both alert flows into the one outbox table, one query each."""
     flows = {
