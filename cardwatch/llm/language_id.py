@@ -19,12 +19,14 @@ documents.
 
 The counts cover all training documents.  The few weights of the field are
 fitted on the driver to a sample of at most ``SAMPLE_DOCS`` training
-documents, the first by a hash of their row keys, and at most
-``SEGMENT`` consecutive words of each; the segment's own counts are taken
+documents of each language, the first by a hash of their row keys among those
+with ``PIECE`` words, and at most ``SEGMENT`` consecutive words of each; the segment's own counts are taken
 off first.  Segments are cut up and spliced, so that transitions are learnt
 from text that does switch.
 
 Edge cases: texts that are null or have no letter get ``und`` and score 0.
+Languages that tie go to the first in code point order.  Very long texts are
+worked on by themselves, whole.
 Without training documents every text is ``und``.  A null id hashes as the
 empty text (a training row).  Rows that repeat an id are labelled each.
 An empty table gives no rows.
@@ -32,11 +34,13 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .common import read, row_key, slices, unused, written
@@ -48,7 +52,7 @@ FAMILY_BITS = (15, 15, 17)
 OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in FAMILY_BITS])])
 FAMILIES = len(FAMILY_BITS)
 SMOOTHING = 0.5
-SAMPLE_DOCS = 800
+SAMPLE_DOCS = 250
 SEGMENT = 64
 PIECE = 16
 FIT_STEPS = 150
@@ -57,8 +61,9 @@ L2 = 0.01
 # documents of the mean log probability of n-grams, and nats below it.
 LOW_SHARE = 0.01
 MARGIN = 1.0
-# Words worked on at a time.
-WORDS = 600_000
+# Characters and words worked on at a time.
+CHARS = 400_000
+WORDS = 200_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,10 +89,15 @@ def words_and_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[t
     lowered = [t.lower() for t in texts]
     lengths = np.array([len(t) + 1 for t in lowered])
     c = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    kinds, inverse = np.unique(c, return_inverse=True)
-    letter = np.array([chr(k).isalpha() for k in kinds], dtype=bool)[inverse]
+    # Which code points occur, and which of those are letters: two look-ups, no sort.
+    present = np.zeros(sys.maxunicode + 1, dtype=bool)
+    present[c] = True
+    kinds = np.flatnonzero(present)
+    present[kinds] = [chr(k).isalpha() for k in kinds.tolist()]
+    letter = present[c]
     edge = np.diff(np.concatenate([[False], letter, [False]]).astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    del edge
     size = end - start
     text = np.searchsorted(np.cumsum(lengths), start, side="right")
     x = np.concatenate([[0, 0], np.where(letter, c, 0), [0, 0]]).astype(np.uint32)
@@ -121,7 +131,7 @@ def counter(langs: list[str]):
         for frame in frames:
             texts = frame["text"].tolist()
             lang = np.array([index[x] for x in frame["lang"]])
-            for a, b in slices(texts):
+            for a, b in slices(texts, CHARS):
                 text, _, families = words_and_features(texts[a:b])
                 for bucket, word in families:
                     cell = bucket.astype(np.int64) * len(langs) + lang[a:b][text[word]]
@@ -167,7 +177,7 @@ def evidence_of_texts(common: np.ndarray):
     def evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = frame["text"].tolist()
-            for a, b in slices(texts):
+            for a, b in slices(texts, CHARS):
                 text, _, families = words_and_features(texts[a:b])
                 mean = mean_evidence(common, text, families[0], b - a)
                 yield pd.DataFrame({"evidence": mean[~np.isnan(mean)]})
@@ -300,9 +310,9 @@ def labeler(langs: list[str], table: np.ndarray, p: dict[str, np.ndarray]):
     """
     n_langs = len(langs)
 
-    def label_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def label_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         best, score = np.full(len(texts), -1), np.zeros(len(texts))
-        foreign = np.zeros(len(texts), dtype=bool)
+        evidence = np.full(len(texts), np.nan)
         pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> None:
@@ -322,11 +332,11 @@ def labeler(langs: list[str], table: np.ndarray, p: dict[str, np.ndarray]):
             best[ids], score[ids] = mean.argmax(axis=1), mean.max(axis=1)
 
         held = 0
-        for a, b in slices(texts):
+        for a, b in slices(texts, CHARS):
             text, size, families = words_and_features(texts[a:b])
             if not len(size):
                 continue
-            foreign[a:b] = mean_evidence(p["common"], text, families[0], b - a) < p["least"]
+            evidence[a:b] = mean_evidence(p["common"], text, families[0], b - a)
             emission = np.tile(p["bias"].astype(np.float32), (len(size), 1))
             for bucket, word in families:
                 for k in range(n_langs):
@@ -337,15 +347,14 @@ def labeler(langs: list[str], table: np.ndarray, p: dict[str, np.ndarray]):
                 flush()
                 held = 0
         flush()
-        score[foreign] = 0
-        return best, score
+        return best, score, evidence
 
     def label(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            best, score = label_texts([t or "" for t in frame["text"]])
+            best, score, evidence = label_texts([t or "" for t in frame["text"]])
             yield pd.DataFrame({
                 "key": frame["key"], "lang_pred": [langs[i] if i >= 0 else UNKNOWN for i in best],
-                "score": score})
+                "score": score, "evidence": evidence, "training": frame["training"]})
     return label
 
 
@@ -353,10 +362,34 @@ def fold(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          lang: str = "lang") -> tuple[list[str], np.ndarray, dict[str, np.ndarray]]:
-    """(languages, weighted evidence table, field weights) from the rows outside the held-out fold."""
-    rows = docs.filter((fold(doc_id) != HELD_OUT) & F.col(lang).isNotNull() & F.col(text).isNotNull()) \
+def is_training(doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Column:
+    return (fold(doc_id) != HELD_OUT) & F.col(lang).isNotNull() & F.col(text).isNotNull()
+
+
+def sampled(rows: DataFrame, per_lang: dict[str, int]) -> DataFrame:
+    """The first ``SAMPLE_DOCS`` rows of each language, by a hash of their keys, that have letters enough.
+
+    A thin slice of each language's hashes is cut off first, so that few rows
+    are ranked: it holds four times the sample on average.
+    """
+    order = F.xxhash64("key")
+    share = F.element_at(F.create_map(*[x for lang, n in per_lang.items() for x in (
+        F.lit(lang), F.lit(min(1.0, 4 * SAMPLE_DOCS / n)))]), F.col("lang"))
+    thin = rows.filter(order.cast("double") <= (share - 0.5) * float(1 << 64))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "key"))
+    return thin.filter(F.regexp_count("text", F.lit(r"\p{L}+")) >= PIECE).withColumn("rank", rank) \
+        .filter(F.col("rank") <= SAMPLE_DOCS).drop("rank")
+
+
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+          bounded: bool = True) -> tuple[list[str], np.ndarray, dict[str, np.ndarray]]:
+    """(languages, weighted evidence table, field weights) from the rows outside the held-out fold.
+
+    ``bounded`` reads the training texts once more for the least evidence of
+    a text in a learnt language, which a model for other documents needs; see
+    ``identify`` for documents that the training rows are among.
+    """
+    rows = docs.filter(is_training(doc_id, text, lang)) \
         .select(row_key(doc_id, text).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     per_lang = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(per_lang)
@@ -368,12 +401,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     del cells
     counts = counts.reshape(-1, len(langs))
-    # A thin slice of the hashes first, so that few rows meet in one task; it
-    # holds four times the sample on average.
-    order = F.xxhash64("key")
-    share = min(1.0, 4 * SAMPLE_DOCS / sum(per_lang.values()))
-    sample = (rows.filter(order <= int((share - 0.5) * (1 << 64)) - 1 if share < 1 else F.lit(True))
-              .orderBy(order, "key").limit(SAMPLE_DOCS))
+    sample = sampled(rows, per_lang)
     cut = sample.mapInPandas(segments(langs, counts), "key string, lang int, evidence binary") \
         .toPandas().sort_values("key")
     evidence = [np.frombuffer(e, dtype="<f4").reshape(-1, FAMILIES, len(langs)) for e in cut["evidence"]]
@@ -381,10 +409,10 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     x, y = splice(np.array([k for k, _ in usable], dtype=np.int64), [e for _, e in usable]) \
         if usable else (np.empty((0, 0, 0, 0)), np.empty((0, 0), dtype=np.int64))
     p = fit(x, y, len(langs))
-    common = common_evidence(counts)
-    low = (rows.select("text").mapInPandas(evidence_of_texts(common), "evidence double")
-           .approxQuantile("evidence", [LOW_SHARE], 0.001))
-    p["common"], p["least"] = common, np.array(low[0] - MARGIN if low else -np.inf)
+    p["common"] = common_evidence(counts)
+    if bounded:
+        p["least"] = least_evidence(rows.select("text").mapInPandas(evidence_of_texts(p["common"]),
+                                                                    "evidence double"))
     table = np.concatenate([
         p["family"][f] * log_evidence(counts[OFFSETS[f]:OFFSETS[f + 1]].astype(np.float64),
                                       counts[OFFSETS[f]:OFFSETS[f + 1]].sum(axis=0), f)
@@ -392,22 +420,42 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return langs, table, p
 
 
-def identify(docs: DataFrame, model: tuple, key: str = "key", text: str = "text") -> DataFrame:
-    """``(key, lang_pred, score)`` for rows with a string key and a text."""
+def least_evidence(evidence: DataFrame) -> np.ndarray:
+    """What a text's evidence must reach, from the ``evidence`` of all training rows."""
+    low = evidence.filter(~F.isnan("evidence")).approxQuantile("evidence", [LOW_SHARE], 0.001)
+    return np.array(low[0] - MARGIN if low else -np.inf)
+
+
+def identify(docs: DataFrame, model: tuple, key: str = "key", text: str = "text",
+             training: Column | None = None) -> DataFrame:
+    """``(key, lang_pred, score)`` for rows with a string key and a text.
+
+    With a model that is not ``bounded``, ``training`` tells the training rows
+    among ``docs``; the least evidence is taken from their labelled rows, which
+    saves a reading of the texts.
+    """
     langs, table, p = model
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"),
+                       (F.lit(False) if training is None else training).alias("training"))
     if not langs:
         return rows.select("key", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return rows.mapInPandas(labeler(langs, table, p), "key string, lang_pred string, score double")
+    labelled = rows.mapInPandas(labeler(langs, table, p), "key string, lang_pred string, score double, "
+                                                          "evidence double, training boolean")
+    least = p.get("least")
+    if least is None:
+        labelled = written(labelled, "languages-labelled")
+        least = least_evidence(labelled.filter("training"))
+    foreign = F.col("evidence") < F.lit(float(least))
+    return labelled.select("key", "lang_pred", F.when(foreign, 0.0).otherwise(F.col("score")).alias("score"))
 
 
 def keep_identified(docs: DataFrame, least_score: float, doc_id: str = "doc_id", text: str = "text",
                     lang: str = "lang") -> DataFrame:
     """``docs`` without texts of no learnt language, or whose language is less sure than ``least_score``."""
-    model = train(docs, doc_id, text, lang)
+    model = train(docs, doc_id, text, lang, bounded=False)
     key = unused(docs, "__key")
     keyed = docs.withColumn(key, row_key(doc_id, text))
-    rejected = written(identify(keyed, model, key, text)
+    rejected = written(identify(keyed, model, key, text, is_training(doc_id, text, lang))
                        .filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least_score))
                        .select("key").distinct(), "languages-rejected").withColumnRenamed("key", key)
     return keyed.join(rejected, key, "left_anti").drop(key)
@@ -417,7 +465,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     keyed = docs.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return identify(keyed, train(docs)).select(
+    return identify(keyed, train(docs, bounded=False), training=is_training()).select(
         F.expr("try_cast(key as bigint)").alias("doc_id"),
         (F.crc32(F.col("key").cast("binary")) % FOLDS == HELD_OUT).alias("held_out"),
         "lang_pred", F.col("score").cast("double"))
