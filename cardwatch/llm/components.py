@@ -10,19 +10,32 @@ from .common import written
 MAX_ROUNDS = 60
 
 
+# Rows of one node are spread over this many parts.
+SALTS = 64
+
+
+def _with_least(rows: DataFrame) -> DataFrame:
+    """``rows`` (u, v) with ``m``, the least v of their u; a node's rows never meet in one task.
+
+    The least is taken per part of a node first, and handed back to the parts.
+    """
+    salted = rows.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = salted.groupBy("u", "part").agg(F.min("v").alias("m"))
+    whole = parts.groupBy("u").agg(F.min("m").alias("m"))
+    return salted.join(parts.select("u", "part").join(whole, "u"), ["u", "part"]).drop("part")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-        "u", F.least("u", "m").alias("m"))
-    return (both.filter(F.col("v") > F.col("u")).join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v"))
+    return (_with_least(both).filter(F.col("v") > F.col("u"))
+            .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).filter(F.col("u") != F.col("v"))
             .distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter(
+    moved = _with_least(down).select(F.col("v").alias("u"), F.col("m").alias("v")).filter(
         F.col("u") != F.col("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 

@@ -12,23 +12,32 @@ component of links.
    bucket's least one, so a bucket of n texts costs n - 1 rows, not all
    pairs.
 3. The components of these ties hold every candidate pair.  Small ones are
-   packed into tasks of bounded bytes; large ones are cut into blocks and
-   each pair of blocks is a task.
-4. A task computes exact Jaccard similarities of its texts from the full
-   shingle sets (64-bit hashes) by products of blocks of the incidence
-   matrix.  It returns one row per text: how many documents it links to
+   packed into tasks of bounded bytes; large ones are cut into blocks, and
+   all pairs of blocks are compared.
+4. A block of a large component gets each of its texts once, and the
+   component's first text beside them.  It keeps of every text what its
+   shingle set and the first one's do not share: with D the difference to L,
+   ``|A & B| = |L| - |L - A| - |L - B| + |D(A) & D(B)|``, exactly.  Near
+   copies differ in few shingles, so what travels to the pairs of blocks is a
+   small part of the texts.
+5. Exact Jaccard similarities come from the full shingle sets (64-bit
+   hashes), or from the differences, by products of blocks of the incidence
+   matrix.  A task returns one row per text: how many documents it links to
    there, and the least text of its linked part, which stands for the
    links when classes are joined up across blocks.
 
 Edge cases: texts of one to four words form a single shingle; texts
 without a word link only to their copies; a null text is a class of its
 own without links.  Rows that repeat id and text are documents like any
-others.  A null id is the last choice for a class's id.  An empty table
-gives no rows.
+others.  A null id is the last choice for a class's id.  Of rows that repeat
+id and text but differ elsewhere the first in the order of all columns stays.
+Very long texts are compared whole; a block holds one at least.  An empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
+import io
 import math
 from collections.abc import Iterator
 
@@ -37,6 +46,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from .common import read, row_key, unused, written
 from .components import components
@@ -47,7 +57,7 @@ RECALL = 0.9999
 MAX_HASHES = 192
 SEED = 41
 # Texts of a block of a large component, and bytes of text of a block or pack.
-BLOCK_TEXTS = 256
+BLOCK_TEXTS = 512
 BLOCK_BYTES = 4 * 1024 * 1024
 # Cells of the incidence matrix held at a time.
 CELLS = 4_000_000
@@ -120,11 +130,10 @@ def signer(bands: int, rows: int):
     return sign
 
 
-def jaccard_links(sets: list[np.ndarray], threshold: float, split: int | None = None) -> np.ndarray:
-    """Boolean matrix of links among sets; with ``split``, of the first part against the rest."""
+def common_counts(sets: list[np.ndarray], split: int | None = None) -> np.ndarray:
+    """How many hashes any two sets share; with ``split``, of the first part against the rest."""
     n, cut = len(sets), split
-    sizes = np.array([len(s) for s in sets], dtype=np.float64)
-    owner = np.repeat(np.arange(n), sizes.astype(np.int64))
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
     values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = count[column] > 1
     owner, column = owner[shared], column[shared]
@@ -141,11 +150,22 @@ def jaccard_links(sets: list[np.ndarray], threshold: float, split: int | None =
         m = np.zeros((n, min(width, total - c0)), dtype=np.float32)
         m[owner[a:b], column[a:b] - c0] = 1
         overlap += m[left] @ m[right].T
-    union = sizes[left][:, None] + sizes[right][None, :] - overlap
-    links = overlap >= threshold * union - 1e-9
-    links &= overlap > 0
     if cut is None:
-        np.fill_diagonal(links, False)
+        np.fill_diagonal(overlap, [len(s) for s in sets])
+    return overlap
+
+
+def links_of(overlap: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of sets, of these sizes and overlaps, are similar enough."""
+    union = left[:, None].astype(np.float64) + right[None, :] - overlap
+    return (overlap >= threshold * union - 1e-9) & (overlap > 0)
+
+
+def jaccard_links(sets: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Boolean matrix of links among sets."""
+    sizes = np.array([len(s) for s in sets])
+    links = links_of(common_counts(sets), sizes, sizes, threshold)
+    np.fill_diagonal(links, False)
     return links
 
 
@@ -160,31 +180,72 @@ def _least_linked(links: np.ndarray) -> np.ndarray:
         label = new
 
 
+def link_rows(links: np.ndarray, digests: np.ndarray, copies: np.ndarray) -> pd.DataFrame:
+    """One row per linked text of a symmetric matrix: the least text it reaches, and linked documents."""
+    linked = np.flatnonzero(links.any(axis=1))
+    least = _least_linked(links[np.ix_(linked, linked)])
+    return pd.DataFrame({"digest": pd.Series(list(digests[linked]), dtype=object),
+                         "hub": pd.Series(list(digests[linked[least]]), dtype=object),
+                         "links": (links[linked] @ copies).astype(np.int64)})
+
+
 def verifier(threshold: float):
+    """Links within the small components of a task."""
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
-        out_digest, out_hub, out_links = [], [], []
-        frame = frame.drop_duplicates(["root", "digest"]).sort_values(["root", "side", "digest"])
+        frame = frame.drop_duplicates(["root", "digest"]).sort_values(["root", "digest"])
+        out = [link_rows(np.zeros((0, 0), dtype=bool), np.empty(0, dtype=object), np.empty(0, dtype=np.int64))]
         for _, part in frame.groupby("root", sort=False):
-            if len(part) < 2:
-                continue
-            sets = [shingle_hashes(t) for t in part["text"]]
-            copies = part["copies"].to_numpy()
-            digests = part["digest"].to_numpy()
-            n, cut = len(part), int((part["side"] == 0).sum())
-            if part["cross"].iloc[0]:
-                links = np.zeros((n, n), dtype=bool)
-                if 0 < cut < n:
-                    links[:cut, cut:] = jaccard_links(sets, threshold, cut)
-                    links |= links.T
-            else:
-                links = jaccard_links(sets, threshold)
-            linked = np.flatnonzero(links.any(axis=1))
-            least = _least_linked(links[np.ix_(linked, linked)])
-            out_digest += list(digests[linked])
-            out_hub += list(digests[linked[least]])
-            out_links += list((links[linked] @ copies))
-        return pd.DataFrame({"digest": out_digest, "hub": out_hub, "links": out_links}).astype(
-            {"links": "int64"})
+            if len(part) > 1:
+                links = jaccard_links([shingle_hashes(t) for t in part["text"]], threshold)
+                out.append(link_rows(links, part["digest"].to_numpy(), part["copies"].to_numpy()))
+        return pd.concat(out, ignore_index=True)
+    return verify
+
+
+def differences(threshold: float):
+    """Links within a block of a large component, and the block as differences to the component's first text."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        first = shingle_hashes(frame.loc[frame["first"], "text"].iloc[0])
+        part = frame[~frame["first"]].drop_duplicates("digest").sort_values("digest")
+        sizes, removed, differ = [], [], []
+        for text in part["text"]:
+            s = shingle_hashes(text)
+            d = np.setxor1d(s, first, assume_unique=True)
+            sizes.append(len(s))
+            differ.append(d)
+            removed.append((len(d) - len(s) + len(first)) // 2)
+        sizes, removed = np.array(sizes), np.array(removed)
+        digests, copies = part["digest"].to_numpy(), part["copies"].to_numpy()
+        overlap = common_counts(differ) + (len(first) - removed[:, None] - removed[None, :])
+        links = links_of(overlap, sizes, sizes, threshold)
+        np.fill_diagonal(links, False)
+        out = link_rows(links, digests, copies)
+        out["pack"] = None
+        packed = io.BytesIO()
+        np.savez_compressed(packed, first=len(first), sizes=sizes, removed=removed, copies=copies,
+                            digests=np.frombuffer(b"".join(map(bytes, digests)), dtype="V16"),
+                            ends=np.cumsum([len(d) for d in differ]), differ=np.concatenate(differ))
+        block = pd.DataFrame({"digest": [None], "hub": [None], "links": [0], "pack": [packed.getvalue()]})
+        out = pd.concat([out, block], ignore_index=True) if len(out) else block
+        return out.assign(root=frame["root"].iloc[0], block=frame["block"].iloc[0])
+    return run
+
+
+def cross_verifier(threshold: float):
+    """Links between the texts of two blocks of a component."""
+    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for packed in zip(frame["left"], frame["right"]):
+                a, b = (np.load(io.BytesIO(p)) for p in packed)
+                sets = [s for x in (a, b) for s in np.split(x["differ"], x["ends"][:-1])]
+                n = len(a["sizes"])
+                overlap = common_counts(sets, n) + (
+                    int(a["first"]) - a["removed"][:, None] - b["removed"][None, :])
+                links = np.zeros((len(sets), len(sets)), dtype=bool)
+                links[:n, n:] = links_of(overlap, a["sizes"], b["sizes"], threshold)
+                links |= links.T
+                digests = np.array([d.tobytes() for x in (a, b) for d in x["digests"]], dtype=object)
+                yield link_rows(links, digests, np.concatenate([a["copies"], b["copies"]]))
     return verify
 
 
@@ -226,27 +287,46 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col("u").alias("digest"), "root")
     members = members.join(texts.select("digest", "copies", "bytes"), "digest").join(
         signed.select("digest", "key"), "digest")
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("total") / BLOCK_BYTES))
-    sizes = written(sizes.withColumn("blocks", blocks.cast("int")), "ngram-sizes")
-    small = sizes.filter("blocks <= 1").agg(F.sum("total"), F.sum("n")).first()
+    lengths = texts.select(F.col("digest").alias("root"), F.col("bytes").alias("first_bytes"))
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("total")).join(
+        lengths, "root")
+    # A difference is at most as long as both texts.
+    held = F.col("total") + F.col("n") * F.col("first_bytes")
+    blocks = F.when((F.col("n") <= BLOCK_TEXTS) & (F.col("total") <= BLOCK_BYTES), 1).otherwise(
+        F.greatest(F.lit(2), F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(held / (4 * BLOCK_BYTES))))
+    sizes = written(sizes.select("root", "n", "total", blocks.cast("int").alias("blocks")), "ngram-sizes")
+    small = sizes.filter("blocks = 1").agg(F.sum("total"), F.sum("n")).first()
     packs = max(1, math.ceil((small[0] or 0) / BLOCK_BYTES), math.ceil((small[1] or 0) / BLOCK_TEXTS))
-    block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    placed = (members.join(sizes.select("root", "blocks"), "root")
-              .withColumn("block", F.when(F.col("blocks") > 1, block).otherwise(0))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
-              .select("digest", "key", "copies", "root",
-                      F.when(F.col("blocks") > 1, F.concat_ws(
-                          ":", F.hex("root"), F.least("block", "other"), F.greatest("block", "other")))
-                      .otherwise(F.pmod(F.xxhash64("root"), F.lit(packs)).cast("string")).alias("task"),
-                      (F.col("block") > F.col("other")).cast("int").alias("side"),
-                      (F.col("block") != F.col("other")).alias("cross")))
-    placed = written(placed, "ngram-tasks")
-    wanted = placed.select("key", "digest", "copies", "root", "task", "side", "cross")
-    checked = written(
-        wanted.join(keyed.select("key", "text"), "key")
-        .groupBy("task").applyInPandas(verifier(threshold), "digest binary, hub binary, links bigint"),
-        "ngram-links")
+    placed = written(members.join(sizes.select("root", "blocks"), "root")
+                     .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+                     .select("digest", "key", "copies", "root", "blocks", "block"), "ngram-tasks")
+    source = keyed.select("key", "text")
+    wanted = placed.filter("blocks = 1").select(
+        "key", "digest", "copies", "root", F.pmod(F.xxhash64("root"), F.lit(packs)).alias("task"))
+    checked = (wanted.join(source, "key").groupBy("task")
+               .applyInPandas(verifier(threshold), "digest binary, hub binary, links bigint"))
+    large = placed.filter("blocks > 1")
+    if not large.isEmpty():
+        first = large.filter(F.col("digest") == F.col("root")).select(
+            "key", "digest", "copies", "root", "blocks",
+            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("first"))
+        of_blocks = large.withColumn("first", F.lit(False)).unionByName(first)
+        within = written(of_blocks.join(source, "key").groupBy("root", "block").applyInPandas(
+            differences(threshold), "digest binary, hub binary, links bigint, pack binary, root binary, block int"),
+            "ngram-blocks")
+        packed = within.filter(F.col("pack").isNotNull()).join(sizes.select("root", "blocks"), "root")
+        # A row for each pair of blocks that a block is in.
+        later = packed.filter(F.col("block") < F.col("blocks") - 1).select(
+            "root", F.col("block").alias("a"), F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("b"),
+            F.col("pack").alias("left"))
+        earlier = packed.filter(F.col("block") > 0).select(
+            "root", F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("a"), F.col("block").alias("b"),
+            F.col("pack").alias("right"))
+        across = later.join(earlier, ["root", "a", "b"]).select("left", "right").mapInPandas(
+            cross_verifier(threshold), "digest binary, hub binary, links bigint")
+        checked = checked.unionByName(within.filter(F.col("pack").isNull()).select("digest", "hub", "links")) \
+            .unionByName(across)
+    checked = written(checked, "ngram-links")
     counts = checked.groupBy("digest").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("digest").alias("u"), F.col("hub").alias("v")),
                        "ngram-classes").select(F.col("u").alias("digest"), F.col("root").alias("class"))
@@ -283,8 +363,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     nulls = docs.filter(F.col(text).isNull()).select(
         F.unhex(row_key(doc_id, text)).alias(key)).distinct()
     keep = written(keepers.unionByName(nulls), "ngram-kept")
-    return (docs.withColumn(key, F.unhex(row_key(doc_id, text))).join(keep, key)
-            .dropDuplicates([key]).drop(key))
+    rows = docs.withColumn(key, F.unhex(row_key(doc_id, text))).join(keep, key)
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    ordered = F.struct(*[F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)])
+    return rows.groupBy(key).agg(F.min_by(every, ordered).alias("row")).select("row.*")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
