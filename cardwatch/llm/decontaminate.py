@@ -15,9 +15,11 @@ its last sentence or line (of one-sentence items the last quarter), the
 question is what precedes it; both need the given share of their n-grams
 in the document.
 
-The index of a chunk of items (``ITEMS_PER_INDEX`` at most on average) is
-built on the driver and sent to the tasks; a larger benchmark is handled
-chunk by chunk, each against all documents.
+The index of a chunk of items (``ITEMS_PER_INDEX`` and ``BYTES_PER_INDEX`` at
+most on average) is built on the driver and sent to the tasks; a larger
+benchmark is handled chunk by chunk, each against all documents.  Word and
+length statistics are those of all items, so scores do not depend on the
+number of chunks.
 
 Edge cases: null or wordless texts give no passage; items without words
 are never found; equal items are each reported; a null item id is
@@ -30,7 +32,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -54,7 +57,11 @@ ANSWER_SHARE = 0.5
 # Usual BM25 constants; postings per block of the index.
 K1, B = 1.2, 0.75
 BLOCK = 8
+# Items and bytes of text of an index, which the driver builds.
 ITEMS_PER_INDEX = 20_000
+BYTES_PER_INDEX = 16 * 1024 * 1024
+# Characters of text worked on at a time.
+CHARS = 500_000
 
 _WORDS = re.compile(r"\w+")
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -91,16 +98,30 @@ def pieces(tokens: list[str], size: int = PIECE) -> list[list[str]]:
     return [tokens[k * len(tokens) // n:(k + 1) * len(tokens) // n] for k in range(n)]
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items, whatever chunk they are in: pieces, words, and pieces that hold a word."""
+
+    pieces: int
+    words: int
+    holding: dict[str, int]
+
+
 class Index:
-    """Postings of a chunk of items, by word, in blocks with their largest impact."""
+    """Postings of a chunk of items, by word, in blocks with their largest impact.
+
+    ``statistics`` are those of all chunks (at least for this one's words);
+    without them the items are taken to be all.
+    """
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], statistics: Statistics | None = None):
         docs = [((item, number), piece, question_and_answer(text))
                 for number, (item, text) in enumerate(items) for piece in pieces(words_of(text))]
         counts = [Counter(w) for _, w, _ in docs]
         df = Counter(w for c in counts for w in c)
-        mean = sum(len(w) for _, w, _ in docs) / max(1, len(docs))
-        idf = {w: math.log(1 + (len(docs) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+        every = statistics or Statistics(len(docs), sum(len(w) for _, w, _ in docs), df)
+        mean = every.words / max(1, every.pieces)
+        idf = {w: math.log(1 + (every.pieces - every.holding[w] + 0.5) / (every.holding[w] + 0.5)) for w in df}
         scored = []
         for (item, words, parts), c in zip(docs, counts):
             norm = K1 * (1 - B + B * len(words) / mean)
@@ -260,7 +281,7 @@ def searcher(index: Index, least: float, question: float, answer: float):
     def search_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             keys, texts = frame["key"].to_numpy(), frame["text"].to_numpy()
-            for a, b in slices(texts):
+            for a, b in slices(texts, CHARS):
                 out = search_texts(keys[a:b], texts[a:b], index, least, question, answer)
                 if out:
                     yield pd.DataFrame(out, columns=COLUMNS).astype({"item_id": "Int64"})
@@ -279,15 +300,45 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     keyed = docs.select(row_key(doc_id, text).alias("key"), F.col(text).alias("text")) \
         if doc_id else docs
     items = items.select("item_id", "text").filter(F.col("text").isNotNull())
-    n_chunks = max(1, math.ceil(items.count() / ITEMS_PER_INDEX))
+    size = items.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    n_chunks = max(1, math.ceil(size[0] / ITEMS_PER_INDEX), math.ceil((size[1] or 0) / BYTES_PER_INDEX))
+    items = items.withColumn("chunk", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_chunks)))
+    every = statistics_of(items) if n_chunks > 1 else None
     out = spark.createDataFrame([], SCHEMA)
-    chunk = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_chunks))
     for k in range(n_chunks):
-        index = Index([tuple(r) for r in items.filter(chunk == k).orderBy("item_id", "text").collect()])
-        out = out.unionByName(keyed.mapInPandas(searcher(index, least, question, answer), SCHEMA))
+        chunk = items.filter(F.col("chunk") == k).select("item_id", "text").orderBy("item_id", "text")
+        index = Index([tuple(r) for r in chunk.collect()], every and every(k))
+        found = keyed.mapInPandas(searcher(index, least, question, answer), SCHEMA)
+        # One index a plan.
+        out = out.unionByName(written(found, "contaminated-chunk") if n_chunks > 1 else found)
     return out
 
 
+def statistics_of(items: DataFrame) -> Callable[[int], Statistics]:
+    """The statistics of all items, for the words of a chunk; counted in tasks."""
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(chunk, word, 1, 0) for chunk, text in zip(frame["chunk"], frame["text"])
+                    for piece in pieces(words_of(text)) for word in set(piece)]
+            # The row without a word counts pieces and their words.
+            rows += [(chunk, None, 1, len(piece)) for chunk, text in zip(frame["chunk"], frame["text"])
+                     for piece in pieces(words_of(text))]
+            if rows:
+                yield pd.DataFrame(rows, columns=["chunk", "word", "n", "words"])
+
+    counts = written(items.select("chunk", "text").mapInPandas(count, "chunk long, word string, n long, words long")
+                     .groupBy("chunk", "word").agg(F.sum("n").alias("n"), F.sum("words").alias("words")),
+                     "contaminated-words")
+    total = counts.filter(F.col("word").isNull()).agg(F.sum("n"), F.sum("words")).first()
+    holding = counts.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
+
+    def of(chunk: int) -> Statistics:
+        words = counts.filter((F.col("chunk") == chunk) & F.col("word").isNotNull()).select("word")
+        return Statistics(total[0] or 0, total[1] or 0,
+                          {r["word"]: r["n"] for r in holding.join(words, "word", "left_semi").collect()})
+    return of
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
                       text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a test item."""
