@@ -24,7 +24,9 @@ def delivered_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records in the drop folder; an empty frame when there is none yet."""
     try:
         return read_watchlist_files(spark, folder)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], WATCHLIST_RECORD)
 
 

@@ -44,6 +44,9 @@ def query(name: str):
 # watchlist feed takes the older half as already delivered).
 DELIVERED_BEFORE = "2024-01-16 00:00:00"
 
+# Files of the staged watchlist feed.
+FEED_PARTS = 20
+
 # Hash buckets of the test tables (a cluster's tables have more).
 CARD_BUCKETS, CUSTOMER_BUCKETS = 4, 8
 
@@ -576,7 +579,7 @@ def delivery_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- watchlist feed ------------------------------------------------------------------------
 
 def _stage_feed(spark: SparkSession, sf_dir: str, run) -> tuple[str, str]:
-    """Feed CSV of every watchlist record; drop folder with the first half.
+    """Feed CSV files of every watchlist record; drop folder with the first half.
 
     The CSV's columns are in another order than the record's and one is
     undeclared; descriptions hold quotes, commas and line breaks; every
@@ -595,20 +598,28 @@ def _stage_feed(spark: SparkSession, sf_dir: str, run) -> tuple[str, str]:
     order = [*reversed(records.columns), "note"]
     values["note"] = F.lit('""')
     line = F.concat_ws(",", *[values[c] for c in order])
-    # One file, header first: the header is row 0 of a sorted partition.
-    header = spark.range(1).select(F.lit(-1).cast("long").alias("at"), F.lit(",".join(order)).alias("value"))
-    (header.unionByName(records.select(number.alias("at"), line.alias("value")))
-     .coalesce(1).sortWithinPartitions("at").select("value").write.text(csv_path))
-    testdata.watchlist_records(events.filter(F.col("ts") < F.lit(DELIVERED_BEFORE)
-                                             .cast("timestamp_ntz"))).write.json(folder)
+    # A folder per part, its only file with the header first.
+    header = spark.range(FEED_PARTS).select(F.col("id").alias("part"), F.lit(-1).cast("long").alias("at"),
+                                            F.lit(",".join(order)).alias("value"))
+    lines = records.select(F.pmod(F.xxhash64("watchlist_id"), F.lit(FEED_PARTS)).alias("part"),
+                           number.alias("at"), line.alias("value"))
+    (header.unionByName(lines).repartition("part").sortWithinPartitions("part", "at").drop("at")
+     .write.partitionBy("part").text(csv_path))
+    _deliver_older(events, folder)
     return csv_path, folder
 
 
+def _deliver_older(events: DataFrame, folder: str) -> None:
+    older = events.filter(F.col("ts") < F.lit(DELIVERED_BEFORE).cast("timestamp_ntz"))
+    testdata.watchlist_records(older).write.json(folder)
+
+
 @query("watchlist_high_water_mark")
 def watchlist_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Highest delivered watchlist id number, and its id."""
     run = new_run(spark, "watchlist_high_water_mark")
-    _, folder = _stage_feed(spark, sf_dir, run)
+    folder = run.staging("watchlist_drop")
+    _deliver_older(_events(spark, sf_dir), folder)
     return feed.high_water_mark(feed.delivered_records(spark, folder))
 
 

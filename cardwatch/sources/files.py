@@ -52,13 +52,15 @@ def read_watchlist_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_watchlist_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The watchlist feed CSV; all columns as text, found by name in the header.
+    """The watchlist feed CSV, a file or a folder of them; all columns as text, found by name in the header.
 
+    Files are read in parallel, a file by one task (values may hold line
+    breaks), so a large feed should come in many, each with its header line.
     Quotes are doubled inside quoted values, which may hold line breaks.  A
     declared column that is missing is an error; columns that the record
     does not declare follow the declared ones.
     """
-    feed = (spark.read.option("header", True).option("multiLine", True)
+    feed = (spark.read.option("header", True).option("multiLine", True).option("recursiveFileLookup", "true")
             .option("quote", '"').option("escape", '"').csv(path))
     declared = WATCHLIST_RECORD.fieldNames()
     missing = [c for c in declared if c not in feed.columns]

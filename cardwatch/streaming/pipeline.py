@@ -282,8 +282,9 @@ def land_customers(spark: SparkSession, layout: Layout, customers: DataFrame) ->
     try:
         if not spark.read.schema("landed timestamp").parquet(note).isEmpty():
             return
-    except AnalysisException:                 # no such load yet
-        pass
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":      # else: no such load yet
+            raise
     bronze.bronze_customers(customers).write.mode("append").parquet(
         layout.table("bronze", "customers"))
     spark.range(1).select(F.current_timestamp().alias("landed")).write.mode("overwrite").parquet(note)

@@ -40,31 +40,53 @@ def state_partitions(spark: SparkSession, partitions: int | None) -> Iterator[No
 
 
 class ProgressLog(StreamingQueryListener):
-    """Every progress report of the queries of a session.
+    """Every progress report of the session's queries that run to the end of their input.
 
     A query itself keeps only its latest reports (100 by default), too few
-    for the counts of a run with many micro-batches.
+    for the counts of a run with many micro-batches.  Queries that run until
+    they are stopped report for ever, so nothing of theirs is kept.
     """
 
     def __init__(self) -> None:
         self.reports: dict[str, list] = {}
         self.ended: set[str] = set()
+        self.kept: set[str] = set()
+        self.finite = False
         self.changed = threading.Condition()
 
+    def start(self, writer, path: str | None, finite: bool) -> StreamingQuery:
+        """Start a query; ``finite`` ones are kept until ``take``.
+
+        Spark reports a start before ``start`` returns, and any progress after it.
+        """
+        self.finite = finite
+        try:
+            query = writer.start(path) if path else writer.start()
+        finally:
+            self.finite = False
+        if finite:
+            with self.changed:
+                self.kept.add(str(query.runId))
+        return query
+
     def onQueryStarted(self, event) -> None:
-        pass
+        if self.finite:
+            with self.changed:
+                self.kept.add(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
         with self.changed:
-            self.reports.setdefault(str(event.progress.runId), []).append(event.progress)
+            if str(event.progress.runId) in self.kept:
+                self.reports.setdefault(str(event.progress.runId), []).append(event.progress)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
         with self.changed:
-            self.ended.add(str(event.runId))
-            self.changed.notify_all()
+            if str(event.runId) in self.kept:
+                self.ended.add(str(event.runId))
+                self.changed.notify_all()
 
     def take(self, run_id: str, timeout: float = 60) -> list:
         """The reports of a run that has ended, once the listener knows of its end."""
@@ -72,6 +94,7 @@ class ProgressLog(StreamingQueryListener):
             if not self.changed.wait_for(lambda: run_id in self.ended, timeout):
                 raise TimeoutError(f"no end event of the streaming run {run_id}")
             self.ended.discard(run_id)
+            self.kept.discard(run_id)
             return self.reports.pop(run_id, [])
 
 
@@ -113,9 +136,8 @@ def start_to_table(df: DataFrame, path: str, checkpoint: str, *,
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    progress_log(df.sparkSession)
     with state_partitions(df.sparkSession, partitions):
-        return writer.start(path)
+        return progress_log(df.sparkSession).start(writer, path, available_now)
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, **options) -> list:
@@ -142,9 +164,8 @@ def start_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None]
               else writer.trigger(availableNow=True))
     if query_name:
         writer = writer.queryName(query_name)
-    progress_log(df.sparkSession)
     with state_partitions(df.sparkSession, partitions):
-        return writer.start()
+        return progress_log(df.sparkSession).start(writer, None, not processing_time)
 
 
 def rows_dropped_by_watermark(progress: list) -> int:
