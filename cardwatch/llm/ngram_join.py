@@ -48,6 +48,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from ..operators.joins import fits_broadcast
 from .common import read, row_key, unused, written
 from .components import components
 
@@ -300,7 +301,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     placed = written(members.join(sizes.select("root", "blocks"), "root")
                      .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
                      .select("digest", "key", "copies", "root", "blocks", "block"), "ngram-tasks")
-    source = keyed.select("key", "text")
+    # Of the texts only those with candidates are needed, each read twice at most.
+    keys = placed.select("key").distinct()
+    source = written(keyed.select("key", "text").join(F.broadcast(keys) if fits_broadcast(keys) else keys, "key"),
+                     "ngram-needed")
     wanted = placed.filter("blocks = 1").select(
         "key", "digest", "copies", "root", F.pmod(F.xxhash64("root"), F.lit(packs)).alias("task"))
     checked = (wanted.join(source, "key").groupBy("task")
