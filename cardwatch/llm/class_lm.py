@@ -10,27 +10,32 @@ is the product over its words and its end.  The base score uses the last
 term alone.
 
 1. Texts are cut into blocks, as they come, of a bounded number of tokens.
-   A block lists its distinct tokens (64-bit hashes) once, with training
-   counts, and keeps its documents as numbers in that list.
-2. A window per token sums the counts over blocks, so every block row
-   knows its token's count in the whole corpus.  A token has a row per
-   block that holds it, not per occurrence.
+   A block lists its distinct tokens (64-bit hashes) once, in order, with
+   training counts, and keeps its documents as numbers in that list.
+2. The hashes fall into ranges of about ``RANGE_ENTRIES`` (block, token)
+   entries.  A block sends each range one row with its part of the list;
+   where the rows of a range meet, its words are numbered and their counts
+   summed, and every block gets both back.  All that follows travels as
+   such rows of packed arrays, one per block and range, never per token.
 3. A start: pairs of neighbouring words are counted by state (one of the
    ``FREQUENT`` most frequent words, word ending, end), a table whose size
    depends on parameters only, and the driver exchanges these states until
    none moves.  Words start in the class of their state.
-4. Exchange over all words: blocks count their words' neighbours by class,
-   one row per word and block; the rows of a word meet, and the word takes
-   the class that raises the likelihood most, given the class-by-class
-   table and the moves of the same task.  A step moves the words of one
+4. Exchange over all words: blocks count their words' neighbours by class
+   and the pairs of classes; the rows of a range meet, and each of its words
+   takes the class that raises the likelihood most, given the class-by-class
+   table and the moves of the same range.  A step moves the words of one
    hashed batch.  If the likelihood falls because neighbours moved at
    once, the step is taken back, and the next round has twice the batches.
    It ends with a round that raises the likelihood by less than
-   ``LEAST_RISE`` nats per token, or two in turn if steps were taken back.
+   ``LEAST_RISE`` nats per token, or two in turn if steps were taken back,
+   or when steps of a ``MOST_BATCHES``-th of the words still lower it.
 5. Blocks meet their words' classes again and are scored.
 
 Only the class-by-class table is broadcast.  A word without training count
-keeps the class it starts in.
+keeps the class it starts in.  A task that chooses holds the entries of one
+range and, of a word that every block holds, at most ``SLOTS`` counts per
+block.  Tables of steps that are over are removed.
 
 Words are ASCII-lower-cased; the end is a token of its own.  Distinct
 tokens are told apart by 64-bit hashes.
@@ -39,6 +44,8 @@ Edge cases: null texts are empty, that is one end token.  A null id counts
 as the empty text for the fold (held out).  Without any training document
 all counts are 0 and both scores fall back to the uniform base.  Rows that
 repeat an id are scored, and counted, each.  An empty table gives no rows.
+A very long text is a block of its own.  Of classes that raise the likelihood
+alike a word takes the lowest, and stays where it is unless one is better.
 """
 
 from __future__ import annotations
@@ -46,14 +53,16 @@ from __future__ import annotations
 import itertools
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import StorageLevel, TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import new_run
 from .common import read, written
 
 FREQUENT = 1000
@@ -66,16 +75,18 @@ ENDINGS = 128
 K = CLASSES + 1
 SLOTS = 2 * K + 1
 LEAST_RISE = 1e-3
-BATCHES = 1
+BATCHES, MOST_BATCHES = 1, 64
 MIX = 0.9
 ALPHA = 0.1
 # Pseudo-counts of a class's transitions, spread by class frequency.
 BACKOFF = 2.0
 FOLDS = 10
 BLOCK_TOKENS = 3_000_000
+# Distinct tokens of blocks, summed over blocks, in a range of hashes.
+RANGE_ENTRIES = 400_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Neighbour counts worked on at a time.
-ENTRIES = 4_000
+ENTRIES = 16_000
 # Neighbouring words worked on at a time.
 PIECE = 500_000
 
@@ -105,11 +116,19 @@ def tokens_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 # Ids travel as text: pandas would turn whole numbers with nulls into floats.
 BLOCK_SCHEMA = ("block long, doc_id string, held_out boolean, ids binary, "
-                "id int, token long, ending int, here long")
+                "entries long, tokens binary, endings binary, here binary")
+
+
+def squeezed(x: np.ndarray, kind: str) -> bytes:
+    return zlib.compress(x.astype(kind).tobytes(), 1)
+
+
+def loose(x: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(x), dtype=kind)
 
 
 def block_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of documents (``ids``: 32-bit numbers of tokens, compressed) and rows of distinct tokens."""
+    """Rows of documents (``ids``: 32-bit numbers of tokens, compressed), and a row of distinct tokens per block."""
     context = TaskContext.get()
     number = (context.partitionId() if context else 0) << 32
     docs, pending = [], 0
@@ -134,8 +153,8 @@ def _block(number: int, docs: list[tuple]) -> Iterator[pd.DataFrame]:
     here = np.bincount(ids[learnt], minlength=len(token))
     ids = ids.astype("<u4")
     cuts = np.concatenate([[0], np.cumsum(lengths)])
-    yield _frame(len(token), block=number, id=np.arange(len(token), dtype=np.int32), token=token,
-                 ending=endings.astype(np.int32), here=here)
+    yield _frame(1, block=number, entries=[len(token)], tokens=[token.astype("<i8").tobytes()],
+                 endings=[squeezed(endings, "u1")], here=[squeezed(here, "<u4")])
     yield _frame(len(docs), block=number, doc_id=[d[0] for d in docs], held_out=[d[1] for d in docs],
                  ids=[zlib.compress(ids[a:b].tobytes(), 1) for a, b in zip(cuts, cuts[1:])])
 
@@ -266,198 +285,276 @@ def best_classes(word: np.ndarray, slot: np.ndarray, n: np.ndarray, of: np.ndarr
     for which, counts, other, across in ((0, right, left, table.T), (1, left, right, table)):
         at = side == which
         w, c, x = word[at], slot[at] % k, n[at].astype(np.float64)
-        # Pairs of each class with the neighbour's, without the word.
-        t = across[c, :free].astype(np.float64)
-        t[np.arange(len(w)), of[w]] -= x
-        hit = np.flatnonzero(c == of[w])
-        t[hit] -= other[w[hit], :free]
-        t[hit, of[w[hit]]] -= own[w[hit]]
         if len(w):
+            a = of[w]
+            # Many words have the same count of the same class: its gains are worked out once.
+            kinds, which_kind = np.unique(n[at].astype(np.int64) * k + c, return_inverse=True)
+            t = across[kinds % k, :free].astype(np.float64)
+            part = (_xlogx(t + (kinds // k)[:, None]) - _xlogx(t))[which_kind]
+            # The word's own class is taken without the word.
+            part[np.arange(len(w)), a] = _xlogx(across[c, a]) - _xlogx(across[c, a] - x)
+            hit = np.flatnonzero(c == a)
+            t = across[c[hit], :free] - other[w[hit], :free]
+            t[np.arange(len(hit)), a[hit]] -= x[hit] + own[w[hit]]
+            part[hit] = _xlogx(t + x[hit, None]) - _xlogx(t)
             starts = np.flatnonzero(np.diff(w, prepend=-1))
-            gain[w[starts]] += np.add.reduceat(_xlogx(t + x[:, None]) - _xlogx(t), starts, axis=0)
+            gain[w[starts]] += np.add.reduceat(part, starts, axis=0)
         total = counts.sum(axis=1) + own
-        sums = np.tile(table.sum(axis=1 - which)[:free].astype(np.float64), (len(of), 1))
-        sums[every, of] -= total
-        gain -= _xlogx(sums + total[:, None]) - _xlogx(sums)
-    r, c = right[:, :free], left[:, :free]
-    diagonal = np.tile(np.diag(table)[:free].astype(np.float64), (len(of), 1))
-    diagonal[every, of] -= r[every, of] + c[every, of] + own
-    gain += _xlogx(diagonal + r + c + own[:, None]) - _xlogx(diagonal + r)
-    gain += _xlogx(diagonal) - _xlogx(diagonal + c)
+        sums = table.sum(axis=1 - which)[:free].astype(np.float64)
+        kinds, which_kind = np.unique(total, return_inverse=True)
+        part = (_xlogx(sums + kinds[:, None]) - _xlogx(sums))[which_kind]
+        part[every, of] = _xlogx(sums[of]) - _xlogx(sums[of] - total)
+        gain -= part
+    # Pairs within a class matter where a word has it on both sides, or repeats itself.
+    w, j = np.nonzero(((right > 0) & (left > 0))[:, :free] | (own > 0)[:, None])
+    r, c, o = right[w, j], left[w, j], own[w]
+    d = np.diag(table)[j] - np.where(j == of[w], r + c + o, 0.0)
+    gain[w, j] += _xlogx(d + r + c + o) - _xlogx(d + r) + _xlogx(d) - _xlogx(d + c)
     best = gain.argmax(axis=1)
     return np.where(gain[every, best] > gain[every, of] + 1e-9, best, of)
 
 
-# A block's documents, and a row with its tokens, their counts in the whole
-# corpus and whether this block is the first to hold them.
-PACKED_SCHEMA = ("block long, doc_id string, held_out boolean, ids binary, "
-                 "tokens binary, totals binary, firsts binary")
-CLASS_SCHEMA = "block long, id int, class int"
+def range_cuts(token: np.ndarray, bits: int) -> np.ndarray:
+    """Where each of the ``2 ** bits`` ranges of hashes starts among sorted tokens, and their number."""
+    starts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.empty(0, np.uint64)
+    return np.concatenate([[0], np.searchsorted(token, (starts ^ np.uint64(1 << 63)).view(np.int64)), [len(token)]])
+
+
+def by_range(bits: int):
+    """A row per block and range with its part of the block's tokens."""
+
+    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for block, tokens, here in zip(frame["block"], frame["tokens"], frame["here"]):
+                token, n = np.frombuffer(tokens, dtype="<i8"), loose(here, "<u4")
+                cuts = range_cuts(token, bits)
+                held = np.flatnonzero(np.diff(cuts))
+                yield pd.DataFrame({
+                    "range": held, "block": block,
+                    "tokens": [token[cuts[i]:cuts[i + 1]].tobytes() for i in held],
+                    "here": [squeezed(n[cuts[i]:cuts[i + 1]], "<u4") for i in held]})
+    return split
+
+
+# Per block and range: numbers of its words within the range (differences),
+# their counts in the whole corpus, whether this block is the first to hold
+# them; in one row of a range also its words' sums and most frequent words.
+NUMBERED_SCHEMA = ("block long, range long, numbers binary, totals binary, firsts binary, "
+                   "mass long, words long, top binary, top_totals binary")
+
+
+def number_words(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("block")
+    tokens = [np.frombuffer(t, dtype="<i8") for t in rows["tokens"]]
+    word, first, number = np.unique(np.concatenate(tokens), return_index=True, return_inverse=True)
+    here = np.concatenate([loose(n, "<u4") for n in rows["here"]])
+    total = np.bincount(number, weights=here, minlength=len(word)).astype(np.int64)
+    firsts = np.zeros(len(number), dtype=np.uint8)
+    firsts[first] = 1
+    cuts = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
+    spans = list(zip(cuts, cuts[1:]))
+    ranked = np.lexsort((word, -total))
+    ranked = ranked[(word[ranked] != END) & (total[ranked] > 0)][:FREQUENT]
+    more = [None] * (len(rows) - 1)
+    return pd.DataFrame({
+        "block": rows["block"].to_numpy(), "range": rows["range"].to_numpy(),
+        "numbers": [squeezed(np.diff(number[i:j], prepend=0), "<u4") for i, j in spans],
+        "totals": [squeezed(total[number[i:j]], "<i8") for i, j in spans],
+        "firsts": [squeezed(firsts[i:j], "u1") for i, j in spans],
+        "mass": pd.Series([int(total.sum()), *[0] * len(more)]),
+        "words": pd.Series([int((total > 0).sum()), *[0] * len(more)]),
+        "top": [word[ranked].tobytes(), *more], "top_totals": [total[ranked].tobytes(), *more]})
+
+
+def top_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for top, totals in zip(frame["top"], frame["top_totals"]):
+            yield pd.DataFrame({"token": np.frombuffer(top, dtype="<i8"),
+                                "total": np.frombuffer(totals, dtype="<i8")})
 
 
-def pack_tokens(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("id")
-    return pd.DataFrame([(rows["block"].iloc[0], rows["token"].to_numpy("<i8").tobytes(),
-                          zlib.compress(rows["total"].to_numpy("<i8").tobytes(), 1),
-                          zlib.compress(rows["first"].to_numpy("u1").tobytes(), 1))],
-                        columns=["block", "tokens", "totals", "firsts"])
+# Classes of a block's tokens in a range, one byte each.
+CLASS_SCHEMA = "block long, range long, classes binary"
 
 
 def _unpacked(packed: pd.DataFrame, classes: pd.DataFrame):
-    """Documents of a block, its tokens, counts and first marks, and its tokens' classes."""
-    lists = packed["ids"].isna()
-    one = packed[lists].iloc[0]
-    token = np.frombuffer(one["tokens"], dtype="<i8")
-    total, first = (np.frombuffer(zlib.decompress(one[c]), dtype=d)
-                    for c, d in (("totals", "<i8"), ("firsts", "u1")))
-    of = np.empty(len(token), dtype=np.int64)
-    of[classes["id"].to_numpy()] = classes["class"].to_numpy()
-    return packed[~lists], token, total, first, of
-
-
-def _learnt(docs: pd.DataFrame, token: np.ndarray) -> np.ndarray:
-    """Training tokens in a row, as numbers, after an end."""
-    end = np.flatnonzero(token == END).astype("<u4")
-    ids = docs["ids"][~docs["held_out"].astype(bool)]
-    return np.concatenate([end, *[np.frombuffer(zlib.decompress(i), dtype="<u4") for i in ids]])
+    """Documents of a block, its rows per range, and its tokens' classes."""
+    docs = packed[packed["ids"].notna()]
+    ranges = packed[packed["ids"].isna()].sort_values("range")
+    of = [loose(c, "u1") for c in classes.sort_values("range")["classes"]]
+    return docs, ranges, of
 
 
-def class_pairs(packed: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
-    """Counts ``(cell, n)`` of a block: pairs of classes, then distinct training words per class."""
-    docs, token, total, first, of = _unpacked(packed, classes)
-    c = of.astype(np.int16)[_learnt(docs, token)]
-    n = np.concatenate([np.bincount(c[:-1] * np.int16(K) + c[1:], minlength=K * K),
-                        np.bincount(of[(first > 0) & (total > 0)], minlength=K)])
-    at = np.flatnonzero(n)
-    return pd.DataFrame({"cell": at, "n": n[at]})
+def _learnt(docs: pd.DataFrame) -> np.ndarray:
+    """Training tokens in a row, as numbers, after an end."""
+    end = loose(docs["ids"].iloc[0], "<u4")[-1:]
+    ids = docs["ids"][~docs["held_out"].astype(bool)]
+    return np.concatenate([end, *[loose(i, "<u4") for i in ids]])
 
 
-def in_batch(token: np.ndarray, step: int, batches: int) -> np.ndarray:
+def in_batch(word: np.ndarray, step: int, batches: int) -> np.ndarray:
     """Whether a word moves in this step; ``batches`` steps in turn move every word once."""
-    h = (token.astype(np.uint64) ^ np.uint64(step // batches)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (word.astype(np.uint64) + np.uint64(1 + step // batches)) * np.uint64(0x9E3779B97F4A7C15)
     return ((h >> np.uint64(40)) % np.uint64(batches)).astype(np.int64) == step % batches
 
 
-def neighbour_counter(step: int, batches: int):
-    """A row per token of a block; ``near`` packs the counts of its neighbours if it may move."""
-
-    def count(packed: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
-        docs, token, _, _, of = _unpacked(packed, classes)
-        t = _learnt(docs, token)
-        moves = in_batch(token, step, batches) & (token != END)
-        keys = []
-        for i in range(0, len(t) - 1, PIECE):
-            a, b = t[i:i + PIECE][:len(t) - 1 - i].astype(np.int64), t[i + 1:i + 1 + PIECE].astype(np.int64)
-            same, m_a, m_b = a == b, moves[a], moves[b]
-            x, y, z = m_a & ~same, m_b & ~same, m_a & same
-            keys += [a[x] * SLOTS + of[b[x]], b[y] * SLOTS + K + of[a[y]], a[z] * SLOTS + 2 * K]
-        keys = np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)
-        keys.sort()                               # in place: blocks are large
-        first = np.flatnonzero(np.diff(keys, prepend=-1))
-        u, n = keys[first], np.diff(first, append=len(keys))
-        del keys, first
-        cuts = np.searchsorted(u // SLOTS, np.arange(len(token) + 1)) * 4
-        near = ((n.astype("<u4") << 8) | (u % SLOTS).astype("<u4")).astype("<u4").tobytes()
-        return pd.DataFrame({
-            "block": packed["block"].iloc[0], "id": np.arange(len(token), dtype=np.int32),
-            "class": of.astype(np.int32), "token": token,
-            "near": [near[i:j] for i, j in zip(cuts, cuts[1:])]})
-    return count
-
-
-def mover(table: np.ndarray):
-    """New classes from rows in the order of their tokens."""
-    local = table.copy()
-
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        new_word = np.diff(rows["token"].to_numpy(), prepend=0) != 0
-        new_word[0] = True
-        word = np.cumsum(new_word) - 1
-        of = rows["class"].to_numpy(dtype=np.int64)[new_word]
-        near = np.frombuffer(b"".join(rows["near"]), dtype="<u4")
-        size = np.array([len(x) // 4 for x in rows["near"]])
-        key, back = np.unique(np.repeat(word, size) * SLOTS + (near & 255), return_inverse=True)
-        n = np.bincount(back, weights=near >> 8, minlength=len(key))
-        at, slot = key // SLOTS, key % SLOTS
-        movable, at = np.unique(at, return_inverse=True)
-        i = 0
+# Per block and range: word numbers, classes, how many neighbour counts each
+# word has, their slots and the counts.  In one row of a block also its pairs
+# of classes and distinct training words per class.
+NEAR_SCHEMA = ("block long, range long, numbers binary, classes binary, sizes binary, slots binary, "
+               "counts binary, cells binary")
+
+
+def count_neighbours(packed: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+    docs, ranges, parts = _unpacked(packed, classes)
+    of = np.concatenate(parts).astype(np.int64)
+    t = _learnt(docs)
+    end, total = t[0], np.concatenate([loose(x, "<i8") for x in ranges["totals"]])
+    first = np.concatenate([loose(x, "u1") for x in ranges["firsts"]])
+    c = of.astype(np.int16)[t]
+    cells = np.concatenate([np.bincount(c[:-1] * np.int16(K) + c[1:], minlength=K * K),
+                            np.bincount(of[(first > 0) & (total > 0)], minlength=K)])
+    del c, total, first
+    keys = []
+    for i in range(0, len(t) - 1, PIECE):
+        a, b = t[i:i + PIECE][:len(t) - 1 - i].astype(np.int64), t[i + 1:i + 1 + PIECE].astype(np.int64)
+        x, y, z = (a != b) & (a != end), (a != b) & (b != end), (a == b) & (a != end)
+        keys += [a[x] * SLOTS + of[b[x]], b[y] * SLOTS + K + of[a[y]], a[z] * SLOTS + 2 * K]
+    keys = np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)
+    keys.sort()                               # in place: blocks are large
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    keys, n = keys[starts], np.diff(starts, append=len(keys))
+    word, slot = keys // SLOTS, (keys % SLOTS).astype(np.uint8)
+    sizes = np.bincount(word, minlength=len(of))
+    cuts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    near = np.searchsorted(word, cuts)
+    spans, entries = list(zip(cuts, cuts[1:])), list(zip(near, near[1:]))
+    return pd.DataFrame({
+        "block": ranges["block"].to_numpy(), "range": ranges["range"].to_numpy(),
+        "numbers": ranges["numbers"].to_numpy(), "classes": [squeezed(p, "u1") for p in parts],
+        "sizes": [squeezed(sizes[i:j], "u1") for i, j in spans],
+        "slots": [squeezed(slot[i:j], "u1") for i, j in entries],
+        "counts": [squeezed(n[i:j], "<u4") for i, j in entries],
+        "cells": [squeezed(cells, "<i8"), *[None] * (len(ranges) - 1)]})
+
+
+def sum_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    n = np.zeros(K * K + K, dtype=np.int64)
+    for frame in frames:
+        for cells in frame["cells"]:
+            n += loose(cells, "<i8")
+    at = np.flatnonzero(n)
+    yield pd.DataFrame({"cell": at, "n": n[at]})
+
+
+def mover(table: np.ndarray, step: int, batches: int):
+    """New classes of a range's words, for every block that holds them."""
+
+    def move(rows: pd.DataFrame) -> pd.DataFrame:
+        numbers = [np.cumsum(loose(x, "<u4"), dtype=np.int64) for x in rows["numbers"]]
+        of = np.zeros(max(int(x[-1]) for x in numbers) + 1, dtype=np.int64)
+        keys, counts = [], []
+        for number, classes, sizes, slots, n in zip(numbers, rows["classes"], rows["sizes"],
+                                                    rows["slots"], rows["counts"]):
+            of[number] = loose(classes, "u1")
+            keys.append(np.repeat(number, loose(sizes, "u1")) * SLOTS + loose(slots, "u1"))
+            counts.append(loose(n, "<u4"))
+        key, back = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate(counts), minlength=len(key))
+        del keys, counts, back
+        if batches > 1:
+            some = in_batch(key // SLOTS, step, batches)
+            key, n = key[some], n[some]
+        local = table.copy()
+        movable, at = np.unique(key // SLOTS, return_inverse=True)
+        slot, i = key % SLOTS, 0
         while i < len(at):
             # As many whole words as ENTRIES holds, one at least.
-            j = int(np.searchsorted(at, at[min(i + ENTRIES, len(at) - 1)])) if i + ENTRIES < len(at) else len(at)
+            j = int(np.searchsorted(at, at[i + ENTRIES])) if i + ENTRIES < len(at) else len(at)
             if j <= i:
                 j = int(np.searchsorted(at, at[i], side="right"))
             some, w, side = movable[at[i]:at[j - 1] + 1], at[i:j] - at[i], slot[i:j] // K
             old = of[some]
             of[some] = best_classes(w, slot[i:j], n[i:j], old, local)
-            # What the task's next words see of these moves.
+            # What the range's next words see of these moves.
             for sign, now in ((-1, old), (1, of[some])):
                 for this, first, columns in ((0, now[w], slot[i:j] % K), (1, slot[i:j] % K, now[w]),
                                              (2, now[w], now[w])):
                     np.add.at(local, (first[side == this], columns[side == this]), sign * n[i:j][side == this])
             i = j
-        return pd.DataFrame({"block": rows["block"].to_numpy(), "id": rows["id"].to_numpy(),
-                             "class": of[word].astype(np.int32)})
-
-    def move(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for frame in frames:
-            rows = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            if not len(rows):
-                continue
-            token = rows["token"].to_numpy()
-            last = int(np.searchsorted(token, token[-1]))
-            held = rows.iloc[last:]
-            if last:
-                yield choose(rows.iloc[:last])
-        if held is not None:
-            yield choose(held)
+        return pd.DataFrame({"block": rows["block"].to_numpy(), "range": rows["range"].to_numpy(),
+                             "classes": [squeezed(of[x], "u1") for x in numbers]})
     return move
 
 
-def starter(frequent: np.ndarray, class_of: np.ndarray):
+def starter(frequent: np.ndarray, class_of: np.ndarray, bits: int):
     """Classes that tokens start in."""
 
     def start(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            state = states_of(frame["token"].to_numpy(), frequent, frame["ending"].to_numpy(dtype=np.int64))
-            yield pd.DataFrame({"block": frame["block"], "id": frame["id"],
-                                "class": class_of[state].astype(np.int32)})
+            for block, tokens, endings in zip(frame["block"], frame["tokens"], frame["endings"]):
+                token = np.frombuffer(tokens, dtype="<i8")
+                of = class_of[states_of(token, frequent, loose(endings, "u1").astype(np.int64))]
+                cuts = range_cuts(token, bits)
+                held = np.flatnonzero(np.diff(cuts))
+                yield pd.DataFrame({"block": block, "range": held,
+                                    "classes": [squeezed(of[cuts[i]:cuts[i + 1]], "u1") for i in held]})
     return start
 
 
-def cluster(packed: DataFrame, classes: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """Classes ``(block, id, class)`` after the exchange, pairs of classes, words per class."""
+class Step(NamedTuple):
+    """A table of a step and its folder."""
+
+    rows: DataFrame
+    path: str
+
+    @classmethod
+    def of(cls, df: DataFrame, name: str) -> Step:
+        path = new_run(df.sparkSession, name).table("rows")
+        df.write.parquet(path)
+        return cls(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+    def remove(self) -> None:
+        spark = self.rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cluster(packed: DataFrame, classes: Step) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Classes after the exchange, pairs of classes, words per class."""
     grouped = packed.groupBy("block")
 
-    def measured(state: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        counted = (grouped.cogroup(state.groupBy("block")).applyInPandas(class_pairs, "cell long, n long")
+    def measured(state: Step) -> tuple[Step, np.ndarray, np.ndarray]:
+        near = Step.of(grouped.cogroup(state.rows.groupBy("block"))
+                       .applyInPandas(count_neighbours, NEAR_SCHEMA), "lm-near")
+        counted = (near.rows.filter("cells is not null").select("cells")
+                   .mapInPandas(sum_cells, "cell long, n long")
                    .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
         n = np.zeros(K * K + K)
         n[counted["cell"].to_numpy()] = counted["n"].to_numpy()
-        return n[:K * K].reshape(K, K), n[K * K:]
-
-    def stepped(state: DataFrame, table: np.ndarray, step: int, batches: int) -> DataFrame:
-        rows = grouped.cogroup(state.groupBy("block")).applyInPandas(
-            neighbour_counter(step, batches), f"{CLASS_SCHEMA}, token long, near binary")
-        return written(rows.repartition("token").sortWithinPartitions("token")
-                       .mapInPandas(mover(table), CLASS_SCHEMA), "lm-classes")
+        return near, n[:K * K].reshape(K, K), n[K * K:]
 
-    table, kinds = measured(classes)
+    near, table, kinds = measured(classes)
     batches, rounds, still = BATCHES, 0, 0
     while table.any() and still < 2:
         before, taken_back = likelihood(table), False
         for turn in range(batches):
-            moved = stepped(classes, table, rounds * batches + turn, batches)
-            new_table, new_kinds = measured(moved)
-            if likelihood(new_table) >= likelihood(table):
-                classes, table, kinds = moved, new_table, new_kinds
+            moved = Step.of(near.rows.drop("cells").groupBy("range").applyInPandas(
+                mover(table, rounds * batches + turn, batches), CLASS_SCHEMA), "lm-classes")
+            new_near, new_table, new_kinds = measured(moved)
+            better = likelihood(new_table) >= likelihood(table)
+            for over in (classes, near) if better else (moved, new_near):
+                over.remove()
+            if better:
+                classes, near, table, kinds = moved, new_near, new_table, new_kinds
             else:
                 taken_back = True
         rounds += 1
         rises = likelihood(table) - before >= LEAST_RISE * table.sum()
-        still = 0 if rises else still + 1 if taken_back else 2
-        batches *= 2 if taken_back else 1
-    return classes, table, kinds
+        still = 0 if rises else still + 1 if taken_back and batches < MOST_BATCHES else 2
+        batches = min(batches * 2, MOST_BATCHES) if taken_back else batches
+    near.remove()
+    return classes.rows, table, kinds
 
 
 def scorer(after: np.ndarray, mass: np.ndarray, kinds: np.ndarray, total: int, distinct: int):
@@ -469,15 +566,16 @@ def scorer(after: np.ndarray, mass: np.ndarray, kinds: np.ndarray, total: int, d
     end = len(mass) - 1
 
     def score(packed: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
-        docs, _, counts, _, k = _unpacked(packed, classes)
-        c = counts.astype(np.float64)
+        docs, ranges, k = _unpacked(packed, classes)
+        k = np.concatenate(k).astype(np.int64)
+        c = np.concatenate([loose(x, "<i8") for x in ranges["totals"]]).astype(np.float64)
         base = (c + ALPHA) / (total + ALPHA * (distinct + 1))
         emission = np.where(k < end, (c + ALPHA) / (mass[k] + ALPHA * (kinds[k] + 1)),
                             c / np.maximum(1, mass[k]))
         known, log_base = c > 0, np.log10(base)
         rows = []
         for ids in docs["ids"]:
-            t = np.frombuffer(zlib.decompress(ids), dtype="<u4")
+            t = loose(ids, "<u4")
             cls = k[t]
             before = np.concatenate([[end], cls[:-1]])
             p = MIX * after[before, cls] * emission[t] + (1 - MIX) * base[t]
@@ -488,24 +586,51 @@ def scorer(after: np.ndarray, mass: np.ndarray, kinds: np.ndarray, total: int, d
     return score
 
 
-def learn(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray, np.ndarray, int, int]:
-    """Packed blocks, classes, pairs of classes, words per class, and training tokens and words."""
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings in which a query's shuffle files go when it ends.
+
+    Nothing reads them later: what a step leaves is a table in the shared folder.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set(CLEANUP, "true")
+    return own
+
+
+class Model(NamedTuple):
+    """``blocks`` with their token lists; ``packed`` documents and word numbers of blocks; their
+    words' ``classes``; ``pairs`` of classes; ``kinds``: distinct training words per class; training
+    tokens and distinct ones."""
+
+    blocks: DataFrame
+    packed: DataFrame
+    classes: DataFrame
+    pairs: np.ndarray
+    kinds: np.ndarray
+    total: int
+    distinct: int
+
+
+def learn(docs: DataFrame) -> Model:
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), (fold == 0).alias("held_out"),
                        "text")
-    blocks = written(rows.mapInPandas(block_batches, BLOCK_SCHEMA), "lm-blocks")
-    same = Window.partitionBy("token")
-    counts = written(
-        blocks.filter("token is not null").select("block", "id", "token", "ending", "here")
-        .withColumn("total", F.sum("here").over(same))
-        .withColumn("first", F.row_number().over(same.orderBy("block")) == 1).drop("here"), "lm-counts")
-    distinct = counts.filter("first and total > 0")
-    sums = distinct.agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    total, kinds_all = sums["n"] or 0, sums["v"] or 0
+    made = Step.of(rows.mapInPandas(block_batches, BLOCK_SCHEMA), "lm-blocks")
+    blocks = own_session(docs.sparkSession).read.schema(BLOCK_SCHEMA).parquet(made.path)
+    lists = blocks.filter("tokens is not null")
+    entries = lists.agg(F.sum("entries").alias("n")).first()["n"] or 0
+    bits = max(4, int(entries // RANGE_ENTRIES).bit_length())
+    numbered = written(lists.select("block", "tokens", "here")
+                       .mapInPandas(by_range(bits), "range long, block long, tokens binary, here binary")
+                       .groupBy("range").applyInPandas(number_words, NUMBERED_SCHEMA), "lm-words")
+    sums = numbered.agg(F.sum("mass").alias("n"), F.sum("words").alias("v")).first()
+    total, distinct = sums["n"] or 0, sums["v"] or 0
     # A million words at most have this share, so no more meet in one task.
-    top = (distinct.filter((F.col("token") != END) & (F.col("total") >= total * LEAST_SHARE))
-           .orderBy(F.col("total").desc(), "token")
-           .limit(FREQUENT).select("token").collect())
+    top = (numbered.filter("top is not null").select("top", "top_totals")
+           .mapInPandas(top_words, "token long, total long").filter(F.col("total") >= total * LEAST_SHARE)
+           .orderBy(F.col("total").desc(), "token").limit(FREQUENT).select("token").collect())
     frequent = np.array(sorted(r["token"] for r in top), dtype=np.int64)
 
     n_states = len(frequent) + ENDINGS + 1
@@ -518,37 +643,30 @@ def learn(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray, np.ndarray
     class_of = exchange(pairs, pairs.sum(axis=0), n_states - 1)
     del pairs
 
-    tokens = (counts.select("block", "id", "token", "total", "first").groupBy("block")
-              .applyInPandas(pack_tokens, "block long, tokens binary, totals binary, firsts binary"))
-    # Dealt by block once; every step joins the classes to it.
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = (blocks.filter("ids is not null").select("block", "doc_id", "held_out", "ids")
-              .unionByName(tokens, allowMissingColumns=True)
-              .repartition(parts, "block").persist(StorageLevel.DISK_ONLY))
-    start = written(counts.select("block", "id", "token", "ending")
-                    .mapInPandas(starter(frequent, class_of), CLASS_SCHEMA), "lm-classes")
-    return packed, *cluster(packed, start), int(total), int(kinds_all)
+              .unionByName(numbered.select("block", "range", "numbers", "totals", "firsts"),
+                           allowMissingColumns=True))
+    start = Step.of(lists.select("block", "tokens", "endings")
+                    .mapInPandas(starter(frequent, class_of, bits), CLASS_SCHEMA), "lm-classes")
+    return Model(blocks, packed, *cluster(packed, start), int(total), int(distinct))
+
+
+SCORE_SCHEMA = ("doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                "base_score double, score double")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """Scores of ``docs(doc_id, text)``."""
-    spark = docs.sparkSession
-    before = spark.conf.get(CLEANUP, "false")
-    # Every step's shuffle files go when its table is written.
-    spark.conf.set(CLEANUP, "true")
-    try:
-        packed, classes, table, kinds, total, kinds_all = learn(docs)
-        mass = table.sum(axis=0)
-        prior = (mass + 1) / (mass.sum() + K)
-        after = (table + BACKOFF * prior) / (table.sum(axis=1, keepdims=True) + BACKOFF)
-        scored = written(packed.groupBy("block").cogroup(classes.groupBy("block"))
-                         .applyInPandas(scorer(after, mass, kinds, total, kinds_all),
-                                        "doc_id string, held_out boolean, n_tokens long, n_known long, "
-                                        "train_tokens long, base_score double, score double"), "lm-scores")
-        packed.unpersist()
-    finally:
-        spark.conf.set(CLEANUP, before)
-    return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    model = learn(docs)
+    table = model.pairs
+    mass = table.sum(axis=0)
+    prior = (mass + 1) / (mass.sum() + K)
+    after = (table + BACKOFF * prior) / (table.sum(axis=1, keepdims=True) + BACKOFF)
+    scored = Step.of(model.packed.groupBy("block").cogroup(model.classes.groupBy("block"))
+                     .applyInPandas(scorer(after, mass, model.kinds, model.total, model.distinct),
+                                    SCORE_SCHEMA), "lm-scores")
+    return (docs.sparkSession.read.schema(SCORE_SCHEMA).parquet(scored.path)
+            .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
 
 
 def op6_class_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -461,10 +461,13 @@ def test_rare_words_get_the_class_of_their_neighbours(spark):
                              for c in "abcdefghijklmno"])
     kinds = names[:1200], names[1200:2400]
     rows = [(i, " ".join(rng.choice(kinds[j % 2]) for j in range(100))) for i in range(400)]
-    packed, classes, table, _, _, _ = class_lm.learn(spark.createDataFrame(rows, "doc_id long, text string"))
-    tokens = {(r.block, i): t for r in packed.filter("tokens is not null").collect()
-              for i, t in enumerate(np.frombuffer(r.tokens, dtype="<i8"))}
-    of = {int(tokens[r.block, r.id]): r["class"] for r in classes.collect()}
+    model = class_lm.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    table, of = model.pairs, {}
+    classes = sorted(model.classes.collect(), key=lambda r: r.range)
+    for r in model.blocks.filter("tokens is not null").collect():
+        held = np.concatenate([class_lm.loose(c.classes, "u1") for c in classes if c.block == r.block])
+        for token, c in zip(np.frombuffer(r.tokens, dtype="<i8"), held):
+            assert of.setdefault(int(token), int(c)) == c       # alike in every block
     a, b = (collections.Counter(of[int(class_lm.tokens_of(str(w))[0][0])] for w in kind
                                 if int(class_lm.tokens_of(str(w))[0][0]) in of) for kind in kinds)
     mixed = sum(min(a[c], b[c]) for c in a | b)
