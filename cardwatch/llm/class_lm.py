@@ -75,7 +75,7 @@ ENDINGS = 128
 K = CLASSES + 1
 SLOTS = 2 * K + 1
 LEAST_RISE = 1e-3
-BATCHES, MOST_BATCHES = 1, 64
+BATCHES, MOST_BATCHES = 1, 4
 MIX = 0.9
 ALPHA = 0.1
 # Pseudo-counts of a class's transitions, spread by class frequency.
