@@ -20,9 +20,11 @@ from ..config import RunFolder, new_run
 from ..functions.expressions import wall_clock
 from ..operators import alerts, bronze, current, delivery, feed, gold, silver
 from ..operators.quality import apply_expectations, expectation_report, observed_expectations
-from ..schemas import CUSTOMER
+from ..schemas import CUSTOMER, WATCHLIST_RECORD
 from ..sources import files, testdata
 from ..streaming import delta, pipeline
+from ..streaming.evolving import EvolvingTable
+from ..streaming.late import late_gate
 from ..streaming.ledger import Ledger
 from ..streaming.runner import finish, run_to_table, start_foreach_batch
 
@@ -122,6 +124,13 @@ def sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_result(spark, "sliding_count", gold.sliding_transaction_counts(tx))
 
 
+@query("sliding_count_chained")
+def sliding_count_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sliding windows of a transaction stream from its counts per minute; closed only."""
+    tx = testdata.transactions(_events_stream(spark, sf_dir))
+    return _stream_result(spark, "sliding_count_chained", gold.chained_sliding_counts(tx))
+
+
 @query("late_rows_dropped")
 def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-minute counts when the older half of the data arrives late.
@@ -537,6 +546,59 @@ def expectations_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("expectation", "action", F.col("value").alias("failed_rows"), "total_rows"))
 
 
+@query("late_rows")
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction that came too late for its minute's count.
+
+    As in ``late_rows_dropped``, the newer half of the data comes first; here
+    the rows that are behind the watermark then are listed.
+    """
+    run = new_run(spark, "late_rows")
+    folder = run.staging("events")
+    events = _events(spark, sf_dir)
+    cutoff = F.lit(DELIVERED_BEFORE).cast("timestamp_ntz")
+    shape = testdata.transactions(events).schema
+    on_time = Ledger(spark, run.table("on_time"), shape).create()
+    late = Ledger(spark, run.table("late"), shape).create()
+    gate = late_gate(on_time, late, "transactions")
+    for part in (events.filter(F.col("ts") >= cutoff), events.filter(F.col("ts") < cutoff)):
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(events.schema).parquet(folder)
+        _run_batches(spark, "late_rows", run, testdata.transactions(stream), gate)
+    return wall_clock(late.read())
+
+
+@query("watchlist_evolved")
+def watchlist_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watchlist with the columns that its undeclared fields were promoted to, over two deliveries.
+
+    The older half of the records comes with a region and a whole-numbered
+    score; the newer half with scores that are halves now and then, a flag,
+    and every fifth line cut off.
+    """
+    run = new_run(spark, "watchlist_evolved")
+    folder = run.staging("watchlist_drop")
+    table = EvolvingTable(spark, run.table("watchlist"), WATCHLIST_RECORD)
+    events = _events(spark, sf_dir)
+    cutoff = F.lit(DELIVERED_BEFORE).cast("timestamp_ntz")
+    number = F.substring("watchlist_id", 3, 20).cast("long")
+    region = F.when(number % 3 == 0, "eu").alias("region")
+    extras = ([region, number.alias("score")],
+              [region, F.when(number % 2 == 0, number.cast("string"))
+               .otherwise(F.concat(number.cast("string"), F.lit(".5"))).alias("score"),
+               (number % 4 == 0).alias("checked")])
+    for half, more in zip((F.col("ts") < cutoff, F.col("ts") >= cutoff), extras):
+        records = testdata.watchlist_records(events.filter(half))
+        line = F.to_json(F.struct(*records.columns, *more))
+        if len(more) == 3:
+            line = F.when(number % 5 == 0, F.substring(line, 1, 30)).otherwise(line)
+        records.select(line.alias("value")).write.mode("append").text(folder)
+        table.promote()
+        _run_batches(spark, "watchlist_evolved", run, files.watchlist_stream(spark, folder), table.sink("watchlist"))
+    table.promote()
+    return table.read()
+
+
 def _indexed_outbox(spark: SparkSession, sf_dir: str, run: RunFolder) -> Ledger:
     """Both flows' messages of the whole data, delivered and then replayed."""
     outbox = delivery.outbox_ledger(spark, run.table("outbox"))

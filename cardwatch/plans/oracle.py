@@ -283,6 +283,8 @@ WATCHLIST_RESCUED = f"""WITH {WL_RAW} SELECT {_CUT}
          WHEN {WL_NUMBER} % 3 = 0 THEN '{{"region":"eu","batch":"' || {WL_NUMBER} || '"}}'
     END AS rescued_data FROM wlraw"""
 
+_CUT_NEWER = "".join(f"CASE WHEN newer AND n % 5 = 0 THEN NULL ELSE {c} END AS {c}, " for c in _RECORD)
+
 ORACLE: dict[str, str] = {
     "tumbling_count": f"SELECT * FROM ({TUMBLING}) WHERE window_end <= {WATERMARK}",
     "sliding_count": f"SELECT * FROM ({SLIDING}) WHERE window_end <= {WATERMARK}",
@@ -349,6 +351,18 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (WHERE length(recipient) % 3 = 1)::BIGINT AS failed,
         count(*) FILTER (WHERE length(recipient) % 3 = 2)::BIGINT AS pending
         FROM ({OUTBOX}) GROUP BY flow""",
+    "late_rows": f"""WITH {TX} SELECT {TX_OUT} FROM tx WHERE ts < TIMESTAMP '2024-01-16 00:00:00'
+        AND date_trunc('minute', ts) + INTERVAL 1 MINUTE <= {WATERMARK}""",
+    "watchlist_evolved": f"""WITH {WL_RAW}, placed AS (
+            SELECT *, {WL_NUMBER} AS n, strptime(effective_from, '%d-%b-%Y %H:%M:%S')
+                   >= TIMESTAMP '2024-01-16 00:00:00' AS newer, {_LINE} AS line FROM wlraw)
+        SELECT {_CUT_NEWER}
+               CASE WHEN NOT (newer AND n % 5 = 0) AND n % 3 = 0 THEN 'eu' END AS region,
+               CASE WHEN newer AND n % 5 = 0 THEN NULL
+                    WHEN newer AND n % 2 = 1 THEN n + 0.5::DOUBLE ELSE n::DOUBLE END AS score,
+               CASE WHEN newer AND n % 5 <> 0 THEN n % 4 = 0 END AS checked,
+               CASE WHEN newer AND n % 5 = 0 THEN substr(line, 1, 30) END AS rescued_data
+        FROM placed""",
     "watchlist_high_water_mark": f"""SELECT {DELIVERED} AS max_id_num,
         printf('WL%06d', {DELIVERED}) AS latest_watchlist_id""",
     "watchlist_new_records": f"""{FEED} SELECT {FEED_OUT}, NULL::VARCHAR AS note FROM wlraw
@@ -357,6 +371,7 @@ ORACLE: dict[str, str] = {
         WHERE {WL_NUMBER} % 9 = 0""",
 }
 # The same rows by another mechanism.
-ORACLE |= {"watchlist_delta_matches": ORACLE["stream_stream_join"],
+ORACLE |= {"sliding_count_chained": ORACLE["sliding_count"],
+           "watchlist_delta_matches": ORACLE["stream_stream_join"],
            "high_value_pruned_join": ORACLE["high_value_transactions"],
            "expectations_committed": ORACLE["expectation_metrics"]}
