@@ -1,7 +1,8 @@
 """Line dedup: windows of three lines that occurred before are removed.
 
-Every run of three consecutive lines of a text is hashed.  Over the whole
-corpus the first occurrence of a window (by document id, row key and
+Every run of three consecutive lines of a text is hashed to 128 bits (two
+64-bit hashes with different seeds), so that even 10^12 windows leave no
+chance match to be expected.  Over the whole corpus the first occurrence of a window (by document id, row key and
 position) stays; each later one marks its three lines as covered, and a
 document loses the union of its covered lines.
 
@@ -9,7 +10,8 @@ Edge cases: a null text stays null (0 lines); texts of fewer than three
 lines, and windows without any word, are never covered.  A null id sorts
 last.  Rows that repeat both id and text count as one document and lose
 the same lines.  An empty table gives no rows.  Lines are compared as
-they are, without trimming.
+they are, without trimming.  A very long text is split into its lines in one
+row, and its windows are rows of their own from then on.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import read, row_key, unused
 
 WINDOW = 3
+# Begins the second of a window's two hashes.
+SEED = 7919
 
 
 def covered_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -28,15 +32,17 @@ def covered_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                         F.split(F.col(text), "\n", -1).alias("lines"))
     hashes = F.expr(f"""transform(sequence(0, size(lines) - {WINDOW}), i ->
         if(concat(lines[i], lines[i + 1], lines[i + 2]) rlike '[^\\\\x20\\\\x09-\\\\x0D]',
-           xxhash64(lines[i], lines[i + 1], lines[i + 2]), null))""")
+           struct(xxhash64(lines[i], lines[i + 1], lines[i + 2]) as a,
+                  xxhash64({SEED}, lines[i], lines[i + 1], lines[i + 2]) as b), null))""")
     windows = (lines.filter(F.size("lines") >= WINDOW)
                .select("id", "key", F.posexplode(hashes).alias("at", "hash"))
-               .filter(F.col("hash").isNotNull()))
+               .filter(F.col("hash").isNotNull())
+               .select("id", "key", "at", "hash.a", "hash.b"))
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "at")
-    firsts = (windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    firsts = (windows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
               .filter(F.col("n") > 1)
-              .select("hash", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at")))
-    later = windows.join(firsts, "hash").filter(
+              .select("a", "b", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at")))
+    later = windows.join(firsts, ["a", "b"]).filter(
         (F.col("key") != F.col("first_key")) | (F.col("at") != F.col("first_at")))
     return later.groupBy("key").agg(F.collect_set("at").alias("at")).select(
         "key", F.expr(f"array_sort(array_distinct(flatten(transform(at, a -> "

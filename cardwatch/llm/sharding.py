@@ -12,10 +12,12 @@ pass over the sizes decides all splits down to that depth.  Cells still
 over the limit there, few by construction, are opened by further rounds
 of bits that read only their rows.
 
-Edge cases: a null text has 0 bytes; a null id hashes as ``null``.  Rows
-that repeat both id and text have one hash and cannot be told apart by
-more bits: such rows, like one document larger than the limit, make a
-shard that stays over it, marked ``fits = false``.  An empty table gives
+Rows that repeat both id and text are told apart by a copy number: the first
+keeps the hash of id and text, each further one hashes that and its number.
+
+Edge cases: a null text has 0 bytes; a null id hashes as ``null``.  A document
+larger than the limit, however long, makes a shard of its own that stays over
+it, marked ``fits = false``.  An empty table gives
 no rows.  Extra columns are carried along; columns named like the added
 ones are replaced.
 """
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read, row_key, unused, written
@@ -40,7 +42,11 @@ ROUND_BITS = 8
 
 def hash_bits(doc_id: str = "doc_id", text: str = "text") -> Column:
     """The first 60 bits of the row key, as a long."""
-    return F.conv(F.substring(row_key(doc_id, text), 1, HASH_BITS // 4), 16, 10).cast("long")
+    return _first_bits(row_key(doc_id, text))
+
+
+def _first_bits(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def text_bytes(text: str = "text") -> Column:
@@ -82,6 +88,31 @@ def _round(sized: DataFrame, above: int, bits: int, limit: int) -> DataFrame:
         F.col("docs").alias("shard_docs"), F.col("settled").alias("done"))
 
 
+def numbered(sized: DataFrame) -> DataFrame:
+    """Rows ``(h, bytes, ...)`` with ``h`` made different where rows share it.
+
+    Two steps, so that no task gets all rows of one hash: rows are numbered
+    within the task that wrote them, and tasks by running sums of their
+    counts.  Which of the rows that share a hash gets which number is open
+    (they have the same id and text), but it is settled once, in the table
+    written here.
+    """
+    part = unused(sized, "__part")
+    rows = written(sized.withColumn(part, F.spark_partition_id()), "shards-sizes")   # one pass over the texts
+    over = Window.partitionBy("h")
+    counts = (rows.groupBy("h", part).agg(F.count(F.lit(1)).alias("n"))
+              .withColumns({"__before": F.sum("n").over(over.orderBy(part)) - F.col("n"),
+                            "__all": F.sum("n").over(over)})
+              .filter(F.col("__all") > 1).select("h", part, "__before"))
+    repeated = written(counts, "shards-repeated")
+    once = rows.join(repeated.select("h").distinct(), "h", "left_anti")
+    copy = F.col("__before") + F.row_number().over(Window.partitionBy("h", part).orderBy("bytes")) - 1
+    again = (rows.join(repeated, ["h", part]).withColumn("__copy", copy)
+             .withColumn("h", F.when(F.col("__copy") == 0, F.col("h")).otherwise(
+                 _first_bits(F.md5(F.concat_ws(":", "h", "__copy"))))))
+    return written(once.select(*sized.columns).unionByName(again.select(*sized.columns)), "shards-numbered")
+
+
 def assign(sized: DataFrame, limit: int = LIMIT_BYTES, name: str = "shards") -> DataFrame:
     """Rows ``(h, bytes, ...)`` with ``shard``, ``shard_depth``, ``shard_bytes``, ``shard_docs``, ``fits``.
 
@@ -91,7 +122,7 @@ def assign(sized: DataFrame, limit: int = LIMIT_BYTES, name: str = "shards") ->
     """
     if limit < 1:
         raise ValueError("a shard needs a limit of one byte at least")
-    sized = written(sized, f"{name}-sizes")          # one pass over the texts
+    sized = numbered(sized)
     total = sized.agg(F.sum("bytes")).first()[0] or 0
     above, bits = -1, min(HASH_BITS, SPARE_BITS + math.ceil(math.log2(max(1.0, total / limit))))
     rows, parts = sized, []
@@ -113,14 +144,22 @@ def assign(sized: DataFrame, limit: int = LIMIT_BYTES, name: str = "shards") ->
 
 
 def shard_documents(docs: DataFrame, limit: int = LIMIT_BYTES, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """``docs`` with the column ``shard``, rows of a shard side by side."""
-    sized = docs.select(hash_bits(doc_id, text).alias("h"), text_bytes(text).alias("bytes"))
-    h, name = unused(docs, "__h"), unused(docs, "__shard")
-    shards = (assign(sized, limit).groupBy("h").agg(F.first("shard").alias(name))
-              .withColumnRenamed("h", h))
-    out = (docs.withColumn(h, hash_bits(doc_id, text)).join(shards, h)
-           .withColumn("shard", F.col(name)).drop(h, name))
+                    text: str = "text", with_fits: bool = False) -> DataFrame:
+    """``docs`` with the column ``shard``, rows of a shard side by side.
+
+    The documents are written once with a number per row, by which the rows
+    find their shards, so that rows that are alike can go to different ones.
+    ``with_fits`` adds ``fits``, false for a shard over the limit (a single
+    document).
+    """
+    h, size, row = (unused(docs, x) for x in ("__h", "__bytes", "__row"))
+    kept = written(docs.withColumns({h: hash_bits(doc_id, text), size: text_bytes(text),
+                                     row: F.monotonically_increasing_id()}), "shards-documents")
+    placed = assign(kept.select(F.col(row).alias("row"), F.col(h).alias("h"), F.col(size).alias("bytes")), limit)
+    names = ["shard", "fits"] if with_fits else ["shard"]
+    added = placed.select(F.col("row").alias(row), F.struct(*names).alias(h))
+    out = (kept.drop(h, size).join(added, row)
+           .withColumns({name: F.col(f"{h}.{name}") for name in names}).drop(h, row))
     return out.repartition("shard").sortWithinPartitions("shard", doc_id)
 
 
@@ -133,11 +172,16 @@ def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_TEMPLATE = """
-WITH sized AS (
+WITH keyed AS (
   SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' ||
-                             coalesce(md5(text), 'null')), 1, 15))::BIGINT AS h
+                             coalesce(md5(text), 'null')), 1, 15))::BIGINT AS k
   FROM {documents}),
+copies AS (SELECT *, row_number() OVER (PARTITION BY k) - 1 AS copy FROM keyed),
+sized AS (
+  SELECT doc_id, n_bytes, CASE WHEN copy = 0 THEN k
+         ELSE ('0x' || substr(md5(k || ':' || copy), 1, 15))::BIGINT END AS h
+  FROM copies),
 nodes AS (
   SELECT d.depth, h >> (60 - d.depth) AS prefix, sum(n_bytes)::BIGINT AS shard_bytes,
          count(*) AS shard_docs

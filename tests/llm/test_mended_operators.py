@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from cardwatch.llm import components, decontaminate, language_id, ngram_join
+from cardwatch.llm import components, decontaminate, language_id, line_dedup, ngram_join, sharding
 
 
 def rows(df):
@@ -70,3 +70,27 @@ def test_every_language_is_sampled(spark, monkeypatch):
     monkeypatch.setattr(language_id, "SAMPLE_DOCS", 6)
     counts = dict(rows(language_id.sampled(df, {"common": 390, "rare": 60}).groupBy("lang").count()))
     assert counts["common"] == 6 and counts["rare"] >= 1
+
+
+def test_equal_rows_go_to_different_shards(spark):
+    """Three copies of a text, and a third of all rows alike, over a limit that holds two of either."""
+    data = [(1, "x" * 65)] * 3 + [(None, "y" * 60)] * 40 + [(i, "z" * 20) for i in range(2, 80)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    sized = docs.select("doc_id", sharding.hash_bits().alias("h"), sharding.text_bytes().alias("bytes"))
+    h = [r.h for r in sharding.numbered(sized).collect()]
+    assert len(set(h)) == len(h) == len(data)
+    assert {r.h for r in sized.collect()} <= set(h)              # the first copies keep their hash
+    out = sharding.shard_documents(docs.withColumn("fits", F.lit("mine")), limit=130, with_fits=True)
+    assert out.columns == ["doc_id", "text", "fits", "shard"]
+    got = out.groupBy("shard").agg(F.sum(F.length("text")).alias("n"), F.first("fits").alias("fits")).collect()
+    assert all(r.n <= 130 and r.fits for r in got)
+    assert rows(out.select("doc_id", "text")) == sorted(data, key=repr)
+    alone = sharding.shard_documents(docs, limit=64, with_fits=True)
+    assert alone.filter("not fits").groupBy("shard").count().agg(F.max("count")).first()[0] == 1
+    assert alone.filter("not fits").count() == 3
+
+
+def test_repeated_windows_go_and_others_stay(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc"), (2, "d\ne\nf"), (3, "a\nb\nc\ng")], "doc_id long, text string")
+    assert rows(line_dedup.dedup_lines(docs).select("doc_id", "n_removed", "text")) == [
+        (1, 0, "a\nb\nc"), (2, 0, "d\ne\nf"), (3, 3, "g")]
