@@ -9,20 +9,27 @@ are reported if the trained classifier says so.
    ones included: by format and checksum (regex), by lists of domains and
    number ranges (gazetteer) and by the words before and the characters
    around a span (context).
-2. The votes of the whole corpus are counted per pattern of votes; there
-   are finitely many patterns, whatever the corpus.  Expectation
+2. The votes of the whole corpus are counted per kind and pattern of votes;
+   there are finitely many patterns, whatever the corpus.  Expectation
    maximisation for two classes, with votes independent given the class,
-   estimates each labeler's rates and every pattern's probability.
-3. A logistic regression on kind, votes and length is fitted to these
-   probabilities, again on counted patterns, and scores each candidate as a
-   column expression.
-
-The driver sees only the table of patterns, whose size is bounded by the
-numbers of kinds, labelers and length classes.
+   estimates each labeler's rates for a kind and every pattern's probability.
+3. A logistic regression is fitted to these probabilities.  It sees what no
+   labeler votes on: the shape of the span (runs of letters and digits) and
+   the words on both sides of it, hashed, besides kind and length.  So it
+   tells apart candidates whose votes are alike.  It scores each candidate as
+   a column expression and has the last word.
+
+The driver sees the table of patterns, whose size is bounded by the numbers
+of kinds and labelers, and the classifier's training rows,
+at most ``FIT_SAMPLE`` candidates of each kind (first by hash), weighted by
+the kind's count; reliabilities cover every candidate of the corpus.
 
 Edge cases: null and empty texts have no spans.  Rows that repeat id and
 text get the same spans; each counts in the fit.  Null ids are kept.
 Without any candidate nothing is fitted.  An empty table gives no rows.
+Very long texts are scanned whole; a candidate keeps only 32 characters of
+either side.  Equal probabilities need no order: each candidate is decided
+by itself.
 """
 
 from __future__ import annotations
@@ -57,15 +64,25 @@ STRICT = KINDS[:4]
 # Gazetteers and words of context, in the languages of the corpus.
 DOMAINS = "com|org|net|edu|gov|info|io|eu|uk|de|fr|es|us"
 CARD_RANGES = r"^(4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
-BEFORE = (r"(?i)(e-?mail|mail|contact|correo|kontakt|call|phone|tel|fax|mobile|cell|tél|teléfono|"
+BEFORE = (r"(?i)(?<![A-Za-z])(e-?mail|mail|contact|correo|kontakt|call|phone|tel|fax|mobile|cell|tél|teléfono|"
           r"telefon|anruf|card|visa|mastercard|carte|tarjeta|karte|ssn|social|ip|host|address)"
-          r"[\x20:.#=-]{0,4}$")
-NOT_BEFORE = r"(?i)([$€£#§]|no\.|nr\.|vol\.|isbn|page|version|v|id|\x20x)[\x20:]?$"
+          r"(?:[\x20:.#=-]+(?:is|me|us|at|on|to|my|our|number|address|le|la|el|al|die|der|am)){0,2}[\x20:.#=-]{0,4}$")
+NOT_BEFORE = r"(?i)([$€£#§]|(?<!\p{L})(no\.|nr\.|vol\.|isbn|page|version|v|id|x))[\x20:]?$"
+
+LETTERS = r"\p{L}+"
+# What follows a measure or an amount, not a number of a person.
+AFTER = r"(?i)^\x20?(%|€|\$|kg|km|cm|mm|ml|mb|gb|eur|usd|units|items|pages)"
 
-LABELERS = ("checksum", "gazetteer", "before", "not_before", "edges", "pieces")
+LABELERS = ("checksum", "gazetteer", "before", "not_before", "after", "pieces", "format")
 LENGTHS = 4
 EM_ROUNDS = 50
-FIT_ROUNDS = 300
+# What a vote that every candidate gets weighs at the start, against 1 for a rare one.
+COMMON = 0.1
+FIT_ROUNDS = 150
+# Candidates of a kind that the classifier learns from, and its hashed values per feature.
+FIT_SAMPLE = 1_000
+BUCKETS = 64
+HASHED = ("shape", "left", "right")
 # Candidates beyond the strict ones need this probability.
 ACCEPT = 0.9
 
@@ -122,7 +139,6 @@ def votes(scanned: DataFrame) -> DataFrame:
     luhn_ok = F.expr(luhn("d"))
     known = F.col("m").rlike(rf"(?i)[.\])}}\x20]({DOMAINS})$")
     area = F.col("d").rlike("^1?[2-9][0-9]{2}[2-9][0-9]{6}$") | F.col("m").startswith("+")
-    edge = "[A-Za-z0-9_]"
     same = F.col("d").rlike(r"^(\d)\1*$") | F.lit("01234567890123456789").contains(F.col("d"))
     return c.select(
         "key", "start", "end", "rank", "kind",
@@ -137,24 +153,55 @@ def votes(scanned: DataFrame) -> DataFrame:
         .alias("gazetteer"),
         F.when(F.col("l").rlike(BEFORE), 1).otherwise(-1).alias("before"),
         F.when(F.col("l").rlike(NOT_BEFORE), 0).otherwise(-1).alias("not_before"),
-        F.when(F.col("l").rlike(edge + "$") | F.col("r").rlike("^" + edge), 0).otherwise(1).alias("edges"),
+        F.when(F.col("r").rlike(AFTER), 0).otherwise(-1).alias("after"),
         F.when(is_mail, vote(F.col("m").rlike("[A-Za-z]{2}"), ~F.col("m").rlike("[A-Za-z]{2}")))
         .otherwise(F.when(same, 0).otherwise(-1)).alias("pieces"),
+        _format().alias("format"),
         F.when(is_mail, F.least(F.lit(LENGTHS - 1), F.floor(F.length("m") / 16)))
         .otherwise(F.when(digits < 8, 0).when(digits < 12, 1).when(digits < 16, 2).otherwise(3))
-        .cast("int").alias("length"))
+        .cast("int").alias("length"),
+        bucket(F.regexp_replace(F.regexp_replace(F.regexp_replace(
+            "m", "[A-Z]+", "A"), "[a-z]+", "a"), "[0-9]+", "9")).alias("shape"),
+        # A word that a labeler votes on is left out, or the classifier would only learn that vote again.
+        bucket(F.when(F.col("l").rlike(BEFORE) | F.col("l").rlike(NOT_BEFORE), "").otherwise(
+            F.lower(F.regexp_extract("l", rf"({LETTERS})[^\p{{L}}]*$", 1)))).alias("left"),
+        bucket(F.when(F.col("r").rlike(AFTER), "").otherwise(
+            F.lower(F.regexp_extract("r", rf"^[^\p{{L}}]*({LETTERS})", 1)))).alias("right"))
+
+
+def _format() -> Column:
+    """The vote of the layout: like separators and groups speak for a span, mixed ones against it."""
+    m, kind = F.col("m"), F.col("kind")
+    vote = lambda yes: F.when(yes, 1).otherwise(0)
+    separators = F.array_distinct(F.split(F.regexp_replace(m, r"[^\x20.-]", ""), ""))
+    return (F.when(kind.isin("card", "card_like"), vote(m.rlike(r"^(\d{16}|\d{4}([\x20-])\d{4}\2\d{4}\2\d{4})$")))
+            .when(kind == "phone", vote(F.size(separators) <= 2))
+            .when(kind == "phone_local", vote(m.startswith("(") | (F.size(separators) == 1)))
+            .when(kind == "ip", vote(~m.rlike(r"(^|\.)0[0-9]")))
+            .when(kind == "email_worded", vote(m.rlike(r"(?i)[(\[{]at[)\]}]")
+                                               & m.rlike(r"(?i)[(\[{]dot[)\]}]|[a-z]\.[a-z]")))
+            .otherwise(-1))
+
+
+def bucket(c: Column) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[dict], list[float]]:
     """EM over counted vote patterns: prior, per labeler vote rates by class, pattern probabilities.
 
-    Starts from the majority of the votes; rates are smoothed by one vote.
+    Starts from the share of yes among a pattern's votes, a vote weighing the
+    more the rarer it is: one that all candidates get tells nothing apart.
+    Rates are smoothed by one vote.
     """
-    n = len(LABELERS)
+    n = len(patterns[0][0]) if patterns else 0
+    share = {(j, x): sum(c for v, c in patterns if v[j] == x) / sum(c for _, c in patterns)
+             for j in range(n) for x in (0, 1)}
     prob = []
     for v, _ in patterns:
-        cast = [x for x in v if x >= 0]
-        prob.append(min(0.95, max(0.05, (sum(cast) + 0.5) / (len(cast) + 1))))
+        cast = [(x, 1 + COMMON - share[j, x]) for j, x in enumerate(v) if x >= 0]
+        yes, every = sum(w for x, w in cast if x), sum(w for _, w in cast)
+        prob.append(min(0.95, max(0.05, (yes + 0.5) / (every + 1))))
     prior, rates = 0.5, []
     for _ in range(EM_ROUNDS):
         total = sum(c for _, c in patterns)
@@ -176,16 +223,16 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[d
     return prior, rates, prob
 
 
-def _features(kind: str, cast: tuple[int, ...], length: int) -> list[str]:
-    return ["bias", f"kind={kind}", f"length={length}",
-            *[f"{name}={x}" for name, x in zip(LABELERS, cast) if x >= 0]]
+def _features(kind: str, length: int, hashed: tuple[int, ...]) -> list[str]:
+    return ["bias", f"kind={kind}", f"length={length}", *[f"{name}={x}" for name, x in zip(HASHED, hashed)]]
 
 
-def fit(rows: list[tuple[str, tuple[int, ...], int, int, float]]) -> dict[str, float]:
-    """Logistic regression on soft labels: weights by feature, from (kind, votes, length, count, label)."""
-    names = sorted({f for k, v, n, _, _ in rows for f in _features(k, v, n)})
+def fit(rows: list[tuple]) -> dict[str, float]:
+    """Logistic regression on soft labels: weights by feature, from (kind, length, hashed, weight, label)."""
+    rows = [(_features(k, n, h), c, y) for k, n, h, c, y in rows]
+    names = sorted({f for features, _, _ in rows for f in features})
     at = {f: i for i, f in enumerate(names)}
-    x = [([at[f] for f in _features(k, v, n)], c, y) for k, v, n, c, y in rows]
+    x = [([at[f] for f in features], c, y) for features, c, y in rows]
     total = sum(c for _, c, _ in x) or 1
     w = [0.0] * len(names)
     rate = [0.0] * len(names)
@@ -203,26 +250,49 @@ def fit(rows: list[tuple[str, tuple[int, ...], int, int, float]]) -> dict[str, f
 
 
 def probability(weights: dict[str, float]) -> Column:
-    """The classifier as a column expression over a row of ``votes``."""
+    """The classifier as a column expression over a row of ``votes``.
+
+    A hashed value that it never saw adds nothing.
+    """
     z = F.lit(weights.get("bias", 0.0))
     for name, w in sorted(weights.items()):
-        if name != "bias":
-            column, value = name.split("=")
+        column, _, value = name.partition("=")
+        if name != "bias" and column not in HASHED:
             value = value if column == "kind" else int(value)
             z = z + F.when(F.col(column) == value, w).otherwise(0.0)
+    for column in HASHED:
+        table = F.array(*[F.lit(weights.get(f"{column}={i}", 0.0)) for i in range(BUCKETS)])
+        z = z + F.element_at(table, F.col(column) + 1)
     return 1 / (1 + F.exp(-z))
 
 
+def train(cast: DataFrame) -> tuple[dict[str, float], dict[tuple, float]]:
+    """The classifier's weights and the aggregated votes' probability by (kind, votes)."""
+    # At most len(KINDS) * 3 ** len(LABELERS) rows, whatever the corpus.
+    counted = cast.groupBy("kind", *LABELERS).count().orderBy("kind", *LABELERS).collect()
+    voted: dict[tuple, float] = {}
+    for kind in KINDS:
+        patterns = [(tuple(r[x] for x in LABELERS), r["count"]) for r in counted if r["kind"] == kind]
+        voted.update({(kind, v): p for (v, _), p in zip(patterns, estimate(patterns)[2])})
+    totals: dict[str, int] = {}
+    for r in counted:
+        totals[r["kind"]] = totals.get(r["kind"], 0) + r["count"]
+    rows = []
+    for kind, total in sorted(totals.items()):
+        # At most FIT_SAMPLE rows a kind.
+        sample = (cast.filter(F.col("kind") == kind).orderBy(F.xxhash64("key", "start"), "key", "start")
+                  .select("length", *LABELERS, *HASHED).limit(FIT_SAMPLE).collect())
+        for r in sample:
+            v = tuple(r[x] for x in LABELERS)
+            rows.append((kind, r["length"], tuple(r[x] for x in HASHED), total / len(sample), voted[kind, v]))
+    return fit(rows), voted
+
+
 def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, base, added)``: arrays of spans for every row."""
     scanned = written(scan(docs, doc_id, text), "personal-scanned")
-    cast = votes(scanned)
-    # At most len(KINDS) * LENGTHS * 3 ** len(LABELERS) rows, whatever the corpus.
-    counted = cast.groupBy("kind", "length", *LABELERS).count().orderBy(
-        "kind", "length", *LABELERS).collect()
-    patterns = [(tuple(r[x] for x in LABELERS), r["count"]) for r in counted]
-    _, _, prob = estimate(patterns)
-    weights = fit([(r["kind"], v, r["length"], c, p) for r, (v, c), p in zip(counted, patterns, prob)])
+    cast = written(votes(scanned), "personal-votes")         # a row per candidate
+    weights, _ = train(cast)
     loose = ~F.col("kind").isin(*STRICT)
     added = (cast.filter(loose).withColumn("p", probability(weights)).filter(F.col("p") >= ACCEPT)
              .groupBy("key").agg(F.collect_set(F.struct("start", "end", "rank", "kind")).alias("added")))

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from cardwatch.llm import components, decontaminate, language_id, line_dedup, ngram_join, sharding
+from cardwatch.llm import components, decontaminate, language_id, line_dedup, ngram_join, personal_data, sharding
 
 
 def rows(df):
@@ -94,3 +94,53 @@ def test_repeated_windows_go_and_others_stay(spark):
     docs = spark.createDataFrame([(1, "a\nb\nc"), (2, "d\ne\nf"), (3, "a\nb\nc\ng")], "doc_id long, text string")
     assert rows(line_dedup.dedup_lines(docs).select("doc_id", "n_removed", "text")) == [
         (1, 0, "a\nb\nc"), (2, 0, "d\ne\nf"), (3, 3, "g")]
+
+
+def test_classifier_beats_the_vote_on_planted_spans(spark):
+    """Telephone numbers and stock numbers of one layout; only some have a word that a labeler knows.
+
+    Votes alone cannot tell the others apart; the words beside them can.
+    """
+    rng = np.random.default_rng(10)
+    data, true = [], set()
+    neutral = ["with", "under", "using", "then", "also", "just", "please", "take"]
+    for i in range(240):
+        number = f"{rng.integers(200, 999)} {rng.integers(200, 999)} {rng.integers(1000, 9999)}"
+        person, known = i % 2 == 0, i % 4 < 2
+        if person:
+            text = f"you can {'phone' if known else rng.choice(neutral)} {number} evenings"
+            true.add(i)
+        else:
+            text = f"the lot {'no.' if known else rng.choice(neutral)} {number} crates"
+        data.append((i, text))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    scanned = personal_data.scan(docs)
+    cast = personal_data.votes(scanned)
+    weights, voted = personal_data.train(cast)
+    ids = scanned.select("doc_id", "key")
+    got = cast.withColumn("p", personal_data.probability(weights)).join(ids, "key").collect()
+    assert len(got) == 240
+    vote = {r.doc_id: voted[r.kind, tuple(r[x] for x in personal_data.LABELERS)] for r in got}
+    model = {r.doc_id: r.p for r in got}
+
+    def quality(p):
+        said = {i for i, x in p.items() if x >= personal_data.ACCEPT}
+        return len(said & true) / max(1, len(said)), len(said & true) / len(true)
+
+    precision, recall = quality(model)
+    vote_precision, vote_recall = quality(vote)
+    print("classifier", precision, recall, "vote", vote_precision, vote_recall)
+    assert precision > 0.95 and recall > 0.95
+    assert min(precision, recall) > min(vote_precision, vote_recall) + 0.2
+
+
+def test_personal_spans_are_added(spark):
+    """Spans beyond the strict patterns reach the result, of whole texts and with null and repeated rows."""
+    rows_ = [(i, f"please phone {200 + i} 555 {1000 + i} at home") for i in range(40)]
+    rows_ += [(100, "x " * 40_000 + "phone 212 555 0147 " + "y " * 40_000), (100, None), (None, "")]
+    docs = spark.createDataFrame(rows_ + rows_[:2], "doc_id long, text string").withColumn("key", F.lit(1))
+    got = personal_data.find_personal_data(docs).select(
+        "doc_id", F.size("base").alias("n"), personal_data.joined("added", "rank start").alias("s")).collect()
+    assert len(got) == len(rows_) + 2 and all(r.n == 0 for r in got)
+    spans = {(r.doc_id, r.s) for r in got}
+    assert {(0, "phone_local:13:25"), (100, "phone_local:80006:80018"), (100, ""), (None, "")} <= spans
