@@ -42,13 +42,17 @@ LOG = ("part string, gen string, commit string, version long, source string, bat
        "kind string, covers long, metrics map<string,bigint>")
 APPEND, REPLACE = "append", "replace"
 COMPACTION = "compaction"
+# Rows of one partition that a task writes at most, roughly.
+ROWS_PER_WRITER = 250_000
 
 
 @dataclass(frozen=True)
 class Ledger:
     """A table below ``root``; ``partition_by`` names columns of ``schema``.
 
-    ``writers`` tasks write a partition of a batch, a file each.
+    At least ``writers`` tasks write a partition of a batch, a file each;
+    more where it is large, so that none sorts more than about
+    ``ROWS_PER_WRITER`` rows (or a shuffle partition of adaptive execution).
     """
 
     spark: SparkSession
@@ -163,20 +167,30 @@ class Ledger:
         """Write rows (not committed yet); the partitions they went to.
 
         Without dealing them first, every task would write a file to every
-        partition.  Few rows of many partitions share tasks.
+        partition.  Few rows of many partitions share tasks.  Adaptive
+        execution splits a large partition by its measured bytes; micro-batches
+        run without it, so their largest partition is counted first.
         """
         if commit is not None:
             rows = rows.withColumn(COMMIT, F.lit(commit))
         if self.partition_by:
-            kept = [c for c in self.schema.names if c not in self.partition_by]
-            rows = (rows.repartition(*self.partition_by, F.pmod(F.xxhash64(*kept), F.lit(self.writers)))
-                    if commit is not None else rows.hint("rebalance", *self.partition_by))
+            adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+            if adaptive or commit is None:
+                rows = rows.hint("rebalance", *self.partition_by)
+            else:
+                kept = [c for c in self.schema.names if c not in self.partition_by]
+                rows = rows.repartition(*self.partition_by, F.pmod(F.xxhash64(*kept), F.lit(self._writers(rows))))
         stored = rows.withColumn(GENERATION, F.lit(gen)).select(self._stored().names)
         seen = Observation()
         stored = stored.observe(seen, F.collect_set(self.part()).alias("parts"))
         stored.write.mode("append").partitionBy(*self.partition_by, GENERATION).parquet(self.data)
         return list(seen.get["parts"])
 
+    def _writers(self, rows: DataFrame) -> int:
+        """Tasks for the largest partition of a batch."""
+        most = rows.groupBy(*self.partition_by).count().agg(F.max("count")).first()[0] or 0
+        return max(self.writers, -(-most // ROWS_PER_WRITER))
+
     def _commit(self, parts: list[str | None], gen: str, commit: str, version: int, source: str,
                 batch_id: int | None, kind: str, covers: int | None, metrics: dict[str, int] | None) -> None:
         # Literals on one row: a single task, a single file.
