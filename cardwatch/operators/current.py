@@ -44,9 +44,10 @@ def merge_load(table: Ledger, load: DataFrame, key: str, order_by: str, load_id:
     if table.committed("load", load_id):
         return []
     names = [c for c in table.schema.names if c != BUCKET]
-    incoming = latest_per_key(load.select(names).filter(F.col(key).isNotNull()), key, order_by)
-    incoming = incoming.withColumn(BUCKET, bucket_of(key, buckets))
-    wanted = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
+    keyed = load.select(names).filter(F.col(key).isNotNull())
+    incoming = latest_per_key(keyed, key, order_by).withColumn(BUCKET, bucket_of(key, buckets))
+    # The keys alone tell the buckets.
+    wanted = [r[0] for r in keyed.select(bucket_of(key, buckets)).distinct().collect()]
     current = table.read().filter(F.col(BUCKET).isin(wanted))
     old, new = current.alias("old"), incoming.alias("new")
     same = F.lit(True)

@@ -5,6 +5,8 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from cardwatch.operators import current
+from cardwatch.plans import catalog
 from cardwatch.streaming import ledger
 
 
@@ -50,3 +52,19 @@ def test_large_partition_is_written_by_more_tasks_in_micro_batches(spark, tmp_pa
     assert table.append(_rows(spark, 1000), "s", 0)
     assert len(_files(table)) > 2
     assert table.read().select("id").distinct().count() == table.read().count() == 1000
+
+
+def test_staged_files_can_be_read_by_many_tasks(spark, tmp_path, sf_dir, monkeypatch):
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(catalog, "STAGED_ROW_GROUP", 4096, raising=False)
+    run = catalog.RunFolder(str(tmp_path))
+    catalog._staged_events(spark, sf_dir, run, 1)
+    file, = glob.glob(run.staging("events") + "/*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 1
+
+
+def test_merge_keeps_the_buckets_of_all_keys(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 3)], "id string, at int")
+    table = current.current_table(spark, str(tmp_path / "c"), rows.schema)
+    current.merge_load(table, rows, "id", "at", 0, buckets=4)
+    assert {(r["id"], r["at"]) for r in table.read().toLocalIterator()} == {("a", 2), ("b", 1)}
