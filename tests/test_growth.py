@@ -1,13 +1,14 @@
 """Figures of a step that must not grow with its input."""
 
 import glob
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from cardwatch.operators import current
 from cardwatch.plans import catalog
-from cardwatch.streaming import ledger
+from cardwatch.streaming import ledger, pipeline, runner
 
 
 @pytest.fixture
@@ -63,6 +64,18 @@ def test_staged_files_can_be_read_by_many_tasks(spark, tmp_path, sf_dir, monkeyp
     assert pq.ParquetFile(file).num_row_groups > 1
 
 
+def test_pipeline_state_is_kept_in_rocksdb(spark, tmp_path, sf_dir):
+    layout = pipeline.Layout(str(tmp_path / "p"), partitions=2, rocksdb=True)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    tx = catalog.testdata.transactions(catalog._events_stream(spark, sf_dir))
+    runner.finish(pipeline._start(catalog.gold.transaction_counts(tx), layout, "gold", "counts"), spark)
+    assert spark.conf.get(provider, None) == before
+    first, = glob.glob(layout.checkpoint("gold", "counts") + "/offsets/0")
+    conf = json.loads(open(first).read().splitlines()[1])["conf"]
+    assert conf[provider].endswith("RocksDBStateStoreProvider")
+
+
 def test_merge_keeps_the_buckets_of_all_keys(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 3)], "id string, at int")
     table = current.current_table(spark, str(tmp_path / "c"), rows.schema)
