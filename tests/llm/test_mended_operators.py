@@ -1,9 +1,11 @@
 """What round three mended in earlier operators: chunks, large components, hubs, samples per language."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cardwatch.llm import components, decontaminate, language_id, line_dedup, ngram_join, personal_data, sharding
+from tests.conftest import explain_text
 
 
 def rows(df):
@@ -62,6 +64,30 @@ def test_components_of_a_hub_and_a_chain(spark):
     assert plan_rows.filter("u = 0").agg(F.min("m")).first()[0] == 1
 
 
+@pytest.mark.parametrize("budget", [0, components.BROADCAST_BYTES])
+def test_rounds_of_components_are_few_and_cheap(spark, monkeypatch, budget):
+    tables, written = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name: tables.append(name) or written(df, name))
+    monkeypatch.setattr(components, "BROADCAST_BYTES", budget)
+    stars = [(str(i % 7), f"x{i}") for i in range(70)] + [("0", "0"), (None, "0"), ("0", None)]
+    got = rows(components.components(spark.createDataFrame(stars, "u string, v string")))
+    assert sorted(got) == sorted((f"x{i}", str(i % 7)) for i in range(70))
+    assert len(tables) == 1                       # nothing to do: no round
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (380, 2))] + [(1000, i) for i in range(500, 800)]
+    least = {x: x for e in edges for x in e}
+    while True:
+        before = dict(least)
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            break
+    df = spark.createDataFrame(edges, "u long, v long")
+    assert dict(rows(components.components(df))) == {x: r for x, r in least.items() if x != r}
+    plan = explain_text(components._small_star(components._large_star(df)), "simple")
+    assert plan.count("Exchange hashpartitioning") <= 10      # with those used twice
+
+
 def test_every_language_is_sampled(spark, monkeypatch):
     text = " ".join("abcdefgh"[i % 8] * 3 for i in range(40))
     data = [(str(i), f"{text} {i}", "common" if i % 40 else "rare") for i in range(400)]
