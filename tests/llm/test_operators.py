@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -475,6 +476,58 @@ def test_rare_words_get_the_class_of_their_neighbours(spark):
     assert table.shape == (class_lm.CLASSES + 1,) * 2 and max(of.values()) == class_lm.CLASSES
 
 
+def test_a_step_counts_only_the_neighbours_of_the_words_it_moves():
+    """Every word is counted in one of a round's steps, by brute force; the class pairs in each step."""
+    rng = np.random.default_rng(8)
+    texts = [None, " a A\tb ", "", *(" ".join(rng.choice([f"w{i}" for i in range(300)], 60)) for _ in range(40))]
+    docs = pd.DataFrame({"doc_id": [str(i) for i in range(len(texts))], "text": texts,
+                         "held_out": [i % 7 == 5 for i in range(len(texts))]})
+    block = next(class_lm.block_batches(iter([docs])))
+    token = np.frombuffer(block["tokens"][0], dtype="<i8")
+    of = np.where(token == class_lm.END, class_lm.CLASSES, rng.integers(0, class_lm.CLASSES, len(token)))
+    ranges = pd.concat(class_lm.by_range(1)(iter([block])))
+    numbered = pd.concat([class_lm.number_words(rows) for _, rows in ranges.groupby("range")])
+    cuts = class_lm.range_cuts(token, 1)
+    classes = pd.DataFrame({"block": 0, "range": [0, 1],
+                            "classes": [class_lm.squeezed(of[i:j], "u1") for i, j in zip(cuts, cuts[1:])]})
+    packed = pd.concat([block[["block", "learnt"]], numbered], ignore_index=True)
+
+    place = {int(t): i for i, t in enumerate(token)}
+    stream = [place[class_lm.END]] + [place[int(t)] for text, held in zip(texts, docs["held_out"]) if not held
+                                      for t in class_lm.tokens_of(text)[0]]
+    k, end, want = class_lm.K, place[class_lm.END], collections.Counter()
+    for a, b in zip(stream, stream[1:]):
+        if a == b:
+            want.update([(a, 2 * k)] if a != end else [])
+        else:
+            want.update([(a, of[b])] if a != end else [])
+            want.update([(b, k + of[a])] if b != end else [])
+    pairs = collections.Counter(int(of[a] * k + of[b]) for a, b in zip(stream, stream[1:]))
+    for batches in (1, 2, 4):
+        seen = collections.Counter()
+        for step in range(batches):
+            near = class_lm.neighbour_counter(step, batches)(packed, classes).sort_values("range")
+            cells = next(class_lm.sum_cells(iter([near[near["cells"].notna()]])))
+            assert dict(zip(cells["cell"], cells["n"])).items() >= pairs.items()
+            sizes, slots, counts = (np.concatenate([class_lm.loose(x, kind) for x in near[name]])
+                                    for name, kind in (("sizes", "u1"), ("slots", "u1"), ("counts", "<u4")))
+            got = dict(zip(zip(np.repeat(np.arange(len(token)), sizes), slots), counts))
+            assert not got.keys() & seen.keys() and (batches == 1 or len(got) < 0.8 * len(want))
+            seen.update(got)
+        assert seen == want
+
+
+def test_packed_arrays_and_tokens_of_many_texts():
+    for kind, top in (("u1", 255), ("<u4", 2 ** 32 - 1), ("<i8", 2 ** 62)):
+        for x in ([], [top], [0, 1, top, 7]):
+            assert class_lm.loose(class_lm.squeezed(np.array(x, dtype=kind), kind), kind).tolist() == x
+    texts = [None, "", "\x0b", "A b", "a\u00e9 ab\n", " x", "B\ud800 a"]
+    token, ending, lengths = class_lm.tokens_in(texts)
+    alone = [class_lm.tokens_of(t) for t in texts]
+    assert lengths.tolist() == [len(a[0]) for a in alone] == [1, 1, 1, 3, 3, 2, 3]
+    assert token.tolist() == [t for a in alone for t in a[0]] and ending.tolist() == [e for a in alone for e in a[1]]
+
+
 # -- 7 and 10 spans ------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
