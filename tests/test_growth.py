@@ -2,13 +2,15 @@
 
 import glob
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.operators import current
+from cardwatch.operators import current, joins
 from cardwatch.plans import catalog
 from cardwatch.streaming import ledger, pipeline, runner
+from tests.conftest import explain_text
 
 
 @pytest.fixture
@@ -81,3 +83,37 @@ def test_merge_keeps_the_buckets_of_all_keys(spark, tmp_path):
     table = current.current_table(spark, str(tmp_path / "c"), rows.schema)
     current.merge_load(table, rows, "id", "at", 0, buckets=4)
     assert {(r["id"], r["at"]) for r in table.read().toLocalIterator()} == {("a", 2), ("b", 1)}
+
+
+def _joins(query):
+    """The joins of a finished query's last micro-batch, as its plan names them."""
+    plan = explain_text(query, True).split("== Physical Plan ==")[1]
+    return set(re.findall(r"\w+Join(?= )", plan))
+
+
+def _two_sides(spark, path):
+    spark.range(1000).select(F.col("id").cast("string").alias("fid"),
+                             (F.col("id") % 50).cast("string").alias("k")).write.parquet(f"{path}/facts")
+    spark.range(50).select(F.col("id").cast("string").alias("dk"), F.lit("x").alias("v")).write.parquet(f"{path}/dim")
+    return spark.read.parquet(f"{path}/facts"), spark.read.parquet(f"{path}/dim")
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_side_measured_too_large_is_not_broadcast_to_a_stream(spark, tmp_path, buckets):
+    facts, dim = _two_sides(spark, tmp_path)          # files far below Spark's own threshold
+    stream = spark.readStream.schema(facts.schema).parquet(str(tmp_path / "facts"))
+    joined = joins.join_dimension(stream, dim, [("k", "dk")], ["fid"], broadcast_bytes=100, salt_buckets=buckets)
+    query = runner.start_to_table(joined.select("fid", "v"), str(tmp_path / "j"), str(tmp_path / "c"), partitions=2)
+    runner.finish(query, spark)
+    assert _joins(query) == {"SortMergeJoin"}
+    assert spark.read.parquet(str(tmp_path / "j")).distinct().count() == 1000
+
+
+def test_side_too_large_is_not_broadcast_when_no_key_is_busy(spark, tmp_path, setting):
+    setting("spark.sql.adaptive.enabled", "false")
+    facts, dim = _two_sides(spark, tmp_path)
+    hot = spark.sql("SELECT 'a' AS k WHERE false")
+    joined = joins.hot_key_salted_join(facts, dim, [("k", "dk")], hot, ["fid"])
+    plan = explain_text(joined, "simple")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert joined.select("fid").distinct().count() == joined.count() == 1000
