@@ -117,3 +117,16 @@ def test_side_too_large_is_not_broadcast_when_no_key_is_busy(spark, tmp_path, se
     plan = explain_text(joined, "simple")
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert joined.select("fid").distinct().count() == joined.count() == 1000
+
+
+def test_customers_measured_too_large_are_not_broadcast_to_the_match(spark, tmp_path, sf_dir):
+    run = catalog.RunFolder(str(tmp_path))
+    catalog._customers(spark, sf_dir).write.parquet(run.table("customers"))
+    tx = catalog.testdata.transactions(catalog._events_stream(spark, sf_dir))
+    entries = catalog._silver_watchlist_stream(spark, catalog._stage_watchlist(spark, sf_dir, run))
+    found = catalog.gold.fraud_transactions(tx, entries, spark.read.parquet(run.table("customers")), broadcast_bytes=100)
+    query = runner.start_to_table(found, run.table("fraud"), run.checkpoint("fraud"), partitions=2)
+    runner.finish(query, spark)
+    assert _joins(query) == {"StreamingSymmetricHashJoin", "SortMergeJoin"}
+    assert {r[0] for r in spark.read.parquet(run.table("fraud")).select("alert_id").collect()} == {
+        r[0] for r in catalog._batch_fraud(spark, sf_dir).select("alert_id").collect()}
