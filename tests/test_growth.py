@@ -130,3 +130,16 @@ def test_customers_measured_too_large_are_not_broadcast_to_the_match(spark, tmp_
     assert _joins(query) == {"StreamingSymmetricHashJoin", "SortMergeJoin"}
     assert {r[0] for r in spark.read.parquet(run.table("fraud")).select("alert_id").collect()} == {
         r[0] for r in catalog._batch_fraud(spark, sf_dir).select("alert_id").collect()}
+
+
+def test_pipeline_does_not_broadcast_customers_measured_too_large(spark, sf_dir, monkeypatch):
+    ran, await_all = {}, pipeline.await_all
+    monkeypatch.setattr(pipeline, "await_all", lambda session, queries: ran.update(queries) or await_all(session, queries))
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *_: False)
+    summary = catalog.outbox_batch_summary(spark, sf_dir)
+    assert _joins(ran["gold.high_value_transactions"]) == {"SortMergeJoin"}
+    assert _joins(ran["gold.fraud_transactions"]) == {"StreamingSymmetricHashJoin", "SortMergeJoin"}
+    monkeypatch.undo()
+    messages = catalog.alerts.fraud_digests(catalog._batch_fraud(spark, sf_dir)).count()
+    high, fraud = catalog._batch_high_value(spark, sf_dir).count(), catalog._batch_fraud(spark, sf_dir).count()
+    assert {tuple(r) for r in summary.collect()} == {("high_value", high, high), ("fraud", messages, fraud)}
